@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scrollspark.llm import exact_dedup, url_rules
+from scrollspark.llm import chat_format, exact_dedup, jpeg_media, url_rules
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -16,6 +17,23 @@ URL_RULES = (
 )
 
 
+#: A conversation whose text holds the template's own control strings.
+PROBE = tuple((-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant")))
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.read_back(chat_format.formatted(source.unionByName(probe))).drop("loss_spans")
+
+
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = jpeg_media.encoded(table(spark, sf_dir, "documents"))
+    return jpeg_media.described(media, keep=("n_bytes",)).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"
+    )
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -25,13 +43,28 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op7_media_columns": op7_media_columns,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 _RULE_ROWS = ", ".join(f"('{r.action}', '{r.host}', '{r.path}', {i})" for i, r in enumerate(URL_RULES))
 
+#: formatted_chars: a turn's header and end take 14 characters besides the role's name.
+_CHAT_SQL = r"""
+    WITH probe(conv_id, turn, role, text) AS (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+    t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL FROM probe),
+    d AS (SELECT *, CASE WHEN regexp_matches(text, '\\(\\|###|</turn>)|\\$') THEN replace(text, '\', '\\') ELSE text END AS doubled FROM t),
+    e AS (SELECT *, replace(replace(doubled, '###', '\###'), '</turn>', '\</turn>') AS body FROM d)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(body) + length(role) + 14) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id"""
+
 ORACLE_SQL = {
+    "op1_chat_formatting": _CHAT_SQL,
     "op8_url_filters": f"""
         WITH rules(action, rhost, rpath, k) AS (VALUES {_RULE_ROWS}),
         u AS (SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS sep FROM pages),
