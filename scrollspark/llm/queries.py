@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.llm import chat_format, exact_dedup, jpeg_media, url_rules
+from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, url_rules
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -27,6 +27,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(source.unionByName(probe))).drop("loss_spans")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = jpeg_media.encoded(table(spark, sf_dir, "documents"))
     return jpeg_media.described(media, keep=("n_bytes",)).select(
@@ -44,6 +48,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_media_columns": op7_media_columns,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
