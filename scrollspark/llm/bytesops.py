@@ -122,3 +122,37 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(1, k):
         out = out + words[j : n - k + 1 + j] * factor[j]
     return mix(out + np.uint64(k))
+
+
+class HashTable:
+    """A fixed map from distinct 64-bit hashes to 0 .. n-1, looked up for whole arrays."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.bits = max(8, int(len(hashes) * 8).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        todo, value, slot = hashes, np.arange(len(hashes), dtype=np.int32), self._slot(hashes)
+        while len(todo):
+            free = np.flatnonzero(self.values[slot] < 0)
+            put = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[put]], self.values[slot[put]] = todo[put], value[put]
+            rest = np.ones(len(todo), bool)
+            rest[put] = False
+            todo, value, slot = todo[rest], value[rest], (slot[rest] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """The value of each hash, -1 if it is not in the table."""
+        slot = self._slot(hashes)
+        out = self.values[slot]
+        miss = np.flatnonzero((out >= 0) & (self.keys[slot] != hashes))
+        slot = slot[miss]
+        while len(miss):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            got = self.values[slot]
+            out[miss] = got
+            on = (got >= 0) & (self.keys[slot] != hashes[miss])
+            miss, slot = miss[on], slot[on]
+        return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, sentencepiece_nbest, url_rules
+from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, sentencepiece_nbest, toxicity, url_rules
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -27,6 +27,17 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(source.unionByName(probe))).drop("loss_spans")
 
 
+#: Scores from here on are rejected.
+TOXIC_FROM = 0.7
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.scored(docs, model)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"))
+
+
 #: The public vocabulary of the encoding query, read by the driver; executors get its contents.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 3
@@ -34,8 +45,7 @@ N_BEST = 3
 
 def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str, model_file: str = PIECE_MODEL) -> DataFrame:
     vocabulary = sentencepiece_nbest.Vocabulary.load(model_file)
-    tokens = sentencepiece_nbest.encoded(table(spark, sf_dir, "documents"), vocabulary, N_BEST)
-    return sentencepiece_nbest.digests(tokens, vocabulary)
+    return sentencepiece_nbest.summarised(table(spark, sf_dir, "documents"), vocabulary, N_BEST)
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +69,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_toxicity": op3_toxicity,
     "op4_sentencepiece_nbest": op4_sentencepiece_nbest,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_media_columns": op7_media_columns,
