@@ -40,10 +40,11 @@ from pyspark.sql import functions as F
 from scrollspark.llm.bytesops import powers_of, prefix_codes, slices, span_hashes, utf8
 from scrollspark.llm import bytesops
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 SHORT = 64  # bytes of segments that are searched in numpy
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+REMEMBERED = 400_000  # segments that a worker remembers between slices
 NO_SCORE = -1e8  # scores below stand for "none" in the file; such pieces count as unknown
 
 
@@ -124,6 +125,27 @@ class Lattice:
         self.text = np.frombuffer(b"".join(text), np.uint8)
         self.text_at = np.append(0, np.cumsum(self.size_of))[:-1]
         self.found: dict[bytes, list[tuple[float, list[int]]]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the memory of segments: sorted hashes, and for each score, loss, and where its ids are in the pool."""
+        self.known = np.zeros(0, np.uint64)
+        self.facts = np.zeros((0, 2))
+        self.places = np.zeros((0, 2), np.int64)
+        self.pool = np.zeros(1 << 16, np.int32)
+        self.used = 0
+
+    def learn(self, hashes: np.ndarray, facts: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Adds segments (ascending new hashes) with the ids of all of them one after the other."""
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.append(self.pool[: self.used], np.zeros(self.used + len(ids), np.int32))
+        self.pool[self.used : self.used + len(ids)] = ids
+        places = np.stack([self.used + np.cumsum(counts) - counts, counts], axis=1)
+        self.used += len(ids)
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.facts = np.insert(self.facts, at, facts, axis=0)
+        self.places = np.insert(self.places, at, places, axis=0)
 
     def _slot(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -362,23 +384,22 @@ def encode(lattice: Lattice, data: np.ndarray, offsets: np.ndarray, n: int) -> E
     texts = len(offsets) - 1
     a, b = starts[:-1], starts[1:]
     hashes = span_hashes(prefix_codes(spaced), a, b)
-    _, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-    short = np.flatnonzero((b - a)[example] <= SHORT)
-    score, loss = np.zeros(len(example)), np.full(len(example), np.inf)
-    count = np.zeros(len(example), np.int64)
-    score[short], loss[short], ids, cut = lattice.best(spaced, a[example[short]], b[example[short]])
-    count[short] = np.diff(cut)
-    begin = np.zeros(len(example), np.int64)
-    begin[short] = cut[:-1]
-    pool, at = [ids], len(ids)
+    distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
     raw = spaced.tobytes()
-    for k in np.flatnonzero((b - a)[example] > SHORT).tolist():
+    if len(lattice.known) > REMEMBERED:
+        lattice.forget()
+    at = np.minimum(np.searchsorted(lattice.known, distinct), max(0, len(lattice.known) - 1))
+    new = np.flatnonzero(lattice.known[at] != distinct) if len(lattice.known) else np.arange(len(distinct))
+    is_short = (b - a)[example[new]] <= SHORT
+    short = new[is_short]
+    score, loss, ids, cut = lattice.best(spaced, a[example[short]], b[example[short]])
+    lattice.learn(distinct[short], np.stack([score, loss], axis=1), np.diff(cut), ids)
+    for k in new[~is_short].tolist():
         found = lattice.nbest(raw[a[example[k]] : b[example[k]]], 2 if n > 1 else 1)
-        score[k], loss[k] = found[0][0], found[0][0] - found[1][0] if len(found) > 1 else np.inf
-        begin[k], count[k] = at, len(found[0][1])
-        pool.append(np.array(found[0][1], np.int32))
-        at += len(found[0][1])
-    every = np.concatenate(pool)
+        gap = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+        lattice.learn(distinct[k : k + 1], np.array([[found[0][0], gap]]), np.array([len(found[0][1])]), np.array(found[0][1], np.int32))
+    at = np.searchsorted(lattice.known, distinct)
+    (score, loss), (begin, count), every = lattice.facts[at].T, lattice.places[at].T, lattice.pool
     sizes = count[which]
     token_at = np.append(0, np.cumsum(sizes))
     out = every[np.repeat(begin[which] - token_at[:-1], sizes) + np.arange(int(token_at[-1]))]
@@ -426,7 +447,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, id_col: str = "
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(vocabulary)
+        lattice = compiled(vocabulary)
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets, SLICE):
@@ -439,35 +460,48 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, id_col: str = "
     return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {id_type}, {ENCODED_DDL}")
 
 
-def digests(tokens: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id") -> DataFrame:
-    """Of encoded texts: counts, scores, and digests of the ids and of the text decoded from every segmentation."""
-    id_type = tokens.select(id_col).schema[0].dataType.simpleString()
+def summarised(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each text, encoded and decoded again: counts, scores, and digests of the best ids and of the text decoded from them.
+
+    alternatives_decode: every other segmentation decodes to the same text.
+    """
+    id_type = docs.select(id_col).schema[0].dataType.simpleString()
+    types = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
+
+    def rows(lattice: Lattice, got: Encoded) -> Iterator[tuple]:
+        data, offsets = lattice.decode(got.ids, got.counts)
+        text, ids = data.tobytes(), got.ids.astype("<i4").tobytes()
+        at, cut = offsets.tolist(), np.append(0, np.cumsum(got.counts)).tolist()
+        for i, (scores, changes) in enumerate(zip(got.scores, got.changes, strict=True)):
+            back = text[at[i] : at[i + 1]]
+            alike = all(decoded_bytes(lattice, got.ids[cut[i] + x : cut[i] + x + size]) == decoded_bytes(lattice, instead) for change in changes for x, size, instead in change)
+            yield cut[i + 1] - cut[i], scores[0], scores[1] if len(scores) > 1 else None, len(scores), hashlib.sha256(ids[4 * cut[i] : 4 * cut[i + 1]]).hexdigest(), len(back), hashlib.sha256(back).hexdigest(), alike
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(vocabulary)
+        lattice = compiled(vocabulary)
         for batch in batches:
-            lists, scores, changes = batch.column("ids"), batch.column("scores").to_pylist(), batch.column("changes").to_pylist()
-            rows = []
-            for i in range(batch.num_rows):
-                ids = lists[i].values.to_numpy().astype(np.int32)
-                data, _ = lattice.decode(ids, np.array([len(ids)]))
-                text = data.tobytes()
-                alike = True
-                for change in changes[i]:
-                    for x in change:
-                        old = ids[x["at"] : x["at"] + x["size"]]
-                        alike &= decoded_bytes(lattice, old) == decoded_bytes(lattice, np.array(x["ids"], np.int32))
-                rows.append((len(ids), scores[i][0], scores[i][1] if len(scores[i]) > 1 else None, len(scores[i]), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), len(text), hashlib.sha256(text).hexdigest(), alike))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
-            types = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], [id_col, *DIGESTS])
+            data, offsets = utf8(batch.column(1))
+            for a, b in slices(offsets, SLICE):
+                part = offsets[a : b + 1]
+                columns = zip(*rows(lattice, encode(lattice, data[part[0] : part[-1]], part - part[0], n)), strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], [id_col, *SUMMARY])
 
     ddl = f"`{id_col}` {id_type}, n_tokens bigint, score double, second_score double, n_best int, ids_sha256 string, decoded_bytes bigint, decoded_sha256 string, alternatives_decode boolean"
-    return tokens.select(id_col, "ids", "scores", "changes").mapInArrow(run, ddl)
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, ddl)
+
+
+SUMMARY = ["n_tokens", "score", "second_score", "n_best", "ids_sha256", "decoded_bytes", "decoded_sha256", "alternatives_decode"]
+_compiled: dict[str, Lattice] = {}
 
 
-DIGESTS = ["n_tokens", "score", "second_score", "n_best", "ids_sha256", "decoded_bytes", "decoded_sha256", "alternatives_decode"]
+def compiled(vocabulary: Vocabulary) -> Lattice:
+    """The lattice of a vocabulary, kept by a Python worker from task to task."""
+    key = hashlib.sha256(repr((vocabulary.pieces, vocabulary.ids, vocabulary.scores, vocabulary.byte_ids)).encode()).hexdigest()
+    if key not in _compiled:
+        _compiled.clear()
+        _compiled[key] = Lattice(vocabulary)
+    return _compiled[key]
 
 
-def decoded_bytes(lattice: Lattice, ids: np.ndarray) -> bytes:
+def decoded_bytes(lattice: Lattice, ids) -> bytes:
     return b"".join(lattice.text[lattice.text_at[i] : lattice.text_at[i] + lattice.size_of[i]].tobytes() for i in ids)
