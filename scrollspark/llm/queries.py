@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, sentencepiece_nbest, toxicity, url_rules
+from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, mixing, sentencepiece_nbest, toxicity, url_rules
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -67,6 +67,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), target_entropy=0.95, max_repeats=4.0)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_toxicity": op3_toxicity,
@@ -75,6 +79,7 @@ QUERIES = {
     "op7_media_columns": op7_media_columns,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 _RULE_ROWS = ", ".join(f"('{r.action}', '{r.host}', '{r.path}', {i})" for i, r in enumerate(URL_RULES))
