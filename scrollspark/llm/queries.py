@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, mixing, sentencepiece_nbest, toxicity, url_rules
+from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, mixing, sentencepiece_nbest, toxicity, url_rules, warc
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -27,6 +27,15 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(source.unionByName(probe))).drop("loss_spans")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    id_type = pages.schema["page_id"].dataType
+    number = lambda c: F.when(F.col(c) != "", F.col(c)).cast(id_type)
+    return warc.archived(pages, least_bytes=100).select(
+        number("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), number("refers_to").alias("refers_to")
+    )
+
+
 #: Scores from here on are rejected.
 TOXIC_FROM = 0.7
 
@@ -73,6 +82,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece_nbest": op4_sentencepiece_nbest,
     "op6_jaccard_join": op6_jaccard_join,
@@ -98,6 +108,12 @@ _CHAT_SQL = r"""
 
 ORACLE_SQL = {
     "op1_chat_formatting": _CHAT_SQL,
+    "op2_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first < page_id THEN first END AS refers_to FROM d LEFT JOIN f USING (payload_digest)""",
     "op8_url_filters": f"""
         WITH rules(action, rhost, rpath, k) AS (VALUES {_RULE_ROWS}),
         u AS (SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS sep FROM pages),
