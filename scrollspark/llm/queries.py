@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, mixing, sentencepiece_nbest, toxicity, url_rules, warc
+from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, mixing, sentencepiece_nbest, suffix_dedup, toxicity, url_rules, warc
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -57,6 +57,13 @@ def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str, model_file: str =
     return sentencepiece_nbest.summarised(table(spark, sf_dir, "documents"), vocabulary, N_BEST)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"), gram=8, least=50)
+    words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, x: total + x["end"] - x["start"])
+    text = F.array_join(F.transform("spans", lambda x: F.concat(x["start"], F.lit("-"), x["end"])), ",")
+    return found.select("doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"), text.alias("spans"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.joined(table(spark, sf_dir, "documents"), shingle=5, percent=80)
 
@@ -85,6 +92,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece_nbest": op4_sentencepiece_nbest,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_media_columns": op7_media_columns,
     "op8_url_filters": op8_url_filters,
