@@ -25,10 +25,11 @@ Equal sets are merged by digest before pairs are formed.
 Links.  Every shared prefix token names one pivot, the set with the fewest tokens
 of its own; all other sets of the token are compared with the pivot only.  When
 the links found so far are joined to components, only pairs of one token in
-different components can still change the result; these are compared next, again
-with pivots while they are many, and all of them once they are few.
-So a group of n near copies costs about n comparisons, yet no link
-between components is lost.
+different components can still change the result.  They get a second pivot; what is
+left then is compared in full: pairs of small token groups one by one, large groups in
+blocks of some hundred sets, from which only links come out, never pairs.
+So a group of near copies that are similar to its pivots costs comparisons in
+proportion to its size, and no link between components is lost.
 
 Edge cases: null and empty texts, and texts without words, have an empty set and
 are linked with nothing; fewer words than a shingle make one shingle of all
@@ -49,12 +50,14 @@ from pyspark.sql import functions as F
 
 from scrollspark.llm.bytesops import shingle_hashes, slices, utf8, word_hashes, word_spans
 from scrollspark.llm.graph import components
-from scrollspark.llm.tables import path_of, removed, written
+from scrollspark.llm.tables import arrow_rows, path_of, removed, written
 
 LOW = np.uint64((1 << 48) - 1)
 ORDER_C = np.uint64(0xA24BAED4963EE407)
 HOT = 255  # rank of tokens that one sender found in more than hot_sets sets
 NO_SET = b""
+PIVOT_TURNS = 2
+BLOCK = 256  # sets of one side of a block
 
 
 def prefix_length(n: int | np.ndarray, percent: int):
@@ -335,19 +338,91 @@ def _possible(percent: int):
     return 100 * most >= percent * (F.col("n_u") + F.col("n_v") - most)
 
 
-def _pivots(entries: DataFrame) -> DataFrame:
-    """For each token that sets of different components have: the set with the fewest tokens of its own."""
-    best = F.min(F.struct("own", "key", "n", "component"))
+def _pivots(entries: DataFrame, turn: int) -> DataFrame:
+    """For each token that sets of different components have: the set with the fewest tokens of its own; in later turns another, by hash."""
+    order = F.struct((F.col("own") if turn == 0 else F.xxhash64("key", F.lit(turn))).alias("rank"), "key", "n", "own", "component")
     spread = (F.min("component") != F.max("component")).alias("spread")
-    return entries.groupBy("token").agg(best.alias("p"), spread).where("spread").select("token", F.col("p.key").alias("u"), F.col("p.n").alias("n_u"), F.col("p.own").alias("own_u"), F.col("p.component").alias("component_u"))
+    return entries.groupBy("token").agg(F.min(order).alias("p"), spread).where("spread").select("token", F.col("p.key").alias("u"), F.col("p.n").alias("n_u"), F.col("p.own").alias("own_u"), F.col("p.component").alias("component_u"))
 
 
-def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int = 1 << 20, flush_tokens: int = 2 << 20, hot_sets: int = 64, few: float = 2.0) -> DataFrame:
+def _sides(entries: DataFrame, s: str) -> DataFrame:
+    return entries.select("token", F.col("key").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "component")))
+
+
+def _in_blocks(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between components of large token groups.
+
+    Sets that share such tokens form clusters, clusters are dealt into blocks of
+    about BLOCK sets, and each pair of blocks is one small group of rows.
+    """
+    hubs = entries.groupBy("token").agg(F.min("key").alias("hub"))
+    edges = entries.join(hubs, "token").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
+    clusters = components(edges).select(F.col("node").alias("key"), F.col("component").alias("cluster")).join(entries.select("key", "component").distinct(), "key")
+    counts = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = clusters.join(counts, "cluster").withColumn("own_block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = dealt.select("key", "component", "cluster", F.least("own_block", "other").alias("i"), F.greatest("own_block", "other").alias("j"))
+    return rows.join(classes.drop("sender"), "key").groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "u binary, v binary")
+
+
+def _block_links(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Compares all sets of one group; of the links between components, enough to join what they join."""
+        n = table["n"].to_numpy().astype(np.int64)
+        shared = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shared"]]
+        prefix = [x.values.to_numpy().view(np.uint64) for x in table["prefix"]]
+        limit_b, limit_c = (table[c].to_numpy().view(np.uint64) for c in ("limit_b", "limit_c"))
+        g = len(n)
+        size = np.array([len(x) for x in shared])
+        token, row = np.concatenate(shared), np.repeat(np.arange(g), size)
+        which = {"all": np.ones(len(token), bool), "b": token <= np.repeat(limit_b, size), "c": token * ORDER_C <= np.repeat(limit_c, size)}
+        first = np.concatenate(prefix)
+        owner = np.repeat(np.arange(g), [len(x) for x in prefix])
+        common = {"a": _together(first, owner, g)} | {k: _together(token[m], row[m], g) for k, m in which.items()}
+        _, component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)
+        both = common["all"]
+        good = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (common["a"] > 0) & (common["b"] > 0) & (common["c"] > 0) & (component[:, None] != component[None, :])
+        root = list(range(int(component.max()) + 1))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        u, v = [], []
+        for i, j in np.argwhere(np.triu(good)).tolist():
+            x, y = find(component[i]), find(component[j])
+            if x != y:
+                root[x] = y
+                u.append(i)
+                v.append(j)
+        keys = table["key"]
+        return pa.table({"u": keys.take(pa.array(u, pa.int64())), "v": keys.take(pa.array(v, pa.int64()))})
+
+    return run
+
+
+def _together(token: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """How many tokens each two rows have in common."""
+    out = np.zeros((rows, rows), np.float32)
+    values, place = np.unique(token, return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    place, row = place[order], row[order]
+    for a in range(0, len(values), 4096):
+        i, j = np.searchsorted(place, [a, a + 4096])
+        some = np.zeros((rows, 4096), np.float32)
+        some[row[i:j], place[i:j] - a] = 1
+        out += some @ some.T
+    return out.astype(np.int64)
+
+
+def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int = 1 << 20, flush_tokens: int = 1 << 20, hot_sets: int = 64, few_sets: int = 32) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links).
 
     percent: two documents link when 100 * intersection >= percent * union.
-    few: all pairs left are compared once they are at most so many times the
-    prefix entries; else another round of pivots comes first.
+    few_sets: of what the pivots leave, tokens of at most so many sets have their
+    pairs compared one by one, the others in blocks.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
@@ -357,50 +432,38 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, s
 
     sent = source.mapInArrow(_sent(shingle, percent, buckets, flush_tokens, hot_sets), SENT_DDL)
     answered = sent.groupBy("bucket").applyInArrow(_answered, f"sender bigint, bucket bigint, answer binary, sets {SETS_DDL}")
-    table = written(answered.groupBy("sender").applyInArrow(_classes(percent), CLASSES_DDL), "jaccard-classes")
+    with arrow_rows(spark, 2000):
+        table = written(answered.groupBy("sender").applyInArrow(_classes(percent), CLASSES_DDL), "jaccard-classes")
 
     open_sets = table.where(F.col("key").isNotNull())
     leads = open_sets.groupBy("key").agg(F.min("sender").alias("sender"))
     classes = open_sets.join(leads, ["key", "sender"])
     entries = written(classes.select("key", "n", "own", F.explode("prefix").alias("token")).withColumn("component", F.col("key")), "jaccard-entries")
 
-    compared: DataFrame | None = None
+    # One turn of pivots for most links, another for what the first left, then all pairs that can still matter.
     links: DataFrame | None = None
     trash = []
-    entry_count = entries.count()
-    while entry_count:
-        sizes = entries.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        open_tokens, left = sizes.agg(F.count(F.lit(1)), F.sum((F.col("all") * F.col("all") - F.col("same")).cast("double") / 2)).first()
-        if not open_tokens:
+    for turn in range(PIVOT_TURNS + 1):
+        groups = entries.groupBy("token").agg(F.count(F.lit(1)).alias("k"), (F.min("component") != F.max("component")).alias("spread"))
+        still = written(entries.join(groups.where("spread").select("token", "k"), "token"), "jaccard-open")
+        trash.append(still)
+        if still.isEmpty():
             break
-        last = compared is not None and left <= few * entry_count
-        v = entries.select("token", F.col("key").alias("v"), F.col("n").alias("n_v"), F.col("own").alias("own_v"), F.col("component").alias("component_v"))
-        if last:
-            u = v.toDF("token", "u", "n_u", "own_u", "component_u")
-            pairs = u.join(v, "token").where("component_u < component_v")
+        if turn < PIVOT_TURNS:
+            pairs = _sides(still, "v").join(_pivots(still, turn), "token")
         else:
-            pairs = v.join(_pivots(entries), "token").where("component_u <> component_v")
-        pairs = pairs.where(_possible(percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["u", "v"], "left_anti")
-        fresh = written(_compared(pairs, classes, percent), "jaccard-compared")
-        trash.append(fresh)
-        new = fresh.where("linked").select("u", "v")
-        links = new if links is None else links.union(new)
-        compared = fresh.select("u", "v") if compared is None else compared.union(fresh.select("u", "v"))
-        progress = fresh.agg(F.count(F.lit(1)), F.count_if("linked")).first()
-        if last or not progress[0]:
-            if not last:
-                few = float("inf")  # no pivot pair is new: compare what is left
-                continue
-            break
-        if progress[1]:
+            few = still.where(F.col("k") <= few_sets)
+            pairs = _sides(few, "u").join(_sides(few, "v"), "token").where("u < v")
+        pairs = pairs.where("component_u <> component_v").where(_possible(percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        with arrow_rows(spark, 500):  # a row holds the tokens of one or two sets
+            fresh = written(_compared(pairs, classes, percent).where("linked").select("u", "v"), "jaccard-links")
+            if turn == PIVOT_TURNS:
+                fresh = fresh.union(written(_in_blocks(still.where(F.col("k") > few_sets), classes, percent), "jaccard-links"))
+        links = fresh if links is None else links.union(fresh)
+        if turn < PIVOT_TURNS:
             found = components(links).withColumnRenamed("node", "key")
-            old = entries
+            trash.append(entries)
             entries = written(entries.drop("component").join(found, "key", "left").withColumn("component", F.coalesce("component", "key")), "jaccard-entries")
-            trash.append(old)
-        else:
-            few = max(few * 4, 8.0)
     trash.append(entries)
 
     if links is None:

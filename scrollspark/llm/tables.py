@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,15 @@ def removed(spark: SparkSession, *paths: str) -> None:
 def path_of(df: DataFrame) -> str:
     """The folder of a table made by written()."""
     return df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
+
+
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Bounds the rows of an Arrow batch for the actions inside, where rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
