@@ -1 +1 @@
-
+"""Column functions: parsing, identifiers, payload checks and nested OCR documents."""

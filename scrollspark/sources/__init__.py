@@ -1 +1 @@
-
+"""Sources: files, folders, tables and downloads."""
