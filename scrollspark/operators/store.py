@@ -87,7 +87,7 @@ class SnapshotStore:
 
     def _pointer(self) -> dict[str, str]:
         """Table name to folder, of the newest complete pointer."""
-        names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/_pointer-*")) or []))
+        names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
         if not names:
             return {}
         rows = self.spark.read.text(f"{self.root}/{names[-1]}").collect()  # a line per table
@@ -106,11 +106,11 @@ class SnapshotStore:
             folder = f"{self.root}/{name}/v-{mark}"
             df.write.parquet(folder)
             now[name] = folder
-        count = len(self._fs.globStatus(self._path(f"{self.root}/_pointer-*")) or [])
+        count = len(self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or [])
         draft = self._path(f"{self.root}/draft-{mark}")
         stream = self._fs.create(draft)
         stream.write(bytearray("".join(f"{k}\t{v}\n" for k, v in sorted(now.items())).encode()))
         stream.close()
         # The pointer that readers resolve is the last by name; the rename is the only visible step, and fails if another writer was first.
-        if not self._fs.rename(draft, self._path(f"{self.root}/_pointer-{count:012d}")):
+        if not self._fs.rename(draft, self._path(f"{self.root}/pointer-{count:012d}")):
             raise RuntimeError("another writer has published meanwhile")
