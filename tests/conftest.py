@@ -15,7 +15,7 @@ DATA = "/root/testdata/sf0.001"
 def spark():
     from scrollspark.session import create
 
-    session = create("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g", spark__ui__showConsoleProgress="false")
+    session = create("tests", os.environ.get("TEST_MASTER", "local[4]"), spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g", spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
