@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import shingle_hashes, slices, utf8, word_hashes, word_spans
+from scrollspark.llm.bytesops import shingle_hashes, slices, tidied, tidy, utf8, word_hashes, word_spans
 from scrollspark.llm.graph import components
 from scrollspark.llm.tables import arrow_rows, path_of, removed, written
 
@@ -200,6 +200,7 @@ def _sent(k: int, percent: int, buckets: int, flush_tokens: int, hot_sets: int):
 
 def _answered(keys: tuple, table: pa.Table) -> pa.Table:
     """One bucket: counts tokens over all senders and answers each with its shared ones."""
+    tidy()
     bucket = keys[0].as_py()
     schema = pa.schema([("sender", pa.int64()), ("bucket", pa.int64()), ("answer", pa.binary()), ("sets", SETS)])
     if bucket < 0:
@@ -245,6 +246,10 @@ CLASSES_DDL = "sender bigint, key binary, ids array<bigint>, n int, own int, lim
 
 def _classes(percent: int):
     def run(keys: tuple, table: pa.Table) -> pa.Table:
+        tidy()
+        return one(keys, table)
+
+    def one(keys: tuple, table: pa.Table) -> pa.Table:
         """One sender: its sets with their shared tokens; key and tokens only of sets that can have a partner."""
         sets = next(x for x in table["sets"].to_pylist() if x is not None)
         n = len(sets["sizes"])
@@ -329,7 +334,7 @@ def _compared(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(u, v, linked) for each pair of class keys."""
     side = lambda s: classes.select(F.col("key").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "limit_b", "limit_c", "shared")))
     both = pairs.join(side("v"), "v").join(side("u"), "u")
-    return both.mapInArrow(_verified(percent), "u binary, v binary, linked boolean")
+    return both.mapInArrow(tidied(_verified(percent)), "u binary, v binary, linked boolean")
 
 
 def _possible(percent: int):
@@ -430,7 +435,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, s
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(1 << 16, max(2 * partitions, -(-size // (6 * bucket_tokens))))
 
-    sent = source.mapInArrow(_sent(shingle, percent, buckets, flush_tokens, hot_sets), SENT_DDL)
+    sent = source.mapInArrow(tidied(_sent(shingle, percent, buckets, flush_tokens, hot_sets)), SENT_DDL)
     answered = sent.groupBy("bucket").applyInArrow(_answered, f"sender bigint, bucket bigint, answer binary, sets {SETS_DDL}")
     with arrow_rows(spark, 2000):
         table = written(answered.groupBy("sender").applyInArrow(_classes(percent), CLASSES_DDL), "jaccard-classes")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import slices, utf8
+from scrollspark.llm.bytesops import slices, tidied, utf8
 
 BLOCKS = 64  # blocks in a row, and MCUs in a restart interval
 MAX_ROWS = 65_535 // 8
@@ -174,7 +174,7 @@ def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 media = encode_payloads(*padded(data[part[0] : part[-1]], part - part[0]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(part)), pa.array(media, pa.binary())], [id_col, "n_bytes", "media"])
 
-    return df.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {id_type}, n_bytes bigint, media binary")
+    return df.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidied(run), f"`{id_col}` {id_type}, n_bytes bigint, media binary")
 
 
 @dataclass
@@ -460,4 +460,4 @@ def described(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", *
                 body = [pa.array([None if r is None else r[k] for r in rows], f.type) for k, f in enumerate(DESCRIPTION)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(len(kept))), *body], [*kept, *DESCRIPTION.names])
 
-    return df.select(*kept, media_col).mapInArrow(run, types + ", media_bytes bigint, media_sha256 string, width int, height int, streams int, feature string, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint")
+    return df.select(*kept, media_col).mapInArrow(tidied(run), types + ", media_bytes bigint, media_sha256 string, width int, height int, streams int, feature string, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint")

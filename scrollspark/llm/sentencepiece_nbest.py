@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import powers_of, prefix_codes, slices, span_hashes, utf8
+from scrollspark.llm.bytesops import powers_of, prefix_codes, slices, span_hashes, tidied, utf8
 from scrollspark.llm import bytesops
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 SHORT = 64  # bytes of segments that are searched in numpy
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -457,7 +457,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, id_col: str = "
                 changes = [[[{"at": x, "size": y, "ids": z} for x, y, z in one] for one in text] for text in got.changes]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids, pa.array(got.scores, pa.list_(pa.float64())), pa.array(changes, CHANGE)], [id_col, "ids", "scores", "changes"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {id_type}, {ENCODED_DDL}")
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidied(run), f"`{id_col}` {id_type}, {ENCODED_DDL}")
 
 
 def summarised(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -487,7 +487,7 @@ def summarised(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, id_col: str
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], [id_col, *SUMMARY])
 
     ddl = f"`{id_col}` {id_type}, n_tokens bigint, score double, second_score double, n_best int, ids_sha256 string, decoded_bytes bigint, decoded_sha256 string, alternatives_decode boolean"
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, ddl)
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidied(run), ddl)
 
 
 SUMMARY = ["n_tokens", "score", "second_score", "n_best", "ids_sha256", "decoded_bytes", "decoded_sha256", "alternatives_decode"]

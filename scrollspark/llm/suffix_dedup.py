@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import mix, powers_of, shingle_hashes, slices, utf8, word_hashes, word_spans
+from scrollspark.llm.bytesops import mix, powers_of, shingle_hashes, slices, tidied, utf8, word_hashes, word_spans
 from scrollspark.llm.tables import arrow_rows, written
 
 CHUNK = 20_000  # suffixes that are compared at a time
@@ -245,15 +245,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     ident = F.col(id_col).cast("bigint")
     source = docs.select(ident.alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL")
     with arrow_rows(spark, 2000):
-        chosen = written(source.mapInArrow(_selected(gram, least), "run bigint, doc bigint, at int"), "suffix-minimisers")
+        chosen = written(source.mapInArrow(tidied(_selected(gram, least)), "run bigint, doc bigint, at int"), "suffix-minimisers")
     shared = chosen.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("k")).where("a <> b").select("run", (F.col("k") > hot_rows).cast("int").alias("hot"))
     shared = written(shared, "suffix-shared")
     places = chosen.join(shared, "run").groupBy("doc").agg(F.sort_array(F.collect_set(F.col("at") * 2 + F.col("hot"))).alias("places"))
-    suffixes = source.join(places, "doc").mapInArrow(_suffixes(gram, least), "run bigint, doc bigint, at int, before binary, after binary, windows array<bigint>")
+    suffixes = source.join(places, "doc").mapInArrow(tidied(_suffixes(gram, least)), "run bigint, doc bigint, at int, before binary, after binary, windows array<bigint>")
 
     usual = suffixes.where("windows IS NULL").select("run", "doc", "at", "before", "after").repartition("run").sortWithinPartitions("run")
     with arrow_rows(spark, 2000):
-        found = written(usual.mapInArrow(_matches(gram, least), "doc bigint, start int, end int"), "suffix-matches")
+        found = written(usual.mapInArrow(tidied(_matches(gram, least)), "doc bigint, start int, end int"), "suffix-matches")
     if not shared.where("hot = 1").isEmpty():
         windows = suffixes.where("windows IS NOT NULL").select("doc", F.greatest(F.col("at") - (least - gram), F.lit(0)).alias("first"), F.posexplode("windows").alias("i", "window")).select("doc", (F.col("first") + F.col("i")).alias("start"), "window")
         again = written(windows.groupBy("window").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("window"), "suffix-windows")

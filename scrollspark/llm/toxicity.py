@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, utf8
+from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidied, utf8
 
 TRAIN_ROWS = 10_000
 SIZES = (3, 4, 5)
@@ -169,10 +169,12 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(len(kept)))
+            data, offsets = utf8(batch.column(place))
             for a, b in slices(offsets, SLICE):
                 part = offsets[a : b + 1]
                 score = model.scores(data[part[0] : part[-1]], part - part[0])
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(len(kept))), pa.array(score)], [*kept, "score"])
 
-    return docs.select(*kept, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{types}, score double")
+    place = kept.index(text_col) if text_col in kept else len(kept)
+    text = [] if text_col in kept else [F.col(text_col).cast("string").alias("_text")]
+    return docs.select(*kept, *text).mapInArrow(tidied(run), f"{types}, score double")
