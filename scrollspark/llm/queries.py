@@ -114,6 +114,30 @@ _CHAT_SQL = r"""
            CAST(sum(length(body) + length(role) + 14) AS BIGINT) AS formatted_chars
     FROM e GROUP BY conv_id"""
 
+#: Words of every document, and the set of its shingles.
+_WORDS_SQL = r"""
+    w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)"""
+
+_REPEATS_SQL = f"""
+    WITH {_WORDS_SQL},
+    win AS (SELECT doc_id, unnest(range(0, len(ws) - 49)) AS i, unnest(list_transform(range(0, len(ws) - 49), lambda j: md5(array_to_string(ws[j + 1 : j + 50], ' ')))) AS k FROM w WHERE len(ws) >= 50),
+    rep AS (SELECT k FROM win GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+    hit AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM win JOIN rep USING (k)),
+    isl AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM hit),
+    span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM isl GROUP BY doc_id, n),
+    by_doc AS (SELECT doc_id, count(*) AS n, sum(b - a) AS t, string_agg(a || '-' || b, ',' ORDER BY a) AS s FROM span GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_spans, CAST(coalesce(t, 0) AS BIGINT) AS repeated_words, coalesce(s, '') AS spans FROM documents LEFT JOIN by_doc USING (doc_id)"""
+
+_JACCARD_SQL = f"""
+    WITH RECURSIVE {_WORDS_SQL},
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS g FROM w WHERE len(ws) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    l AS (SELECT u, v FROM c JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+    r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.v, r.root FROM r JOIN l ON l.u = r.doc_id)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id
+    FROM documents d JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) m USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
 ORACLE_SQL = {
     "op1_chat_formatting": _CHAT_SQL,
     "op2_warc": """
@@ -122,6 +146,8 @@ ORACLE_SQL = {
         f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first < page_id THEN first END AS refers_to FROM d LEFT JOIN f USING (payload_digest)""",
+    "op5_suffix_dedup": _REPEATS_SQL,
+    "op6_jaccard_join": _JACCARD_SQL,
     "op8_url_filters": f"""
         WITH rules(action, rhost, rpath, k) AS (VALUES {_RULE_ROWS}),
         u AS (SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS sep FROM pages),
