@@ -6,7 +6,7 @@ import json
 import textwrap
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,18 @@ def drawable(box: Column) -> Column:
     return F.size(F.coalesce(box["coordinate"], F.array().cast("array<double>"))) >= 4
 
 
+def page_of(document: Column, index: int) -> Column:
+    """The page with this page_index, wherever it stands; null if it is missing."""
+    return F.get(F.filter(document["results"], lambda p: p["page_index"] == index), F.lit(0))
+
+
+def drawn_boxes(documents: DataFrame, key: str, document: str = "document") -> DataFrame:
+    """key, page_index, colour, caption and coordinate of every box that can be drawn; boxes keep their numbers."""
+    pages = documents.select(key, F.explode(F.col(document)["results"]).alias("p"))
+    boxes = pages.select(key, F.col("p")["page_index"].alias("page_index"), F.posexplode(F.col("p")["layout_det_res"]["boxes"]).alias("i", "b")).where(drawable(F.col("b")))
+    return boxes.select(key, "page_index", colour(F.coalesce(F.col("b")["label"], F.lit("unknown"))).alias("colour"), caption(F.col("i"), F.col("b")["label"], F.col("b")["score"]).alias("caption"), F.col("b")["coordinate"].alias("coordinate"))
+
+
 def dpi_of(document: Column, wanted: int | None = None) -> Column:
     return F.lit(wanted) if wanted else F.coalesce(F.get(document["results"], F.lit(0))["dpi"], F.lit(DEFAULT_DPI))
 

@@ -67,4 +67,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keys = named.select(ident.alias("_id"), text.alias("_text"))
     groups = keys.groupBy(F.substring(F.sha2(F.col("_text").cast("binary"), 256), 1, 32).alias("_key"), "_text").agg(pick("_id").alias("_keep"))
     staying = written(groups.select("_keep").distinct(), "exact-kept")
-    return named.join(staying, ident.eqNullSafe(F.col("_keep")), "left_semi").select("_row.*")
+    return named.join(staying.hint("merge"), ident.eqNullSafe(F.col("_keep")), "left_semi").select("_row.*")

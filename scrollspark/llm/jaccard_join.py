@@ -490,4 +490,4 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = joined(docs, id_col, text_col, **options)
     dropped = written(classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "jaccard-dropped")
     row = docs.select(F.struct("*").alias("_row"))
-    return row.join(dropped, F.col(f"_row.`{id_col}`") == F.col("_gone"), "left_anti").select("_row.*")
+    return row.join(dropped.hint("merge"), F.col(f"_row.`{id_col}`") == F.col("_gone"), "left_anti").select("_row.*")

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def target_pages(requested: Column, total: Column) -> Column:
@@ -31,9 +30,9 @@ def page_plan(work: DataFrame, key: str, per_run: int | None = 100, per_batch: i
 
 
 def last_results(results: DataFrame, key: str, order: str) -> DataFrame:
-    """One result of each (key, page_index): the last."""
-    w = Window.partitionBy(key, "page_index").orderBy(F.desc(order))
-    return results.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+    """One result of each (key, page_index): the last.  An aggregate, so that repeats are combined before the shuffle."""
+    last = results.groupBy(key, "page_index").agg(F.max_by(F.struct("*"), order).alias("_row"))
+    return last.select("_row.*")
 
 
 def build_results(pages: DataFrame, key: str, page: str = "page_index", result: str = "result") -> DataFrame:

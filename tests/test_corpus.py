@@ -240,6 +240,10 @@ def test_ocr_text_follows_the_boxes(spark):
     df = spark.createDataFrame([(json.dumps(document),)], "j string").select(F.from_json("j", ocr_document.DOCUMENT).alias("d"))
     assert df.select(ocr_document.document_text(F.col("d"))).first()[0] == "none\n\nfallback\ntie1\ntie2\nlate"
     assert df.select(ocr_document.dpi_of(F.col("d")), ocr_document.dpi_of(F.col("d"), 300)).first() == (100, 300)
+    assert df.select(ocr_document.page_of(F.col("d"), 1)["page_index"], ocr_document.page_of(F.col("d"), 7)).first() == (1, None)
+    four = {"results": [{"page_index": 3, "dpi": None, "layout_det_res": {"boxes": [box("x"), box("y") | {"coordinate": [0.0, 1.0, 2.0, 3.0], "label": None}]}}], "total_pages": 1, "processed_pages": 1}
+    drawn = spark.createDataFrame([("k", json.dumps(four))], "k string, j string").select("k", F.from_json("j", ocr_document.DOCUMENT).alias("document"))
+    assert one(ocr_document.drawn_boxes(drawn, "k").drop("coordinate")) == [("k", 3, "#808080", "2. unknown (0.90)")]
     assert values(spark, ["TEXT", "zzz"], ocr_document.colour) == ["#ff9800", "#808080"]
     row = spark.range(1).select(ocr_document.caption(F.lit(0), F.lit(None).cast("string"), F.lit("0.456"))).first()
     assert row[0] == "1. unknown (0.46)"
