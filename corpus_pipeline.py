@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scrollspark.llm import exact_dedup, jaccard_join, mixing, sentencepiece_nbest, toxicity
 from scrollspark.llm.queries import N_BEST, PIECE_MODEL, TOXIC_FROM
 from scrollspark.llm.tables import table, written
+from scrollspark.session import ship
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,14 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_nbest.summarised(docs, sentencepiece_nbest.Vocabulary.load(PIECE_MODEL), N_BEST)
 
 
-STAGES = [("toxicity", clean), ("exact dedup", unique), ("n-gram Jaccard join", distinct), ("mixing sources", weighted), ("SentencePiece", tokens)]
+def _with_code(stage):
+    return lambda spark, docs, sf_dir: stage(ship(spark), docs, sf_dir)
+
+
+STAGES = [
+    (name, _with_code(stage))
+    for name, stage in (("toxicity", clean), ("exact dedup", unique), ("n-gram Jaccard join", distinct), ("mixing sources", weighted), ("SentencePiece", tokens))
+]
 
 #: SQL cannot express a trained classifier, the block permutations or the segmentations.
 ORACLE_SQL = None

@@ -422,8 +422,13 @@ def _together(token: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int = 1 << 20, flush_tokens: int = 1 << 20, hot_sets: int = 64, few_sets: int = 32) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (the smallest id reachable by links).
+def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id (the smallest id reachable by links).  Options: see tables_of."""
+    return tables_of(docs, id_col, text_col, **options)[0]
+
+
+def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int = 1 << 20, flush_tokens: int = 1 << 20, hot_sets: int = 64, few_sets: int = 32) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of joined(), and the written tables that they are read from.
 
     percent: two documents link when 100 * intersection >= percent * union.
     few_sets: of what the pivots leave, tokens of at most so many sets have their
@@ -482,12 +487,13 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, s
     final = written(firsts.join(least, "component").select("key", "least"), "jaccard-components")
     removed(spark, *(path_of(x) for x in trash))
     rows = table.select("key", "ids", "n").join(final, "key", "left")
-    return rows.select(F.explode("ids").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("least", F.array_min("ids")).alias("component_id"))
+    return rows.select(F.explode("ids").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("least", F.array_min("ids")).alias("component_id")), [table, final]
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs, one of each component: that with the smallest id.  Rows without an id stay."""
-    classes = joined(docs, id_col, text_col, **options)
+    classes, tables = tables_of(docs, id_col, text_col, **options)
     dropped = written(classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "jaccard-dropped")
+    removed(docs.sparkSession, *(path_of(x) for x in tables))
     row = docs.select(F.struct("*").alias("_row"))
     return row.join(dropped.hint("merge"), F.col(f"_row.`{id_col}`") == F.col("_gone"), "left_anti").select("_row.*")
