@@ -31,7 +31,7 @@ from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, sl
 
 TRAIN_ROWS = 10_000
 SIZES = (3, 4, 5)
-FEATURES = 8192
+FEATURES = 1024
 LEAST_TEXTS = 4
 PENALTY = 0.002
 STEPS = 1000
