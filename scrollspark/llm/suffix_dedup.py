@@ -4,7 +4,8 @@ Suffixes are kept at content-selected positions only: the minimisers of runs of
 ``gram`` words over windows of ``least - gram + 1`` runs, so that every passage of
 ``least`` words holds one, at the same place wherever it stands.  The steps:
 
-1.  All minimisers leave their hash, document and position.  Hashes that only one
+1.  All minimisers leave their hash, document and position.  Of texts with equal
+    words one goes on, the others are repeated as a whole.  Hashes that only one
     document has are gone after one aggregation.
 2.  The positions left are joined to the texts, and each becomes a suffix: its
     run's hash, the words right of the run, and the words left of it, read
@@ -26,12 +27,13 @@ words elsewhere.
 
 Edge cases: null and empty texts, texts of fewer words and rows without id have no
 spans; repeats inside one document do not count; rows that share an id are one
-document; one row comes back for every row; texts of any length are whole; extra
+document, whose spans are those of all its texts; one row comes back for every row; texts of any length are whole; extra
 columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +57,13 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
 
 
 def _selected(gram: int, least: int):
+    """Rows of two kinds: minimisers (run, doc, at), and texts (sequence, doc, at: their words, sent).
+
+    A task sends the minimisers of equal texts once.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[bytes] = set()
         for batch in batches:
             ids = batch.column(0).to_numpy()
             data, offsets = utf8(batch.column(1))
@@ -64,16 +72,32 @@ def _selected(gram: int, least: int):
                 body = data[part[0] : part[-1]]
                 starts, ends, first = word_spans(body, part - part[0])
                 words = word_hashes(body, starts, ends)
-                grams, owners, places = [], [], []
+                grams, owners, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                texts: list[tuple] = []
                 for i in range(b - a):
-                    if first[i + 1] - first[i] >= least:
-                        h = shingle_hashes(words[first[i] : first[i + 1]], gram)
+                    own = words[first[i] : first[i + 1]]
+                    if len(own) < least:
+                        continue
+                    key = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+                    texts.append((int(ids[a + i]), len(own), key, key not in known))
+                    if key not in known:
+                        known.add(key)
+                        h = shingle_hashes(own, gram)
                         at = minimisers(h, least - gram + 1)
                         grams.append(h[at])
                         places.append(at)
                         owners.append(np.full(len(at), ids[a + i], np.int64))
-                if grams:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(places).astype(np.int32))], ["run", "doc", "at"])
+                flat = np.concatenate(grams).view(np.int64)
+                n, m = len(flat), len(texts)
+                doc, size, key, sent = zip(*texts, strict=True) if texts else ((),) * 4
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.append(flat, np.zeros(m, np.int64)), pa.int64(), mask=np.arange(n + m) >= n),
+                        pa.array(np.append(np.concatenate(owners), np.array(doc, np.int64))), pa.array(np.append(np.concatenate(places), np.array(size, np.int64)).astype(np.int32)),
+                        pa.array([None] * n + list(key), pa.binary()), pa.array([None] * n + list(sent), pa.bool_()),
+                    ],
+                    ["run", "doc", "at", "sequence", "sent"],
+                )
 
     return run
 
@@ -83,8 +107,8 @@ def _sides(words: np.ndarray, at: int, gram: int, width: int) -> tuple[np.ndarra
     return words[max(0, at - width) : at][::-1], words[at + gram : at + gram + width]
 
 
-def _suffixes(gram: int, least: int):
-    width = least - gram
+def _of_texts(make):
+    """A function of (doc, text, places) batches: make gets each document's id, word hashes and places, and gives columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,33 +119,47 @@ def _suffixes(gram: int, least: int):
                 body = data[part[0] : part[-1]]
                 starts, ends, first = word_spans(body, part - part[0])
                 words = word_hashes(body, starts, ends)
-                cols: tuple[list, ...] = ([], [], [], [], [], [])
-                for i in range(b - a):
-                    own = words[first[i] : first[i + 1]]
-                    short = (own >> np.uint64(32)).astype(">u4")
-                    h = shingle_hashes(own, gram)
-                    windows = None
-                    for code in places[a + i].as_py():
-                        at, hot = code >> 1, code & 1
-                        left, right = _sides(short, at, gram, width)
-                        cols[0].append(int(h[at].view(np.int64)))
-                        cols[1].append(int(ids[a + i]))
-                        cols[2].append(at)
-                        if hot:
-                            windows = shingle_hashes(own, least) if windows is None else windows
-                            cols[3].append(None)
-                            cols[4].append(None)
-                            cols[5].append(windows[max(0, at - width) : at + 1].view(np.int64).tolist())
-                        else:
-                            cols[3].append(left.tobytes())
-                            cols[4].append(right.tobytes())
-                            cols[5].append(None)
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["run", "doc", "at", "before", "after", "windows"])
+                rows = [r for i in range(b - a) for r in make(int(ids[a + i]), words[first[i] : first[i + 1]], places[a + i].as_py())]
+                if rows:
+                    columns = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, make.types, strict=True)], list(make.names))
 
     return run
 
 
+class Suffixes:
+    """Rows of runs with the words on both sides."""
+
+    names = ("run", "doc", "at", "before", "after")
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+
+    def __init__(self, gram: int, least: int):
+        self.gram, self.width = gram, least - gram
+
+    def __call__(self, doc: int, words: np.ndarray, places: list[int]) -> Iterator[tuple]:
+        short, h = (words >> np.uint64(32)).astype(">u4"), shingle_hashes(words, self.gram)
+        for at in places:
+            if at + self.gram > len(words):  # a place of another text with this id
+                continue
+            left, right = _sides(short, at, self.gram, self.width)
+            yield int(h[at].view(np.int64)), doc, at, left.tobytes(), right.tobytes()
+
+
+class Windows:
+    """Rows of all windows around runs, each once."""
+
+    names = ("doc", "start", "window")
+    types = (pa.int64(), pa.int32(), pa.int64())
+
+    def __init__(self, gram: int, least: int):
+        self.width, self.least = least - gram, least
+
+    def __call__(self, doc: int, words: np.ndarray, places: list[int]) -> Iterator[tuple]:
+        h = shingle_hashes(words, self.least).view(np.int64) if len(words) >= self.least else words[:0]
+        for start in sorted({s for at in places for s in range(max(0, at - self.width), min(at + 1, len(h)))}):
+            yield doc, start, int(h[start])
+
+
 def _matrix(cells: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Words as rows of a matrix, padded with zeros, and how many each row has."""
     sizes = np.array([len(x) // 4 for x in cells], np.int64)
@@ -236,7 +274,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], ["doc", "spans"])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, gram: int = 8, least: int = 50, hot_rows: int = 20_000) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, gram: int = 8, least: int = 50, hot_rows: int = 200_000) -> DataFrame:
     """id and spans (array of start, end: words, end exclusive) of every row; spans is empty without repeats.
 
     hot_rows: runs at more positions than this are compared by aggregation, not in one place.
@@ -245,19 +283,27 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     ident = F.col(id_col).cast("bigint")
     source = docs.select(ident.alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL")
     with arrow_rows(spark, 2000):
-        chosen = written(source.mapInArrow(tidied(_selected(gram, least)), "run bigint, doc bigint, at int"), "suffix-minimisers")
-    shared = chosen.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("k")).where("a <> b").select("run", (F.col("k") > hot_rows).cast("int").alias("hot"))
-    shared = written(shared, "suffix-shared")
-    places = chosen.join(shared, "run").groupBy("doc").agg(F.sort_array(F.collect_set(F.col("at") * 2 + F.col("hot"))).alias("places"))
-    suffixes = source.join(places, "doc").mapInArrow(tidied(_suffixes(gram, least)), "run bigint, doc bigint, at int, before binary, after binary, windows array<bigint>")
+        rows = written(source.mapInArrow(tidied(_selected(gram, least)), "run bigint, doc bigint, at int, sequence binary, sent boolean"), "suffix-minimisers")
+    # Of equal texts one goes on; the words of all of them are repeated.
+    texts = rows.where("sequence IS NOT NULL")
+    alike = written(texts.groupBy("sequence").agg(F.min(F.when(F.col("sent"), F.col("doc"))).alias("lead"), (F.min("doc") != F.max("doc")).alias("copied")), "suffix-texts")
+    whole = texts.join(alike.where("copied").select("sequence"), "sequence").select("doc", F.lit(0).alias("start"), F.col("at").alias("end"))
+    chosen = rows.where("run IS NOT NULL").select("run", "doc", "at").join(alike.select(F.col("lead").alias("doc")).distinct(), "doc", "left_semi")
+    # Written first, so that both sides of the next join are plain shuffles and a run with very many rows is split.
+    shared = chosen.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("k")).where("a <> b").select("run", (F.col("k") > hot_rows).alias("hot"))
+    places = written(chosen.join(written(shared, "suffix-runs"), "run"), "suffix-shared")
+    of_docs = lambda part: source.join(part.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("places")), "doc")
 
-    usual = suffixes.where("windows IS NULL").select("run", "doc", "at", "before", "after").repartition("run").sortWithinPartitions("run")
     with arrow_rows(spark, 2000):
-        found = written(usual.mapInArrow(tidied(_matches(gram, least)), "doc bigint, start int, end int"), "suffix-matches")
-    if not shared.where("hot = 1").isEmpty():
-        windows = suffixes.where("windows IS NOT NULL").select("doc", F.greatest(F.col("at") - (least - gram), F.lit(0)).alias("first"), F.posexplode("windows").alias("i", "window")).select("doc", (F.col("first") + F.col("i")).alias("start"), "window")
-        again = written(windows.groupBy("window").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("window"), "suffix-windows")
-        found = found.union(windows.join(again, "window").select("doc", "start", (F.col("start") + least).alias("end")))
+        suffixes = of_docs(places.where("NOT hot")).mapInArrow(tidied(_of_texts(Suffixes(gram, least))), "run bigint, doc bigint, at int, before binary, after binary")
+        dealt = suffixes.repartition("run").sortWithinPartitions("run")
+        found = written(dealt.mapInArrow(tidied(_matches(gram, least)), "doc bigint, start int, end int"), "suffix-matches")
+        hot = places.where("hot")
+        if not hot.isEmpty():
+            windows = written(of_docs(hot).mapInArrow(tidied(_of_texts(Windows(gram, least))), "doc bigint, start int, window bigint"), "suffix-windows")
+            again = written(windows.groupBy("window").agg((F.min("doc") != F.max("doc")).alias("again")).where("again").select("window"), "suffix-again")
+            found = found.union(windows.join(again, "window").select("doc", "start", (F.col("start") + least).alias("end")))
+    found = found.union(whole)
     spans = found.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("found")).mapInArrow(_spans, "doc bigint, spans array<struct<start: int, end: int>>")
     rows = docs.select(F.col(id_col).alias("_id"))
     empty = F.array().cast("array<struct<start: int, end: int>>")

@@ -103,6 +103,8 @@ def test_warc_edges(spark):
         assert r["payload"] is None if copy else bytes(r["payload"]) == raw
         assert (r["url"] is None) == (url is None)
     assert warc.archived(pages_df(spark, rows).limit(0)).count() == 0
+    twice = warc.archived(pages_df(spark, [(1, "a", big), (1, "a", big), (1, "b", "x"), (2, "c", big)])).collect()
+    assert sorted((r["id"], r["type"]) for r in twice) == [("1", "response")] * 3 + [("2", "revisit")]
 
 
 def test_normaliser_takes_any_gzip(tmp_path):
@@ -243,7 +245,7 @@ def brute_spans(texts, ids, least=50):
     return out
 
 
-@pytest.mark.parametrize("hot", [3, 20_000])
+@pytest.mark.parametrize("hot", [3, 200_000])
 def test_repeats_are_exact(spark, hot):
     rng = random.Random(8)
     fresh = lambda n: [f"{rng.getrandbits(40):x}" for _ in range(n)]
@@ -258,6 +260,9 @@ def test_repeats_within_one_id_do_not_count(spark):
     df = docs_df(spark, [LONG, LONG, None], [1, 1, 2])
     assert all(not r["spans"] for r in suffix_dedup.repeats(df).collect())
     assert suffix_dedup.repeats(df.limit(0)).count() == 0
+    mixed = docs_df(spark, [LONG, "too short", " ".join(f"z{i}" for i in range(60)), LONG], [1, 1, 1, 2])
+    for hot in (0, 100):
+        assert {(r["doc_id"], len(r["spans"])) for r in suffix_dedup.repeats(mixed, hot_rows=hot).collect()} == {(1, 1), (2, 1)}
 
 
 # N-gram Jaccard join
