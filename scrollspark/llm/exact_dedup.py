@@ -11,7 +11,7 @@ plain shuffles, so that a key with a third of all rows is split at run time.
 
 Edge cases: an empty table gives no rows; null ids never stay unless the whole
 group has only null ids, and then keep_id is null; rows that repeat an id with
-the same text are one document and share its verdict; extra columns, whatever
+the same text are one document and share its verdict; other rows with that id stay with it in ``deduplicated``; extra columns, whatever
 their names, pass through ``deduplicated`` and are ignored by ``decisions``.
 """
 

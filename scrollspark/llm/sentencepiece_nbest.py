@@ -44,7 +44,7 @@ SLICE = 1 << 19
 SHORT = 64  # bytes of segments that are searched in numpy
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 400_000  # segments that a worker remembers between slices
+REMEMBERED = 250_000  # segments that a worker remembers between slices
 NO_SCORE = -1e8  # scores below stand for "none" in the file; such pieces count as unknown
 
 
@@ -215,7 +215,7 @@ class Lattice:
                 if forward[start] > -np.inf:
                     heapq.heappush(heap, (-(forward[start] + score + behind), (*key, start - at), start, behind + score, (piece, at - start, path)))
         if len(segment) <= SHORT:
-            if len(self.found) > 200_000:
+            if len(self.found) > 50_000:
                 self.found.clear()
             self.found[segment] = out if len(out) == n else [*out, (-np.inf, [])]
         return out

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidied, utf8
+from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidied, tidy, utf8
 
 TRAIN_ROWS = 10_000
 SIZES = (3, 4, 5)
@@ -154,6 +154,7 @@ def trained(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id
             parts.append(utf8(piece["_text"]))
             marks.append((piece["_label"].to_numpy() > 0).astype(np.int64))
         model = fitted(parts, marks)
+        tidy()
         return pa.table({"hashes": pa.array([model.hashes.tobytes()], pa.binary()), "weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([model.bias], pa.float64())})
 
     one = rows.groupBy(F.lit(1).alias("_all")).applyInArrow(fit, "hashes binary, weights binary, bias double").first()

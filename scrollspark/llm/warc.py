@@ -17,7 +17,7 @@ no harm.  No record is held but the one at hand.
 
 Edge cases: null payloads are empty; null urls have no target header; control
 characters in urls are percent-encoded; null page ids are kept, never refer and
-are never referred to; an empty table gives no archives; extra columns are ignored.
+are never referred to; rows that repeat an id are records of their own; an empty table gives no archives; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -127,9 +127,10 @@ def written_archives(pages: DataFrame, folder: str, least_bytes: int = 100, id_c
     """Writes monolithic archives to the folder; the manifest: archive, records."""
     facts = payloads(pages, least_bytes, id_col, payload_col)
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
-    bodies = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), body.alias("_body"))
-    # Only responses need their payload; ids are unique, so nothing is skewed.
-    rows = bodies.join(facts.withColumnRenamed("_id", "_fact"), F.col("_id").eqNullSafe(F.col("_fact")))
+    bodies = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), body.alias("_body"), F.sha2(body.cast("binary"), 256).alias("_digest"))
+    # One fact per id and payload, so that rows which repeat an id are records of their own.
+    facts = facts.distinct().withColumnRenamed("_id", "_fact")
+    rows = bodies.join(facts, F.col("_id").eqNullSafe(F.col("_fact")) & (F.col("_digest") == F.col("payload_digest")))
     rows = rows.select("_id", "_url", F.when(F.col("refers_to").isNull(), F.col("_body")).alias("_body"), "payload_digest", "payload_bytes", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
