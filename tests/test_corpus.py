@@ -51,6 +51,7 @@ def test_ids(spark):
 def test_words_split_like_python(spark):
     texts = ["a b", " a b\x1cc\n", "", None, " x\u0085y"]
     assert values(spark, texts, parsing.words) == [(t or "").split() for t in texts]
+    assert values(spark, texts, parsing.word_count) == [len((t or "").split()) for t in texts]
 
 
 LINES = [
