@@ -455,12 +455,16 @@ def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     trash = []
     for turn in range(PIVOT_TURNS + 1):
         groups = entries.groupBy("token").agg(F.count(F.lit(1)).alias("k"), (F.min("component") != F.max("component")).alias("spread"))
-        still = written(entries.join(groups.where("spread").select("token", "k"), "token"), "jaccard-open")
-        trash.append(still)
+        # Sides of joins by token are written first: then both are plain shuffles, and a token of very many sets is split.
+        spread = written(groups.where("spread").select("token", "k"), "jaccard-spread")
+        still = written(entries.join(spread, "token"), "jaccard-open")
+        trash += [spread, still]
         if still.isEmpty():
             break
         if turn < PIVOT_TURNS:
-            pairs = _sides(still, "v").join(_pivots(still, turn), "token")
+            pivots = written(_pivots(still, turn), "jaccard-pivots")
+            trash.append(pivots)
+            pairs = _sides(still, "v").join(pivots, "token")
         else:
             few = still.where(F.col("k") <= few_sets)
             pairs = _sides(few, "u").join(_sides(few, "v"), "token").where("u < v")

@@ -101,7 +101,7 @@ def split_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byt
         del held[:size]
 
 
-def inflated(source, members: bool = True) -> Iterator[bytes]:
+def inflated(source) -> Iterator[bytes]:
     """The bytes of a gzip file, of one or more members, in pieces."""
     engine, rest = zlib.decompressobj(GZIP), b""
     while True:

@@ -147,7 +147,7 @@ def test_toxicity_learns_and_scores_edges(spark):
     docs = docs_df(spark, texts + EDGES)
     marks = spark.createDataFrame([(i, x, 1) for i, x in enumerate(labels)] + [(0, None, 1), (None, 1, 1), (9999, 1, 1)], "doc_id bigint, toxic int, quality int")
     model = toxicity.trained(docs, marks)
-    rows = {r["doc_id"]: r for r in toxicity.scored(docs, model, keep=("text", "score") if False else ("text",)).collect()}
+    rows = {r["doc_id"]: r for r in toxicity.scored(docs, model, keep=("text",)).collect()}
     assert len(rows) == len(texts) + len(EDGES) and all(0 <= r["score"] <= 1 for r in rows.values())
     test = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 == 1]
     right = sum((rows[i]["score"] >= 0.7) == bool(labels[i]) for i in test)
