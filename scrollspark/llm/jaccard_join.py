@@ -486,10 +486,10 @@ def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
         found = components(links).withColumnRenamed("node", "key")
         whole = open_sets.select("key").distinct().join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
     local = F.array_min("ids")
-    firsts = open_sets.groupBy("key").agg(F.min(local).alias("first")).join(whole, "key")
-    least = firsts.groupBy("component").agg(F.min("first").alias("least"))
+    firsts = written(open_sets.groupBy("key").agg(F.min(local).alias("first")).join(whole, "key"), "jaccard-firsts")
+    least = written(firsts.groupBy("component").agg(F.min("first").alias("least")), "jaccard-least")
     final = written(firsts.join(least, "component").select("key", "least"), "jaccard-components")
-    removed(spark, *(path_of(x) for x in trash))
+    removed(spark, *(path_of(x) for x in [*trash, firsts, least]))
     rows = table.select("key", "ids", "n").join(final, "key", "left")
     return rows.select(F.explode("ids").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("least", F.array_min("ids")).alias("component_id")), [table, final]
 
