@@ -104,11 +104,11 @@ class Sender:
         self.tokens = 0
 
     def add(self, ident: int | None, words: np.ndarray, k: int) -> None:
-        found = np.sort(shingle_hashes(words, k))
+        found = shingle_hashes(words, k)
+        bucket = (found >> np.uint64(48)) * np.uint64(self.buckets) >> np.uint64(16)
+        found = np.sort(bucket << np.uint64(48) | found & LOW)  # sorted as tokens: flush() takes limits from their order
         if len(found) > 1:
             found = found[np.append(True, found[1:] != found[:-1])]
-        bucket = (found >> np.uint64(48)) * np.uint64(self.buckets) >> np.uint64(16)
-        found = bucket << np.uint64(48) | found & LOW
         key = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else NO_SET
         at = self.known.get(key)
         if at is None:

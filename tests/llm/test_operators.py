@@ -309,6 +309,23 @@ def test_joined_components_are_exact(spark, options):
     assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
+def short_pairs(n=200, seed=9):
+    """Pairs of 5 to 15 words, the second with a word more at its end, one less or one changed."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = [f"p{i}w{rng.randrange(10**6)}" for _ in range(rng.randint(5, 15))]
+        out += [" ".join(words), " ".join(rng.choice([[*words, "more"], [*words, "more"], words[1:], [*words[:-1], "changed"]]))]
+    return out
+
+
+def test_links_of_short_texts_are_exact(spark):
+    texts = short_pairs()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.joined(docs_df(spark, texts)).collect()}
+    want = brute_components(texts)
+    assert [i for i in range(len(texts)) if got[i] != want[i]] == []
+
+
 def test_join_keeps_every_row(spark):
     df = docs_df(spark, ["a b c d e f", "a b c d e f", "x", None], [7, None, 7, 8])
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in jaccard_join.joined(df).collect()) == [(-1, 7), (7, 7), (7, 7), (8, 8)]
