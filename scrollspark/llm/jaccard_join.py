@@ -45,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrollspark.llm.bytesops import shingle_hashes, slices, tidied, tidy, utf8, word_hashes, word_spans
@@ -98,12 +98,13 @@ class Sender:
 
     def clear(self) -> None:
         self.ids: list[int | None] = []
+        self.marks: list[int] = []
         self.class_of: list[int] = []
         self.known: dict[bytes, int] = {}
         self.sets: list[np.ndarray] = []
         self.tokens = 0
 
-    def add(self, ident: int | None, words: np.ndarray, k: int) -> None:
+    def add(self, ident: int | None, mark: int, words: np.ndarray, k: int) -> None:
         found = shingle_hashes(words, k)
         bucket = (found >> np.uint64(48)) * np.uint64(self.buckets) >> np.uint64(16)
         found = np.sort(bucket << np.uint64(48) | found & LOW)  # sorted as tokens: flush() takes limits from their order
@@ -116,6 +117,7 @@ class Sender:
             self.sets.append(found)
             self.tokens += len(found)
         self.ids.append(ident)
+        self.marks.append(mark)
         self.class_of.append(at)
 
     def flush(self, sender: int) -> Iterator[tuple[int, int, bytes | None, dict | None]]:
@@ -139,7 +141,7 @@ class Sender:
         limits_b = [int(x[p - 1]) if len(x) else 0 for x, p in zip(self.sets, prefix.tolist(), strict=True)]
         limits_c = [int(np.partition(x * ORDER_C, p - 1)[p - 1]) if len(x) else 0 for x, p in zip(self.sets, prefix.tolist(), strict=True)]
         yield -1 - sender, sender, None, {
-            "ids": self.ids, "class_of": self.class_of, "keys": list(self.known), "sizes": sizes.tolist(),
+            "ids": self.ids, "marks": self.marks, "class_of": self.class_of, "keys": list(self.known), "sizes": sizes.tolist(),
             "hot_counts": hot_counts.tolist(), "hot": tokens[is_hot].tobytes(),
             "limits": np.array([limits_b, limits_c], np.uint64).tobytes(),
         }
@@ -158,10 +160,10 @@ class Sender:
 
 
 SETS = pa.struct([
-    ("ids", pa.list_(pa.int64())), ("class_of", pa.list_(pa.int32())), ("keys", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())),
+    ("ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("class_of", pa.list_(pa.int32())), ("keys", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())),
     ("hot_counts", pa.list_(pa.int32())), ("hot", pa.binary()), ("limits", pa.binary()),
 ])
-SETS_DDL = "struct<ids: array<bigint>, class_of: array<int>, keys: array<binary>, sizes: array<int>, hot_counts: array<int>, hot: binary, limits: binary>"
+SETS_DDL = "struct<ids: array<bigint>, marks: array<bigint>, class_of: array<int>, keys: array<binary>, sizes: array<int>, hot_counts: array<int>, hot: binary, limits: binary>"
 SENT_DDL = f"bucket bigint, sender bigint, postings binary, sets {SETS_DDL}"
 
 
@@ -182,15 +184,15 @@ def _sent(k: int, percent: int, buckets: int, flush_tokens: int, hot_sets: int):
 
         held = Sender(buckets, percent, hot_sets)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            data, offsets = utf8(batch.column(1))
+            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            data, offsets = utf8(batch.column(2))
             for a, b in slices(offsets):
                 part = offsets[a : b + 1]
                 body = data[part[0] : part[-1]]
                 starts, ends, first = word_spans(body, part - part[0])
                 words = word_hashes(body, starts, ends)
                 for i in range(b - a):
-                    held.add(ids[a + i], words[first[i] : first[i + 1]], k)
+                    held.add(ids[a + i], marks[a + i], words[first[i] : first[i + 1]], k)
                     if held.tokens >= flush_tokens:
                         yield from out()
         yield from out()
@@ -238,10 +240,10 @@ def _answered(keys: tuple, table: pa.Table) -> pa.Table:
 
 
 CLASSES = pa.schema([
-    ("sender", pa.int64()), ("key", pa.binary()), ("ids", pa.list_(pa.int64())), ("n", pa.int32()), ("own", pa.int32()),
+    ("sender", pa.int64()), ("key", pa.binary()), ("ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("n", pa.int32()), ("own", pa.int32()),
     ("limit_b", pa.int64()), ("limit_c", pa.int64()), ("shared", pa.binary()), ("prefix", pa.list_(pa.int64())),
 ])
-CLASSES_DDL = "sender bigint, key binary, ids array<bigint>, n int, own int, limit_b bigint, limit_c bigint, shared binary, prefix array<bigint>"
+CLASSES_DDL = "sender bigint, key binary, ids array<bigint>, marks array<bigint>, n int, own int, limit_b bigint, limit_c bigint, shared binary, prefix array<bigint>"
 
 
 def _classes(percent: int):
@@ -271,20 +273,22 @@ def _classes(percent: int):
         begin = np.searchsorted(owner[order], np.arange(n + 1))
         limits = np.frombuffer(sets["limits"], np.int64).reshape(2, -1)
         members: list[list] = [[] for _ in range(n)]
-        for ident, c in zip(sets["ids"], sets["class_of"], strict=True):
+        marks: list[list] = [[] for _ in range(n)]
+        for ident, mark, c in zip(sets["ids"], sets["marks"], sets["class_of"], strict=True):
             members[c].append(ident)
+            marks[c].append(mark)
         rows = []
         for c, size in enumerate(sets["sizes"]):
             a, b = begin[c], begin[c + 1]
             own, p = size - int(b - a), prefix_length(size, percent)
             if size == 0:
-                rows += [(None, [ident], 0, 0, None, None, None, None) for ident in members[c]]
+                rows += [(None, [ident], [mark], 0, 0, None, None, None, None) for ident, mark in zip(members[c], marks[c], strict=True)]
             elif own >= p:
-                rows.append((None, members[c], size, own, None, None, None, None))
+                rows.append((None, members[c], marks[c], size, own, None, None, None, None))
             else:
                 mine, r = token[a:b], rank_of[a:b]
                 lead = np.lexsort((mine, r))[: p - own]
-                rows.append((sets["keys"][c], members[c], size, own, int(limits[0, c]), int(limits[1, c]), np.sort(mine).tobytes(), mine[lead].view(np.int64)))
+                rows.append((sets["keys"][c], members[c], marks[c], size, own, int(limits[0, c]), int(limits[1, c]), np.sort(mine).tobytes(), mine[lead].view(np.int64)))
         columns = zip(*rows, strict=True)
         sender = keys[0].as_py()
         return pa.table([pa.array([sender] * len(rows), pa.int64()), *(pa.array(list(x), f.type) for x, f in zip(columns, list(CLASSES)[1:], strict=True))], schema=CLASSES)
@@ -424,18 +428,18 @@ def _together(token: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links).  Options: see tables_of."""
-    return tables_of(docs, id_col, text_col, **options)[0]
+    return tables_of(docs, id_col, text_col, **options)[0].drop("_mark")
 
 
 def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int = 1 << 20, flush_tokens: int = 1 << 20, hot_sets: int = 64, few_sets: int = 32) -> tuple[DataFrame, list[DataFrame]]:
-    """The rows of joined(), and the written tables that they are read from.
+    """The rows of joined() with the mark of their text, and the written tables that they are read from.
 
     percent: two documents link when 100 * intersection >= percent * union.
     few_sets: of what the pivots leave, tokens of at most so many sets have their
     pairs compared one by one, the others in blocks.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    source = docs.select(F.col(id_col).cast("bigint").alias("_id"), _mark(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(1 << 16, max(2 * partitions, -(-size // (6 * bucket_tokens))))
@@ -490,14 +494,24 @@ def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     least = written(firsts.groupBy("component").agg(F.min("first").alias("least")), "jaccard-least")
     final = written(firsts.join(least, "component").select("key", "least"), "jaccard-components")
     removed(spark, *(path_of(x) for x in [*trash, firsts, least]))
-    rows = table.select("key", "ids", "n").join(final, "key", "left")
-    return rows.select(F.explode("ids").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("least", F.array_min("ids")).alias("component_id")), [table, final]
+    rows = table.select("key", "ids", "marks", "n").join(final, "key", "left")
+    rows = rows.select(F.explode(F.arrays_zip("ids", "marks")).alias("_row"), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("least", F.array_min("ids")).alias("component_id"))
+    return rows.select(F.col("_row.ids").alias(id_col), "n_shingles", "component_id", F.col("_row.marks").alias("_mark")), [table, final]
+
+
+def _mark(text: Column) -> Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.xxhash64(text.cast("string"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, one of each component: that with the smallest id.  Rows without an id stay."""
+    """The rows of docs, one of each component: that with the smallest id.  Rows without an id stay.
+
+    Of rows that share an id, each stays or goes by the component of its own text; all rows of a component with its smallest id stay.
+    """
     classes, tables = tables_of(docs, id_col, text_col, **options)
-    dropped = written(classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "jaccard-dropped")
+    dropped = written(classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"), F.col("_mark").alias("_text")).distinct(), "jaccard-dropped")
     removed(docs.sparkSession, *(path_of(x) for x in tables))
     row = docs.select(F.struct("*").alias("_row"))
-    return row.join(dropped.hint("merge"), F.col(f"_row.`{id_col}`") == F.col("_gone"), "left_anti").select("_row.*")
+    same = (F.col(f"_row.`{id_col}`") == F.col("_gone")) & (_mark(F.col(f"_row.`{text_col}`")) == F.col("_text"))
+    return row.join(dropped.hint("merge"), same, "left_anti").select("_row.*")

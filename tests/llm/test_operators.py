@@ -334,6 +334,12 @@ def test_join_keeps_every_row(spark):
     assert jaccard_join.joined(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_have_their_own_verdicts(spark):
+    texts = ["a b c d e f g h i j", "a b c d e f g h i j k", "not like any other text at all", "l m n o p q r s t"]
+    kept = jaccard_join.representatives(docs_df(spark, texts, [1, 5, 5, 6]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, texts[0]), (5, texts[2]), (6, texts[3])]
+
+
 def test_components_of_large_graphs_too(spark, monkeypatch):
     rng = random.Random(6)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, i) for i in range(5001, 5050)]
