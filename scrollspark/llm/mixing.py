@@ -12,9 +12,9 @@ block), and inside a block the documents in an order drawn likewise.  Prefix sum
 tokens are taken over the small table of blocks first, then inside each
 block, so that no source, however large, is ordered in one piece.
 
-Exponent and budget need one number for each source.  Up to MAX_EXACT sources these
-are read by the driver; beyond, a histogram of at most a few thousand steps of log
-size stands for them.
+Exponent and budget need the size of every source.  The driver reads how many sources
+have each size: as d different sizes take at least d (d + 1) / 2 tokens, these are at most
+the square root of twice the tokens, 1.4 million numbers for 10**12, however many sources.
 
 Edge cases: null sources are one source, kept as null; sources without any token get one
 pass; texts that are null or empty have 0 tokens and ride along in their block;
@@ -28,14 +28,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scrollspark.llm.tables import written
 
-MAX_EXACT = 100_000
-STEPS_PER_E = 64
 ROUNDS = 60
 
 
@@ -44,29 +43,40 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
+def _columns(sizes: Sequence[tuple[float, int]]) -> np.ndarray:
+    return np.asarray(sizes, np.float64).T
+
+
+def _scale(sizes: Sequence[tuple[float, int]], a: float) -> float:
+    """Sum of the weights with exponent a, where the largest source has 1."""
+    size, k = _columns(sizes)
+    return float((k * np.exp(a * np.log(size / size.max()))).sum())
+
+
 def entropy(sizes: Sequence[tuple[float, int]], a: float) -> float:
     """Of the weights with exponent a; sizes: tokens, and how many sources have so many."""
-    top = max(s for s, _ in sizes)
-    powers = [(math.exp(a * math.log(s / top)), k) for s, k in sizes]
-    total = sum(p * k for p, k in powers)
-    return -sum(k * p / total * math.log(p / total) for p, k in powers)
+    size, k = _columns(sizes)
+    power = np.exp(a * np.log(size / size.max()))
+    share = power / (k * power).sum()
+    return -float((k * share * np.log(share)).sum())
 
 
 def repeats(sizes: Sequence[tuple[float, int]], a: float, budget: float | None) -> float:
     """Passes over the smallest source; without a budget, when the largest source gets one."""
-    least, top = min(s for s, _ in sizes), max(s for s, _ in sizes)
+    size, k = _columns(sizes)
+    least, top = float(size.min()), float(size.max())
     if budget is None:
         return (top / least) ** (1 - a)
-    total = sum(k * math.exp(a * math.log(s / top)) for s, k in sizes)
+    total = _scale(sizes, a)
     return budget * math.exp(a * math.log(least / top)) / total / least
 
 
 def exponent(sizes: Sequence[tuple[float, int]], target_entropy: float, max_repeats: float, budget: float | None) -> float:
     """The largest exponent in [0, 1] of at least the target share of the greatest entropy, raised until the limit of repeats holds."""
-    sizes = [(s, k) for s, k in sizes if s > 0]
-    if not sizes:
+    sizes = np.array([(s, k) for s, k in sizes if s > 0])
+    if not len(sizes):
         return 1.0
-    goal = target_entropy * math.log(sum(k for _, k in sizes))
+    goal = target_entropy * math.log(_columns(sizes)[1].sum())
 
     def bisected(low_side) -> tuple[float, float]:
         low, high = 0.0, 1.0
@@ -82,11 +92,9 @@ def exponent(sizes: Sequence[tuple[float, int]], target_entropy: float, max_repe
 
 
 def _sizes(totals: DataFrame) -> list[tuple[float, int]]:
-    some = totals.where("total > 0")
-    if some.limit(MAX_EXACT + 1).count() <= MAX_EXACT:
-        return [(float(r["total"]), r["k"]) for r in some.groupBy("total").agg(F.count(F.lit(1)).alias("k")).collect()]
-    steps = some.groupBy(F.floor(F.log("total") * STEPS_PER_E).alias("step")).agg(F.avg("total").alias("total"), F.count(F.lit(1)).alias("k"))
-    return [(float(r["total"]), r["k"]) for r in steps.collect()]
+    """Every size of a source with tokens, and how many sources have it."""
+    rows = totals.where("total > 0").groupBy("total").agg(F.count(F.lit(1)).alias("k")).collect()
+    return sorted((float(r["total"]), r["k"]) for r in rows)
 
 
 def mixture(
@@ -108,13 +116,14 @@ def mixture(
     a = exponent(sizes, target_entropy, max_repeats, tokens)
     if sizes:
         top = max(s for s, _ in sizes)
-        scale = sum(k * math.exp(a * math.log(s / top)) for s, k in sizes)
+        scale = _scale(sizes, a)
         tokens = top * scale if tokens is None else tokens
         share = F.lit(tokens / scale) * F.exp(F.lit(a) * F.log(F.col("total") / F.lit(top)))
     else:
         share = F.lit(0.0)
     passes = F.when(F.col("total") > 0, share / F.col("total")).otherwise(1.0)
     passes = F.when(F.abs(passes - F.round(passes)) < 1e-9, F.round(passes)).otherwise(passes)
+    passes = F.greatest(passes, F.lit(1.0)) if whole else passes
     plan = totals.withColumn("passes", passes).withColumn("full", F.floor("passes").cast("int")).withColumn("rest", F.floor((F.col("passes") - F.col("full")) * F.col("total")).cast("bigint"))
     plan = plan.withColumn("blocks", F.ceil(F.col("docs") / block_docs)).withColumn("last", F.when(F.col("rest") > 0, F.col("full")).otherwise(F.col("full") - 1))
     plan = written(plan.where("last >= 0").select("_key", "full", "rest", "blocks", "last"), "mixing-plan")

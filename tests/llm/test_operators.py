@@ -526,6 +526,14 @@ def test_whole_mixture_keeps_every_row(spark):
     assert mixing.mixed(df.limit(0), whole=True).count() == 0 and mixing.mixture(df.limit(0)).count() == 0
 
 
+def test_whole_mixture_of_very_many_sources_keeps_every_row(spark):
+    row = F.col("id")
+    source = F.when(row < 101, "large").when(row < 201, "less").otherwise(F.concat(F.lit("s"), row))
+    df = spark.range(100_202).select(row.alias("doc_id"), F.when(row < 201, "w w w w w w w w w w").otherwise("w").alias("text"), source.alias("source"))
+    got = mixing.mixture(df, target_entropy=1.0, max_repeats=2.0, whole=True).where("pass = 0").groupBy((F.col("source") == "large").alias("large")).count()
+    assert {r["large"]: r["count"] for r in got.collect()} == {True: 101, False: 100_101}
+
+
 # The pipeline
 
 
