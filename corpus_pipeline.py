@@ -8,7 +8,6 @@ the columns of docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scrollspark.llm import exact_dedup, jaccard_join, mixing, sentencepiece_nbest, toxicity
 from scrollspark.llm.queries import N_BEST, PIECE_MODEL, TOXIC_FROM
@@ -19,8 +18,7 @@ from scrollspark.session import ship
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    columns = tuple(docs.columns)
-    return toxicity.scored(docs, model, keep=tuple(c for c in columns if c != "doc_id")).where(F.col("score") < TOXIC_FROM).select(*columns)
+    return toxicity.accepted(docs, model, TOXIC_FROM)
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidied, tidy, utf8
+from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidy, utf8
 
 TRAIN_ROWS = 10_000
 SIZES = (3, 4, 5)
@@ -163,19 +163,29 @@ def trained(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id
     return Model(np.frombuffer(one["hashes"], np.uint64), np.frombuffer(one["weights"], np.float64), one["bias"])
 
 
-def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", *, keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, the columns to keep, and score, for every row."""
-    kept = [id_col, *keep]
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+def score_of(model: Model, text: Column) -> Column:
+    """The score of a text: other columns never leave the JVM."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            data, offsets = utf8(batch.column(place))
+            data, offsets = utf8(batch)
+            found = np.zeros(len(batch))
             for a, b in slices(offsets, SLICE):
                 part = offsets[a : b + 1]
-                score = model.scores(data[part[0] : part[-1]], part - part[0])
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(len(kept))), pa.array(score)], [*kept, "score"])
+                found[a:b] = model.scores(data[part[0] : part[-1]], part - part[0])
+            del batch, data, offsets
+            yield pa.array(found)
+            tidy()
 
-    place = kept.index(text_col) if text_col in kept else len(kept)
-    text = [] if text_col in kept else [F.col(text_col).cast("string").alias("_text")]
-    return docs.select(*kept, *text).mapInArrow(tidied(run), f"{types}, score double")
+    return score(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and score of every row."""
+    return docs.select(id_col, score_of(model, F.col(text_col)).alias("score"))
+
+
+def accepted(docs: DataFrame, model: Model, cut: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows that score less than cut, with all their columns."""
+    return docs.where(score_of(model, F.col(text_col)) < cut)

@@ -147,7 +147,7 @@ def test_toxicity_learns_and_scores_edges(spark):
     docs = docs_df(spark, texts + EDGES)
     marks = spark.createDataFrame([(i, x, 1) for i, x in enumerate(labels)] + [(0, None, 1), (None, 1, 1), (9999, 1, 1)], "doc_id bigint, toxic int, quality int")
     model = toxicity.trained(docs, marks)
-    rows = {r["doc_id"]: r for r in toxicity.scored(docs, model, keep=("text",)).collect()}
+    rows = {r["doc_id"]: r for r in toxicity.scored(docs, model).collect()}
     assert len(rows) == len(texts) + len(EDGES) and all(0 <= r["score"] <= 1 for r in rows.values())
     test = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 == 1]
     right = sum((rows[i]["score"] >= 0.7) == bool(labels[i]) for i in test)
@@ -162,6 +162,13 @@ def test_toxicity_learns_and_scores_edges(spark):
     assert toxicity.trained(docs, marks.limit(0)).bias == 0.0
 
 
+def test_toxicity_passes_any_columns_on(spark):
+    model = toxicity.Model(bytesops.span_hashes(bytesops.prefix_codes(np.frombuffer(b"bad", np.uint8)), np.array([0]), np.array([3])), np.array([9.0]), -4.0)
+    docs = spark.createDataFrame([(1, "so bad", 0.5, "x"), (2, "good", 0.5, None), (None, None, None, None)], "doc_id bigint, text string, score double, `a.b` string")
+    kept = toxicity.accepted(docs, model)
+    assert kept.schema == docs.schema and [r["doc_id"] for r in kept.collect()] == [2, None]
+
+
 def test_toxicity_features_are_code_points():
     data, offsets = bytesops.utf8(pa.array(["éab", "ab"]))
     assert [len(h) for h, _ in toxicity.ngrams(data, offsets, (2,))] == [3]
