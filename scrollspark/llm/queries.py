@@ -37,7 +37,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Scores from here on are rejected.
-TOXIC_FROM = 0.7
+TOXIC_FROM = toxicity.CUT
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

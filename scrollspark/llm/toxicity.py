@@ -6,15 +6,23 @@ ratio r between the classes; the n-grams whose ratio carries most are kept, the
 feature's value is r where the n-gram occurs and 0 elsewhere, and a logistic
 regression with an L2 penalty is fitted on these values.
 
-Training reads a sample of the labelled rows: those with the smallest hash of
-the id, at most ``train_rows``; whole texts, one task.  The model is a few
-thousand numbers.  Scoring is one pass over all texts, without a shuffle.
+Training reads a sample of the labelled rows: in the order of a hash of the id, at
+most ``train_rows`` ids with one text each, and at most ``train_bytes`` of text; whole
+texts, one task.  The model is a few thousand numbers: at most ``FEATURES`` n-grams,
+each in at least ``LEAST_TEXTS`` texts of the sample.  Scoring is one pass over
+all texts, without a shuffle; only texts go to Python and only scores come back.
+
+Toxic texts are rare, and a fit on few texts keeps its scores low.  So a quarter of
+the sample is scored by a fit on the rest, and the shift of the intercept, between
+none and equal odds of the labels, that gives the best F1 at ``cut`` there is added
+to the fit on all.  Held-out rows play no part in it.
 
 Edge cases: null and empty texts have no features, and score what the intercept
 says; rows without a label (null) do not train, an id labelled more than once
-counts with its largest label; without both labels in the sample, every score is
-the share of the label, smoothed; rows with equal ids are scored each; texts of any length are
-scored whole; extra columns are ignored; an empty table gives no rows.
+counts with its largest label, an id with several texts with the smallest; without both
+labels in the sample, every score is the share of the label, smoothed; rows with equal
+ids are scored each; texts of any length are scored whole; extra columns, whatever their
+names, are ignored by ``scored`` and pass through ``accepted``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidy, utf8
+from scrollspark.llm.tables import written
 
 TRAIN_ROWS = 10_000
+TRAIN_BYTES = 48 << 20
+CUT = 0.7
 SIZES = (3, 4, 5)
 FEATURES = 1024
 LEAST_TEXTS = 4
@@ -80,57 +92,103 @@ def occurrences(data: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...], f
     return both // max(width, 1), both % max(width, 1)
 
 
-def _counted(texts: list[tuple[np.ndarray, np.ndarray]], labels: list[np.ndarray], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All n-grams with the number of texts of either label they occur in."""
-    hashes, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)
-    for (data, offsets), label in zip(texts, labels, strict=True):
-        for which in (0, 1):
-            part = [hashes]
-            for i in np.flatnonzero(label == which).tolist():
-                row = data[offsets[i] : offsets[i + 1]]
-                part += [np.unique(h) for h, _ in ngrams(row, np.array([0, len(row)]), sizes)]
-            new, index, times = np.unique(np.concatenate(part), return_index=True, return_counts=True)
-            old = index < len(hashes)
-            merged = np.zeros((len(new), 2), np.int32)
-            merged[old] = counts[index[old]]
-            merged[:, which] += (times - old).astype(np.int32)
-            hashes, counts = new, merged
-    return hashes, counts[:, 0], counts[:, 1]
-
-
-def fitted(texts: list[tuple[np.ndarray, np.ndarray]], labels: list[np.ndarray], *, sizes: tuple[int, ...] = SIZES, features: int = FEATURES, penalty: float = PENALTY, steps: int = STEPS) -> Model:
-    y = np.concatenate([np.zeros(0, np.int64), *labels])
-    positive, negative = int((y == 1).sum()), int((y == 0).sum())
-    if not positive or not negative:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((positive + 1) / (negative + 1))), sizes)
-    hashes, q, p = _counted(texts, labels, sizes)
-    often = p + q >= LEAST_TEXTS
-    hashes, p, q = hashes[often], p[often], q[often]
-    rate_p, rate_q = (p + 1) / (positive + 2), (q + 1) / (negative + 2)
+def _counted(texts: list[tuple[np.ndarray, np.ndarray]], kinds: list[np.ndarray], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of at least LEAST_TEXTS texts, with the number of texts of each of four kinds they occur in.
+
+    A first pass counts occurrences in a table by part of the hash, whose counts are
+    never too small, so that the many rare n-grams are not held in the second.
+    """
+    slots = np.zeros(1 << 22, np.uint32)
+    for text in texts:
+        for found, _ in ngrams(*text, sizes):
+            np.add.at(slots, (found >> np.uint64(42)).astype(np.int64), 1)
+    hashes, counts = np.zeros(0, np.uint64), np.zeros((0, 4), np.int32)
+    for (data, offsets), kind in zip(texts, kinds, strict=True):
+        part, marks = [hashes], [np.zeros(0, np.int8)]
+        for found, at in ngrams(data, offsets, sizes):
+            some = slots[(found >> np.uint64(42)).astype(np.int64)] >= LEAST_TEXTS
+            found, cut = found[some], np.searchsorted(at[some], offsets)
+            for i in np.flatnonzero(np.diff(cut)).tolist():
+                part.append(np.unique(found[cut[i] : cut[i + 1]]))
+                marks.append(np.full(len(part[-1]), kind[i], np.int8))
+        new, index, which = np.unique(np.concatenate(part), return_index=True, return_inverse=True)
+        old = index < len(hashes)
+        merged = np.bincount(which[len(hashes) :] * 4 + np.concatenate(marks), minlength=4 * len(new)).reshape(-1, 4).astype(np.int32)
+        merged[old] += counts[index[old]]
+        hashes, counts = new, merged
+    often = counts.sum(axis=1) >= LEAST_TEXTS
+    return hashes[often], counts[often]
+
+
+def ratios(p: np.ndarray, q: np.ndarray, positive: int, negative: int, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of n-grams that p of the positive and q of the negative texts have: which to keep, and their log-count ratios."""
+    often = np.flatnonzero(p + q >= LEAST_TEXTS)
+    rate_p, rate_q = (p[often] + 1) / (positive + 2), (q[often] + 1) / (negative + 2)
     ratio = np.log(rate_p / rate_q)
     top = np.argsort(-np.abs(ratio * (rate_p - rate_q)), kind="stable")[:features]
-    hashes, ratio = hashes[top], ratio[top]
-    table, rows, columns, first = HashTable(hashes), [], [], 0
-    for data, offsets in texts:
-        text, feature = occurrences(data, offsets, sizes, table)
-        rows.append(text + first)
-        columns.append(feature)
-        first += len(offsets) - 1
-    row, column = np.concatenate(rows), np.concatenate(columns)
-    value = ratio[column]
-    # Nesterov's method on the mean loss; the step follows from the largest row.
+    return often[top], ratio[top]
+
+
+def _regression(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, features: int, penalty: float, steps: int) -> tuple[np.ndarray, float]:
+    """Weights and intercept: Nesterov's method on the mean logistic loss; the step follows from the largest row."""
     square = np.bincount(row, weights=value * value, minlength=len(y)).max() + 1
     rate = 1 / (0.25 * square + penalty)
-    weights, bias, look_w, look_b, t = np.zeros(len(hashes)), 0.0, np.zeros(len(hashes)), 0.0, 1.0
+    weights, bias, look_w, look_b, t = np.zeros(features), 0.0, np.zeros(features), 0.0, 1.0
     for _ in range(steps):
         margin = np.bincount(row, weights=value * look_w[column], minlength=len(y)) + look_b
         error = (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y) / len(y)
-        new_w = look_w - rate * (np.bincount(column, weights=value * error[row], minlength=len(hashes)) + penalty / len(y) * look_w)
+        new_w = look_w - rate * (np.bincount(column, weights=value * error[row], minlength=features) + penalty / len(y) * look_w)
         new_b = look_b - rate * error.sum()
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look_w, look_b = new_w + (t - 1) / after * (new_w - weights), new_b + (t - 1) / after * (new_b - bias)
         weights, bias, t = new_w, new_b, after
-    return Model(hashes, weights * ratio, float(bias), sizes)
+    return weights, float(bias)
+
+
+def _fit(texts: list, y: np.ndarray, use: np.ndarray, hashes: np.ndarray, p: np.ndarray, q: np.ndarray, sizes: tuple[int, ...], features: int, penalty: float, steps: int) -> Model:
+    """The model of the texts in use, whose n-grams have the counts p and q."""
+    positive, negative = int((y[use] == 1).sum()), int((y[use] == 0).sum())
+    top, ratio = ratios(p, q, positive, negative, features)
+    table, rows, columns, first = HashTable(hashes[top]), [], [], 0
+    for data, offsets in texts:
+        text, feature = occurrences(data, offsets, sizes, table)
+        rows.append(text + first)
+        columns.append(feature)
+        first += len(offsets) - 1
+    row, column = np.concatenate(rows), np.concatenate(columns)
+    mine = use[row]
+    place = np.cumsum(use) - 1
+    weights, bias = _regression(place[row[mine]], column[mine], ratio[column[mine]], y[use], len(top), penalty, steps)
+    return Model(hashes[top], weights * ratio, bias, sizes)
+
+
+def best_shift(margin: np.ndarray, y: np.ndarray, most: float, cut: float) -> float:
+    """Of the shifts 0, 1/4, .. up to most, the first with the best F1 of margins that reach the cut."""
+    edge = np.log(cut / (1 - cut))
+    shifts = np.arange(0, max(most, 0) + 1e-9, 0.25)
+    hits = np.array([((margin + s >= edge) & (y == 1)).sum() for s in shifts])
+    chosen = np.array([(margin + s >= edge).sum() for s in shifts])
+    return float(shifts[np.argmax(2 * hits / np.maximum(chosen + (y == 1).sum(), 1))])
+
+
+def fitted(
+    texts: list[tuple[np.ndarray, np.ndarray]], labels: list[np.ndarray], *, sizes: tuple[int, ...] = SIZES, features: int = FEATURES, penalty: float = PENALTY, steps: int = STEPS, cut: float = CUT
+) -> Model:
+    y = np.concatenate([np.zeros(0, np.int64), *labels])
+    positive, negative = int((y == 1).sum()), int((y == 0).sum())
+    if not positive or not negative:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((positive + 1) / (negative + 1))), sizes)
+    tried = np.arange(len(y)) % 4 == 0
+    edges = np.cumsum([0, *(len(x) for x in labels)])
+    kinds = [label + 2 * tried[a : a + len(label)] for label, a in zip(labels, edges[:-1], strict=True)]
+    hashes, counts = _counted(texts, kinds, sizes)
+    shift = 0.0
+    if 0 < y[tried].sum() < tried.sum() and 0 < y[~tried].sum() < (~tried).sum():
+        trial = _fit(texts, y, ~tried, hashes, counts[:, 1], counts[:, 0], sizes, features, penalty, steps)
+        score = np.concatenate([trial.scores(*text) for text in texts])[tried].clip(1e-12, 1 - 1e-12)
+        shift = best_shift(np.log(score / (1 - score)), y[tried], float(np.log(negative / positive)), cut)
+    model = _fit(texts, y, np.ones(len(y), bool), hashes, counts[:, 1] + counts[:, 3], counts[:, 0] + counts[:, 2], sizes, features, penalty, steps)
+    return Model(model.hashes, model.weights, model.bias + shift, sizes)
 
 
 def held_out(ident: Column) -> Column:
@@ -138,22 +196,31 @@ def held_out(ident: Column) -> Column:
     return F.crc32(ident.cast("string").cast("binary")) % 3 == 1
 
 
-def trained(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """The model of the labelled rows that are not held out; sample of at most train_rows."""
+def sampled(docs: DataFrame, labels: DataFrame, train_rows: int, train_bytes: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """_id, _text, _label of the training rows: one text an id, no more ids and bytes than given."""
     ident = F.col(id_col)
     known = labels.where(F.col(label_col).isNotNull() & ident.isNotNull() & ~held_out(ident)).groupBy(ident.alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-    texts = docs.select(ident.alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    rows = texts.join(F.broadcast(sample), "_id")  # at most train_rows rows of two numbers
+    texts = docs.select(ident.alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    # The sample has at most train_rows rows of two numbers.
+    found = written(texts.join(F.broadcast(sample), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")), "toxicity-sample")
+    # At most train_rows rows of one number are summed up in one place.
+    so_far = F.sum(F.octet_length("_text")).over(Window.orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, 0))
+    within = found.select("_id", so_far.alias("_bytes")).where(F.col("_bytes") <= train_bytes)
+    return found.join(F.broadcast(within.select("_id")), "_id")
+
+
+def trained(
+    docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", cut: float = CUT
+) -> Model:
+    """The model of the labelled rows that are not held out; cut: the score from which on texts are to be rejected."""
+    rows = sampled(docs, labels, train_rows, train_bytes, id_col, text_col, label_col)
 
     def fit(keys: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("_id", "ascending"), ("_text", "ascending")])
-        parts, marks = [], []
-        for a in range(0, table.num_rows, 500):
-            piece = table.slice(a, 500)
-            parts.append(utf8(piece["_text"]))
-            marks.append((piece["_label"].to_numpy() > 0).astype(np.int64))
-        model = fitted(parts, marks)
+        table = table.sort_by("_id")
+        (data, offsets), label = utf8(table["_text"]), (table["_label"].to_numpy() > 0).astype(np.int64)
+        cuts = list(slices(offsets, SLICE))
+        model = fitted([(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in cuts], [label[a:b] for a, b in cuts], cut=cut)
         tidy()
         return pa.table({"hashes": pa.array([model.hashes.tobytes()], pa.binary()), "weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([model.bias], pa.float64())})
 
@@ -186,6 +253,6 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(id_col, score_of(model, F.col(text_col)).alias("score"))
 
 
-def accepted(docs: DataFrame, model: Model, cut: float = 0.7, text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Model, cut: float = CUT, text_col: str = "text") -> DataFrame:
     """The rows that score less than cut, with all their columns."""
     return docs.where(score_of(model, F.col(text_col)) < cut)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -162,6 +163,65 @@ def test_toxicity_learns_and_scores_edges(spark):
     assert toxicity.trained(docs, marks.limit(0)).bias == 0.0
 
 
+def plain_scores(train, labels, texts, sizes):
+    """The classifier with dictionaries and Newton's method: ratios, quarter for the shift, and fit."""
+    grams = lambda t: {"".join(" " if c in " \t\n\x0b\f\r" else c.lower() for c in t)[i : i + n] for n in sizes for i in range(len(t) - n + 1)}
+    sets = [grams(t) for t in train]
+    known = sorted(g for g, k in Counter(g for x in sets for g in x).items() if k >= toxicity.LEAST_TEXTS)
+
+    def fit(use):
+        some, y = [sets[i] for i in use], np.array([labels[i] for i in use], float)
+        n = [int((y == k).sum()) for k in (0, 1)]
+        ratio = {}
+        for g in known:
+            p, q = (sum(g in x for x, label in zip(some, y, strict=True) if label == k) for k in (1, 0))
+            if p + q >= toxicity.LEAST_TEXTS:
+                ratio[g] = math.log((p + 1) / (n[1] + 2) / ((q + 1) / (n[0] + 2)))
+        rows = lambda xs: np.array([[1.0] + [ratio[g] if g in x else 0.0 for g in ratio] for x in xs])
+        x, w = rows(some), np.zeros(len(ratio) + 1)
+        ridge = np.full(len(w), toxicity.PENALTY / len(y))
+        ridge[0] = 0
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-x @ w))
+            w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(y) + np.diag(ridge + 1e-12), x.T @ (p - y) / len(y) + ridge * w)
+        return lambda xs: rows(xs) @ w
+
+    tried = [i for i in range(len(train)) if i % 4 == 0]
+    margin = fit([i for i in range(len(train)) if i % 4])([sets[i] for i in tried])
+    best, shift = -1.0, 0.0
+    for k in range(int(math.log((len(labels) - sum(labels)) / sum(labels)) * 4 + 1e-6) + 1):
+        hit = [m + k / 4 >= math.log(7 / 3) for m in margin]
+        f1 = 2 * sum(h and labels[i] for h, i in zip(hit, tried, strict=True)) / max(1, sum(hit) + sum(labels[i] for i in tried))
+        if f1 > best:
+            best, shift = f1, k / 4
+    return 1 / (1 + np.exp(-fit(range(len(train)))([grams(t) for t in texts]) - shift))
+
+
+def test_toxicity_agrees_with_a_plain_fit(monkeypatch):
+    monkeypatch.setattr(toxicity, "PENALTY", 5.0)
+    rng = random.Random(3)
+    train, labels = [], []
+    for _ in range(120):
+        label = int(rng.random() < 0.3)
+        train.append("".join(rng.choices("aB" if label else "ab\n", weights=[3, 4] if label else [3, 2, 1], k=rng.randint(0, 30))))
+        labels.append(label)
+    texts = ["", "aaaa", "bBbb", "a\nb\ta", *train[:40]]
+    parts = [bytesops.utf8(pa.array(train[a : a + 50])) for a in range(0, 120, 50)]
+    model = toxicity.fitted(parts, [np.array(labels[a : a + 50]) for a in range(0, 120, 50)], sizes=(1, 2, 3), penalty=5.0, steps=20_000)
+    assert np.abs(model.scores(*bytesops.utf8(pa.array(texts))) - plain_scores(train, labels, texts, (1, 2, 3))).max() < 1e-4
+
+
+def test_toxicity_sample_is_bounded_and_has_one_text_an_id(spark):
+    docs = spark.createDataFrame([(i % 40, f"{i:03d} text" * (1 + i % 3), 0) for i in range(120)] + [(99, None, 0)], "doc_id bigint, text string, score int")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in (*range(40), 99)], "doc_id bigint, toxic int")
+    rows = lambda r, b: toxicity.sampled(docs, marks, r, b, "doc_id", "text", "toxic").collect()
+    every = rows(1000, 1 << 20)
+    assert [r["_id"] for r in sorted(every)] == [i for i in (*range(40), 99) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert all(r["_text"] == (f"{r['_id']:03d} text" * (1 + r["_id"] % 3) if r["_id"] < 40 else "") for r in every)
+    assert len(rows(7, 1 << 20)) == 7
+    assert 0 < sum(len(r["_text"]) for r in rows(1000, 100)) <= 100
+
+
 def test_toxicity_passes_any_columns_on(spark):
     model = toxicity.Model(bytesops.span_hashes(bytesops.prefix_codes(np.frombuffer(b"bad", np.uint8)), np.array([0]), np.array([3])), np.array([9.0]), -4.0)
     docs = spark.createDataFrame([(1, "so bad", 0.5, "x"), (2, "good", 0.5, None), (None, None, None, None)], "doc_id bigint, text string, score double, `a.b` string")
