@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -104,26 +105,38 @@ def prefix_codes(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, the same wherever the bytes stand."""
+    """A 64-bit hash of each byte span, the same wherever the bytes stand.  For spans under LONG_SPAN: see byte_hashes."""
     raw = (sums[ends] - sums[starts]) * powers_of(_INVERSE, len(sums))[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+#: Polynomials modulo 2**64 take some strings of 1024 bytes or more (Thue-Morse) for equal, whatever the base, and get weaker on the way there.
+LONG_SPAN = 32
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span of any length: polynomial for short spans, BLAKE2b for long ones."""
+    out = span_hashes(prefix_codes(data), starts, ends)
+    for i in np.flatnonzero(ends - starts >= LONG_SPAN).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    return span_hashes(prefix_codes(LOWER[data] if fold else data), starts, ends)
+    return byte_hashes(LOWER[data] if fold else data, starts, ends)
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of the runs of k words; of the whole sequence if it is shorter and not empty."""
+    """Hashes of the runs of k words, chained word by word; of the whole sequence if it is shorter and not empty."""
     n = len(words)
     if n == 0:
         return words[:0]
     k = min(k, n)
-    factor = powers_of(0xC2B2AE3D27D4EB4F, k)
-    out = words[: n - k + 1] * factor[0]
-    for j in range(1, k):
-        out = out + words[j : n - k + 1 + j] * factor[j]
-    return mix(out + np.uint64(k))
+    out = np.full(n - k + 1, k, np.uint64)
+    for j in range(k):
+        out *= np.uint64(0xC2B2AE3D27D4EB4F)
+        out = mix(out + words[j : n - k + 1 + j])
+    return out
 
 
 class HashTable:

@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.bytesops import powers_of, prefix_codes, slices, span_hashes, tidied, utf8
 from scrollspark.llm import bytesops
+from scrollspark.llm.bytesops import byte_hashes, powers_of, prefix_codes, slices, span_hashes, tidied, utf8
 
 SLICE = 1 << 19
 SHORT = 64  # bytes of segments that are searched in numpy
@@ -380,10 +380,29 @@ class Encoded:
 
 
 def encode(lattice: Lattice, data: np.ndarray, offsets: np.ndarray, n: int) -> Encoded:
+    """The segmentations of all texts.
+
+    Segments are told apart by hash; the best ids of all texts are decoded again, and
+    where that does not give back the bytes, the slice is done again with numbers
+    that are given to the segments' bytes.
+    """
     spaced, starts, first = segments(data, offsets)
-    texts = len(offsets) - 1
+    got = _encoded(lattice, spaced, starts, first, byte_hashes(spaced, starts[:-1], starts[1:]), n)
+    back, at = lattice.decode(got.ids, got.counts)
+    if np.array_equal(at, offsets) and np.array_equal(back, data):
+        return got
+    raw, numbers = spaced.tobytes(), {}
+    exact = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)], np.uint64)
+    lattice.forget()
+    try:
+        return _encoded(lattice, spaced, starts, first, exact, n)
+    finally:
+        lattice.forget()
+
+
+def _encoded(lattice: Lattice, spaced: np.ndarray, starts: np.ndarray, first: np.ndarray, hashes: np.ndarray, n: int) -> Encoded:
+    texts = len(first) - 1
     a, b = starts[:-1], starts[1:]
-    hashes = span_hashes(prefix_codes(spaced), a, b)
     distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
     raw = spaced.tobytes()
     if len(lattice.known) > REMEMBERED:

@@ -234,6 +234,51 @@ def test_toxicity_features_are_code_points():
     assert [len(h) for h, _ in toxicity.ngrams(data, offsets, (2,))] == [3]
 
 
+# Hashes
+
+
+def thue_morse(doublings, a="a", b="b"):
+    text = a
+    for _ in range(doublings):
+        text += text.translate(str.maketrans(a + b, b + a))
+    return text
+
+
+TWINS = [(t, t.translate(str.maketrans("ab", "ba"))) for t in map(thue_morse, range(10, 13))]
+
+
+def test_hashes_tell_thue_morse_strings_apart():
+    texts = [x for pair in TWINS for x in pair] + [thue_morse(k) for k in range(10)]
+    data, offsets = bytesops.utf8(pa.array(texts))
+    starts, ends, _ = bytesops.word_spans(data, offsets)
+    assert len(np.unique(bytesops.word_hashes(data, starts, ends))) == len(texts)
+    for x, y in TWINS:
+        words = lambda t: np.array([17 if c == "a" else 99 for c in t], np.uint64)
+        assert bytesops.shingle_hashes(words(x), len(x))[0] != bytesops.shingle_hashes(words(y), len(y))[0]
+
+
+def test_long_words_do_not_collide_in_any_operator(spark, vocabulary):
+    texts = [f"{w} {tail}" for pair in TWINS for w in pair for tail in ("q r x z", " ".join(f"v{i}" for i in range(60)))]
+    texts += [" ".join([*pair[k : k + 1], *(f"u{n}x{i}" for i in range(55))]) for n, pair in enumerate(TWINS) for k in (0, 1)]
+    df = docs_df(spark, texts)
+    rows = {r["doc_id"]: r for r in sentencepiece_nbest.summarised(df, vocabulary, 2).collect()}
+    assert all(rows[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts))
+    got = {r["doc_id"]: [[s["start"], s["end"]] for s in r["spans"]] for r in suffix_dedup.repeats(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_spans(texts, range(len(texts)))
+    joined = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.joined(df).collect()}
+    assert [joined[i] for i in range(len(texts))] == brute_components(texts)
+
+
+def test_colliding_segments_are_encoded_again(vocabulary, monkeypatch):
+    data, offsets = bytesops.utf8(pa.array(["the cat sat on the mat", "", "a dog héllo 日本", None]))
+    right = sentencepiece_nbest.encode(sentencepiece_nbest.Lattice(vocabulary), data, offsets, 3)
+    monkeypatch.setattr(sentencepiece_nbest, "byte_hashes", lambda d, a, b: (b - a).astype(np.uint64))
+    lattice = sentencepiece_nbest.Lattice(vocabulary)
+    for _ in range(2):
+        got = sentencepiece_nbest.encode(lattice, data, offsets, 3)
+        assert got.ids.tolist() == right.ids.tolist() and got.changes == right.changes and np.allclose([x for s in got.scores for x in s], [x for s in right.scores for x in s])
+
+
 # SentencePiece
 
 
