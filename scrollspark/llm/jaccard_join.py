@@ -15,9 +15,13 @@ token under B and under C are verified by the exact sizes of intersection
 and union.
 
 Movement of data.  Map tasks hash the shingles with numpy, pack the tokens of
-about ``flush_tokens`` into one binary cell for each token bucket (6 bytes a
-token) and send it to the bucket's task, which counts tokens and answers
-each sender with its shared tokens.  Tokens that many sets of one sender have are
+about ``flush_tokens`` into one binary cell for each token bucket (7 bytes a token: six of
+the hash, one for the step to the set that owns it) and send it to the bucket's task,
+which counts tokens and answers each sender with its shared tokens.  A cell's
+size follows its tokens alone, and cells without tokens are not sent.  Flushes and buckets
+hold 2**20 tokens, and for large corpora the square root of 64 times all tokens, so
+that cells keep about 64 tokens: 2**25 tokens for 10**13 words.  A token has
+48 + log2(buckets) bits, at most 64.  Tokens that many sets of one sender have are
 common for certain: their postings are not sent, only their names, so that
 no bucket receives more than a bounded number of postings a sender.
 Equal sets are merged by digest before pairs are formed.
@@ -25,15 +29,18 @@ Equal sets are merged by digest before pairs are formed.
 Links.  Every shared prefix token names one pivot, the set with the fewest tokens
 of its own; all other sets of the token are compared with the pivot only.  When
 the links found so far are joined to components, only pairs of one token in
-different components can still change the result.  They get a second pivot; what is
-left then is compared in full: pairs of small token groups one by one, large groups in
-blocks of some hundred sets, from which only links come out, never pairs.
-So a group of near copies that are similar to its pivots costs comparisons in
-proportion to its size, and no link between components is lost.
+different components can still change the result.  They get a second pivot.  Of what
+is left then, sets go whose own tokens rule out every partner in the token's group.
+Pairs of small token groups are compared one by one, large groups in blocks of some hundred sets in
+the order of their sizes, only blocks of which some pair is possible, and from them only links
+come out, never pairs.  In a block the filters by sizes, A, B and C are intersected first and the
+pairs that pass, and are not joined yet, are verified.  So a group of near copies that are
+similar to its pivots costs comparisons in proportion to its size, texts that share a
+template but not 80 % cost none, and no link between components is lost.
 
 Edge cases: null and empty texts, and texts without words, have an empty set and
 are linked with nothing; fewer words than a shingle make one shingle of all
-words; rows with equal ids each get their row; null ids get the smallest id of
+words; ids are of any ordered type; rows with equal ids each get their row; null ids get the smallest id of
 their component, if any; very long texts are whole; extra columns are ignored;
 an empty table gives no rows.
 """
@@ -41,23 +48,27 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
+from pyspark.sql.window import Window
 
 from scrollspark.llm.bytesops import shingle_hashes, slices, tidied, tidy, utf8, word_hashes, word_spans
 from scrollspark.llm.graph import components
 from scrollspark.llm.tables import arrow_rows, path_of, removed, written
 
-LOW = np.uint64((1 << 48) - 1)
+CELL = 64  # tokens that a cell holds on average, at least
 ORDER_C = np.uint64(0xA24BAED4963EE407)
 HOT = 255  # rank of tokens that one sender found in more than hot_sets sets
 NO_SET = b""
 PIVOT_TURNS = 2
-BLOCK = 256  # sets of one side of a block
+MANY_PAIRS = 10_000  # candidates of a block that are verified together
 
 
 def prefix_length(n: int | np.ndarray, percent: int):
@@ -71,14 +82,25 @@ def ranks(df: np.ndarray) -> np.ndarray:
     return np.where(df <= 127, df, np.minimum(coarse, HOT - 1)).astype(np.uint8)
 
 
-def _counts(values: np.ndarray) -> bytes:
-    kind = 1 if len(values) == 0 or values.max() < 256 else 4
-    return bytes([kind]) + values.astype(f"<u{kind}").tobytes()
+def shape_of(text_bytes: int, partitions: int, bucket_tokens: int | None, flush_tokens: int | None) -> tuple[int, int]:
+    """Buckets, and tokens of a flush."""
+    tokens = text_bytes // 6
+    spread = max(1 << 20, math.isqrt(CELL * tokens))
+    return max(2 * partitions, -(-tokens // (bucket_tokens or spread))), flush_tokens or spread
 
 
-def _read_counts(cell: memoryview, n: int) -> tuple[np.ndarray, int]:
-    kind = cell[0]
-    return np.frombuffer(cell, f"<u{kind}", n, 1).astype(np.int64), 1 + kind * n
+def _lost_bits(buckets: int) -> int:
+    """Low bits that tokens go without, so that six bytes hold their place in a bucket."""
+    return max(0, 17 - buckets.bit_length())
+
+
+def buckets_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """Ascending with the token."""
+    return (tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
+def _first_of(bucket: int, buckets: int) -> np.uint64:
+    return np.uint64(-(-(bucket << 32) // buckets) << 32)
 
 
 def _put48(values: np.ndarray) -> bytes:
@@ -89,6 +111,23 @@ def _get48(cell: memoryview, n: int, at: int) -> np.ndarray:
     return np.frombuffer(cell, "<u4", n, at).astype(np.uint64) | np.frombuffer(cell, "<u2", n, at + 4 * n).astype(np.uint64) << np.uint64(32)
 
 
+def packed(owner: np.ndarray, tokens: np.ndarray, bucket: int, buckets: int, rest: bytes = b"") -> bytes:
+    """Tokens of a bucket with their owners, ascending: a byte for the step from owner to owner, large steps apart."""
+    step = np.diff(owner, prepend=0)
+    large = step[step >= 255]
+    head = np.array([len(tokens), len(large), len(rest)], "<u4").tobytes()
+    return head + np.minimum(step, 255).astype(np.uint8).tobytes() + large.astype("<u4").tobytes() + _put48((tokens - _first_of(bucket, buckets)) >> np.uint64(_lost_bits(buckets))) + rest
+
+
+def unpacked(cell: memoryview, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray, memoryview]:
+    n, large, rest = np.frombuffer(cell, "<u4", 3).astype(np.int64).tolist()
+    step = np.frombuffer(cell, np.uint8, n, 12).astype(np.int64)
+    step[step == 255] = np.frombuffer(cell, "<u4", large, 12 + n)
+    at = 12 + n + 4 * large
+    tokens = (_get48(cell, n, at) << np.uint64(_lost_bits(buckets))) + _first_of(bucket, buckets)
+    return np.cumsum(step), tokens, cell[at + 6 * n : at + 6 * n + rest]
+
+
 class Sender:
     """The sets of one flush of a map task."""
 
@@ -105,9 +144,8 @@ class Sender:
         self.tokens = 0
 
     def add(self, ident: int | None, mark: int, words: np.ndarray, k: int) -> None:
-        found = shingle_hashes(words, k)
-        bucket = (found >> np.uint64(48)) * np.uint64(self.buckets) >> np.uint64(16)
-        found = np.sort(bucket << np.uint64(48) | found & LOW)  # sorted as tokens: flush() takes limits from their order
+        lost = np.uint64(_lost_bits(self.buckets))
+        found = np.sort(shingle_hashes(words, k) >> lost << lost)
         if len(found) > 1:
             found = found[np.append(True, found[1:] != found[:-1])]
         key = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else NO_SET
@@ -146,28 +184,35 @@ class Sender:
             "limits": np.array([limits_b, limits_c], np.uint64).tobytes(),
         }
         tokens, owner = tokens[~is_hot], owner[~is_hot]
-        bucket = (tokens >> np.uint64(48)).astype(np.uint16)
+        bucket, hot_bucket = buckets_of(tokens, self.buckets).astype(np.int64), buckets_of(hot, self.buckets).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        tokens, owner = tokens[order], owner[order]
-        hot_bucket = (hot >> np.uint64(48)).astype(np.int64)
-        at = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
-        hot_at = np.searchsorted(hot_bucket, np.arange(self.buckets + 1))
-        for b in range(self.buckets):
-            here, common = tokens[at[b] : at[b + 1]], hot[hot_at[b] : hot_at[b + 1]]
-            if len(here) or len(common):
-                head = np.array([len(sizes), len(here), len(common)], "<u4").tobytes()
-                yield b, sender, head + _counts(np.bincount(owner[at[b] : at[b + 1]], minlength=len(sizes))) + _put48(here & LOW) + _put48(common & LOW), None
-
-
-SETS = pa.struct([
-    ("ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("class_of", pa.list_(pa.int32())), ("keys", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())),
-    ("hot_counts", pa.list_(pa.int32())), ("hot", pa.binary()), ("limits", pa.binary()),
-])
-SETS_DDL = "struct<ids: array<bigint>, marks: array<bigint>, class_of: array<int>, keys: array<binary>, sizes: array<int>, hot_counts: array<int>, hot: binary, limits: binary>"
-SENT_DDL = f"bucket bigint, sender bigint, postings binary, sets {SETS_DDL}"
-
-
-def _sent(k: int, percent: int, buckets: int, flush_tokens: int, hot_sets: int):
+        bucket, tokens, owner = bucket[order], tokens[order], owner[order]
+        some = np.union1d(bucket, hot_bucket)
+        edges = (np.searchsorted(where, some, side).tolist() for where in (bucket, hot_bucket) for side in ("left", "right"))
+        for b, i, j, x, y in zip(some.tolist(), *edges, strict=True):
+            common = _put48((hot[x:y] - _first_of(b, self.buckets)) >> np.uint64(_lost_bits(self.buckets)))
+            yield b, sender, packed(owner[i:j], tokens[i:j], b, self.buckets, common), None
+
+
+class Ids:
+    """Schemas for ids of one type."""
+
+    def __init__(self, kind: DataType):
+        ids, name = pa.list_(to_arrow_type(kind)), kind.simpleString()
+        numbers = pa.list_(pa.int64())
+        self.sets = pa.struct([
+            ("ids", ids), ("marks", numbers), ("class_of", pa.list_(pa.int32())), ("keys", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())),
+            ("hot_counts", pa.list_(pa.int32())), ("hot", pa.binary()), ("limits", pa.binary()),
+        ])
+        self.sets_ddl = f"struct<ids: array<{name}>, marks: array<bigint>, class_of: array<int>, keys: array<binary>, sizes: array<int>, hot_counts: array<int>, hot: binary, limits: binary>"
+        self.classes = pa.schema([
+            ("sender", pa.int64()), ("key", pa.binary()), ("ids", ids), ("marks", numbers), ("n", pa.int32()), ("own", pa.int32()),
+            ("limit_b", pa.int64()), ("limit_c", pa.int64()), ("shared", pa.binary()), ("prefix", numbers),
+        ])
+        self.classes_ddl = f"sender bigint, key binary, ids array<{name}>, marks array<bigint>, n int, own int, limit_b bigint, limit_c bigint, shared binary, prefix array<bigint>"
+
+
+def _sent(kind: Ids, k: int, percent: int, buckets: int, flush_tokens: int, hot_sets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -180,7 +225,7 @@ def _sent(k: int, percent: int, buckets: int, flush_tokens: int, hot_sets: int):
             held.clear()
             for a in range(0, len(rows), 64):
                 b, s, p, m = zip(*rows[a : a + 64], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(s, pa.int64()), pa.array(p, pa.binary()), pa.array(m, SETS)], ["bucket", "sender", "postings", "sets"])
+                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(s, pa.int64()), pa.array(p, pa.binary()), pa.array(m, kind.sets)], ["bucket", "sender", "postings", "sets"])
 
         held = Sender(buckets, percent, hot_sets)
         for batch in batches:
@@ -200,53 +245,43 @@ def _sent(k: int, percent: int, buckets: int, flush_tokens: int, hot_sets: int):
     return run
 
 
-def _answered(keys: tuple, table: pa.Table) -> pa.Table:
-    """One bucket: counts tokens over all senders and answers each with its shared ones."""
-    tidy()
-    bucket = keys[0].as_py()
-    schema = pa.schema([("sender", pa.int64()), ("bucket", pa.int64()), ("answer", pa.binary()), ("sets", SETS)])
-    if bucket < 0:
-        n = table.num_rows
-        return pa.table([table["sender"], table["bucket"], pa.nulls(n, pa.binary()), table["sets"]], schema=schema)
-    order = np.argsort(table["sender"].to_numpy(), kind="stable").tolist()
-    cells = [memoryview(table["postings"][i].as_buffer()) for i in order]
-    heads = [np.frombuffer(c, "<u4", 3).astype(np.int64).tolist() for c in cells]
-    owners, tokens, hot = [], [], []
-    for cell, (sets, n, h) in zip(cells, heads, strict=True):
-        counts, at = _read_counts(cell[12:], sets)
-        owners.append(counts)
-        tokens.append(_get48(cell, n, 12 + at))
-        hot.append(_get48(cell, h, 12 + at + 6 * n))
-    every, common = np.concatenate(tokens), np.unique(np.concatenate(hot))
-    order_t = np.argsort(every, kind="stable")
-    ordered = every[order_t]
-    edge = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
-    df = np.diff(np.append(edge, len(ordered)))
-    rank = ranks(df)
-    rank[df == 1] = 0
-    if len(common):
-        rank[np.isin(ordered[edge], common)] = HOT
-    by_token = np.empty(len(every), np.uint8)
-    by_token[order_t] = np.repeat(rank, df)
-    answers, at = [], 0
-    for counts, (sets, n, _) in zip(owners, heads, strict=True):
-        here, mine = by_token[at : at + n], every[at : at + n]
-        shared = here > 0
-        owner = np.repeat(np.arange(sets), counts)[shared]
-        answers.append(np.array([sets, len(owner)], "<u4").tobytes() + _counts(np.bincount(owner, minlength=sets)) + _put48(mine[shared]) + here[shared].tobytes() if len(owner) else None)
-        at += n
-    senders = table["sender"].take(pa.array(order))
-    return pa.table([senders, table["bucket"], pa.array(answers, pa.binary()), pa.nulls(len(order), SETS)], schema=schema).filter(pa.array([a is not None for a in answers]))
-
-
-CLASSES = pa.schema([
-    ("sender", pa.int64()), ("key", pa.binary()), ("ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("n", pa.int32()), ("own", pa.int32()),
-    ("limit_b", pa.int64()), ("limit_c", pa.int64()), ("shared", pa.binary()), ("prefix", pa.list_(pa.int64())),
-])
-CLASSES_DDL = "sender bigint, key binary, ids array<bigint>, marks array<bigint>, n int, own int, limit_b bigint, limit_c bigint, shared binary, prefix array<bigint>"
-
-
-def _classes(percent: int):
+def _answered(kind: Ids, buckets: int):
+    def run(keys: tuple, table: pa.Table) -> pa.Table:
+        """One bucket: counts tokens over all senders and answers each with its shared ones."""
+        tidy()
+        bucket = keys[0].as_py()
+        schema = pa.schema([("sender", pa.int64()), ("bucket", pa.int64()), ("answer", pa.binary()), ("sets", kind.sets)])
+        if bucket < 0:
+            n = table.num_rows
+            return pa.table([table["sender"], table["bucket"], pa.nulls(n, pa.binary()), table["sets"]], schema=schema)
+        order = np.argsort(table["sender"].to_numpy(), kind="stable").tolist()
+        cells = [unpacked(memoryview(table["postings"][i].as_buffer()), bucket, buckets) for i in order]
+        every = np.concatenate([tokens for _, tokens, _ in cells])
+        common = np.unique(np.concatenate([_get48(rest, len(rest) // 6, 0) for _, _, rest in cells]))
+        common = (common << np.uint64(_lost_bits(buckets))) + _first_of(bucket, buckets)
+        order_t = np.argsort(every, kind="stable")
+        ordered = every[order_t]
+        edge = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+        df = np.diff(np.append(edge, len(ordered)))
+        rank = ranks(df)
+        rank[df == 1] = 0
+        if len(common):
+            rank[np.isin(ordered[edge], common)] = HOT
+        by_token = np.empty(len(every), np.uint8)
+        by_token[order_t] = np.repeat(rank, df)
+        answers, at = [], 0
+        for owner, tokens, _ in cells:
+            here = by_token[at : at + len(tokens)]
+            at += len(tokens)
+            shared = here > 0
+            answers.append(packed(owner[shared], tokens[shared], bucket, buckets, here[shared].tobytes()) if shared.any() else None)
+        senders = table["sender"].take(pa.array(order))
+        return pa.table([senders, table["bucket"], pa.array(answers, pa.binary()), pa.nulls(len(order), kind.sets)], schema=schema).filter(pa.array([a is not None for a in answers]))
+
+    return run
+
+
+def _classes(kind: Ids, percent: int, buckets: int):
     def run(keys: tuple, table: pa.Table) -> pa.Table:
         tidy()
         return one(keys, table)
@@ -261,12 +296,10 @@ def _classes(percent: int):
         rank = [np.full(len(tokens[0]), HOT, np.uint8)]
         for bucket, cell in zip(table["bucket"].to_pylist(), table["answer"], strict=True):
             if cell.is_valid:
-                view = memoryview(cell.as_buffer())
-                _, m = np.frombuffer(view, "<u4", 2).astype(np.int64).tolist()
-                counts, at = _read_counts(view[8:], n)
-                owners.append(np.repeat(np.arange(n), counts))
-                tokens.append(_get48(view, m, 8 + at) | np.uint64(bucket << 48))
-                rank.append(np.frombuffer(view, np.uint8, m, 8 + at + 6 * m))
+                owner, token, rest = unpacked(memoryview(cell.as_buffer()), bucket, buckets)
+                owners.append(owner)
+                tokens.append(token)
+                rank.append(np.frombuffer(rest, np.uint8))
         owner, token, rank_of = np.concatenate(owners), np.concatenate(tokens), np.concatenate(rank)
         order = np.argsort(owner, kind="stable")
         token, rank_of = token[order], rank_of[order]
@@ -291,7 +324,7 @@ def _classes(percent: int):
                 rows.append((sets["keys"][c], members[c], marks[c], size, own, int(limits[0, c]), int(limits[1, c]), np.sort(mine).tobytes(), mine[lead].view(np.int64)))
         columns = zip(*rows, strict=True)
         sender = keys[0].as_py()
-        return pa.table([pa.array([sender] * len(rows), pa.int64()), *(pa.array(list(x), f.type) for x, f in zip(columns, list(CLASSES)[1:], strict=True))], schema=CLASSES)
+        return pa.table([pa.array([sender] * len(rows), pa.int64()), *(pa.array(list(x), f.type) for x, f in zip(columns, list(kind.classes)[1:], strict=True))], schema=kind.classes)
 
     return run
 
@@ -358,40 +391,77 @@ def _sides(entries: DataFrame, s: str) -> DataFrame:
     return entries.select("token", F.col("key").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "component")))
 
 
-def _in_blocks(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _reach(percent: int) -> Column:
+    """The largest size of a set that a set of n tokens, own of them in no other set, can be similar to."""
+    shared = F.col("n") - F.col("own")
+    return F.floor((100 + percent) * shared / percent) - F.col("n")
+
+
+def _with_partners(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries of tokens without those that no size in the token's group allows, of groups that then still spread over components."""
+    entries = entries.withColumn("reach", _reach(percent))
+    bounds = written(entries.groupBy("token").agg(F.min("n").alias("least"), F.max("reach").alias("most")), "jaccard-bounds")
+    some = entries.join(bounds, "token").where((F.col("least") <= F.col("reach")) & (F.col("most") >= F.col("n"))).drop("least", "most", "k")
+    again = written(some.groupBy("token").agg(F.count(F.lit(1)).alias("k"), (F.min("component") != F.max("component")).alias("spread")).where("spread").drop("spread"), "jaccard-spread")
+    kept = written(some.join(again, "token"), "jaccard-open")
+    removed(entries.sparkSession, path_of(bounds), path_of(again))
+    return kept
+
+
+def _in_blocks(entries: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
     """Links (u, v) between components of large token groups.
 
-    Sets that share such tokens form clusters, clusters are dealt into blocks of
-    about BLOCK sets, and each pair of blocks is one small group of rows.
+    Sets that share such tokens form clusters; a cluster's sets, by size, are dealt
+    into blocks, and each two blocks of which some sets can be similar are one small group of rows.
     """
-    hubs = entries.groupBy("token").agg(F.min("key").alias("hub"))
+    hubs = written(entries.groupBy("token").agg(F.min("key").alias("hub")), "jaccard-hubs")
     edges = entries.join(hubs, "token").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
-    clusters = components(edges).select(F.col("node").alias("key"), F.col("component").alias("cluster")).join(entries.select("key", "component").distinct(), "key")
-    counts = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = clusters.join(counts, "cluster").withColumn("own_block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = dealt.select("key", "component", "cluster", F.least("own_block", "other").alias("i"), F.greatest("own_block", "other").alias("j"))
-    return rows.join(classes.drop("sender"), "key").groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "u binary, v binary")
+    sets = entries.select("key", "component", "n", "reach").distinct()
+    clusters = components(edges).select(F.col("node").alias("key"), F.col("component").alias("cluster")).join(sets, "key")
+    clusters = written(clusters, "jaccard-clusters")
+    # Sizes of a cluster, in order, and how many sets precede each: small tables, from which every set gets its block.
+    counts = clusters.groupBy("cluster", "n").agg(F.count(F.lit(1)).alias("k"))
+    before = F.sum("k").over(Window.partitionBy("cluster").orderBy("n")) - F.col("k")
+    counts = written(counts.select("cluster", "n", before.alias("before"), "k"), "jaccard-sizes")
+    place = F.col("before") + F.pmod(F.xxhash64("key"), F.col("k"))
+    dealt = written(clusters.join(counts, ["cluster", "n"]).select("cluster", "key", "component", "n", "reach", F.floor(place / block).alias("block")), "jaccard-dealt")
+    blocks = written(dealt.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("reach").alias("most")), "jaccard-blocks")
+    other = blocks.select("cluster", F.col("block").alias("j"), F.col("least").alias("least_j"), F.col("most").alias("most_j"))
+    pairs = blocks.withColumnRenamed("block", "i").join(other, "cluster").where((F.col("i") <= F.col("j")) & (F.col("least") <= F.col("most_j")) & (F.col("least_j") <= F.col("most")))
+    pairs = pairs.select("cluster", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    rows = dealt.select("cluster", "block", "key", "component").join(pairs, ["cluster", "block"]).drop("block")
+    links = written(rows.join(classes.drop("sender"), "key").groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "u binary, v binary"), "jaccard-links")
+    removed(entries.sparkSession, *(path_of(x) for x in (hubs, clusters, counts, dealt, blocks)))
+    return links
 
 
 def _block_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        """Compares all sets of one group; of the links between components, enough to join what they join."""
-        n = table["n"].to_numpy().astype(np.int64)
+        """Of all sets of one group: links between components, enough to join what they join."""
+        n, own = (table[c].to_numpy().astype(np.int64) for c in ("n", "own"))
         shared = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shared"]]
-        prefix = [x.values.to_numpy().view(np.uint64) for x in table["prefix"]]
-        limit_b, limit_c = (table[c].to_numpy().view(np.uint64) for c in ("limit_b", "limit_c"))
+        _, component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)
         g = len(n)
         size = np.array([len(x) for x in shared])
+        most = np.minimum((n - own)[:, None], (n - own)[None, :])
+        candidate = np.triu((component[:, None] != component[None, :]) & (100 * most >= percent * (n[:, None] + n[None, :] - most)))
         token, row = np.concatenate(shared), np.repeat(np.arange(g), size)
-        which = {"all": np.ones(len(token), bool), "b": token <= np.repeat(limit_b, size), "c": token * ORDER_C <= np.repeat(limit_c, size)}
-        first = np.concatenate(prefix)
-        owner = np.repeat(np.arange(g), [len(x) for x in prefix])
-        common = {"a": _together(first, owner, g)} | {k: _together(token[m], row[m], g) for k, m in which.items()}
-        _, component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)
-        both = common["all"]
-        good = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (common["a"] > 0) & (common["b"] > 0) & (common["c"] > 0) & (component[:, None] != component[None, :])
-        root = list(range(int(component.max()) + 1))
+
+        def first(order: str) -> tuple[np.ndarray, np.ndarray]:
+            """The tokens of all prefixes under one order, and their sets."""
+            if order == "a":
+                prefix = [x.values.to_numpy().view(np.uint64) for x in table["prefix"]]
+                return np.concatenate(prefix), np.repeat(np.arange(g), [len(x) for x in prefix])
+            limit = np.repeat(table[f"limit_{order}"].to_numpy().view(np.uint64), size)
+            here = (token if order == "b" else token * ORDER_C) <= limit
+            return token[here], row[here]
+
+        for order in "abc":
+            if candidate.any():
+                candidate &= _together(*first(order), g) > 0
+        pairs = np.argwhere(candidate)
+        both = _together(token, row, g) if len(pairs) > MANY_PAIRS else None
+        root = list(range(g))
 
         def find(x: int) -> int:
             while root[x] != x:
@@ -400,12 +470,14 @@ def _block_links(percent: int):
             return x
 
         u, v = [], []
-        for i, j in np.argwhere(np.triu(good)).tolist():
+        for i, j in pairs.tolist():
             x, y = find(component[i]), find(component[j])
             if x != y:
-                root[x] = y
-                u.append(i)
-                v.append(j)
+                common = int(both[i, j]) if both is not None else len(np.intersect1d(shared[i], shared[j], assume_unique=True))
+                if 100 * common >= percent * (int(n[i]) + int(n[j]) - common):
+                    root[x] = y
+                    u.append(i)
+                    v.append(j)
         keys = table["key"]
         return pa.table({"u": keys.take(pa.array(u, pa.int64())), "v": keys.take(pa.array(v, pa.int64()))})
 
@@ -431,23 +503,25 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     return tables_of(docs, id_col, text_col, **options)[0].drop("_mark")
 
 
-def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int = 1 << 20, flush_tokens: int = 1 << 20, hot_sets: int = 64, few_sets: int = 32) -> tuple[DataFrame, list[DataFrame]]:
+def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80, bucket_tokens: int | None = None, flush_tokens: int | None = None, hot_sets: int = 64, few_sets: int = 32, block: int = 256) -> tuple[DataFrame, list[DataFrame]]:
     """The rows of joined() with the mark of their text, and the written tables that they are read from.
 
     percent: two documents link when 100 * intersection >= percent * union.
     few_sets: of what the pivots leave, tokens of at most so many sets have their
-    pairs compared one by one, the others in blocks.
+    pairs compared one by one, the others in blocks of about so many sets as block says.
+    bucket_tokens, flush_tokens: by default as many as the module's text says.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("bigint").alias("_id"), _mark(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text"))
+    kind = Ids(docs.select(id_col).schema[0].dataType)
+    source = docs.select(F.col(id_col).alias("_id"), _mark(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(1 << 16, max(2 * partitions, -(-size // (6 * bucket_tokens))))
+    buckets, flush = shape_of(size, partitions, bucket_tokens, flush_tokens)
 
-    sent = source.mapInArrow(tidied(_sent(shingle, percent, buckets, flush_tokens, hot_sets)), SENT_DDL)
-    answered = sent.groupBy("bucket").applyInArrow(_answered, f"sender bigint, bucket bigint, answer binary, sets {SETS_DDL}")
+    sent = source.mapInArrow(tidied(_sent(kind, shingle, percent, buckets, flush, hot_sets)), f"bucket bigint, sender bigint, postings binary, sets {kind.sets_ddl}")
+    answered = sent.groupBy("bucket").applyInArrow(_answered(kind, buckets), f"sender bigint, bucket bigint, answer binary, sets {kind.sets_ddl}")
     with arrow_rows(spark, 2000):
-        table = written(answered.groupBy("sender").applyInArrow(_classes(percent), CLASSES_DDL), "jaccard-classes")
+        table = written(answered.groupBy("sender").applyInArrow(_classes(kind, percent, buckets), kind.classes_ddl), "jaccard-classes")
 
     open_sets = table.where(F.col("key").isNotNull())
     leads = open_sets.groupBy("key").agg(F.min("sender").alias("sender"))
@@ -470,13 +544,16 @@ def tables_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
             trash.append(pivots)
             pairs = _sides(still, "v").join(pivots, "token")
         else:
+            still = _with_partners(still, percent)
+            trash.append(still)
             few = still.where(F.col("k") <= few_sets)
             pairs = _sides(few, "u").join(_sides(few, "v"), "token").where("u < v")
         pairs = pairs.where("component_u <> component_v").where(_possible(percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         with arrow_rows(spark, 500):  # a row holds the tokens of one or two sets
             fresh = written(_compared(pairs, classes, percent).where("linked").select("u", "v"), "jaccard-links")
             if turn == PIVOT_TURNS:
-                fresh = fresh.union(written(_in_blocks(still.where(F.col("k") > few_sets), classes, percent), "jaccard-links"))
+                many = still.where(F.col("k") > few_sets)
+                fresh = fresh if many.isEmpty() else fresh.union(_in_blocks(many, classes, percent, block))
         links = fresh if links is None else links.union(fresh)
         if turn < PIVOT_TURNS:
             found = components(links).withColumnRenamed("node", "key")

@@ -414,7 +414,7 @@ def near_copies(n=90, seed=4):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"few_sets": 2, "hot_sets": 2, "flush_tokens": 500, "bucket_tokens": 100}, {"few_sets": 1000, "hot_sets": 1000}])
+@pytest.mark.parametrize("options", [{}, {"few_sets": 2, "hot_sets": 2, "flush_tokens": 500, "bucket_tokens": 100, "block": 7}, {"few_sets": 1000, "hot_sets": 1000, "bucket_tokens": 1}])
 def test_joined_components_are_exact(spark, options):
     texts = [*EDGES, *random_texts(), *near_copies()]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.joined(docs_df(spark, texts), **options).collect()}
@@ -438,6 +438,51 @@ def test_links_of_short_texts_are_exact(spark):
     assert [i for i in range(len(texts)) if got[i] != want[i]] == []
 
 
+def test_cells_follow_their_tokens():
+    """Bytes for a token stay the same from few buckets to many more than 2**16, whatever the number of sets."""
+    rng = np.random.default_rng(2)
+    sizes = []
+    for buckets in (3, 80, 1 << 12, 1 << 16, (1 << 16) + 1, 10**6):
+        tokens = np.sort(rng.integers(0, 1 << 63, 40 * 64, dtype=np.uint64) * np.uint64(2))
+        lost = np.uint64(jaccard_join._lost_bits(buckets))
+        tokens = tokens >> lost << lost
+        owners = np.sort(rng.integers(0, 3000, len(tokens)))
+        bucket = jaccard_join.buckets_of(tokens, buckets)
+        total = 0
+        for b in np.unique(bucket).tolist():
+            here = bucket == b
+            cell = jaccard_join.packed(owners[here], tokens[here], b, buckets, b"rest")
+            total += len(cell) - 16
+            back = jaccard_join.unpacked(memoryview(cell), b, buckets)
+            assert back[0].tolist() == owners[here].tolist() and back[1].tolist() == tokens[here].tolist() and bytes(back[2]) == b"rest"
+        sizes.append(total / len(tokens))
+    assert min(sizes) >= 7 and max(sizes) <= 7 + 4
+    assert jaccard_join.shape_of(10**14, 200, None, None)[0] > 1 << 16
+    buckets, flush = jaccard_join.shape_of(10**14, 200, None, None)
+    assert flush / buckets >= 60 and flush < 1 << 25 + 1
+
+
+def templates(n=400, seed=12):
+    """Texts of four shared passages of six and some words of their own: most alike under 80 %, some just over."""
+    rng = random.Random(seed)
+    passages = [" ".join(f"t{p}w{i}" for i in range(30)) for p in range(6)]
+    return [" ".join([*rng.sample(passages, 4), *(f"own{k}x{i}" for i in range(rng.randint(0, 9)))]) for k in range(n)]
+
+
+@pytest.mark.parametrize("options", [{}, {"few_sets": 4, "hot_sets": 8, "flush_tokens": 2000, "block": 16}])
+def test_texts_of_shared_passages_are_exact(spark, options):
+    texts = templates()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.joined(docs_df(spark, texts), **options).collect()}
+    want = brute_components(texts)
+    assert [i for i in range(len(texts)) if got[i] != want[i]] == []
+
+
+def test_join_takes_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("b", "a b c d e f g h i j"), ("a", "a b c d e f g h i j k"), (None, "x"), ("z", None)], "doc_id string, text string")
+    assert sorted((r["doc_id"] or "", r["component_id"] or "") for r in jaccard_join.joined(docs).collect()) == [("", ""), ("a", "a"), ("b", "a"), ("z", "z")]
+    assert sorted(r["doc_id"] or "" for r in jaccard_join.representatives(docs).collect()) == ["", "a", "z"]
+
+
 def test_join_keeps_every_row(spark):
     df = docs_df(spark, ["a b c d e f", "a b c d e f", "x", None], [7, None, 7, 8])
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in jaccard_join.joined(df).collect()) == [(-1, 7), (7, 7), (7, 7), (8, 8)]
