@@ -1,29 +1,42 @@
 """Exact deduplication by 128-bit content hash, built from DataFrame functions only.
 
 Texts are equal when they are identical after lower-casing A-Z; null is the
-empty text.  Rows are grouped by the first 128 bits of the SHA-256 of the
-normalised text together with the text itself, so equal hashes of different
-bytes stay apart: the grouping key compares bytes.  Partial aggregation
-collapses a large group of copies inside each map task before the shuffle.
-The groups (one small row each) are written to the shared folder and joined
-back to the rows by hash key and whole digest.  Both inputs of the join are
-plain shuffles, so that a key with a third of all rows is split at run time.
+empty text.  The steps:
+
+1.  One pass over the texts writes each row's id and SHA-256, whose first 128 bits
+    are the content hash, and a fast 64-bit probe.
+2.  Rows are grouped by content hash: the id that stays and the size.  Only numbers and
+    hashes are shuffled; partial aggregation collapses a large group of copies inside
+    each map task.
+3.  Bytes are compared inside groups of more than one row.  Their probes set bits
+    in a bitmap of fixed size (8 MB), by which a second pass over the texts passes on little
+    more than the rows of such groups; their distinct (hash, text) pairs are counted.
+4.  Groups whose texts differ are grouped again by the text itself.  With the
+    default hash there are none; ``content_hash`` takes another one.
+5.  Groups are joined back to the written rows by content hash.  Both inputs of the join
+    are plain shuffles, so that a key with a third of all rows is split at run time.
 
 Edge cases: an empty table gives no rows; null ids never stay unless the whole
 group has only null ids, and then keep_id is null; rows that repeat an id with
-the same text are one document and share its verdict; other rows with that id stay with it in ``deduplicated``; extra columns, whatever
+the same text are one document and share its verdict in ``decisions``, and one of them stays in ``deduplicated``;
+rows that share an id but not a text each go with their own text; extra columns, whatever
 their names, pass through ``deduplicated`` and are ignored by ``decisions``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.llm.tables import written
+from scrollspark.llm.tables import path_of, removed, written
 
 #: A-Z, lower-cased alone.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BITMAP_BITS = 1 << 26  # beyond about as many repeated texts the bitmap holds back no text, and results are the same
+
+Hash = Callable[[Column], Column]
 
 
 def normalised(text: Column) -> Column:
@@ -32,25 +45,96 @@ def normalised(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+def first_128_bits(digest: Column) -> Column:
+    return F.substring(digest, 1, 16)
 
-    keep: "min" or "max", the id that stays of each group of equal texts.
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def _keyed(texts: DataFrame, content_hash: Hash | None) -> DataFrame:
+    """Adds _key, the content hash of _text."""
+    return texts.withColumn("_key", first_128_bits(_digest(F.col("_text"))) if content_hash is None else content_hash(F.col("_text")))
+
+
+def _hashed(texts: DataFrame, content_hash: Hash | None) -> DataFrame:
+    """Written: _id, _key, _digest, _probe of every row."""
+    text = F.col("_text")
+    own = [] if content_hash is None else [content_hash(text).alias("_key")]
+    table = written(texts.select("_id", _digest(text).alias("_digest"), F.xxhash64(text).alias("_probe"), *own), "exact-hashes")
+    return table.withColumn("_key", first_128_bits(F.col("_digest"))) if content_hash is None else table
+
+
+def _order(keep: str) -> Column:
+    """Of these the largest or smallest belongs to the id that stays; ids come before nulls."""
+    ident = F.col("_id")
+    return F.struct((ident.isNull() if keep == "min" else ident.isNotNull()).alias("known"), ident.alias("id"))
+
+
+#: Of _bitmap, the bit at _place.
+BIT_IS_SET = "shiftright(cast(conv(hex(substring(_bitmap, cast(_place div 8 as int) + 1, 1)), 16, 10) as int), cast(_place % 8 as int)) & 1 = 1"
+
+
+def _texts_to_compare(texts: DataFrame, hashed: DataFrame, groups: DataFrame, content_hash: Hash | None) -> DataFrame:
+    """_id, _text, _key of all rows whose hash others have too, and of the few others whose probe's bit is set."""
+    repeated = hashed.join(groups.where("_size > 1").select("_key"), "_key", "left_semi")
+    bit = F.pmod(repeated["_probe"], F.lit(BITMAP_BITS))
+    bits = repeated.select(F.bitmap_bucket_number(bit).alias("_bucket"), F.bitmap_bit_position(bit).alias("_place"))
+    bitmaps = written(bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bitmap")), "exact-bitmaps")
+    bit = F.pmod(F.xxhash64("_text"), F.lit(BITMAP_BITS))
+    rows = texts.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
+    # All bitmaps together have BITMAP_BITS bits at most.
+    rows = rows.join(F.broadcast(bitmaps), "_bucket").where(BIT_IS_SET)
+    return _keyed(rows.select("_id", "_text"), content_hash)
+
+
+def _groups(texts: DataFrame, keep: str, content_hash: Hash | None, copies: bool) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
+    """Hashes of all rows; groups by _key; keys whose texts differ, or None; and the texts of repeated keys.
+
+    copies: groups say how many rows the id that stays has, and its probe.
     """
     pick = {"min": F.min, "max": F.max}[keep]
-    base = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
-    hashed = base.select("_id", "_text", F.sha2(F.col("_text").cast("binary"), 256).alias("_sha"))
-    key = F.unhex(F.substring("_sha", 1, 32)).alias("_key")
-    groups = (
-        hashed.groupBy(key, "_text")
-        .agg(pick("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"), F.first("_sha").alias("_full"))
-        .select("_key", F.unhex("_full").alias("_group"), "_keep", "_size")
-    )
+    hashed = _hashed(texts, content_hash)
+    if copies:
+        by_id = hashed.groupBy("_key", "_id").agg(F.count(F.lit(1)).alias("_copies"), F.min("_probe").alias("_probe"))
+        best = pick(F.struct(_order(keep).alias("order"), "_copies", "_probe")).alias("_best")
+        groups = by_id.groupBy("_key").agg(best, F.sum("_copies").alias("_size")).select("_key", F.col("_best.order.id").alias("_keep"), "_best._copies", "_best._probe", "_size")
+    else:
+        groups = hashed.groupBy("_key").agg(pick("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
     groups = written(groups, "exact-groups")
-    # The full digest separates texts that share the 128-bit key; it is compared, not only grouped.
-    rows = hashed.select("_id", key, F.unhex("_sha").alias("_digest"))
-    joined = rows.join(groups, (rows["_key"] == groups["_key"]) & (rows["_digest"] == groups["_group"]))
-    return joined.select(
+    compared = _texts_to_compare(texts, hashed, groups, content_hash)
+    mixed = written(compared.select("_key", "_text").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_texts")).where("_texts > 1").select("_key"), "exact-collisions")
+    return hashed, groups, None if mixed.isEmpty() else mixed, compared
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
+
+
+def _by_text(compared: DataFrame, mixed: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of keys whose texts differ, and their groups by key and text."""
+    pick = {"min": F.min, "max": F.max}[keep]
+    rows = compared.join(mixed, "_key", "left_semi")
+    by_id = rows.groupBy("_key", "_text", "_id").agg(F.count(F.lit(1)).alias("_copies"))
+    groups = by_id.groupBy("_key", "_text").agg(pick(F.struct(_order(keep).alias("order"), "_copies")).alias("_best"), F.sum("_copies").alias("_size"))
+    return rows, written(groups.select("_key", "_text", F.col("_best.order.id").alias("_keep"), F.col("_best._copies").alias("_copies"), "_size"), "exact-by-text")
+
+
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Hash | None = None) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+
+    keep: "min" or "max", the id that stays of each group of equal texts.
+    content_hash: of a text, instead of the first 128 bits of its SHA-256.
+    """
+    hashed, groups, mixed, compared = _groups(_texts(docs, id_col, text_col), keep, content_hash, copies=False)
+    if mixed is not None:
+        rows, texts = _by_text(compared, mixed, keep)
+        apart = rows.join(texts, ["_key", "_text"]).select("_id", "_keep", "_size", _digest(F.col("_text")).alias("_digest"))
+        hashed = hashed.join(mixed, "_key", "left_anti")
+    found = hashed.join(groups.select("_key", "_keep", "_size"), "_key").select("_id", "_keep", "_size", "_digest")
+    found = found if mixed is None else found.union(apart)
+    return found.select(
         F.col("_id").alias(id_col),
         F.col("_keep").alias("keep_id"),
         F.col("_size").alias("group_size"),
@@ -59,12 +143,21 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     )
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    pick = {"min": F.min, "max": F.max}[keep]
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Hash | None = None) -> DataFrame:
+    """One row of each group of equal texts, with all its columns; of rows that share id and text, one."""
     named = docs.select(F.struct("*").alias("_row"))
-    text, ident = normalised(F.col(f"_row.`{text_col}`")), F.col(f"_row.`{id_col}`")
-    keys = named.select(ident.alias("_id"), text.alias("_text"))
-    groups = keys.groupBy(F.substring(F.sha2(F.col("_text").cast("binary"), 256), 1, 32).alias("_key"), "_text").agg(pick("_id").alias("_keep"))
-    staying = written(groups.select("_keep").distinct(), "exact-kept")
-    return named.join(staying.hint("merge"), ident.eqNullSafe(F.col("_keep")), "left_semi").select("_row.*")
+    ident, text = F.col(f"_row.`{id_col}`"), normalised(F.col(f"_row.`{text_col}`"))
+    hashed, groups, mixed, compared = _groups(named.select(ident.alias("_id"), text.alias("_text")), keep, content_hash, copies=True)
+    if mixed is not None:
+        texts = _by_text(compared, mixed, keep)[1].select("_keep", F.xxhash64("_text").alias("_probe"), "_copies")
+        groups = groups.join(mixed, "_key", "left_anti")
+    staying = groups.select("_keep", "_probe", "_copies")
+    staying = written(staying if mixed is None else staying.union(texts), "exact-kept")
+    removed(docs.sparkSession, path_of(hashed))
+    rows = named.withColumn("_id", ident).withColumn("_own", F.xxhash64(text))
+    same = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_own") == F.col("_probe"))
+    found = rows.join(staying.hint("merge"), same).select("_row", "_id", "_own", "_copies")
+    # Rows that share id and text are few in tables of documents; only they are grouped.
+    once = found.where("_copies = 1").select("_row.*")
+    again = found.where("_copies > 1").groupBy("_id", "_own").agg(F.min_by("_row", F.xxhash64(f"_row.`{text_col}`")).alias("_row")).select("_row.*")
+    return once.union(again)

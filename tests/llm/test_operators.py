@@ -611,8 +611,10 @@ def test_url_rules_agree_with_a_plain_matcher(spark):
 # Exact dedup
 
 
+@pytest.mark.parametrize("content_hash", [None, lambda text: F.length(text) % 3, lambda text: F.lit(b"one")])
 @pytest.mark.parametrize("keep", ["min", "max"])
-def test_exact_dedup_edges(spark, keep):
+def test_exact_dedup_edges(spark, keep, content_hash):
+    """Also with hashes under which very many texts collide: bytes decide."""
     texts, ids = [*EDGES, "same text", "lone"], [*range(len(EDGES)), None, 3]
     df = docs_df(spark, texts, ids)
     groups = defaultdict(list)
@@ -620,14 +622,24 @@ def test_exact_dedup_edges(spark, keep):
         groups[(t or "").translate(FOLD)].append(i)
     best = {t: {"min": min, "max": max}[keep]([i for i in m if i is not None]) for t, m in groups.items()}
     want = sorted(((i if i is not None else -1), best[(t or "").translate(FOLD)], len(groups[(t or "").translate(FOLD)]), hashlib.sha256((t or "").translate(FOLD).encode()).hexdigest()) for i, t in zip(ids, texts, strict=True))
-    got = exact_dedup.decisions(df, keep=keep).collect()
+    got = exact_dedup.decisions(df, keep=keep, content_hash=content_hash).collect()
     assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == want
     assert all(r["kept"] == (r["doc_id"] == r["keep_id"]) for r in got)
-    left = exact_dedup.deduplicated(df, keep=keep)
-    assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == set(best.values())
+    left = exact_dedup.deduplicated(df, keep=keep, content_hash=content_hash)
+    assert left.columns == df.columns
+    assert sorted((r["doc_id"], (r["text"] or "").translate(FOLD)) for r in left.collect()) == sorted((i, t) for t, i in best.items())
     assert exact_dedup.decisions(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["min", "max"])
+def test_one_row_of_each_text_stays(spark, keep):
+    rows = [(2, "same", 1.0), (2, "same", 2.0), (1, "Same", 3.0), (None, "x", 4.0), (None, "x", 5.0), (2, "b", 6.0), (3, "b", 7.0), (None, None, 8.0), (9, "", 9.0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, `a.b` double")
+    got = sorted((r["doc_id"] or 0, (r["text"] or "").lower()) for r in exact_dedup.deduplicated(df, keep=keep).collect())
+    assert got == sorted([(1 if keep == "min" else 2, "same"), (0, "x"), (2 if keep == "min" else 3, "b"), (9, "")])
+    assert exact_dedup.deduplicated(df.limit(0), keep=keep).count() == 0
+
+
 # Mixing
 
 
