@@ -9,7 +9,7 @@ empty text.  The steps:
     hashes are shuffled; partial aggregation collapses a large group of copies inside
     each map task.
 3.  Bytes are compared inside groups of more than one row.  Their probes set bits
-    in a bitmap of fixed size (8 MB), by which a second pass over the texts passes on little
+    in a bitmap of fixed size (2 MB), by which a second pass over the texts passes on little
     more than the rows of such groups; their distinct (hash, text) pairs are counted.
 4.  Groups whose texts differ are grouped again by the text itself.  With the
     default hash there are none; ``content_hash`` takes another one.
@@ -34,7 +34,7 @@ from scrollspark.llm.tables import path_of, removed, written
 
 #: A-Z, lower-cased alone.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITMAP_BITS = 1 << 26  # beyond about as many repeated texts the bitmap holds back no text, and results are the same
+BITMAP_BITS = 1 << 24  # beyond about as many repeated texts the bitmap holds back no text, and results are the same
 
 Hash = Callable[[Column], Column]
 
@@ -79,10 +79,10 @@ BIT_IS_SET = "shiftright(cast(conv(hex(substring(_bitmap, cast(_place div 8 as i
 def _texts_to_compare(texts: DataFrame, hashed: DataFrame, groups: DataFrame, content_hash: Hash | None) -> DataFrame:
     """_id, _text, _key of all rows whose hash others have too, and of the few others whose probe's bit is set."""
     repeated = hashed.join(groups.where("_size > 1").select("_key"), "_key", "left_semi")
-    bit = F.pmod(repeated["_probe"], F.lit(BITMAP_BITS))
+    bit = repeated["_probe"].bitwiseAND(F.lit(BITMAP_BITS - 1))
     bits = repeated.select(F.bitmap_bucket_number(bit).alias("_bucket"), F.bitmap_bit_position(bit).alias("_place"))
     bitmaps = written(bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bitmap")), "exact-bitmaps")
-    bit = F.pmod(F.xxhash64("_text"), F.lit(BITMAP_BITS))
+    bit = F.xxhash64("_text").bitwiseAND(F.lit(BITMAP_BITS - 1))  # never null, so no filter computes it again
     rows = texts.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
     # All bitmaps together have BITMAP_BITS bits at most.
     rows = rows.join(F.broadcast(bitmaps), "_bucket").where(BIT_IS_SET)
