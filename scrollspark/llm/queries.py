@@ -58,11 +58,11 @@ def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str, model_file: str =
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that share a passage of 50 words or more with another one, and the words of all such passages."""
+    """Of every document the words of all passages of 50 words or more that it shares with another one."""
     found = suffix_dedup.repeats(table(spark, sf_dir, "documents"), gram=8, least=50)
     words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, x: total + x["end"] - x["start"])
     text = F.array_join(F.transform("spans", lambda x: F.concat(x["start"], F.lit("-"), x["end"])), ",")
-    return found.where(F.size("spans") > 0).select("doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"), text.alias("spans"))
+    return found.select("doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"), text.alias("spans"))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +127,7 @@ _REPEATS_SQL = f"""
     isl AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM hit),
     span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM isl GROUP BY doc_id, n),
     by_doc AS (SELECT doc_id, count(*) AS n, sum(b - a) AS t, string_agg(a || '-' || b, ',' ORDER BY a) AS s FROM span GROUP BY doc_id)
-    SELECT doc_id, CAST(n AS INTEGER) AS n_spans, CAST(t AS BIGINT) AS repeated_words, s AS spans FROM by_doc"""
+    SELECT d.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_spans, CAST(coalesce(t, 0) AS BIGINT) AS repeated_words, coalesce(s, '') AS spans FROM documents d LEFT JOIN by_doc USING (doc_id)"""
 
 _JACCARD_SQL = f"""
     WITH RECURSIVE {_WORDS_SQL},

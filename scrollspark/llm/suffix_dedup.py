@@ -25,7 +25,12 @@ its windows of ``least`` words that another document has too.  Words are compare
 A-Z lower-cased, by 64-bit hashes in runs and windows and by 32-bit hashes of single
 words elsewhere.
 
-Edge cases: null and empty texts, texts of fewer words and rows without id have no
+Which step decides: texts with equal words, the hash of all their words (1); suffixes
+that match a neighbour of the sorted array as far as they reach on both sides, the array (3);
+all suffixes of a run of which one is left, the splits (4), because neighbours in the order of one
+side need not be the best on the other; runs at more than ``hot_rows`` places, windows (5).
+
+Edge cases: ids that are not integers are told apart by 64-bit hashes; null and empty texts, texts of fewer words and rows without id have no
 spans; repeats inside one document do not count; rows that share an id are one
 document, whose spans are those of all its texts; one row comes back for every row; texts of any length are whole; extra
 columns are ignored; an empty table gives no rows.
@@ -40,6 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from scrollspark.llm.bytesops import mix, powers_of, shingle_hashes, slices, tidied, utf8, word_hashes, word_spans
 from scrollspark.llm.tables import arrow_rows, written
@@ -249,15 +255,20 @@ def _matches(gram: int, least: int):
             hit = np.flatnonzero(end >= 0)
             return pa.RecordBatch.from_arrays([pa.array(doc[hit]), pa.array(start[hit].astype(np.int32)), pa.array(end[hit].astype(np.int32))], ["doc", "start", "end"])
 
+        rows = 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held.append(batch)
-            if sum(x.num_rows for x in held) >= CHUNK:
+            rows += batch.num_rows
+            # The last run may go on; while all rows held are of one run there is nothing to cut.
+            if rows >= CHUNK and held[0].column("run")[0] != batch.column("run")[batch.num_rows - 1]:
                 table = pa.Table.from_batches(held)
                 runs = table["run"].to_numpy()
-                cut = int(np.searchsorted(runs, runs[-1]))  # the last run may go on
-                if cut:
-                    yield out(table.slice(0, cut))
-                    held = table.slice(cut).combine_chunks().to_batches()
+                cut = int(np.searchsorted(runs, runs[-1]))
+                yield out(table.slice(0, cut))
+                held = table.slice(cut).combine_chunks().to_batches()
+                rows -= cut
         if held:
             yield out(pa.Table.from_batches(held))
 
@@ -280,7 +291,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     hot_rows: runs at more positions than this are compared by aggregation, not in one place.
     """
     spark = docs.sparkSession
-    ident = F.col(id_col).cast("bigint")
+    whole_number = isinstance(docs.select(id_col).schema[0].dataType, IntegralType)
+    number = lambda c: c.cast("bigint") if whole_number else F.when(c.isNotNull(), F.xxhash64(c))
+    ident = number(F.col(id_col))
     source = docs.select(ident.alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL")
     with arrow_rows(spark, 2000):
         rows = written(source.mapInArrow(tidied(_selected(gram, least)), "run bigint, doc bigint, at int, sequence binary, sent boolean"), "suffix-minimisers")
@@ -307,4 +320,4 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     spans = found.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("found")).mapInArrow(_spans, "doc bigint, spans array<struct<start: int, end: int>>")
     rows = docs.select(F.col(id_col).alias("_id"))
     empty = F.array().cast("array<struct<start: int, end: int>>")
-    return rows.join(spans, rows["_id"].cast("bigint") == spans["doc"], "left").select(F.col("_id").alias(id_col), F.coalesce("spans", empty).alias("spans"))
+    return rows.join(spans, number(rows["_id"]) == spans["doc"], "left").select(F.col("_id").alias(id_col), F.coalesce("spans", empty).alias("spans"))

@@ -368,6 +368,29 @@ def test_repeats_are_exact(spark, hot):
     assert [got[i] for i in range(len(texts))] == brute_spans(texts, range(len(texts)))
 
 
+def test_repeats_with_ids_of_other_types(spark):
+    words = " ".join(f"z{i}" for i in range(60))
+    docs = spark.createDataFrame([("b", words), ("a", "more " + words), (None, words), ("c", None)], "doc_id string, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in suffix_dedup.repeats(docs).collect()}
+    assert got == {"b": [(0, 60)], "a": [(1, 61)], None: [], "c": []}
+
+
+def test_runs_over_many_batches_are_compared_as_one():
+    gram, least = 2, 4
+    rng = np.random.default_rng(3)
+    n = 60
+    table = pa.table({
+        "run": pa.array(np.repeat([1, 2, 3], [5, 45, 10])), "doc": pa.array(np.arange(n) % 30), "at": pa.array(np.full(n, 2), pa.int32()),
+        "before": pa.array([rng.integers(0, 2, 2).astype(">u4").tobytes() for _ in range(n)]), "after": pa.array([rng.integers(0, 2, 2).astype(">u4").tobytes() for _ in range(n)]),
+    })
+    spans = lambda size: sorted(r for b in suffix_dedup._matches(gram, least)(iter(table.to_batches(size))) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    before, suffix_dedup.CHUNK = suffix_dedup.CHUNK, 8
+    try:
+        assert spans(3) == spans(7) == spans(n)
+    finally:
+        suffix_dedup.CHUNK = before
+
+
 def test_repeats_within_one_id_do_not_count(spark):
     df = docs_df(spark, [LONG, LONG, None], [1, 1, 2])
     assert all(not r["spans"] for r in suffix_dedup.repeats(df).collect())
