@@ -19,7 +19,7 @@ the square root of twice the tokens, 1.4 million numbers for 10**12, however man
 Edge cases: null sources are one source, kept as null; sources without any token get one
 pass; texts that are null or empty have 0 tokens and ride along in their block;
 documents whose tokens no longer fit in the last pass end it; rows with equal ids are documents
-of their own; an empty table gives no rows; extra columns are ignored, and pass
+of their own, in one block; an empty table gives no rows; extra columns are ignored, and pass
 through ``mixed``.
 """
 
@@ -31,11 +31,12 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from scrollspark.llm.tables import written
 
 ROUNDS = 60
+SHELF_BITS = 10
 
 
 def words(text: Column) -> Column:
@@ -97,6 +98,11 @@ def _sizes(totals: DataFrame) -> list[tuple[float, int]]:
     return sorted((float(r["total"]), r["k"]) for r in rows)
 
 
+def _before(column: str, order: WindowSpec) -> Column:
+    """The sum of the rows before each."""
+    return F.coalesce(F.sum(column).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def mixture(
     docs: DataFrame, *, target_entropy: float = 0.95, max_repeats: float = 4.0, budget: int | None = None, whole: bool = False, seed: int = 1, block_docs: int = 4096,
     id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -131,15 +137,17 @@ def mixture(
     dealt = base.join(plan.select("_key", "blocks"), "_key").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "_id"), F.col("blocks")).cast("int")).drop("blocks")
     sums = dealt.groupBy("_key", "block").agg(F.sum("n_tokens").alias("in_block"))
     turns = sums.join(plan, "_key").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    order = Window.partitionBy("_key", "pass").orderBy(F.xxhash64(F.lit(seed + 1), "pass", "block"), "block")
-    before = F.coalesce(F.sum("in_block").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    turns = turns.withColumn("block_at", before).where((F.col("pass") < F.col("full")) | (F.col("block_at") <= F.col("rest")))
+    turns = turns.withColumn("drawn", F.xxhash64(F.lit(seed + 1), "pass", "block")).withColumn("shelf", F.shiftright("drawn", 64 - SHELF_BITS))
+    shelves = turns.groupBy("_key", "pass", "shelf").agg(F.sum("in_block").alias("in_shelf"))
+    shelves = shelves.select("_key", "pass", "shelf", _before("in_shelf", Window.partitionBy("_key", "pass").orderBy("shelf")).alias("shelf_at"))
+    turns = turns.join(shelves, ["_key", "pass", "shelf"])
+    order = Window.partitionBy("_key", "pass", "shelf").orderBy("drawn", "block")
+    turns = turns.withColumn("block_at", F.col("shelf_at") + _before("in_block", order)).where((F.col("pass") < F.col("full")) | (F.col("block_at") <= F.col("rest")))
     turns = written(turns.select("_key", "block", "pass", "block_at", F.when(F.col("pass") < F.col("full"), F.lit(None)).otherwise(F.col("rest")).cast("bigint").alias("rest")), "mixing-blocks")
 
     placed = dealt.join(turns, ["_key", "block"])
     inside = Window.partitionBy("_key", "block", "pass").orderBy(F.xxhash64(F.lit(seed + 2), "pass", "_id"), "_id", "n_tokens")
-    offset = F.coalesce(F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = placed.withColumn("in_pass", F.col("block_at") + offset).where(F.col("rest").isNull() | (F.col("in_pass") + F.col("n_tokens") <= F.col("rest")))
+    placed = placed.withColumn("in_pass", F.col("block_at") + _before("n_tokens", inside)).where(F.col("rest").isNull() | (F.col("in_pass") + F.col("n_tokens") <= F.col("rest")))
     lengths = totals.select("_key", "total")
     out = placed.join(lengths, "_key")
     return out.select(
