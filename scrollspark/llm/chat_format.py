@@ -43,6 +43,7 @@ HEADER = re.compile(r"### ([^:\n]*): ")
 TOKEN = re.compile(r"\\(\\|###|</turn>)|###|</turn>")
 CONTROL = re.compile(r"###|</turn>")
 LEVELS = 3
+PIECE_BYTES = 16 << 20  # of texts whose rows are given on together
 
 
 class GrammarError(ValueError):
@@ -142,7 +143,7 @@ def merged(function, rows: int):
         for batch in function(batches):
             held.append(batch)
             size += batch.nbytes
-            if len(held) >= rows or size > 16 << 20:
+            if len(held) >= rows or size > PIECE_BYTES:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                 held, size = [], 0
         if held:
@@ -173,7 +174,14 @@ def read_back(documents: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            body = pa.RecordBatch.from_pylist([digest(x.as_py()) for x in batch.column("formatted")], schema=schema)
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *body.columns], ["conv_id", *schema.names])
+            at, size = 0, 0
+            rows: list[dict] = []
+            for i, cell in enumerate(batch.column("formatted")):
+                rows.append(digest(cell.as_py()))
+                size += rows[-1]["formatted_chars"]
+                if size >= PIECE_BYTES or i + 1 == batch.num_rows:
+                    body = pa.RecordBatch.from_pylist(rows, schema=schema)
+                    yield pa.RecordBatch.from_arrays([batch.column("conv_id").slice(at, len(rows)), *body.columns], ["conv_id", *schema.names])
+                    at, size, rows = i + 1, 0, []
 
     return documents.select("conv_id", "formatted").mapInArrow(read, f"conv_id {id_type}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, loss_spans array<array<bigint>>")
