@@ -30,7 +30,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     id_type = pages.schema["page_id"].dataType
-    number = lambda c: F.when(F.col(c) != "", F.col(c)).cast(id_type)
+    number = lambda c: F.col(c).cast(id_type)
     return warc.archived(pages, least_bytes=100).select(
         number("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), number("refers_to").alias("refers_to")
     )

@@ -16,7 +16,7 @@ archives in the returned manifest count, so that a task that is run again does
 no harm.  No record is held but the one at hand.
 
 Edge cases: null payloads are empty; null urls have no target header; control
-characters in urls are percent-encoded; null page ids are kept, never refer and
+characters in urls and all special characters in ids are percent-encoded; null page ids are kept, never refer and
 are never referred to; rows that repeat an id are records of their own; an empty table gives no archives; extra columns are ignored.
 """
 
@@ -28,6 +28,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -37,19 +38,39 @@ from pyspark.sql import functions as F
 from scrollspark.llm.tables import arrow_rows, fresh_path, removed, written
 
 DATE = "2024-01-01T00:00:00Z"
-URN = "urn:page:"
+URN = "urn:page"
 PIECE = 1 << 18
 GZIP = 31  # zlib's window bits for gzip
 INDEX = ".idx"
 
 
+def identity(ident: object) -> str:
+    """The URN of a page; the id is percent-encoded, so that any text can be one."""
+    return URN if ident is None else f"{URN}:{quote(str(ident), safe='')}"
+
+
+def page_of(urn: str) -> str | None:
+    urn = urn.strip("<>")
+    return unquote(urn[len(URN) + 1 :]) if urn.startswith(URN + ":") else None if urn == URN else urn
+
+
 def payloads(pages: DataFrame, least_bytes: int = 100, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
     """_id, payload_bytes, payload_digest and refers_to (null for responses) of every page."""
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     base = pages.select(F.col(id_col).alias("_id"), F.octet_length(body).cast("bigint").alias("payload_bytes"), F.sha2(body, 256).alias("payload_digest"))
-    firsts = written(base.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_k")).where("_k > 1"), "warc-repeated").drop("_k")
-    found = base.join(firsts, "payload_digest", "left")
-    return found.select("_id", "payload_bytes", "payload_digest", F.when((F.col("_id") != F.col("_first")) & (F.col("payload_bytes") >= least_bytes), F.col("_first")).alias("refers_to"))
+    return _referring(base, _repeated(base, least_bytes))
+
+
+def _repeated(base: DataFrame, least_bytes: int) -> DataFrame:
+    """payload_digest and _first, the smallest id, of payloads that more than one page has."""
+    groups = base.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_k"))
+    return written(groups.where("_k > 1").drop("_k"), "warc-repeated")
+
+
+def _referring(base: DataFrame, firsts: DataFrame) -> DataFrame:
+    """refers_to beside the columns of base, instead of _first."""
+    found = base.join(firsts.hint("merge"), "payload_digest", "left")
+    return found.withColumn("refers_to", F.when(F.col("_id") != F.col("_first"), F.col("_first"))).drop("_first")
 
 
 def record(ident: object, url: str | None, payload: bytes | None, digest: str, size: int, refers_to: object) -> bytes:
@@ -57,11 +78,11 @@ def record(ident: object, url: str | None, payload: bytes | None, digest: str, s
     kind = "response" if refers_to is None else "revisit"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"") if refers_to is None else http
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{URN}{'' if ident is None else ident}>", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha256:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{identity(ident)}>", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha256:{digest}"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     if refers_to is not None:
-        head += [f"WARC-Refers-To: <{URN}{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        head += [f"WARC-Refers-To: <{identity(refers_to)}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -125,12 +146,10 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def written_archives(pages: DataFrame, folder: str, least_bytes: int = 100, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", level: int = 1) -> DataFrame:
     """Writes monolithic archives to the folder; the manifest: archive, records."""
-    facts = payloads(pages, least_bytes, id_col, payload_col)
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
-    bodies = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), body.alias("_body"), F.sha2(body.cast("binary"), 256).alias("_digest"))
-    # One fact per id and payload, so that rows which repeat an id are records of their own.
-    facts = facts.distinct().withColumnRenamed("_id", "_fact")
-    rows = bodies.join(facts, F.col("_id").eqNullSafe(F.col("_fact")) & (F.col("_digest") == F.col("payload_digest")))
+    raw = body.cast("binary")
+    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), body.alias("_body"), F.sha2(raw, 256).alias("payload_digest"), F.octet_length(raw).cast("bigint").alias("payload_bytes"))
+    rows = _referring(rows, _repeated(rows.select("_id", "payload_bytes", "payload_digest"), least_bytes))
     rows = rows.select("_id", "_url", F.when(F.col("refers_to").isNull(), F.col("_body")).alias("_body"), "payload_digest", "payload_bytes", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +218,7 @@ def read_record(raw: bytes) -> dict:
     http, _, payload = block.partition(b"\r\n\r\n")
     size = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", http)
     kind = head["warc-type"]
-    ident = lambda k: head[k].strip("<>").removeprefix(URN) if k in head else None
+    ident = lambda k: page_of(head[k]) if k in head else None
     digest = head.get("warc-payload-digest", "").removeprefix("sha256:")
     if kind == "response":
         found = hashlib.sha256(payload).hexdigest()
