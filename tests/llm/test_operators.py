@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -99,7 +100,7 @@ def test_warc_edges(spark):
     got = {r["id"]: r for r in warc.archived(pages_df(spark, rows), payload=True).collect()}
     assert len(got) == len(rows)
     for i, url, html in rows:
-        r, raw = got["" if i is None else str(i)], (html or "").encode()
+        r, raw = got[None if i is None else str(i)], (html or "").encode()
         copy = i in (3, 5)
         assert (r["type"], r["refers_to"]) == (("revisit", "1") if copy else ("response", None))
         assert (r["size"], r["digest"]) == (len(raw), hashlib.sha256(raw).hexdigest())
@@ -108,6 +109,9 @@ def test_warc_edges(spark):
     assert warc.archived(pages_df(spark, rows).limit(0)).count() == 0
     twice = warc.archived(pages_df(spark, [(1, "a", big), (1, "a", big), (1, "b", "x"), (2, "c", big)])).collect()
     assert sorted((r["id"], r["type"]) for r in twice) == [("1", "response")] * 3 + [("2", "revisit")]
+    odd = [("a>b", "u", big), ("c\r\nX: d%20", "u", "x"), ("", "u", "y"), (None, "u", "z"), ("zé", "u", big)]
+    back = warc.archived(spark.createDataFrame(odd, "page_id string, url string, html string")).collect()
+    assert {r["id"]: r["refers_to"] for r in back} == {"a>b": None, "c\r\nX: d%20": None, "": None, None: None, "zé": "a>b"}
 
 
 def test_normaliser_takes_any_gzip(tmp_path):
@@ -281,6 +285,14 @@ def test_colliding_segments_are_encoded_again(vocabulary, monkeypatch):
         assert got.ids.tolist() == right.ids.tolist() and got.changes == right.changes and np.allclose([x for s in got.scores for x in s], [x for s in right.scores for x in s])
 
 
+def test_long_conversations_are_read_back_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "PIECE_BYTES", 100)
+    rows = [(i, t, "assistant", f"{i} {t} " + "x" * 40) for i in range(30) for t in range(2)]
+    documents = chat_format.formatted(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string"))
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat_format.read_back(documents).collect()}
+    assert got == {i: (2, 2 * len(f"{i} 0 " + "x" * 40)) for i in range(30)}
+
+
 # SentencePiece
 
 
@@ -633,6 +645,30 @@ def test_url_rules_agree_with_a_plain_matcher(spark):
     assert {r["verdict"] for r in url_rules.judged(df, [], default="block").collect()} == {"block"}
 
 
+def test_wildcards_inside_rules_agree_with_regular_expressions(spark):
+    rng = random.Random(13)
+    rules = [url_rules.Rule("block", h, p) for h, p in (("*.com", "/a"), ("x?z.net", "/"), ("net", "/*/b?/"), ("a*b.org", "/q*r*s"), ("org", "/*é"), ("d*", "/"), ("*", "/zz"))]
+    urls = ["http://" + "".join(rng.choices(["a", "b", "x", "z", ".com", ".net", ".org", "x.z", "d"], k=rng.randint(1, 5))) + "".join(rng.choices(["/", "a", "b", "/b1/", "q", "r", "s", "é", "zz", "y" * 70], k=rng.randint(0, 9))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    text = lambda part, inside: "".join({"*": f"{inside}*", "?": inside}.get(c, re.escape(c)) for c in part)
+    hits = 0
+    for r in url_rules.judged(df, rules).collect():
+        raw = f".{r['host']}{r['path']}".encode().decode("latin-1")
+        fits = [x for x in rules if re.match(r"(?s)[^/]*" + text(f".{x.host}", "[^/]") + text(x.path.encode().decode("latin-1"), "."), raw)]
+        best = max(fits, key=lambda x: len(x.text), default=None)
+        hits += best is not None
+        assert r["rule"] == (best and best.text), raw
+    assert 100 < hits < 1400
+
+
+def test_very_long_urls_end_early():
+    automaton = url_rules.ShiftAnd(queries.URL_RULES)
+    urls = [".com/en/" + "x" * 3_000_000, ".other/" + "y" * 3_000_000, ".net"]
+    began = time.perf_counter()
+    assert automaton.match(*bytesops.utf8(pa.array(urls))).any(axis=1).tolist() == [True, False, False]
+    assert time.perf_counter() - began < 2
+
+
 # Exact dedup
 
 
