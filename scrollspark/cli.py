@@ -1,4 +1,4 @@
-"""Command line: profile, process, sync, load-files, candidates, ocr-mock, perplexity, list.
+"""Command line: profile, migrate, process, sync, load-files, candidates, ocr-mock, perplexity, list.
 
     python -m scrollspark.cli profile FILE
     python -m scrollspark.cli --store DIR process --json FILE --limit 100
@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import argparse
 import sys
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from scrollspark.operators import perplexity, profile, status, workflow
+from scrollspark.functions import raster
+from scrollspark.operators import perplexity, profile, schema, status, workflow
 from scrollspark.operators.store import SnapshotStore
 from scrollspark.session import create, ship
-from scrollspark.sources import files
+from scrollspark.sources import fetch, files
 
 
 def positive(text: str) -> int:
@@ -38,11 +40,17 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     c = sub.add_parser("profile", help="articles per year, versions per article")
     c.add_argument("file")
+    c.add_argument("--png", help="file for the two histograms")
     c = sub.add_parser("process", help="load metadata and reconcile")
     c.add_argument("--json", help="JSON lines of metadata")
     c.add_argument("--limit", type=positive)
     c.add_argument("--max-records", type=positive)
     c.add_argument("--no-resume", action="store_true")
+    c.add_argument("--url-base", help="download what was loaded from below this URL")
+    c.add_argument("--workers", type=positive, default=4)
+    c.add_argument("--delay", type=float, default=fetch.DELAY)
+    c = sub.add_parser("migrate", help="take the tables to a level")
+    c.add_argument("--level", type=positive, default=schema.HEAD)
     c = sub.add_parser("sync", help="set download flags by the files of a folder")
     c.add_argument("--pdf-path", required=True)
     c = sub.add_parser("load-files", help="store the PDFs of a folder")
@@ -80,12 +88,21 @@ def main(argv: list[str] | None = None) -> int:
         profile.summary(found).show()
         profile.last_years(profile.year_histogram(found)).show()
         profile.version_histogram(found).orderBy("n_versions").show(1000)
+        if args.png:
+            years = {r["year"]: r["articles"] for r in profile.year_histogram(found).orderBy("year").collect()}  # a row a year
+            versions = {r["n_versions"]: r["articles"] for r in profile.version_histogram(found).where("kept").orderBy("n_versions").collect()}  # under a thousand rows
+            Path(args.png).write_bytes(raster.report(years, versions))
         return 0
-    shop = workflow.initialised(SnapshotStore(spark, args.store))
+    shop = SnapshotStore(spark, args.store)
+    if args.command == "migrate":
+        print({"levels": schema.run_migrations(shop, args.level)})
+        return 0
+    workflow.initialised(shop)
     papers = workflow.flagged(shop.read("papers"))
     if args.command == "process":
         lines = files.numbered_lines(spark, args.json, args.max_records) if args.json else None
-        print(workflow.process(shop, lines, "", None, limit=args.limit, resume=not args.no_resume))
+        fetcher = fetch.HttpFetcher if args.url_base else None
+        print(workflow.process(shop, lines, args.url_base or "", fetcher, limit=args.limit, resume=not args.no_resume, workers=args.workers, delay=args.delay))
     elif args.command == "sync":
         print({"changed": workflow.sync_folder(shop, files.pdf_files(spark, args.pdf_path, content=False).select("id"))})
     elif args.command == "load-files":

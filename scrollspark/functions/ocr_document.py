@@ -114,7 +114,7 @@ def scrubbed_json(text: pd.Series) -> pd.Series:
 
     def one(x: str | None) -> str | None:
         try:
-            return None if x is None else json.dumps(scrub(json.loads(x)), sort_keys=True, ensure_ascii=False)
+            return None if x is None else json.dumps(scrub(json.loads(x)), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
         except ValueError:
             return None
 

@@ -96,13 +96,19 @@ def load(
     )
 
 
+def placed(texts: DataFrame) -> DataFrame:
+    """value of a text source, and the file and the place of the split that each line is from."""
+    return texts.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+
+
 def with_ordinals(texts: DataFrame) -> DataFrame:
-    """(value, ordinal) of a text source: lines numbered in file order.
+    """(value, ordinal) of a text source, or of placed() lines: numbered in the order of files by name, and in file order.
 
-    Numbers are dense: each partition is counted first, and only one count per partition goes through one task.
+    Numbers are dense: the lines of each split are counted first, and only one count per split goes through one task.
     """
-    marked = texts.select("value", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_mono"))
-    sizes = marked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_base"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("_part", "_base", before.alias("_before"))
-    return marked.join(starts, "_part").select("value", (F.col("_mono") - F.col("_base") + F.col("_before")).alias("ordinal"))
+    lines = texts if "_file" in texts.columns else placed(texts)
+    marked = lines.withColumn("_mono", F.monotonically_increasing_id())
+    sizes = marked.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_base"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_file", "_start", "_base", before.alias("_before"))
+    return marked.join(starts, ["_file", "_start"]).select("value", (F.col("_mono") - F.col("_base") + F.col("_before")).alias("ordinal"))

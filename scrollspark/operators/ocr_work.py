@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import threading
+import time
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import Future
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -68,20 +71,88 @@ def save_results(papers: DataFrame, done: DataFrame, now: Column, clear_error: b
 
 OcrModel = Callable[[bytes, int], str]
 """From a page's image and number to its text; loaded once for each Python worker."""
+BATCH_SECONDS, PAGES_OF_A_WORKER = 600.0, 100
 
 
 def mock_model(image: bytes | None, page: int) -> str:
     return f"Mock Content {page}"
 
 
-def recognised(pages: DataFrame, key: str, load: Callable[[], OcrModel] = lambda: mock_model) -> DataFrame:
-    """pages: key, page, image.  Adds content or error; a page that fails does not stop the others."""
+def queue_size(workers: int, per_batch: int) -> int:
+    """Pages that wait at a time: rows of an Arrow batch.  Between 8 and 64."""
+    return min(64, max(8, 2 * workers * per_batch))
+
+
+def device_of(task: int, devices: Sequence[str]) -> str | None:
+    """Tasks take the devices in turn."""
+    return devices[task % len(devices)] if devices else None
+
+
+class TimedOut(Exception):
+    pass
+
+
+class Recycled:
+    """A model that is loaded again after so many pages, with a limit of time for the pages of a batch.
+
+    A call that outlasts the batch's time counts as failed and its thread is left
+    behind with the model it used; the pages after it in the batch fail at once.
+    """
+
+    def __init__(self, load: Callable[[], OcrModel], seconds: float | None, pages: int | None, clock: Callable[[], float] = time.monotonic):
+        self.load, self.seconds, self.pages, self.clock = load, seconds, pages, clock
+        self.model: OcrModel | None = None
+        self.used = 0
+        self.ends = float("inf")
+
+    def begin(self) -> None:
+        """A batch begins."""
+        self.ends = float("inf") if self.seconds is None else self.clock() + self.seconds
+
+    def __call__(self, image: bytes, page: int) -> str:
+        if self.model is None or self.pages and self.used >= self.pages:
+            self.model, self.used = self.load(), 0
+        self.used += 1
+        if self.seconds is None:
+            return self.model(image, page)
+        left = self.ends - self.clock()
+        answer: Future = Future()
+        if left > 0:
+            threading.Thread(target=_answer, args=(answer, self.model, image, page), daemon=True).start()
+        try:
+            return answer.result(max(left, 0))
+        except TimeoutError:
+            if answer.done():
+                raise
+            self.model = None
+            raise TimedOut(f"batch took more than {self.seconds:g} s") from None
+
+
+def _answer(answer: Future, model: OcrModel, image: bytes, page: int) -> None:
+    try:
+        answer.set_result(model(image, page))
+    except BaseException as problem:  # goes to the caller
+        answer.set_exception(problem)
+
+
+def recognised(
+    pages: DataFrame, key: str, load: Callable[..., OcrModel] = lambda: mock_model, *, seconds: float | None = None, recycle_after: int | None = None, devices: Sequence[str] = ()
+) -> DataFrame:
+    """pages: key, page, image.  Adds content or error; a page that fails does not stop the others.
+
+    seconds: time of an Arrow batch of pages; recycle_after: pages after which the model is loaded
+    again; devices: load gets one of them, in turn by task.
+    """
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        from pyspark import TaskContext
+
+        device = device_of(TaskContext.get().partitionId(), devices)
+        model = Recycled(load if device is None else lambda: load(device), seconds, recycle_after)
         for batch in batches:
             content, error = [], []
+            model.begin()
             for image, page in zip(batch["image"], batch["page"], strict=True):
                 try:
                     content.append(model(image, page))

@@ -44,13 +44,15 @@ def unigram_scores(tokens: DataFrame, key: str, words: str, context: int = CONTE
     """
     if stride >= context:
         raise ValueError("windows must overlap")
-    spread = tokens.select(key, F.posexplode(words).alias("_i", "_w"))
-    counts = spread.groupBy("_w").agg(F.count(F.lit(1)).alias("_c"))
+    chunk = F.when(F.col("_i") == 0, -1).when(F.col("_i") < context, 0).otherwise(F.floor((F.col("_i") - context) / stride) + 1)
+    spread = tokens.select(key, F.posexplode(words).alias("_i", "_w")).select(key, chunk.cast("bigint").alias("chunk"), "_w")
+    # Words are counted inside windows first: both the frequencies and the join start from these counts.
+    held = spread.groupBy(key, "chunk", "_w").agg(F.count(F.lit(1)).alias("_k"))
+    counts = held.groupBy("_w").agg(F.sum("_k").alias("_c"))
     total = counts.agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_v"))
     priced = counts.join(F.broadcast(total)).select("_w", (-F.log((F.col("_c") + 1.0) / (F.col("_n") + F.col("_v")))).alias("_nll"))  # the total is one row
-    chunk = F.when(F.col("_i") < context, 0).otherwise(F.floor((F.col("_i") - context) / stride) + 1)
-    scored = spread.where("_i > 0").withColumn("chunk", chunk.cast("bigint")).join(priced, "_w")
-    return scored.groupBy(key, "chunk").agg(F.avg("_nll").alias("nll"), F.count(F.lit(1)).alias("scored"))
+    scored = held.where("chunk >= 0").join(priced, "_w")
+    return scored.groupBy(key, "chunk").agg((F.sum(F.col("_nll") * F.col("_k")) / F.sum("_k")).alias("nll"), F.sum("_k").alias("scored"))
 
 
 Scorer = Callable[[list[str], int, int], float]
@@ -108,6 +110,12 @@ def statistics(chunks: DataFrame, key: str, ppl: str = "ppl", scored: str = "sco
     return full.select(key, *(F.coalesce(c, F.lit(0)) .alias(c) if c in ("num_chunks", "total_tokens") else F.coalesce(F.col(c), F.lit(float("inf"))).alias(c) for c in out.columns if c != key))
 
 
+def chunk_lists(chunks: DataFrame, key: str, chunk: str = "chunk", ppl: str = "ppl") -> DataFrame:
+    """key, chunks: a sequence's perplexities in window order.  As long as the sequence has windows."""
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(chunk).alias("chunk"), F.col(ppl).alias("ppl"))))
+    return chunks.groupBy(key).agg(pairs.alias("chunks"))
+
+
 def worst_chunks(chunks: DataFrame, key: str, chunk: str, ppl: str, k: int = WORST) -> DataFrame:
     """key, chunk, rk of the k highest; equal ones in chunk order."""
     w = Window.partitionBy(key).orderBy(F.desc(ppl), chunk)

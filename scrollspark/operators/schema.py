@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,9 @@ from pyspark.sql import types as T
 from scrollspark.functions.ocr_document import DOCUMENT
 from scrollspark.functions.parsing import VERSIONS
 
+if TYPE_CHECKING:
+    from scrollspark.operators.store import SnapshotStore
+
 HEAD = 4
 ID_LENGTH = 50
 
@@ -52,3 +58,55 @@ def migrate(papers: DataFrame, start: int, end: int) -> DataFrame:
 def too_long(papers: DataFrame, column: str = "id", length: int = ID_LENGTH) -> DataFrame:
     """Rows that the id's length rules out."""
     return papers.where(F.char_length(column) > length)
+
+
+VERSION = "level int"
+VERSION_TABLE = "schema_level"
+
+
+def level_of(shop: SnapshotStore) -> int:
+    """The migration level that a store's tables are at; 0 without tables."""
+    if VERSION_TABLE in shop.tables():
+        return shop.read(VERSION_TABLE).first()["level"]
+    if "papers" not in shop.tables():
+        return 0
+    have = set(shop.read("papers").columns)
+    return max(at for at in LEVELS if {n for n, _, _ in LEVELS[at]} <= have)
+
+
+def run_migrations(shop: SnapshotStore, target: int = HEAD) -> list[int]:
+    """Takes a store up or down to a level, one publication a level, and returns the levels it went through.
+
+    Level 1 makes the three tables; below it there are none, so down is possible to level 1 only.
+    """
+    if not 1 <= target <= HEAD:
+        raise ValueError(f"no level {target}")
+    spark, passed, at = shop.spark, [], level_of(shop)
+    while at != target:
+        after = at + 1 if at < target else at - 1
+        mark = spark.createDataFrame([(after,)], VERSION)
+        if at == 0:
+            empty = {"papers": papers_ddl(1), "categories": CATEGORIES, "links": LINKS}
+            shop.publish(**{name: spark.createDataFrame([], kind) for name, kind in empty.items()}, **{VERSION_TABLE: mark})
+        else:
+            shop.publish(papers=migrate(shop.read("papers"), at, after), **{VERSION_TABLE: mark})
+        passed.append(after)
+        at = after
+    return passed
+
+
+def violations(papers: DataFrame, categories: DataFrame, links: DataFrame) -> DataFrame:
+    """constraint, rows: how many rows break each key and reference that the tables declare."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("constraint"), "rows")
+    repeated = lambda df, *key: df.groupBy(*key).count().where("count > 1")
+    checks = {
+        "papers: id is null": papers.where("id IS NULL"),
+        "papers: id is too long": too_long(papers),
+        "papers: id is not unique": repeated(papers, "id"),
+        "categories: category is null": categories.where("category IS NULL"),
+        "categories: category is not unique": repeated(categories, "category"),
+        "links: pair is not unique": repeated(links, "paper_id", "category"),
+        "links: paper is missing": links.join(papers, links["paper_id"] == papers["id"], "left_anti"),
+        "links: category is missing": links.join(categories, "category", "left_anti"),
+    }
+    return reduce(DataFrame.union, (count(df, name) for name, df in checks.items()))

@@ -109,3 +109,10 @@ def matched_files(files: DataFrame, papers: DataFrame, on: Column) -> DataFrame:
 
 def run_summary(outcomes: DataFrame, good: Column, size: Column) -> DataFrame:
     return outcomes.agg(F.count_if(good).alias("success"), F.count_if(~good).alias("errors"), F.sum(size).alias("total_bytes"))
+
+
+def throughput(progress: DataFrame, when: str, done: Column | None = None) -> DataFrame:
+    """Records, seconds between the first and the last, and records a second (null where no time has passed)."""
+    seconds = (F.unix_micros(F.max(F.col(when).cast("timestamp"))) - F.unix_micros(F.min(F.col(when).cast("timestamp")))) / 1e6
+    counted = progress.agg((F.count(F.lit(1)) if done is None else F.count_if(done)).alias("records"), seconds.alias("seconds"))
+    return counted.withColumn("rate", F.col("records") / F.nullif("seconds", F.lit(0.0)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,45 +73,76 @@ def rename_categories(links: DataFrame, categories: DataFrame, names: DataFrame)
     return fix(links).distinct(), fix(categories)
 
 
+CONFLICT = "another writer has published since the tables were read"
+
+
+class Conflict(RuntimeError):
+    """Another writer has published since the tables were read."""
+
+
 class SnapshotStore:
     """Tables in one folder; a snapshot of all of them becomes visible by one rename of a pointer file.
 
     Writers put every version in a folder of its own and never touch one that is read;
-    a batch of several tables is published at once or not at all.
+    a batch of several tables is published at once or not at all.  Pointers are
+    numbered.  In a unit of work, from begin() on, every publication takes the number after the
+    oldest pointer read, or after the unit's own last one: if another writer has that
+    number, Conflict is raised and nothing changes.  The file system must refuse a rename onto a file that is there.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _pointer(self) -> dict[str, str]:
-        """Table name to folder, of the newest complete pointer."""
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(self.root).getFileSystem(conf)
+        self._files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.makeQualified(self._path(self.root)).toUri(), conf)
+        self._no_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        self._no_overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+        self._base: int | None = None
+
+    def begin(self) -> None:
+        """A unit of work begins: what was read before does not count."""
+        self._base = None
+
+    def _pointer(self) -> tuple[int, dict[str, str]]:
+        """The number of the next pointer, and table name to folder of the newest one; both from one listing."""
         names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
         if not names:
-            return {}
+            return 0, {}
         rows = self.spark.read.text(f"{self.root}/{names[-1]}").collect()  # a line per table
-        return dict(r["value"].split("\t") for r in rows if r["value"])
+        return int(names[-1].removeprefix("pointer-")) + 1, dict(r["value"].split("\t") for r in rows if r["value"])
+
+    def _seen(self) -> dict[str, str]:
+        number, tables = self._pointer()
+        self._base = number if self._base is None else min(self._base, number)
+        return tables
 
     def tables(self) -> list[str]:
-        return sorted(self._pointer())
+        return sorted(self._seen())
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._pointer()[table])
+        return self.spark.read.parquet(self._seen()[table])
 
     def publish(self, **tables: DataFrame) -> None:
-        """Writes new versions of some tables and makes them visible together."""
-        now, mark = self._pointer(), uuid.uuid4().hex
+        """Writes new versions of some tables and makes them visible together; Conflict if what was read is no longer the newest."""
+        number, now = self._pointer()
+        base, self._base, mark = self._base, None, uuid.uuid4().hex
+        if base is not None and base != number:
+            raise Conflict(CONFLICT)
         for name, df in tables.items():
             folder = f"{self.root}/{name}/v-{mark}"
             df.write.parquet(folder)
             now[name] = folder
-        count = len(self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or [])
         draft = self._path(f"{self.root}/draft-{mark}")
         stream = self._fs.create(draft)
         stream.write(bytearray("".join(f"{k}\t{v}\n" for k, v in sorted(now.items())).encode()))
         stream.close()
-        # The pointer that readers resolve is the last by name; the rename is the only visible step, and fails if another writer was first.
-        if not self._fs.rename(draft, self._path(f"{self.root}/pointer-{count:012d}")):
-            raise RuntimeError("another writer has published meanwhile")
+        try:
+            self._files.rename(draft, self._path(f"{self.root}/pointer-{number:012d}"), self._no_overwrite)
+        except Py4JJavaError as problem:
+            self._fs.delete(draft, False)
+            if "FileAlreadyExists" in str(problem.java_exception):
+                raise Conflict(CONFLICT) from None
+            raise
+        self._base = number + 1

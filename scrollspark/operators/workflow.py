@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,12 +29,14 @@ def flagged(papers: DataFrame) -> DataFrame:
     return papers.withColumn("has_content", F.col("pdf_content").isNotNull()).withColumn("has_ocr", F.col("ocr_results").isNotNull())
 
 
-def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher: Callable[[], fetch.Fetcher] | None, *, limit: int | None = None, resume: bool = True, now: Column | None = None, workers: int = 4, delay: float = fetch.DELAY, **options) -> dict[str, int]:
+def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher: Callable[[], fetch.Fetcher] | None, *, limit: int | None = None, resume: bool = True, now: Column | None = None, workers: int = 4, delay: float = fetch.DELAY, tries: str | None = None, **options) -> dict[str, int]:
     """Loads metadata (unless lines is None), downloads what is wanted (unless fetcher is None), and reconciles flags.
 
     After loading, the papers of this run are downloaded; without loading, all that lack content.
+    tries: folder of finished downloads; a run that is given an earlier one's folder goes on where that ended.
     """
     now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
+    shop.begin()
     initialised(shop)
     counts = {"accepted": 0, "skipped": 0, "downloaded": 0, "failed": 0}
     if lines is not None:
@@ -45,7 +48,8 @@ def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher
         wanted = status.needing_pdf(flagged(shop.read("papers")), limit)
     if fetcher is not None:
         urls = wanted.select("id", parsing.url_of(url_base, F.col("id")).alias("url"))
-        shop.publish(outcomes=fetch.downloaded(urls, fetcher, workers=workers, delay=delay, **options))
+        tries = f"{shop.root}/tries/{uuid.uuid4().hex}" if tries is None else tries
+        shop.publish(outcomes=fetch.downloaded_in_slices(urls, fetcher, tries, workers=workers, delay=delay, **options))
         outcomes = shop.read("outcomes")
         shop.publish(papers=status.store_outcomes(shop.read("papers"), outcomes, now))
         failed = outcomes.where("error IS NOT NULL").count()
@@ -55,12 +59,14 @@ def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher
 
 
 def reconcile(shop: SnapshotStore) -> None:
+    shop.begin()
     papers = shop.read("papers")
     shop.publish(papers=status.reconciled(flagged(papers)).select(*papers.columns))
 
 
 def sync_folder(shop: SnapshotStore, files: DataFrame) -> int:
     """Sets the download flag to whether a file is there; returns how many flags changed."""
+    shop.begin()
     papers = shop.read("papers")
     found = status.file_sync(papers, files)
     changed = found.where("changed").count()
@@ -71,6 +77,7 @@ def sync_folder(shop: SnapshotStore, files: DataFrame) -> int:
 
 def load_files(shop: SnapshotStore, files: DataFrame, skip_existing: bool = True) -> dict[str, int]:
     """files: id, content.  Stores contents of papers; counts of loaded, skipped and unknown files."""
+    shop.begin()
     papers = shop.read("papers")
     have = papers.where("pdf_content IS NOT NULL").select("id")
     fresh = files.join(have, "id", "left_anti") if skip_existing else files
@@ -80,12 +87,14 @@ def load_files(shop: SnapshotStore, files: DataFrame, skip_existing: bool = True
     return {"loaded": new - strange, "skipped": total - new, "unknown": strange}
 
 
-def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], model: Callable[[], ocr_work.OcrModel] = lambda: ocr_work.mock_model, *, limit: int | None = 10, offset: int = 0, pages: int | None = None, per_run: int | None = 100, dpi: int = 200, retry_errors: bool = False, now: Column | None = None) -> int:
+def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], model: Callable[[], ocr_work.OcrModel] = lambda: ocr_work.mock_model, *, limit: int | None = 10, offset: int = 0, pages: int | None = None, per_run: int | None = 100, dpi: int = 200, retry_errors: bool = False, now: Column | None = None, **limits) -> int:
     """Recognises pages of candidate papers; returns how many papers were worked on.
 
     Page results are kept in the table ocr_pages, so that a paper's pages can be spread over several runs.
+    limits: seconds, recycle_after and devices of ocr_work.recognised().
     """
     now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
+    shop.begin()
     spark, papers = shop.spark, shop.read("papers")
     chosen = status.ocr_candidates(flagged(papers), limit, offset, retry_errors)
     source = papers.select("id", "pdf_content").join(chosen, "id", "left_semi")
@@ -114,7 +123,7 @@ def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], mod
     targets = work.where("error IS NULL").withColumn("target", ocr_work.target_pages(F.lit(pages).cast("int"), F.col("total"))).join(processed, "id", "left")
     plan = ocr_work.page_plan(targets, "id", per_run).select("id", F.col("page").cast("int").alias("page"), "is_partial")
     images = fetch.rendered(plan.join(source.withColumnRenamed("pdf_content", "content"), "id"), renderer, dpi)
-    shop.publish(ocr_pages=good.unionByName(ocr_work.recognised(images, "id", model)))
+    shop.publish(ocr_pages=good.unionByName(ocr_work.recognised(images, "id", model, **limits)))
     every = shop.read("ocr_pages").join(work.select("id"), "id", "left_semi")
     state = every.groupBy("id").agg(F.count_if(F.col("error").isNull()).alias("n"), F.array_compact(F.collect_list("error")).alias("errors"))
     box = F.struct(F.lit("text").alias("label"), F.col("content"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("score"), F.lit(None).cast("array<double>").alias("coordinate"))

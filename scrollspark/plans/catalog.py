@@ -7,6 +7,7 @@ conversation and a turn; a token sequence is the words of a document.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from scrollspark.functions import ocr_document, parsing, payload
 from scrollspark.operators import ingest, ocr_work, perplexity, profile, search, status, store
 from scrollspark.plans.oracles import ORACLE_SQL, PAPER_FLAGS
+from scrollspark.session import shared_folder
 from scrollspark.sources.files import table
 from scrollspark.streaming import incremental
 
@@ -293,12 +295,12 @@ def ppl_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(search.index(table(spark, sf_dir, "documents"), "doc_id"), "doc_id", ["the", "and"])
+    return search.search(search.index(table(spark, sf_dir, "documents"), "doc_id", ["source", "text"]), "doc_id", ["the", "und", "Der"])
 
 
 @query
 def fts_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.index(table(spark, sf_dir, "documents"), "doc_id")
+    return search.index(table(spark, sf_dir, "documents"), "doc_id", ["source", "text"])
 
 
 @query
@@ -311,16 +313,10 @@ def json_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file stream over JSON lines written from the documents, run to its end."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
-    root = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     docs.select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"))).alias("value")).write.text(f"{root}/in")
     return incremental.records_stream(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint")
 
 
-def _local_folder() -> str:
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="scrollspark-stream-")
+from scrollspark.plans import runs  # noqa: E402, F401  registers its queries

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from scrollspark.operators.search import STOP_WORDS
+
 #: Flags of a paper from a document's id and its label (null without one); valid in Spark and DuckDB.
 PAPER_FLAGS = {
     "has_content": "_label IS NOT NULL",
@@ -105,11 +107,117 @@ ORACLE_SQL = {
         FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rk FROM orders) WHERE rk <= 5""",
     "ppl_band": """
         SELECT doc_id, CASE WHEN n_chars < 10 THEN 'Very low' WHEN n_chars < 50 THEN 'Low' WHEN n_chars < 100 THEN 'Moderate' WHEN n_chars < 500 THEN 'High' ELSE 'Very high' END AS band FROM documents""",
-    "fts_search": """
-        WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS term FROM documents)
-        SELECT doc_id FROM t WHERE term IN ('the', 'and') GROUP BY 1 HAVING count(DISTINCT term) = 2""",
-    "fts_index": """
-        WITH t AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS term FROM documents)
-        SELECT term, doc_id, count(*) AS tf FROM t WHERE term <> '' GROUP BY 1, 2""",
     "stream_ingest": "SELECT CAST(doc_id AS VARCHAR) AS id, lang AS title FROM documents",
 }
+
+_LINES = """
+    l AS (SELECT doc_id AS o, CASE WHEN doc_id % 7 <> 0 THEN 'cs/' || CASE WHEN doc_id % 3 = 1 THEN doc_id - 1 ELSE doc_id END END AS id, lang || '-' || doc_id AS title, lang, source
+          FROM documents WHERE doc_id % 11 <> 0),
+    old AS (SELECT 'cs/' || doc_id AS id FROM documents WHERE doc_id % 10 = 0),
+    one AS (SELECT l.* FROM l JOIN (SELECT id, {pick}(o) AS o FROM l WHERE id IS NOT NULL GROUP BY 1) f ON l.id = f.id AND l.o = f.o)"""
+_FIRST, _LAST = _LINES.format(pick="min"), _LINES.format(pick="max")
+_S_STEM = r"CASE WHEN regexp_matches(t, '[^ea]ies$') THEN regexp_replace(t, 'ies$', 'y') WHEN regexp_matches(t, '[^aeo]es$') THEN regexp_replace(t, 's$', '') WHEN regexp_matches(t, '[^us]s$') THEN regexp_replace(t, 's$', '') ELSE t END"
+_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_TERMS = rf"""
+    raw AS (SELECT doc_id, unnest(regexp_split_to_array(lower(concat_ws(' ', source, text)), '[^\p{{L}}\p{{N}}]+')) AS t FROM documents),
+    terms AS (SELECT doc_id, {_S_STEM} AS term FROM raw WHERE t <> '' AND t NOT IN ({_STOPS}))"""
+_CHUNKS = "c AS (SELECT o_custkey AS doc_id, o_orderkey AS chunk, 1.0 + o_totalprice / 100000.0 AS ppl, 1 + o_orderkey % 7 AS n FROM orders)"
+
+ORACLE_SQL |= {
+    "fts_index": f"WITH {_TERMS} SELECT term, doc_id, count(*) AS tf FROM terms GROUP BY 1, 2",
+    "fts_search": f"WITH {_TERMS} SELECT doc_id FROM terms WHERE term IN ('und', 'der') GROUP BY 1 HAVING count(DISTINCT term) = 2",
+    "ingest_load": f"""
+        WITH {_FIRST} SELECT id, title, lang || '  ' || source || '  ' || lang AS categories, false AS pdf_downloaded, true AS created FROM one WHERE id NOT IN (SELECT id FROM old)
+        UNION ALL SELECT id, 'old', NULL, true, false FROM old""",
+    "ingest_refresh": f"""
+        WITH {_LAST} SELECT coalesce(old.id, one.id) AS id, coalesce(one.title, 'old') AS title, old.id IS NOT NULL AS pdf_downloaded, one.id IS NOT NULL AS updated
+        FROM one FULL JOIN old ON one.id = old.id""",
+    "ingest_links": f"""
+        WITH {_LAST} SELECT id AS paper_id, lang AS category FROM one UNION SELECT id, source FROM one UNION SELECT id, 'old' FROM old WHERE id NOT IN (SELECT id FROM one)""",
+    "ingest_categories": f"""
+        WITH {_FIRST}, new AS (SELECT * FROM one WHERE id NOT IN (SELECT id FROM old)) SELECT lang AS category, true AS created FROM new UNION SELECT source, true FROM new UNION SELECT 'old', false""",
+    "ingest_limited": f"""
+        WITH {_FIRST}, p AS (SELECT * FROM one WHERE o < 600), new AS (SELECT * FROM p WHERE id NOT IN (SELECT id FROM old) ORDER BY o LIMIT 40)
+        SELECT id, 'new' AS kind FROM new UNION ALL SELECT id, 'known' FROM p WHERE id IN (SELECT id FROM old) AND o < (SELECT max(o) FROM new)""",
+    "first_new": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 25",
+    "known_records": "SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
+    "numbered_lines": "SELECT * FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, CAST(doc_id AS VARCHAR) AS id FROM documents) WHERE ordinal < 700",
+    "ingest_stream": """
+        SELECT CAST(doc_id AS VARCHAR) AS id, lang || '-' || CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END AS title, source AS category FROM documents WHERE doc_id % 2 = 0 OR doc_id % 4 < 2""",
+    "record_fields": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '' END AS title, o_orderstatus AS journal_ref,
+        CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS report_no, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n_authors, CAST(0 AS INTEGER) AS n_versions,
+        CAST(o_orderdate AS DATE) AS update_date FROM orders""",
+    "snapshot_publish": "SELECT doc_id, lang, 'a' AS part FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT doc_id, lang, 'b' FROM documents WHERE doc_id % 3 = 0",
+    "migrated_papers": """
+        SELECT CAST(doc_id AS VARCHAR) AS id, lang AS title, doc_id % 10 = 0 AS pdf_downloaded, true AS no_error, CAST(20 AS INTEGER) AS n_columns, CAST(25 AS INTEGER) AS n_head FROM documents""",
+    "schema_violations": """
+        WITH p AS (SELECT CASE WHEN p_partkey % 50 <> 0 THEN repeat('p' || (p_partkey % 700), CASE WHEN p_partkey % 90 = 7 THEN 20 ELSE 1 END) END AS id FROM part),
+        c AS (SELECT CASE WHEN p_partkey % 400 <> 0 THEN p_brand END AS category FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 400 = 0),
+        k AS (SELECT 'p' || (p_partkey % 800) AS paper_id, CASE WHEN p_size < 45 THEN p_brand ELSE 'none' END AS category FROM part)
+        SELECT 'papers: id is null' AS "constraint", count(*) AS "rows" FROM p WHERE id IS NULL
+        UNION ALL SELECT 'papers: id is too long', count(*) FROM p WHERE length(id) > 50
+        UNION ALL SELECT 'papers: id is not unique', count(*) FROM (SELECT id FROM p GROUP BY id HAVING count(*) > 1)
+        UNION ALL SELECT 'categories: category is null', count(*) FROM c WHERE category IS NULL
+        UNION ALL SELECT 'categories: category is not unique', count(*) FROM (SELECT category FROM c GROUP BY category HAVING count(*) > 1)
+        UNION ALL SELECT 'links: pair is not unique', count(*) FROM (SELECT paper_id FROM k GROUP BY paper_id, category HAVING count(*) > 1)
+        UNION ALL SELECT 'links: paper is missing', count(*) FROM k WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.id = k.paper_id)
+        UNION ALL SELECT 'links: category is missing', count(*) FROM k WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.category = k.category)""",
+    "upsert_legacy": """
+        WITH s AS (SELECT doc_id + 100 AS id, source AS title, '/new/' || doc_id AS pdf_path FROM documents WHERE doc_id % 3 = 0)
+        SELECT coalesce(d.doc_id, s.id) AS id, CASE WHEN s.id IS NULL THEN d.lang ELSE s.title END AS title, coalesce(s.pdf_path, '/old') AS pdf_path,
+        CASE WHEN d.doc_id IS NULL THEN false ELSE d.doc_id % 2 = 0 END AS pdf_downloaded, s.id IS NOT NULL AS updated FROM documents d FULL JOIN s ON d.doc_id = s.id""",
+    "categories_added": """
+        WITH k AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS category FROM part WHERE p_partkey % 40 = 0),
+        w AS (SELECT DISTINCT unnest(string_split(p_name || ' ' || p_type, ' ')) AS category FROM part)
+        SELECT category, CASE WHEN category IN (SELECT category FROM k) THEN 'known' END AS label FROM (SELECT * FROM w UNION SELECT * FROM k) WHERE category <> ''""",
+    "paper_cascade": """
+        WITH k AS (SELECT DISTINCT p_partkey AS id, CASE c WHEN 'small' THEN 'ring' WHEN 'ring' THEN 'band' ELSE c END AS category FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS c FROM part) WHERE c <> '')
+        SELECT p_partkey AS id, category FROM part LEFT JOIN k ON p_partkey = k.id WHERE p_size <= 20""",
+    "outcomes_legacy": f"""
+        WITH {_P} SELECT id, CASE WHEN quality IS NULL THEN pdf_downloaded ELSE quality <> 0 END AS pdf_downloaded,
+        CASE WHEN quality IS NULL THEN pdf_download_error WHEN quality = 0 THEN 'HTTP 500' END AS pdf_download_error FROM p LEFT JOIN labels USING (doc_id)""",
+    "files_from_folder": """
+        SELECT 'p/' || (page_id * 5) AS id, octet_length(encode('%PDF-' || html)) AS length, sha256('%PDF-' || html) AS sha256, page_id * 5 IN (SELECT doc_id FROM documents) AS matched FROM pages""",
+    "files_loaded": f"""
+        WITH {_P}, f AS (SELECT page_id * 3 AS doc_id, html FROM pages)
+        SELECT id, CAST(octet_length(encode('%PDF-' || html)) AS INTEGER) AS bytes, f.html IS NOT NULL OR pdf_downloaded AS pdf_downloaded, pdf_download_error FROM p LEFT JOIN f USING (doc_id)
+        UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(-1 AS INTEGER), NULL, 'no paper' FROM f WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
+    "paths_and_urls": """
+        SELECT page_id, '/data/cs__' || page_id || '.pdf' AS path, 'https://x.org/pdf/cs/' || page_id || '.pdf' AS url, 'cs/' || page_id AS id, page_id % 4 <> 1 AS type_ok FROM pages""",
+    "downloads": """
+        SELECT CAST(page_id AS VARCHAR) AS id, CASE WHEN page_id % 5 <> 0 AND page_id % 7 <> 0 AND page_id % 11 <> 0 AND page_id % 13 <= 11 THEN CAST(5 + page_id % 13 AS INTEGER) END AS bytes,
+        CASE WHEN page_id % 5 = 0 THEN 'HTTP 404' WHEN page_id % 7 = 0 THEN 'unexpected content type text/html' WHEN page_id % 13 > 11 THEN 'too large' WHEN page_id % 11 = 0 THEN 'bad signature' END AS error FROM pages""",
+    "pages_rendered": """
+        WITH b AS (SELECT page_id, hex(encode(html)) AS h, octet_length(encode(html)) AS n FROM pages)
+        SELECT CAST(page_id AS VARCHAR) AS id, CAST(k AS INTEGER) AS page, md5(unhex(substr(h, CAST(8000 * k + 1 AS BIGINT), 8000))) AS image_md5 FROM b, range(0, (SELECT max(n) // 4000 + 1 FROM b)) r(k) WHERE 4000 * k < n""",
+    "ocr_save": f"""
+        WITH {_P}, q AS (SELECT p.*, l.doc_id IS NOT NULL AS has, quality, toxic, coalesce(quality = 1 AND toxic = 0, false) AS done FROM p LEFT JOIN labels l USING (doc_id))
+        SELECT id, CASE WHEN has AND quality = 1 THEN 'new' WHEN doc_id % 2 = 0 THEN 'old' END AS ocr_results, done OR doc_id % 5 = 0 AS ocr_processed, done AS timed,
+        CASE WHEN done THEN NULL WHEN toxic = 1 THEN 'bad page' WHEN doc_id % 3 = 0 THEN 'old error' END AS ocr_error FROM q""",
+    "ocr_last_results": "SELECT conv_id, turn % 3 AS page_index, max(turn) AS position, arg_max(role, turn) AS role FROM conversations GROUP BY 1, 2",
+    "ocr_errors": """
+        SELECT conv_id, string_agg(role || ' ' || turn, '; ' ORDER BY turn) AS error FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) WHERE k <= 3 GROUP BY 1""",
+    "ocr_dpi": "SELECT DISTINCT conv_id, CAST(200 AS INTEGER) AS dpi, CAST(72 AS INTEGER) AS wanted FROM conversations",
+    "ocr_boxes": """
+        SELECT conv_id, CAST(0 AS INTEGER) AS page_index, '#808080' AS colour, row_number() OVER (PARTITION BY conv_id ORDER BY turn) || '. ' || role || ' (0.50)' AS caption,
+        CAST(length(role) AS DOUBLE) AS top FROM conversations""",
+    "json_scrub": """
+        SELECT conv_id, turn, CAST(CASE WHEN text IS NULL THEN json_object('layout', json_object('page_index', turn), 'role', role)
+        ELSE json_object('content', text, 'layout', json_object('page_index', turn), 'role', role) END AS VARCHAR) AS document FROM conversations""",
+    "ppl_model_scores": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents), n AS (SELECT doc_id, ws, len(ws) AS n FROM d),
+        w AS (SELECT doc_id, ws, n, k AS chunk, k * 64 AS b, least(k * 64 + 128, n) AS e FROM n, range(0, (SELECT max(n) // 64 + 2 FROM n)) r(k) WHERE n > 1 AND (k = 0 OR (k - 1) * 64 + 128 < n)),
+        s AS (SELECT doc_id, chunk, ws, b, e, CASE WHEN n <= 128 THEN n WHEN chunk = 0 THEN e - b - 1 WHEN 64 < e - b THEN e - b - 64 ELSE e - b END AS scored FROM w),
+        f AS (SELECT *, CASE WHEN chunk = 0 THEN b + 2 ELSE e - scored + 1 END AS a FROM s)
+        SELECT doc_id, chunk, round(list_avg(list_transform(ws[a : e], lambda x: length(x))), 6) AS nll, scored FROM f""",
+    "ppl_report": f"""
+        WITH {_CHUNKS}, g AS (SELECT doc_id, exp(sum(ln(ppl) * n) / sum(n)) AS m, max(ppl) AS x, count(*) AS k, sum(n) AS t FROM c GROUP BY 1)
+        SELECT c_custkey * 2 AS doc_id, coalesce(round(m, 4), CAST('Infinity' AS DOUBLE)) AS mean_ppl, coalesce(round(x, 4), CAST('Infinity' AS DOUBLE)) AS max_ppl, coalesce(k, 0) AS num_chunks,
+        CAST(coalesce(t, 0) AS BIGINT) AS total_tokens FROM customer LEFT JOIN g ON doc_id = c_custkey * 2""",
+    "ppl_chunk_lists": f"WITH {_CHUNKS} SELECT doc_id, string_agg(chunk || ':' || CAST(round(ppl * 1000) AS BIGINT), ' ' ORDER BY chunk) AS chunks FROM c GROUP BY 1",
+    "run_rate": """
+        WITH e AS (SELECT count(*) FILTER (WHERE event_type <> 'error') AS records, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM events)
+        SELECT records, round(seconds, 3) AS seconds, round(records / seconds, 6) AS rate FROM e""",
+    "profile_years_of_lines": "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS articles FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 5 > 0 GROUP BY 1",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zipfile
 from pathlib import Path
 from tempfile import mkdtemp
@@ -31,6 +32,21 @@ def create(app: str = "scrollspark", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a local session gets a folder of this machine, and a cluster an error.
+    """
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(mkdtemp(prefix="scrollspark-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Sends this package to the executors once per application, so that their Python workers can import it."""
     context = spark.sparkContext

@@ -6,13 +6,17 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
+from urllib.error import HTTPError
+from urllib.request import Request, urlopen
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from scrollspark.functions.payload import MAX_BYTES, PDF_SIGNATURE
 
 DELAY, RETRIES, TIMEOUT = 3.0, 3, 30.0
+OUTCOME = "id string, content binary, error string"
 
 
 @dataclass
@@ -27,6 +31,29 @@ class Fetcher(Protocol):
     def __call__(self, url: str, timeout: float) -> Response: ...
 
 
+@dataclass
+class HttpFetcher:
+    """GET over HTTP with the standard library; the body is read in pieces and no further than one byte beyond max_bytes."""
+
+    max_bytes: int = MAX_BYTES
+    piece: int = 1 << 16
+    agent: str = "scrollspark"
+
+    def __call__(self, url: str, timeout: float) -> Response:
+        try:
+            answer = urlopen(Request(url, headers={"User-Agent": self.agent}), timeout=timeout)
+        except HTTPError as refusal:
+            answer = refusal
+        with answer:
+            length = answer.headers.get("Content-Length")
+            if length is not None and length.strip().isdigit() and int(length) > self.max_bytes:
+                return Response(answer.status, answer.headers.get("Content-Type"), length, b"")
+            body = bytearray()
+            while len(body) <= self.max_bytes and (piece := answer.read(min(self.piece, self.max_bytes + 1 - len(body)))):
+                body += piece
+            return Response(answer.status, answer.headers.get("Content-Type"), length, bytes(body))
+
+
 def problem(response: Response, max_bytes: int = MAX_BYTES) -> str | None:
     """Why a response is not a usable PDF; None if it is."""
     kind = (response.content_type or "").lower()
@@ -74,7 +101,22 @@ def downloaded(urls: DataFrame, load: Callable[[], Fetcher], workers: int = 4, d
                 content, error = with_retries(fetch, url, **options)
                 yield pd.DataFrame({"id": [ident], "content": [content], "error": [error]})
 
-    return urls.select("id", "url").repartition(workers).mapInPandas(run, "id string, content binary, error string")
+    return urls.select("id", "url").repartition(workers).mapInPandas(run, OUTCOME)
+
+
+def downloaded_in_slices(urls: DataFrame, load: Callable[[], Fetcher], folder: str, slices: int = 16, **options) -> DataFrame:
+    """As downloaded(), but slice by slice by hash of the id, each written to the folder when it is done.
+
+    Ids that the folder has are not asked for again, so a run that was broken off goes on.
+    """
+    spark = urls.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.parquet"))
+    done = spark.read.schema(OUTCOME).parquet(folder) if there else spark.createDataFrame([], OUTCOME)
+    left = urls.join(done.select("id"), "id", "left_anti")
+    for k in range(slices):
+        downloaded(left.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == k), load, **options).write.mode("append").parquet(folder)
+    return spark.read.schema(OUTCOME).parquet(folder)
 
 
 def saved(contents: DataFrame, folder: str) -> DataFrame:

@@ -55,17 +55,20 @@ def shown_url(url: str) -> str:
     return f"{head}{sep}{user}{':***' if colon else ''}{at}{place}"
 
 
+def _asked() -> str:
+    from getpass import getpass
+
+    return getpass("Password of the database: ")
+
+
 def resolve_password(password_file: str | None = None, prompt: bool = False, env_var: str = "DB_PASSWORD") -> str:
-    """From a file, else the environment, else a prompt, else empty."""
-    if password_file:
-        return Path(password_file).read_text().strip()
-    if value := os.environ.get(env_var):
-        return value
-    if prompt:
-        from getpass import getpass
-
-        return getpass("Database password: ")
-    return ""
+    """The first answer of: the file named, the environment, a question where that is allowed."""
+    answers = (
+        lambda: password_file and Path(password_file).read_text().strip(),
+        lambda: os.environ.get(env_var),
+        lambda: prompt and _asked(),
+    )
+    return next(filter(None, (answer() for answer in answers)), "")
 
 
 def jdbc(spark: SparkSession, url: str, name: str, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8) -> DataFrame:

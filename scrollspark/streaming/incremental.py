@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,12 @@ def ingest_stream(spark: SparkSession, folder: str, store: SnapshotStore, checkp
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def apply(batch: DataFrame, _: int) -> None:
+        store.begin()
         lines = ingest.with_ordinals(batch)
         result = ingest.load(lines, store.read("papers"), store.read("categories"), store.read("links"), **options)
         store.publish(papers=result.papers, categories=result.categories, links=result.links)
 
-    reader.load(folder).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    ingest.placed(reader.load(folder)).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def records_stream(spark: SparkSession, folder: str, target: str, checkpoint: str) -> DataFrame:
@@ -35,10 +37,23 @@ def records_stream(spark: SparkSession, folder: str, target: str, checkpoint: st
     return spark.read.schema("id string, title string").parquet(target)
 
 
-def poll(spark: SparkSession, select: Callable[[], DataFrame], handle: Callable[[DataFrame], None]) -> bool:
+def poll(select: Callable[[], DataFrame], handle: Callable[[DataFrame], None]) -> bool:
     """One turn of a worker: handles what there is to do; whether there was anything."""
     work = select()
     if work.isEmpty():
         return False
     handle(work)
     return True
+
+
+def work(select: Callable[[], DataFrame], handle: Callable[[DataFrame], None], idle_limit: int = 30, pause: float = 10.0, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Turns of a worker until it finds nothing to do so many times one after the other; returns how many turns had work."""
+    busy = idle = 0
+    while idle < idle_limit:
+        if poll(select, handle):
+            busy, idle = busy + 1, 0
+        else:
+            idle += 1
+            if idle < idle_limit:
+                sleep(pause)
+    return busy

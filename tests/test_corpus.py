@@ -1,14 +1,21 @@
 """Edge tables of parsing, ingest, store, status, OCR work, scoring, search, downloads and streams."""
 
 import datetime as dt
+import functools
+import http.server
 import json
 import random
+import struct
+import threading
+import time
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scrollspark.functions import ocr_document, parsing, payload
+from scrollspark import cli
+from scrollspark.functions import ocr_document, parsing, payload, raster
 from scrollspark.operators import ingest, ocr_work, perplexity, profile, schema, search, status, store
 from scrollspark.sources import fetch, files
 from scrollspark.streaming import incremental
@@ -150,6 +157,51 @@ def test_store_publishes_tables_together(spark, tmp_path):
     assert (shop.read("a").count(), shop.read("b").count(), before.count(), shop.tables()) == (5, 1, 3, ["a", "b"])
 
 
+def test_only_one_of_two_writers_publishes(spark, tmp_path):
+    first, second = (store.SnapshotStore(spark, str(tmp_path)) for _ in range(2))
+    first.publish(x=spark.range(1), y=spark.range(1))
+    # The second publishes y while the first writes x.
+    first.read("x"), second.read("y")
+    second.publish(y=spark.range(5))
+    with pytest.raises(store.Conflict):
+        first.publish(x=spark.range(3))
+    assert (second.read("x").count(), second.read("y").count()) == (1, 5)
+    first.begin()
+    first.publish(x=first.read("x").union(spark.range(2)))
+    assert (second.read("x").count(), second.read("y").count()) == (3, 5)
+    # The pointer's number and content come from one listing: the other is first after it.
+    pointer = store.SnapshotStore._pointer
+
+    def late(self):
+        found = pointer(self)
+        if self is first:
+            second.begin()
+            second.publish(y=spark.range(9))
+        return found
+
+    first.begin()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(store.SnapshotStore, "_pointer", late)
+        with pytest.raises(store.Conflict):
+            first.publish(x=spark.range(7))
+    assert (first.read("x").count(), first.read("y").count()) == (3, 9)
+    assert not list(tmp_path.glob("draft-*"))
+
+
+def test_migrations_of_a_store(spark, tmp_path):
+    shop = store.SnapshotStore(spark, str(tmp_path))
+    assert schema.level_of(shop) == 0 and schema.run_migrations(shop, 2) == [1, 2]
+    row = spark.createDataFrame([("1", True)], "id string, pdf_downloaded boolean")
+    shop.publish(papers=shop.read("papers").unionByName(row, allowMissingColumns=True))
+    assert schema.run_migrations(shop) == [3, 4] and schema.run_migrations(shop) == []
+    found = shop.read("papers").first()
+    assert (found["pdf_downloaded"], found["ocr_processed"], found["pdf_content"]) == (True, False, None)
+    assert schema.run_migrations(shop, 1) == [3, 2, 1] and shop.read("papers").columns == [n for n, _, _ in schema.LEVELS[1]]
+    assert set(shop.tables()) == {"papers", "categories", "links", schema.VERSION_TABLE}
+    with pytest.raises(ValueError):
+        schema.run_migrations(shop, 5)
+
+
 def test_cascade_and_rename(spark):
     papers = spark.createDataFrame([("1",), ("2",)], "id string")
     links = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "a")], schema.LINKS)
@@ -209,6 +261,69 @@ def test_retries():
     assert fetch.problem(fetch.Response(200, "", "999", b"%PDF-"), 10) == "too large"
 
 
+class Handler(http.server.BaseHTTPRequestHandler):
+    """Answers by the path; /long has no length, /huge says a large one."""
+
+    def do_GET(self):
+        if self.path == "/gone":
+            return self.send_error(404)
+        self.send_response(200)
+        self.send_header("Content-Type", "text/html" if self.path == "/page" else "application/pdf")
+        if self.path == "/huge":
+            self.send_header("Content-Length", str(10**9))
+        self.end_headers()
+        try:
+            self.wfile.write(b"%PDF-" + (b"x" * 100_000 if self.path in ("/long", "/huge") else b"fine"))
+        except OSError:
+            pass
+
+    def log_message(self, *args):
+        pass
+
+
+@pytest.fixture
+def server():
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler) as found:
+        threading.Thread(target=found.serve_forever, daemon=True).start()
+        yield f"http://127.0.0.1:{found.server_port}"
+        found.shutdown()
+
+
+def test_http(spark, server, tmp_path):
+    load = functools.partial(fetch.HttpFetcher, max_bytes=1000, piece=64)
+    want = {"good": (9, None), "page": (None, "unexpected content type text/html"), "gone": (None, "HTTP 404"), "huge": (None, "too large"), "long": (None, "too large")}
+    urls = spark.createDataFrame([(k, f"{server}/{k}") for k in want], "id string, url string")
+    rows = fetch.downloaded(urls, load, workers=2, delay=0, pause=0, max_bytes=1000).collect()
+    assert {r["id"]: (r["content"] and len(r["content"]), r["error"]) for r in rows} == want
+    assert len(load()(f"{server}/long", 5).body) == 1001 and load()(f"{server}/huge", 5).body == b""
+    closed = spark.createDataFrame([("x", "http://127.0.0.1:9/x")], "id string, url string")
+    assert "refused" in fetch.downloaded(closed, load, workers=1, delay=0, pause=0, retries=2).first()["error"]
+
+
+def test_broken_off_downloads_go_on(spark, tmp_path):
+    def load(marks, broken):
+        def get(url, timeout):
+            (marks / f"{url}-{time.monotonic_ns()}").touch()
+            if url == "7" and broken:
+                raise SystemExit("the executor is gone")
+            return fetch.Response(200, None, None, b"%PDF-" + url.encode())
+
+        return lambda: get
+
+    urls = spark.createDataFrame([(str(i), str(i)) for i in range(12)], "id string, url string")
+    run = lambda broken: fetch.downloaded_in_slices(urls, load(tmp_path / "asked", broken), str(tmp_path / "out"), slices=6, workers=1, delay=0)
+    (tmp_path / "asked").mkdir()
+    with pytest.raises(Exception, match="."):
+        run(True)
+    before = {x.name.split("-")[0] for x in (tmp_path / "asked").iterdir()}
+    for x in (tmp_path / "asked").iterdir():
+        x.unlink()
+    got = run(False)
+    after = [x.name.split("-")[0] for x in (tmp_path / "asked").iterdir()]
+    assert sorted(r["id"] for r in got.collect()) == sorted(str(i) for i in range(12))
+    assert len(after) == len(set(after)) and before - set(after) and set(after) | before == {str(i) for i in range(12)}
+
+
 def test_downloads_and_files(spark, tmp_path):
     def load():
         return lambda url, timeout: fetch.Response(200 if "good" in url else 404, None, None, b"%PDF-" + url.encode())
@@ -305,9 +420,13 @@ def test_model_scores_use_the_plan(spark):
 
 def test_search(spark):
     docs = spark.createDataFrame([(1, "The cat and the dog"), (2, "the CAT"), (3, ""), (4, None)], "doc_id bigint, text string")
-    index = search.index(docs, "doc_id")
-    assert sorted(one(search.search(index, "doc_id", ["Cat", "the"]))) == [(1,), (2,)]
-    assert ("the", 1, 2) in one(index) and "the" not in {t for t, _, _ in one(search.index(docs, "doc_id", stops=search.stop_words()))}
+    index = search.index(docs, "doc_id", stops=())
+    assert sorted(one(search.search(index, "doc_id", ["Cats", "the"]))) == [(1,), (2,)]
+    assert ("the", 1, 2) in one(index) and "the" not in {t for t, _, _ in one(search.index(docs, "doc_id"))}
+    papers = spark.createDataFrame([(1, "Müller, 李", "Queries in 2024", "flies buses glass gas"), (2, None, "query", None)], "id bigint, authors string, title string, abstract string")
+    columns = ["authors", "title", "abstract"]
+    assert {t for t, i, _ in one(search.index(papers, "id", columns)) if i == 1} == {"müller", "李", "query", "2024", "fly", "buse", "glass", "ga"}
+    assert sorted(one(search.search(search.index(papers, "id", columns), "id", ["queries"]))) == [(1,), (2,)]
 
 
 def test_a_stream_reads_each_file_once(spark, tmp_path):
@@ -319,4 +438,83 @@ def test_a_stream_reads_each_file_once(spark, tmp_path):
         (tmp_path / f"in/{i}.jsonl").write_text("".join(json.dumps({"id": f"{i}.{k}", "categories": "c"}) + "\n" for k in range(3)))
         incremental.ingest_stream(spark, str(tmp_path / "in"), shop, str(tmp_path / "checkpoint"))
         assert shop.read("papers").count() == 3 * (i + 1) and shop.read("categories").count() == 1
-    assert not incremental.poll(spark, lambda: spark.range(0), lambda df: None)
+    assert not incremental.poll(lambda: spark.range(0), lambda df: None)
+
+
+def test_workers_stop_when_idle(spark):
+    todo, pauses = [3, 0, 2, 0, 0, 5], []
+    select = lambda: spark.range(todo.pop(0))
+    done = []
+    assert incremental.work(select, lambda df: done.append(df.count()), idle_limit=2, sleep=pauses.append) == 2
+    assert done == [3, 2] and todo == [5] and pauses == [10.0, 10.0]
+
+
+def test_time_of_a_batch_of_pages(spark):
+    now, loads = [0.0], []
+    hang = threading.Event()
+
+    def load():
+        loads.append(1)
+
+        def model(image, page):
+            if page == 2:
+                hang.wait(5)
+            if page == 4:
+                raise ValueError("unreadable")
+            now[0] += 1
+            return str(page)
+
+        return model
+
+    model = ocr_work.Recycled(load, 0.2, 3, clock=lambda: now[0] / 1000)
+    model.begin()
+    assert [model(b"", p) for p in (0, 1)] == ["0", "1"]
+    with pytest.raises(ocr_work.TimedOut):
+        model(b"", 2)
+    hang.set()
+    with pytest.raises(ValueError):
+        model(b"", 4)
+    assert [model(b"", p) for p in (5, 6, 7)] == ["5", "6", "7"] and len(loads) == 3
+    now[0] = 300.0
+    with pytest.raises(ocr_work.TimedOut):
+        model(b"", 8)
+    assert (ocr_work.queue_size(1, 2), ocr_work.queue_size(2, 8), ocr_work.queue_size(8, 8)) == (8, 32, 64)
+    pages = spark.createDataFrame([("a", i, b"x") for i in range(4)], "id string, page int, image binary").repartition(2, "page")
+    got = ocr_work.recognised(pages, "id", lambda device: lambda image, page: device, seconds=60.0, recycle_after=1, devices=("gpu0", "gpu1"))
+    assert {r["content"] for r in got.collect()} <= {"gpu0", "gpu1"}
+
+
+def test_pictures(spark, tmp_path):
+    boxes = [("Text", [2.0, 3.0, 20.0, 12.0]), ("table", [30.0, 5.0, 400.0, 25.0]), ("table", [1.0])]
+    document = {"results": [{"page_index": 0, "dpi": 100, "layout_det_res": {"boxes": [{"label": n, "content": "", "text": "", "score": "0.5", "coordinate": c} for n, c in boxes]}}], "total_pages": 1, "processed_pages": 1}
+    df = spark.createDataFrame([("k", document)], f"id string, document {ocr_document.DOCUMENT}")
+    row = raster.page_pictures(df, "id", width=60, height=40).first()
+    picture, texts = read_png(bytes(row["png"]))
+    assert texts == ["1. Text (0.50)", "2. table (0.50)"] and picture.shape == (40, 60 + raster.PANEL, 3)
+    assert tuple(picture[3, 10]) == ocr_document.COLOURS["text"] and tuple(picture[15, 31]) == ocr_document.COLOURS["table"] and tuple(picture[8, 10]) == raster.WHITE
+    picture, texts = read_png(raster.report({2007: 4, 2008: 8}, {1: 5}))
+    assert texts == ["2007: 4", "2008: 8", "1: 5"] and picture.shape == (400, 1280, 3)
+    dark = (picture == raster.INK).all(axis=2)
+    assert dark[:, 100].sum() * 2 == dark[:, 500].sum() == 380
+    (tmp_path / "in.jsonl").write_text(json.dumps({"id": "1", "versions": [{"version": "v1", "created": "Mon, 2 Apr 2007 19:18:42 GMT"}]}) + "\n")
+    assert cli.main(["profile", str(tmp_path / "in.jsonl"), "--png", str(tmp_path / "out.png")]) == 0
+    assert read_png((tmp_path / "out.png").read_bytes())[1] == ["2007: 1", "1: 1"]
+
+
+def read_png(raw):
+    """Picture and texts of an 8-bit RGB file without filters."""
+    at, body, texts, size = 8, b"", [], None
+    while at < len(raw):
+        n, kind = struct.unpack(">I4s", raw[at : at + 8])
+        part = raw[at + 8 : at + 8 + n]
+        assert struct.unpack(">I", raw[at + 8 + n : at + 12 + n])[0] == zlib.crc32(kind + part)
+        if kind == b"IHDR":
+            size = struct.unpack(">II", part[:8])
+        elif kind == b"IDAT":
+            body += part
+        elif kind == b"iTXt":
+            texts.append(part.split(b"\0", 5)[5].decode())
+        at += 12 + n
+    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(size[1], -1)
+    assert not rows[:, 0].any()
+    return rows[:, 1:].reshape(size[1], size[0], 3), texts
