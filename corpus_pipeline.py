@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrollspark.llm import exact_dedup, jaccard_join, mixing, sentencepiece_nbest, toxicity
 from scrollspark.llm.queries import N_BEST, PIECE_MODEL, TOXIC_FROM
-from scrollspark.llm.tables import table, written
+from scrollspark.llm.tables import fresh_path, removed, scratch, table
 from scrollspark.session import ship
 
 
@@ -55,8 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over documents."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, one after the other, over documents.  What a stage has read and written for itself is deleted after it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.split()[0].lower()}")
+        with scratch() as made:
+            out = stage(spark, docs, sf_dir)
+            path = fresh_path(spark, f"stage-{name.split()[0].lower()}")
+            out.write.parquet(path)
+            docs = spark.read.schema(out.schema).parquet(path)
+        removed(spark, *(x for x in [*made, before] if x not in (path, None)))
+        before = path
     return docs

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scrollspark.session import shared_folder
 
 # Joins of whole documents with tables of ids carry the hint "merge": such tables grow with the
 # corpus, so the plan is the same at every size and never leans on a broadcast.
@@ -18,23 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+_open: list[list[str]] = []
 
-    Only where it is unset, as in local tests, is a folder of this machine used.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scrollspark-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+
+@contextlib.contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The folders that are made inside, for whoever may delete them once their tables are read."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.pop()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/scrollspark-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/scrollspark-{name}-{uuid.uuid4().hex}"
+    for made in _open:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ import struct
 import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from scrollspark.llm import bytesops, chat_format, exact_dedup, graph, jaccard_join, jpeg_media, mixing, queries, sentencepiece_nbest, suffix_dedup, toxicity, url_rules, warc
+from scrollspark.llm import bytesops, chat_format, exact_dedup, graph, jaccard_join, jpeg_media, mixing, queries, sentencepiece_nbest, suffix_dedup, tables, toxicity, url_rules, warc
 from tests.conftest import rows_of, rows_of_sql
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -804,9 +805,25 @@ def test_pipeline_stages(spark, data):
         left = {r["doc_id"] for r in docs.collect()}
         assert left <= seen
         seen = left
-    last = pipeline.run(spark, data)
+    with tables.scratch() as made:
+        last = pipeline.run(spark, data)
     assert {r["doc_id"] for r in last.collect()} == seen and "n_tokens" in last.columns
+    there = [x for x in made if Path(x.removeprefix("file:")).exists()]
+    assert len(made) > 10 and len(there) == 1 and "stage-sentencepiece" in there[0]
     texts = [r["text"] for r in docs.dropDuplicates(["doc_id"]).collect()]
     assert len({t.translate(FOLD) for t in texts}) == len(texts)
     found = brute_components(texts)
     assert all(root == i for i, (_, root) in enumerate(found))
+
+
+def test_pipeline_stages_take_edges(spark, data):
+    import corpus_pipeline as pipeline
+
+    texts, ids = [*EDGES, *near_copies(10), None, "", "same text"], [None, *range(1, 9), None, *range(10, len(EDGES)), *range(100, 110), None, None, 3]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, `a.b` string, _id string, _text string, _row string, _key string, key string, token string, pass int, block int"
+    docs = spark.createDataFrame([(i, t, None, None if k % 3 else "s", None, 0.5, "x", "x", "x", "x", "x", "x", "x", 1, 1) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], names)
+    for name, stage in pipeline.STAGES:
+        docs, empty = stage(spark, docs, data), stage(spark, docs.limit(0), data)
+        assert docs.count() > 0 and empty.count() == 0 and empty.columns == docs.columns, name
+    kept = {r["doc_id"] for r in docs.collect()}
+    assert None in kept and len(kept) > 5
