@@ -16,19 +16,19 @@ Suffixes are kept at content-selected positions only: the minimisers of runs of
 4.  Suffixes whose neighbours do not settle both sides are also compared by all
     ways to split ``least - gram`` words between left and right, so that a third
     document with a longer match on one side cannot hide a repeat.
-5.  Runs that very many documents share are not sorted in one place: their suffixes
-    leave the hashes of all their windows, which partial aggregation combines
-    before the shuffle, and the repeated ones are joined back.
+5.  Runs at more than ``hot_rows`` positions are sorted in several places, dealt by document and place,
+    so that no task grows with a run.  What neighbours leave open there is settled by the same
+    splits across places: the suffixes leave the hashes of all their windows,
+    which partial aggregation combines before the shuffle, and the repeated ones are joined back.
 
 A document's spans are the union of its matches, so they cover exactly the words of all
 its windows of ``least`` words that another document has too.  Words are compared with
 A-Z lower-cased, by 64-bit hashes in runs and windows and by 32-bit hashes of single
 words elsewhere.
 
-Which step decides: texts with equal words, the hash of all their words (1); suffixes
-that match a neighbour of the sorted array as far as they reach on both sides, the array (3);
-all suffixes of a run of which one is left, the splits (4), because neighbours in the order of one
-side need not be the best on the other; runs at more than ``hot_rows`` places, windows (5).
+Which step decides: texts with equal words, the hash of all their words (1); matches of
+neighbours in the sorted arrays, the arrays (3); the rest, the splits (4, 5), because neighbours
+in the order of one side need not be the best on the other.
 
 Edge cases: ids that are not integers are told apart by 64-bit hashes; null and empty texts, texts of fewer words and rows without id have no
 spans; repeats inside one document do not count; rows that share an id are one
@@ -134,21 +134,23 @@ def _of_texts(make):
 
 
 class Suffixes:
-    """Rows of runs with the words on both sides."""
+    """Rows of runs with the words on both sides; part: where the suffix is sorted, of so many parts of its run."""
 
-    names = ("run", "doc", "at", "before", "after")
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    names = ("run", "part", "parts", "doc", "at", "before", "after")
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
 
     def __init__(self, gram: int, least: int):
         self.gram, self.width = gram, least - gram
 
-    def __call__(self, doc: int, words: np.ndarray, places: list[int]) -> Iterator[tuple]:
+    def __call__(self, doc: int, words: np.ndarray, places: list[dict]) -> Iterator[tuple]:
         short, h = (words >> np.uint64(32)).astype(">u4"), shingle_hashes(words, self.gram)
-        for at in places:
+        drawn = mix(np.array([p["at"] for p in places], np.uint64) * np.uint64(STEP) + np.uint64(doc & (1 << 64) - 1)) >> np.uint64(33)
+        for place, spread in zip(places, drawn.tolist(), strict=True):
+            at, parts = place["at"], place["parts"]
             if at + self.gram > len(words):  # a place of another text with this id
                 continue
             left, right = _sides(short, at, self.gram, self.width)
-            yield int(h[at].view(np.int64)), doc, at, left.tobytes(), right.tobytes()
+            yield int(h[at].view(np.int64)), spread % parts, parts, doc, at, left.tobytes(), right.tobytes()
 
 
 class Windows:
@@ -160,9 +162,9 @@ class Windows:
     def __init__(self, gram: int, least: int):
         self.width, self.least = least - gram, least
 
-    def __call__(self, doc: int, words: np.ndarray, places: list[int]) -> Iterator[tuple]:
+    def __call__(self, doc: int, words: np.ndarray, places: list[dict]) -> Iterator[tuple]:
         h = shingle_hashes(words, self.least).view(np.int64) if len(words) >= self.least else words[:0]
-        for start in sorted({s for at in places for s in range(max(0, at - self.width), min(at + 1, len(h)))}):
+        for start in sorted({s for p in places for s in range(max(0, p["at"] - self.width), min(p["at"] + 1, len(h)))}):
             yield doc, start, int(h[start])
 
 
@@ -189,8 +191,11 @@ def _fronts(words: np.ndarray, step: int) -> np.ndarray:
     return out
 
 
-def compared(run: np.ndarray, doc: np.ndarray, before: list[bytes], after: list[bytes], gram: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Matches of suffixes as (row, words left, words right of the run) with other documents."""
+def compared(run: np.ndarray, whole: np.ndarray, doc: np.ndarray, before: list[bytes], after: list[bytes], gram: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches of suffixes as (row, words left, words right of the run) with other documents.
+
+    whole: rows of runs all of whose suffixes are here; only for these can splits settle what is open.
+    """
     width = least - gram
     left, n_left = _matrix(before, width)
     right, n_right = _matrix(after, width)
@@ -212,7 +217,7 @@ def compared(run: np.ndarray, doc: np.ndarray, before: list[bytes], after: list[
             # Nothing is left to find where a match reaches as far as the suffix does on both sides.
             full = good & (l == n_left[x]) & (r == n_right[x])
             settled[x[full]] = True
-    open_runs = np.unique(run[~settled])
+    open_runs = np.unique(run[whole & ~settled])
     rest = np.flatnonzero(np.isin(run, open_runs))
     if len(rest):
         front_l, front_r = _fronts(left[rest], 1), _fronts(right[rest], 2)
@@ -247,7 +252,7 @@ def _matches(gram: int, least: int):
 
         def out(table: pa.Table) -> pa.RecordBatch:
             doc, at = table["doc"].to_numpy(), table["at"].to_numpy().astype(np.int64)
-            row, l, r = compared(table["run"].to_numpy(), doc, table["before"].to_pylist(), table["after"].to_pylist(), gram, least)
+            row, l, r = compared(table["run"].to_numpy(), table["parts"].to_numpy() == 1, doc, table["before"].to_pylist(), table["after"].to_pylist(), gram, least)
             # Matches of one suffix all cover its run: their union is one span.
             start, end = np.full(len(doc), np.iinfo(np.int64).max), np.full(len(doc), -1)
             np.minimum.at(start, row, at[row] - l)
@@ -261,11 +266,11 @@ def _matches(gram: int, least: int):
                 continue
             held.append(batch)
             rows += batch.num_rows
-            # The last run may go on; while all rows held are of one run there is nothing to cut.
-            if rows >= CHUNK and held[0].column("run")[0] != batch.column("run")[batch.num_rows - 1]:
+            # The last part of a run may go on; while all rows held are of one there is nothing to cut.
+            if rows >= CHUNK and any(held[0].column(c)[0] != batch.column(c)[batch.num_rows - 1] for c in ("run", "part")):
                 table = pa.Table.from_batches(held)
-                runs = table["run"].to_numpy()
-                cut = int(np.searchsorted(runs, runs[-1]))
+                runs, parts = table["run"].to_numpy(), table["part"].to_numpy()
+                cut = int(np.flatnonzero((runs != runs[-1]) | (parts != parts[-1]))[-1]) + 1
                 yield out(table.slice(0, cut))
                 held = table.slice(cut).combine_chunks().to_batches()
                 rows -= cut
@@ -285,10 +290,10 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], ["doc", "spans"])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, gram: int = 8, least: int = 50, hot_rows: int = 200_000) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, gram: int = 8, least: int = 50, hot_rows: int = 1000) -> DataFrame:
     """id and spans (array of start, end: words, end exclusive) of every row; spans is empty without repeats.
 
-    hot_rows: runs at more positions than this are compared by aggregation, not in one place.
+    hot_rows: runs at more positions than this are sorted in several places of about so many.
     """
     spark = docs.sparkSession
     whole_number = isinstance(docs.select(id_col).schema[0].dataType, IntegralType)
@@ -303,15 +308,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     whole = texts.join(alike.where("copied").select("sequence"), "sequence").select("doc", F.lit(0).alias("start"), F.col("at").alias("end"))
     chosen = rows.where("run IS NOT NULL").select("run", "doc", "at").join(alike.select(F.col("lead").alias("doc")).distinct(), "doc", "left_semi")
     # Written first, so that both sides of the next join are plain shuffles and a run with very many rows is split.
-    shared = chosen.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("k")).where("a <> b").select("run", (F.col("k") > hot_rows).alias("hot"))
+    shared = chosen.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("k")).where("a <> b").select("run", F.ceil(F.col("k") / hot_rows).cast("int").alias("parts"))
     places = written(chosen.join(written(shared, "suffix-runs"), "run"), "suffix-shared")
-    of_docs = lambda part: source.join(part.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("places")), "doc")
+    of_docs = lambda part: source.join(part.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("at", "parts"))).alias("places")), "doc")
 
     with arrow_rows(spark, 2000):
-        suffixes = of_docs(places.where("NOT hot")).mapInArrow(tidied(_of_texts(Suffixes(gram, least))), "run bigint, doc bigint, at int, before binary, after binary")
-        dealt = suffixes.repartition("run").sortWithinPartitions("run")
+        suffixes = of_docs(places).mapInArrow(tidied(_of_texts(Suffixes(gram, least))), "run bigint, part int, parts int, doc bigint, at int, before binary, after binary")
+        dealt = suffixes.repartition("run", "part").sortWithinPartitions("run", "part")
         found = written(dealt.mapInArrow(tidied(_matches(gram, least)), "doc bigint, start int, end int"), "suffix-matches")
-        hot = places.where("hot")
+        hot = places.where("parts > 1")
         if not hot.isEmpty():
             windows = written(of_docs(hot).mapInArrow(tidied(_of_texts(Windows(gram, least))), "doc bigint, start int, window bigint"), "suffix-windows")
             again = written(windows.groupBy("window").agg((F.min("doc") != F.max("doc")).alias("again")).where("again").select("window"), "suffix-again")
