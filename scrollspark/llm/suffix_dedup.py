@@ -18,8 +18,9 @@ Suffixes are kept at content-selected positions only: the minimisers of runs of
     document with a longer match on one side cannot hide a repeat.
 5.  Runs at more than ``hot_rows`` positions are sorted in several places, dealt by document and place,
     so that no task grows with a run.  What neighbours leave open there is settled by the same
-    splits across places: the suffixes leave the hashes of all their windows,
-    which partial aggregation combines before the shuffle, and the repeated ones are joined back.
+    splits across places: the suffixes leave the hashes of all their windows, which
+    partial aggregation combines before the shuffle, and of the windows that no match so
+    far covers the repeated ones are joined back.
 
 A document's spans are the union of its matches, so they cover exactly the words of all
 its windows of ``least`` words that another document has too.  Words are compared with
@@ -114,18 +115,18 @@ def _sides(words: np.ndarray, at: int, gram: int, width: int) -> tuple[np.ndarra
 
 
 def _of_texts(make):
-    """A function of (doc, text, places) batches: make gets each document's id, word hashes and places, and gives columns."""
+    """A function of (doc, text, places, ..) batches: make gets each document's id, word hashes, places and so on, and gives columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places = batch.column(0).to_numpy(), batch.column(2)
+            ids, others = batch.column(0).to_numpy(), batch.columns[2:]
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets, 1 << 20):
                 part = offsets[a : b + 1]
                 body = data[part[0] : part[-1]]
                 starts, ends, first = word_spans(body, part - part[0])
                 words = word_hashes(body, starts, ends)
-                rows = [r for i in range(b - a) for r in make(int(ids[a + i]), words[first[i] : first[i + 1]], places[a + i].as_py())]
+                rows = [r for i in range(b - a) for r in make(int(ids[a + i]), words[first[i] : first[i + 1]], *(x[a + i].as_py() for x in others))]
                 if rows:
                     columns = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, make.types, strict=True)], list(make.names))
@@ -154,18 +155,25 @@ class Suffixes:
 
 
 class Windows:
-    """Rows of all windows around runs, each once."""
+    """Rows of all windows around runs, each once; covered: by the matches found so far."""
 
-    names = ("doc", "start", "window")
-    types = (pa.int64(), pa.int32(), pa.int64())
+    names = ("doc", "start", "window", "covered")
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.bool_())
 
     def __init__(self, gram: int, least: int):
         self.width, self.least = least - gram, least
 
-    def __call__(self, doc: int, words: np.ndarray, places: list[dict]) -> Iterator[tuple]:
+    def __call__(self, doc: int, words: np.ndarray, places: list[dict], found: list[dict] | None) -> Iterator[tuple]:
         h = shingle_hashes(words, self.least).view(np.int64) if len(words) >= self.least else words[:0]
-        for start in sorted({s for p in places for s in range(max(0, p["at"] - self.width), min(p["at"] + 1, len(h)))}):
-            yield doc, start, int(h[start])
+        starts = np.unique(np.concatenate([np.arange(max(0, p["at"] - self.width), min(p["at"] + 1, len(h)), dtype=np.int64) for p in places]))
+        if not len(starts):
+            return
+        covered = np.zeros(len(starts), bool)
+        if found:
+            begin, end = _merged(np.array([x["start"] for x in found], np.int64), np.array([x["end"] for x in found], np.int64))
+            at = np.searchsorted(begin, starts, "right") - 1
+            covered = (at >= 0) & (starts + self.least <= end[at])
+        yield from zip([doc] * len(starts), starts.tolist(), h[starts].tolist(), covered.tolist(), strict=True)
 
 
 def _matrix(cells: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -310,17 +318,20 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     # Written first, so that both sides of the next join are plain shuffles and a run with very many rows is split.
     shared = chosen.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("k")).where("a <> b").select("run", F.ceil(F.col("k") / hot_rows).cast("int").alias("parts"))
     places = written(chosen.join(written(shared, "suffix-runs"), "run"), "suffix-shared")
-    of_docs = lambda part: source.join(part.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("at", "parts"))).alias("places")), "doc")
+    of_docs = lambda part: part.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("at", "parts"))).alias("places"))
 
     with arrow_rows(spark, 2000):
-        suffixes = of_docs(places).mapInArrow(tidied(_of_texts(Suffixes(gram, least))), "run bigint, part int, parts int, doc bigint, at int, before binary, after binary")
+        suffixes = source.join(of_docs(places), "doc").mapInArrow(tidied(_of_texts(Suffixes(gram, least))), "run bigint, part int, parts int, doc bigint, at int, before binary, after binary")
         dealt = suffixes.repartition("run", "part").sortWithinPartitions("run", "part")
         found = written(dealt.mapInArrow(tidied(_matches(gram, least)), "doc bigint, start int, end int"), "suffix-matches")
         hot = places.where("parts > 1")
         if not hot.isEmpty():
-            windows = written(of_docs(hot).mapInArrow(tidied(_of_texts(Windows(gram, least))), "doc bigint, start int, window bigint"), "suffix-windows")
-            again = written(windows.groupBy("window").agg((F.min("doc") != F.max("doc")).alias("again")).where("again").select("window"), "suffix-again")
-            found = found.union(windows.join(again, "window").select("doc", "start", (F.col("start") + least).alias("end")))
+            so_far = found.union(whole).groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("found"))
+            asked = source.join(of_docs(hot).join(so_far, "doc", "left"), "doc").select("doc", "text", "places", "found")
+            windows = written(asked.mapInArrow(tidied(_of_texts(Windows(gram, least))), "doc bigint, start int, window bigint, covered boolean"), "suffix-windows")
+            again = windows.groupBy("window").agg((F.min("doc") != F.max("doc")).alias("again"), F.bool_and("covered").alias("done")).where("again AND NOT done")
+            again = written(again.select("window"), "suffix-again")
+            found = found.union(windows.where("NOT covered").join(again, "window").select("doc", "start", (F.col("start") + least).alias("end")))
     found = found.union(whole)
     spans = found.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("found")).mapInArrow(_spans, "doc bigint, spans array<struct<start: int, end: int>>")
     rows = docs.select(F.col(id_col).alias("_id"))
