@@ -4,11 +4,11 @@ Texts are equal when they are identical after lower-casing A-Z; null is the
 empty text.  The steps:
 
 1.  One pass over the texts writes each row's id and SHA-256, whose first 128 bits
-    are the content hash, and a fast 64-bit probe.
+    are the content hash, and a fast 64-bit mark of the text as it is.
 2.  Rows are grouped by content hash: the id that stays and the size.  Only numbers and
     hashes are shuffled; partial aggregation collapses a large group of copies inside
     each map task.
-3.  Bytes are compared inside groups of more than one row.  Their probes set bits
+3.  Bytes are compared inside groups of more than one row.  Their marks set bits
     in a bitmap of fixed size (2 MB), by which a second pass over the texts passes on little
     more than the rows of such groups; their distinct (hash, text) pairs are counted.
 4.  Groups whose texts differ are grouped again by the text itself.  With the
@@ -18,7 +18,7 @@ empty text.  The steps:
 
 Edge cases: an empty table gives no rows; null ids never stay unless the whole
 group has only null ids, and then keep_id is null; rows that repeat an id with
-the same text are one document and share its verdict in ``decisions``, and one of them stays in ``deduplicated``;
+the same text are one document and share its verdict in ``decisions``, and one of them, the first as JSON text, stays in ``deduplicated``;
 rows that share an id but not a text each go with their own text; extra columns, whatever
 their names, pass through ``deduplicated`` and are ignored by ``decisions``.
 """
@@ -53,16 +53,15 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def _keyed(texts: DataFrame, content_hash: Hash | None) -> DataFrame:
-    """Adds _key, the content hash of _text."""
-    return texts.withColumn("_key", first_128_bits(_digest(F.col("_text"))) if content_hash is None else content_hash(F.col("_text")))
+def mark_of(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def _hashed(texts: DataFrame, content_hash: Hash | None) -> DataFrame:
-    """Written: _id, _key, _digest, _probe of every row."""
-    text = F.col("_text")
+    """Written: _id, _key, _digest, _mark of every row."""
+    text = normalised(F.col("_raw"))
     own = [] if content_hash is None else [content_hash(text).alias("_key")]
-    table = written(texts.select("_id", _digest(text).alias("_digest"), F.xxhash64(text).alias("_probe"), *own), "exact-hashes")
+    table = written(texts.select("_id", _digest(text).alias("_digest"), mark_of(F.col("_raw")).alias("_mark"), *own), "exact-hashes")
     return table.withColumn("_key", first_128_bits(F.col("_digest"))) if content_hash is None else table
 
 
@@ -77,29 +76,34 @@ BIT_IS_SET = "shiftright(cast(conv(hex(substring(_bitmap, cast(_place div 8 as i
 
 
 def _texts_to_compare(texts: DataFrame, hashed: DataFrame, groups: DataFrame, content_hash: Hash | None) -> DataFrame:
-    """_id, _text, _key of all rows whose hash others have too, and of the few others whose probe's bit is set."""
+    """_id, _mark, _text, _key of all rows whose hash others have too, and of the few others whose mark's bit is set."""
     repeated = hashed.join(groups.where("_size > 1").select("_key"), "_key", "left_semi")
-    bit = repeated["_probe"].bitwiseAND(F.lit(BITMAP_BITS - 1))
+    bit = F.col("_mark").bitwiseAND(F.lit(BITMAP_BITS - 1))  # never null, so no filter computes it again
     bits = repeated.select(F.bitmap_bucket_number(bit).alias("_bucket"), F.bitmap_bit_position(bit).alias("_place"))
     bitmaps = written(bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bitmap")), "exact-bitmaps")
-    bit = F.xxhash64("_text").bitwiseAND(F.lit(BITMAP_BITS - 1))  # never null, so no filter computes it again
-    rows = texts.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
+    rows = texts.withColumn("_mark", mark_of(F.col("_raw"))).withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
     # All bitmaps together have BITMAP_BITS bits at most.
-    rows = rows.join(F.broadcast(bitmaps), "_bucket").where(BIT_IS_SET)
-    return _keyed(rows.select("_id", "_text"), content_hash)
+    rows = rows.join(F.broadcast(bitmaps), "_bucket").where(BIT_IS_SET).select("_id", "_mark", normalised(F.col("_raw")).alias("_text"))
+    return rows.withColumn("_key", first_128_bits(_digest(F.col("_text"))) if content_hash is None else content_hash(F.col("_text")))
+
+
+def _best_of(rows: DataFrame, keep: str, *key: str) -> DataFrame:
+    """Of each key the id and mark that stay, how many rows have both, and the size."""
+    pick = {"min": F.min, "max": F.max}[keep]
+    alike = rows.groupBy(*key, "_id", "_mark").agg(F.count(F.lit(1)).alias("_copies"))
+    best = pick(F.struct(_order(keep).alias("order"), "_mark", "_copies")).alias("_best")
+    return alike.groupBy(*key).agg(best, F.sum("_copies").alias("_size")).select(*key, F.col("_best.order.id").alias("_keep"), "_best._mark", "_best._copies", "_size")
 
 
 def _groups(texts: DataFrame, keep: str, content_hash: Hash | None, copies: bool) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
     """Hashes of all rows; groups by _key; keys whose texts differ, or None; and the texts of repeated keys.
 
-    copies: groups say how many rows the id that stays has, and its probe.
+    copies: groups say which mark stays, and how many rows have its id and mark.
     """
     pick = {"min": F.min, "max": F.max}[keep]
     hashed = _hashed(texts, content_hash)
     if copies:
-        by_id = hashed.groupBy("_key", "_id").agg(F.count(F.lit(1)).alias("_copies"), F.min("_probe").alias("_probe"))
-        best = pick(F.struct(_order(keep).alias("order"), "_copies", "_probe")).alias("_best")
-        groups = by_id.groupBy("_key").agg(best, F.sum("_copies").alias("_size")).select("_key", F.col("_best.order.id").alias("_keep"), "_best._copies", "_best._probe", "_size")
+        groups = _best_of(hashed, keep, "_key")
     else:
         groups = hashed.groupBy("_key").agg(pick("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
     groups = written(groups, "exact-groups")
@@ -108,17 +112,10 @@ def _groups(texts: DataFrame, keep: str, content_hash: Hash | None, copies: bool
     return hashed, groups, None if mixed.isEmpty() else mixed, compared
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
-
-
 def _by_text(compared: DataFrame, mixed: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
     """Rows of keys whose texts differ, and their groups by key and text."""
-    pick = {"min": F.min, "max": F.max}[keep]
     rows = compared.join(mixed, "_key", "left_semi")
-    by_id = rows.groupBy("_key", "_text", "_id").agg(F.count(F.lit(1)).alias("_copies"))
-    groups = by_id.groupBy("_key", "_text").agg(pick(F.struct(_order(keep).alias("order"), "_copies")).alias("_best"), F.sum("_copies").alias("_size"))
-    return rows, written(groups.select("_key", "_text", F.col("_best.order.id").alias("_keep"), F.col("_best._copies").alias("_copies"), "_size"), "exact-by-text")
+    return rows, written(_best_of(rows, keep, "_key", "_text"), "exact-by-text")
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Hash | None = None) -> DataFrame:
@@ -127,7 +124,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     keep: "min" or "max", the id that stays of each group of equal texts.
     content_hash: of a text, instead of the first 128 bits of its SHA-256.
     """
-    hashed, groups, mixed, compared = _groups(_texts(docs, id_col, text_col), keep, content_hash, copies=False)
+    hashed, groups, mixed, compared = _groups(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw")), keep, content_hash, copies=False)
     if mixed is not None:
         rows, texts = _by_text(compared, mixed, keep)
         apart = rows.join(texts, ["_key", "_text"]).select("_id", "_keep", "_size", _digest(F.col("_text")).alias("_digest"))
@@ -146,18 +143,19 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Hash | None = None) -> DataFrame:
     """One row of each group of equal texts, with all its columns; of rows that share id and text, one."""
     named = docs.select(F.struct("*").alias("_row"))
-    ident, text = F.col(f"_row.`{id_col}`"), normalised(F.col(f"_row.`{text_col}`"))
-    hashed, groups, mixed, compared = _groups(named.select(ident.alias("_id"), text.alias("_text")), keep, content_hash, copies=True)
+    ident, text = F.col(f"_row.`{id_col}`"), F.col(f"_row.`{text_col}`")
+    hashed, groups, mixed, compared = _groups(named.select(ident.alias("_id"), text.alias("_raw")), keep, content_hash, copies=True)
     if mixed is not None:
-        texts = _by_text(compared, mixed, keep)[1].select("_keep", F.xxhash64("_text").alias("_probe"), "_copies")
+        texts = _by_text(compared, mixed, keep)[1]
         groups = groups.join(mixed, "_key", "left_anti")
-    staying = groups.select("_keep", "_probe", "_copies")
-    staying = written(staying if mixed is None else staying.union(texts), "exact-kept")
+    columns = ("_keep", F.col("_mark").alias("_staying"), "_copies")
+    staying = groups.select(*columns)
+    staying = written(staying if mixed is None else staying.union(texts.select(*columns)), "exact-kept")
     removed(docs.sparkSession, path_of(hashed))
-    rows = named.withColumn("_id", ident).withColumn("_own", F.xxhash64(text))
-    same = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_own") == F.col("_probe"))
-    found = rows.join(staying.hint("merge"), same).select("_row", "_id", "_own", "_copies")
+    rows = named.withColumn("_id", ident).withColumn("_mark", mark_of(text))
+    same = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_mark") == F.col("_staying"))
+    found = rows.join(staying.hint("merge"), same).select("_row", "_id", "_mark", "_copies")
     # Rows that share id and text are few in tables of documents; only they are grouped.
     once = found.where("_copies = 1").select("_row.*")
-    again = found.where("_copies > 1").groupBy("_id", "_own").agg(F.min_by("_row", F.xxhash64(f"_row.`{text_col}`")).alias("_row")).select("_row.*")
+    again = found.where("_copies > 1").groupBy("_id", "_mark").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*")
     return once.union(again)
