@@ -206,8 +206,8 @@ def normalised(manifest: DataFrame, folder: str, level: int = 4) -> DataFrame:
 
 
 def _spread(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """A manifest has a row per archive: one archive, one task."""
-    return manifest.repartition(max(1, manifest.count()))
+    """A manifest has a row per archive, with a name of its own: ranges of one name each, so one archive, one task."""
+    return manifest.repartitionByRange(max(1, manifest.count()), "archive")
 
 
 def read_record(raw: bytes) -> dict:

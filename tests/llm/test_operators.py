@@ -115,6 +115,13 @@ def test_warc_edges(spark):
     assert {r["id"]: r["refers_to"] for r in back} == {"a>b": None, "c\r\nX: d%20": None, "": None, None: None, "zé": "a>b"}
 
 
+def test_every_archive_has_its_task(spark):
+    names = spark.createDataFrame([(f"a{i * 7919 % 101:03d}", 1) for i in range(101)], "archive string, records bigint")
+    per_task = warc._spread(spark, names).groupBy(F.spark_partition_id()).count()
+    assert {r["count"] for r in per_task.collect()} == {1}
+    assert warc._spread(spark, names.limit(0)).count() == 0
+
+
 def test_normaliser_takes_any_gzip(tmp_path):
     records = [warc.record(i, f"u{i}", b"x" * i, "", i, None).replace(b"WARC-Payload-Digest: sha256:\r\n", b"") for i in (0, 1, 70_000)]
     engine = zlib.compressobj(9, zlib.DEFLATED, 31)
