@@ -21,8 +21,14 @@ Level 2 is a bijection, so the loop ends.  Ordinary texts stay untouched.
 Edge cases: null texts and roles are empty strings; turns are ordered by turn
 (null first), ties by role, then text, and repeated rows stay; rows with a
 null conversation id form one conversation; an empty table gives no rows; extra
-columns are ignored.  A conversation is one row of the output, so one task holds
-its text, but never more than one conversation at a time.
+columns are ignored.
+
+No task holds a conversation.  Turns are dealt by ranges of (conversation, turn, role), so
+that a conversation with a third of all turns is rendered by many tasks, and a
+document is a sequence of pieces of whole turns, of about ``PIECE_BYTES`` at most unless one turn
+is longer.  Conversations inside one range are read back where they are; only
+the pieces of those at the edges of ranges, and of those with more than one, are brought
+together, and stream through the digests one at a time.
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +50,10 @@ HEADER = re.compile(r"### ([^:\n]*): ")
 TOKEN = re.compile(r"\\(\\|###|</turn>)|###|</turn>")
 CONTROL = re.compile(r"###|</turn>")
 LEVELS = 3
-PIECE_BYTES = 16 << 20  # of texts whose rows are given on together
+PIECE_BYTES = 4 << 20  # of texts in a piece of a document, and of rows that are given on together
+PIECE_ROWS = 500
+ROLE_CHARS = 64  # of roles that ranges are told apart by
+DIGESTS = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
 class GrammarError(ValueError):
@@ -117,71 +127,135 @@ def formatted_turns(turns: list[tuple[str, str]]) -> tuple[str, int]:
     return document, max(levels, default=0)
 
 
+def _same(x: object, y: object) -> bool:
+    return x == y or (x != x and y != y)
+
+
+class Outbox:
+    """Joins rows to record batches of bounded rows and bytes."""
+
+    def __init__(self, schema: pa.Schema, piece_bytes: int):
+        self.schema, self.piece_bytes, self.rows, self.size = schema, piece_bytes, [], 0
+
+    def put(self, row: tuple, size: int) -> Iterator[pa.RecordBatch]:
+        self.rows.append(row)
+        self.size += size
+        if len(self.rows) >= PIECE_ROWS or self.size >= self.piece_bytes:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*self.rows, strict=True), self.schema, strict=True)], schema=self.schema)
+        self.rows, self.size = [], 0
+
+
 def formatted(conversations: DataFrame) -> DataFrame:
-    """conv_id, formatted, escape_level for each conversation of (conv_id, turn, role, text)."""
+    """Pieces of the documents of all conversations of (conv_id, turn, role, text).
+
+    conv_id, part (ascending inside a conversation), formatted, escape_level, loss_spans: [start, end) of
+    the bodies of assistant turns, in code points of the piece; whole: the piece is the conversation's only one.
+    A piece that is not marked as whole may be the only one all the same.
+    """
     id_type = conversations.select("conv_id").schema[0].dataType.simpleString()
-    clean = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    turns = conversations.select(F.col("conv_id"), F.struct(F.col("turn").alias("turn"), clean("role").alias("role"), clean("text").alias("text")).alias("t"))
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    clean = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    turns = conversations.select("conv_id", "turn", clean("role"), clean("text"))
+    dealt = turns.repartitionByRange("conv_id", "turn", F.substring("role", 1, ROLE_CHARS)).sortWithinPartitions("conv_id", "turn", "role", "text")
+    piece_bytes = PIECE_BYTES
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
+        held: list[tuple[str, str]] = []
+        size, pieces, first, current, out = 0, 0, True, None, None
+
+        def piece(whole: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal at
+            document, level = formatted_turns(held)
+            spans = [[start, end] for role, _, start, end in parsed(document) if role == "assistant"]
+            yield from out.put((current, at, document, level, spans, whole), size)
+            at += 1
+
         for batch in batches:
+            out = out or Outbox(pa.schema([("conv_id", batch.schema.field("conv_id").type), ("part", pa.int64()), ("formatted", pa.string()), ("escape_level", pa.int32()), ("loss_spans", pa.list_(pa.list_(pa.int64()))), ("whole", pa.bool_())]), piece_bytes)
+            names, roles, texts = (batch.column(c) for c in ("conv_id", "role", "text"))
             for i in range(batch.num_rows):
-                source = [(t["role"], t["text"]) for t in batch.column("turns")[i].as_py()]
-                text, level = formatted_turns(source)
-                yield pa.RecordBatch.from_arrays([batch.column("conv_id").slice(i, 1), pa.array([text]), pa.array([level], pa.int32())], ["conv_id", "formatted", "escape_level"])
+                name, role, text = names[i].as_py(), roles[i].as_py(), texts[i].as_py()
+                ended = bool(held) and not _same(name, current)
+                if held and (ended or size >= piece_bytes):
+                    # A partition's first conversation may have begun in the one before.
+                    yield from piece(ended and not first and not pieces)
+                    first, pieces = first and not ended, 0 if ended else pieces + 1
+                    held, size = [], 0
+                current = name
+                held.append((role, text))
+                size += len(text)
+        if held:
+            yield from piece(False)
+            yield from out.rest()
 
-    return grouped.mapInArrow(merged(render, 500), f"conv_id {id_type}, formatted string, escape_level int")
+    return dealt.mapInArrow(render, f"conv_id {id_type}, part bigint, formatted string, escape_level int, loss_spans array<array<bigint>>, whole boolean")
 
 
-def merged(function, rows: int):
-    """Joins a generator's small batches to batches of about so many rows."""
+class Digest:
+    """Of a document whose pieces come one after the other."""
 
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in function(batches):
-            held.append(batch)
-            size += batch.nbytes
-            if len(held) >= rows or size > PIECE_BYTES:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, size = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+    def __init__(self):
+        self.turns, self.loss, self.n, self.loss_chars, self.chars = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+
+    def add(self, document: str) -> Digest:
+        for role, text, _, _ in parsed(document):
+            self.n += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+            if role == "assistant":
+                self.loss.update(text.encode())
+                self.loss_chars += len(text)
+        self.chars += len(document)
+        return self
 
-    return run
+    def row(self) -> tuple:
+        return self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
-def read_back(documents: DataFrame) -> DataFrame:
-    """Parses formatted conversations: digests of the turns and of the text under the loss mask, and the mask's spans.
+def read_back(pieces: DataFrame) -> DataFrame:
+    """Parses formatted conversations: digests of the turns and of the text under the loss mask, which covers the bodies of assistant turns.
 
-    The loss mask covers the bodies of assistant turns; loss_spans holds their
-    [start, end) offsets in code points of the formatted text.
+    pieces: conv_id, part, formatted, whole, as ``formatted`` makes them.
     """
-    id_type = documents.select("conv_id").schema[0].dataType.simpleString()
-    schema = pa.schema([("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("loss_spans", pa.list_(pa.list_(pa.int64())))])
-
-    def digest(document: str) -> dict:
-        turns, loss, n, chars, spans = hashlib.sha256(), hashlib.sha256(), 0, 0, []
-        for role, text, start, end in parsed(document):
-            n += 1
-            turns.update(f"{role}\n{text}\n".encode())
-            if role == "assistant":
-                loss.update(text.encode())
-                chars += len(text)
-                spans.append([start, end])
-        return {"n_turns": n, "turns_sha256": turns.hexdigest(), "loss_chars": chars, "loss_sha256": loss.hexdigest(), "formatted_chars": len(document), "loss_spans": spans}
+    id_type = pieces.select("conv_id").schema[0].dataType.simpleString()
+    numbers = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+    piece_bytes = PIECE_BYTES
+    nothing = (None,) * len(numbers)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Digests of whole conversations; pieces of others as they are."""
         for batch in batches:
-            at, size = 0, 0
-            rows: list[dict] = []
-            for i, cell in enumerate(batch.column("formatted")):
-                rows.append(digest(cell.as_py()))
-                size += rows[-1]["formatted_chars"]
-                if size >= PIECE_BYTES or i + 1 == batch.num_rows:
-                    body = pa.RecordBatch.from_pylist(rows, schema=schema)
-                    yield pa.RecordBatch.from_arrays([batch.column("conv_id").slice(at, len(rows)), *body.columns], ["conv_id", *schema.names])
-                    at, size, rows = i + 1, 0, []
-
-    return documents.select("conv_id", "formatted").mapInArrow(read, f"conv_id {id_type}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, loss_spans array<array<bigint>>")
+            out = Outbox(pa.schema([("conv_id", batch.schema.field("conv_id").type), ("part", pa.int64()), ("formatted", pa.string()), *numbers]), piece_bytes)
+            names, parts, texts, whole = (batch.column(c) for c in ("conv_id", "part", "formatted", "whole"))
+            for i in range(batch.num_rows):
+                text = texts[i].as_py()
+                found = (None, *Digest().add(text).row()) if whole[i].as_py() else (text, *nothing)
+                yield from out.put((names[i].as_py(), parts[i].as_py(), *found), len(found[0] or ""))
+            yield from out.rest()
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, digest, out = None, None, None
+        for batch in batches:
+            out = out or Outbox(pa.schema([("conv_id", batch.schema.field("conv_id").type), *numbers]), piece_bytes)
+            done = list(zip(*(batch.column(name).to_pylist() for name, _ in numbers), strict=True))
+            names, texts = batch.column("conv_id"), batch.column("formatted")
+            for i in range(batch.num_rows):
+                name = names[i].as_py()
+                if digest and not _same(name, current):
+                    yield from out.put((current, *digest.row()), 0)
+                    digest = None
+                if texts[i].is_valid:
+                    current, digest = name, (digest or Digest()).add(texts[i].as_py())
+                else:
+                    yield from out.put((name, *done[i]), 0)
+        if digest:
+            yield from out.put((current, *digest.row()), 0)
+        if out:
+            yield from out.rest()
+
+    some = pieces.select("conv_id", "part", "formatted", "whole").mapInArrow(whole_ones, f"conv_id {id_type}, part bigint, formatted string, {DIGESTS}")
+    dealt = some.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return dealt.mapInArrow(together, f"conv_id {id_type}, {DIGESTS}")

@@ -24,7 +24,7 @@ PROBE = tuple((-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")
-    return chat_format.read_back(chat_format.formatted(source.unionByName(probe))).drop("loss_spans")
+    return chat_format.read_back(chat_format.formatted(source.unionByName(probe)))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,10 @@ def test_chat_round_trip(spark):
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id bigint, turn bigint, role string, text string, turns string, formatted string")
     formatted = chat_format.formatted(df)
     back = {r["conv_id"]: r for r in chat_format.read_back(formatted).collect()}
-    texts = {r["conv_id"]: r["formatted"] for r in formatted.collect()}
+    texts, masked = defaultdict(str), defaultdict(list)
+    for r in formatted.orderBy("part").collect():
+        texts[r["conv_id"]] += r["formatted"]
+        masked[r["conv_id"]] += [r["formatted"][a:b] for a, b in r["loss_spans"]]
     source = defaultdict(list)
     for c, t, role, text in rows:
         source[c].append((-1 if t is None else t, role or "", text or ""))
@@ -78,7 +81,8 @@ def test_chat_round_trip(spark):
         assert row["n_turns"] == len(turns) and row["formatted_chars"] == len(texts[c])
         assert row["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
         assert (row["loss_chars"], row["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
-        assert len(row["loss_spans"]) == sum(r == "assistant" for _, r, _ in turns)
+        assert masked[c] == [texts[c][a:b] for r, _, a, b in chat_format.parsed(texts[c]) if r == "assistant"]
+        assert len(masked[c]) == sum(r == "assistant" for _, r, _ in turns)
     assert chat_format.read_back(chat_format.formatted(df.limit(0))).count() == 0
 
 
@@ -293,12 +297,24 @@ def test_colliding_segments_are_encoded_again(vocabulary, monkeypatch):
         assert got.ids.tolist() == right.ids.tolist() and got.changes == right.changes and np.allclose([x for s in got.scores for x in s], [x for s in right.scores for x in s])
 
 
-def test_long_conversations_are_read_back_in_pieces(spark, monkeypatch):
+@pytest.mark.parametrize("ids", ["bigint", "string", "double"])
+def test_long_conversations_are_read_back_in_pieces(spark, monkeypatch, ids):
     monkeypatch.setattr(chat_format, "PIECE_BYTES", 100)
-    rows = [(i, t, "assistant", f"{i} {t} " + "x" * 40) for i in range(30) for t in range(2)]
-    documents = chat_format.formatted(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string"))
-    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat_format.read_back(documents).collect()}
-    assert got == {i: (2, 2 * len(f"{i} 0 " + "x" * 40)) for i in range(30)}
+    kind = {"bigint": int, "string": lambda i: f"c{i:02}", "double": lambda i: float("nan") if i == 29 else float(i)}[ids]
+    rows = [(kind(i), t, "assistant", f"{i} {t} " + "x" * 40) for i in range(30) for t in range(2)]
+    # One conversation with most of all turns, many of them at one place.
+    rows += [(kind(13), 2 + t // 2 if t < 300 else 500, ("user", "assistant")[t % 2], f"{t:03} ### é" * (t % 9)) for t in range(600)]
+    rows = [r for i, r in enumerate(rows) if i % 2] + [r for i, r in enumerate(rows) if not i % 2]
+    documents = chat_format.formatted(spark.createDataFrame(rows, f"conv_id {ids}, turn int, role string, text string"))
+    pieces = documents.groupBy("conv_id").count().where("count > 20").collect()
+    assert [r["conv_id"] for r in pieces] == [kind(13)]
+    got = {str(r["conv_id"]): r for r in chat_format.read_back(documents).collect()}
+    assert len(got) == 30 == chat_format.read_back(documents).count()
+    for i in range(30):
+        turns = sorted((t, role, text) for c, t, role, text in rows if str(c) == str(kind(i)))
+        row = got[str(kind(i))]
+        assert row["n_turns"] == len(turns) and row["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+        assert row["loss_sha256"] == hashlib.sha256("".join(x for _, r, x in turns if r == "assistant").encode()).hexdigest()
 
 
 # SentencePiece
