@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from pathlib import Path
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +71,32 @@ def resolve_password(password_file: str | None = None, prompt: bool = False, env
     return next(filter(None, (answer() for answer in answers)), "")
 
 
+def jdbc_options(url: str) -> dict[str, str]:
+    """A database URL as options of Spark's JDBC source: drivers take user and password beside the URL, not in it."""
+    if url.startswith("jdbc:"):
+        return {"url": url}
+    scheme, _, rest = url.partition("://")
+    credentials, _, place = rest.rpartition("@")
+    user, _, password = credentials.partition(":")
+    options = {"url": f"jdbc:{scheme.partition('+')[0]}://{place}", "user": unquote(user), "password": unquote(password)}
+    return {name: value for name, value in options.items() if value}
+
+
 def jdbc(spark: SparkSession, url: str, name: str, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8) -> DataFrame:
-    """A database table; split by a numeric key where one is given.  Needs the database's driver on the class path."""
-    reader = spark.read.format("jdbc").option("url", url if url.startswith("jdbc:") else f"jdbc:{url}").option("dbtable", name).option("fetchsize", "1000")
-    if key and bounds:
-        reader = reader.option("partitionColumn", key).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", partitions)
-    return reader.load()
+    """A database table; split by a numeric key where one is given, whose bounds the database is asked for unless given.
+
+    Needs the database's driver on the class path; names are quoted as in standard SQL.
+    """
+    reader = spark.read.format("jdbc").options(**jdbc_options(url)).option("fetchsize", "1000")
+    if key and not bounds:
+        quoted = '"' + key.replace('"', '""') + '"'
+        bounds = tuple(reader.option("dbtable", f"(SELECT MIN({quoted}) AS a, MAX({quoted}) AS b FROM {name}) bounds").load().first())
+    if key and None not in bounds:
+        # Rows beyond the bounds and rows without a key are in the outer parts.
+        reader = reader.option("partitionColumn", key).option("lowerBound", str(bounds[0])).option("upperBound", str(bounds[1] + 1)).option("numPartitions", str(partitions))
+    return reader.option("dbtable", name).load()
+
+
+def to_jdbc(df: DataFrame, url: str, name: str, mode: str = "append", partitions: int = 8) -> None:
+    """Writes rows to a database table over at most so many connections.  A task that runs again may write rows twice: give the table a key."""
+    df.coalesce(partitions).write.format("jdbc").options(**jdbc_options(url)).option("dbtable", name).option("batchsize", "2000").mode(mode).save()

@@ -341,10 +341,29 @@ def test_downloads_and_files(spark, tmp_path):
     assert stored.first()["pdf_downloaded"] and unknown.count() == 0
 
 
+def test_databases(spark, data, tmp_path):
+    """Against the database that comes with Spark."""
+    url = f"jdbc:derby:{tmp_path}/papers;create=true"
+    rows = files.table(spark, data, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    files.to_jdbc(rows, url, "orders", "overwrite", 2)
+    files.to_jdbc(spark.createDataFrame([(None, 1.0, "X")], rows.schema), url, "orders")
+    parts = files.jdbc(spark, url, "orders", "o_orderkey", partitions=4)
+    assert parts.rdd.getNumPartitions() == 4
+    # Each part has rows, and filters reach the database.
+    assert all(n > rows.count() / 8 for n in parts.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect())
+    assert sorted(map(repr, parts.where("o_orderkey IS NOT NULL").collect())) == sorted(map(repr, rows.toDF(*parts.columns).collect()))
+    assert parts.where("o_orderkey IS NULL").count() == 1
+    found = files.jdbc(spark, url, "orders").where("o_totalprice > 100000")
+    assert "GreaterThan(o_totalprice" in found._jdf.queryExecution().toString() and found.count() == rows.where("o_totalprice > 100000").count() > 0
+    assert files.jdbc(spark, url, "(SELECT * FROM orders WHERE 1 = 0) nothing", "o_orderkey").count() == 0
+
+
 def test_database_urls(monkeypatch):
     url = files.database_url({"DB_HOST": "h", "DB_USER": "u", "DB_PASSWORD": "p@"})
     assert url == "postgresql://u:p%40@h:5432/papers" and files.shown_url(url) == "postgresql://u:***@h:5432/papers"
     assert files.database_url({"SQLALCHEMY_URL": "x"}) == "x"
+    assert files.jdbc_options(url) == {"url": "jdbc:postgresql://h:5432/papers", "user": "u", "password": "p@"}
+    assert files.jdbc_options("postgresql+psycopg2://h/x") == {"url": "jdbc:postgresql://h/x"}
     monkeypatch.setenv("DB_PASSWORD", "s")
     assert files.resolve_password() == "s"
 
