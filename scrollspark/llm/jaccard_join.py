@@ -24,7 +24,8 @@ that cells keep about 64 tokens: 2**25 tokens for 10**13 words.  A token has
 48 + log2(buckets) bits, at most 64.  Tokens that many sets of one sender have are
 common for certain: their postings are not sent, only their names, so that
 no bucket receives more than a bounded number of postings a sender.
-Equal sets are merged by digest before pairs are formed.
+Equal sets are merged by digest before pairs are formed.  A flush also ends after a quarter as many rows as tokens,
+so that a task full of copies or empty texts holds a bounded number of ids.
 
 Links.  Every shared prefix token names one pivot, the set with the fewest tokens
 of its own; all other sets of the token are compared with the pivot only.  When
@@ -64,6 +65,7 @@ from scrollspark.llm.graph import components
 from scrollspark.llm.tables import arrow_rows, path_of, removed, written
 
 CELL = 64  # tokens that a cell holds on average, at least
+ROW_TOKENS = 4  # what a row counts for at least in a flush: copies and empty texts bring no tokens, but ids
 ORDER_C = np.uint64(0xA24BAED4963EE407)
 HOT = 255  # rank of tokens that one sender found in more than hot_sets sets
 NO_SET = b""
@@ -238,7 +240,7 @@ def _sent(kind: Ids, k: int, percent: int, buckets: int, flush_tokens: int, hot_
                 words = word_hashes(body, starts, ends)
                 for i in range(b - a):
                     held.add(ids[a + i], marks[a + i], words[first[i] : first[i + 1]], k)
-                    if held.tokens >= flush_tokens:
+                    if max(held.tokens, ROW_TOKENS * len(held.ids)) >= flush_tokens:
                         yield from out()
         yield from out()
 
