@@ -17,18 +17,21 @@ Scores are the vocabulary file's own.  Spaces stand for the mark of word starts,
 a space is put before every text that is not empty.  A character without a piece of
 its own is spelt with the byte pieces, at the lowest score less 10.  A literal
 word-start mark (U+2581) is spelt in bytes too, so that decoding gives back exactly
-the text.  Among equal scores the path with the longest last piece is first, then
-that with the longest piece before it, and so on.
+the text.  Of the best paths with equal scores the one with the longest last piece is first, then
+that with the longest piece before it, and so on; of others, the one that leaves a better path last.
 
 Edge cases: null and empty texts have no tokens and one segmentation; texts of
-one segmentation have fewer than N; segments of any length are searched whole;
+one segmentation have fewer than N; segments of any length, such as texts without spaces, are
+searched whole, in time and memory linear in their length;
 an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -166,42 +169,42 @@ class Lattice:
 
     # One segment, in plain Python: the A* search, and long segments.
 
-    def edges_to(self, segment: bytes) -> list[list[tuple[int, int, float]]]:
-        """For each position, the edges that end there as (start, id or -1, score), longest first."""
-        index, longest, n = self.vocabulary.index, self.vocabulary.longest, len(segment)
-        out: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                hit = index.get(segment[start:end])
-                if hit:
-                    out[end].append((start, *hit))
-        at = 0
-        while at < n:
-            size = char_size(segment[at])
-            if segment[at : at + size] not in index:
-                out[min(n, at + size)].append((at, -1, self.vocabulary.unknown))
-            at += size
-        for edges in out:
-            edges.sort()
+    def bare_ends(self, segment: bytes) -> bytearray:
+        """For each position the bytes of the character that ends there, if it has no piece of its own."""
+        out, at = bytearray(len(segment) + 1), 0
+        while at < len(segment):
+            character = segment[at : at + char_size(segment[at])]
+            at += len(character)
+            if character not in self.vocabulary.index:
+                out[at] = len(character)
         return out
 
+    def edges_to(self, segment: bytes, end: int, bare: int) -> list[tuple[int, int, float]]:
+        """The edges that end at a position as (start, id or -1, score), longest first; bare: see bare_ends."""
+        index = self.vocabulary.index
+        out = [(start, *hit) for start in range(max(0, end - self.vocabulary.longest), end) if (hit := index.get(segment[start:end]))]
+        return sorted([*out, (end - bare, -1, self.vocabulary.unknown)]) if bare else out
+
     def nbest(self, segment: bytes, n: int) -> list[tuple[float, list[int]]]:
-        """The n best (score, ids) of a segment, best first."""
+        """The n best (score, ids) of a segment, best first.
+
+        The search goes by what a path has lost against the best one.  As the forward scores are
+        exact, each open path has a completion that loses nothing more; so no more open paths need
+        to be kept than are still wanted, the steps are at most n for each position, and memory is linear.
+        """
         have = self.found.get(segment)
         if have is not None and len(have) >= min(n, len(have)) and (len(have) >= n or have[-1][0] == -np.inf):
             return [x for x in have[:n] if x[0] > -np.inf]
-        edges = self.edges_to(segment)
-        forward = [-np.inf] * len(edges)
+        bare = self.bare_ends(segment)
+        forward = array("d", [-np.inf]) * len(bare)
         forward[0] = 0.0
-        for end in range(1, len(edges)):
-            for start, _, score in edges[end]:
-                if forward[start] + score > forward[end]:
-                    forward[end] = forward[start] + score
+        for end in range(1, len(forward)):
+            forward[end] = max((forward[start] + score for start, _, score in self.edges_to(segment, end, bare[end])), default=-np.inf)
         out: list[tuple[float, list[int]]] = []
-        # (-(score so far + exact rest), piece lengths from the end, negated, position, score so far, path)
-        heap: list[tuple] = [(-forward[-1], (), len(segment), 0.0, None)]
-        while heap and len(out) < n:
-            _, key, at, behind, path = heapq.heappop(heap)
+        # (loss, later ones first, position, path), in order
+        turn, paths = 0, [(0.0, 0, len(segment), None)]
+        while paths and len(out) < n:
+            loss, _, at, path = paths.pop(0)
             if at == 0:
                 ids: list[int] = []
                 place = 0
@@ -209,11 +212,13 @@ class Lattice:
                     piece, size, path = path
                     ids += [piece] if piece >= 0 else [self.vocabulary.byte_ids[b] for b in segment[place : place + size]]
                     place += size
-                out.append((behind, ids))
+                out.append((forward[-1] - loss, ids))
                 continue
-            for start, piece, score in edges[at]:
+            for start, piece, score in reversed(self.edges_to(segment, at, bare[at])):
                 if forward[start] > -np.inf:
-                    heapq.heappush(heap, (-(forward[start] + score + behind), (*key, start - at), start, behind + score, (piece, at - start, path)))
+                    turn += 1
+                    bisect.insort(paths, (loss + (forward[at] - (forward[start] + score)), -turn, start, (piece, at - start, path)))
+            del paths[n - len(out) :]
         if len(segment) <= SHORT:
             if len(self.found) > 50_000:
                 self.found.clear()

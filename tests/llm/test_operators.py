@@ -370,6 +370,25 @@ def test_encoding_edges(spark, vocabulary):
     assert sentencepiece_nbest.summarised(docs.limit(0), vocabulary).count() == 0
 
 
+def test_unbroken_texts_take_linear_steps(vocabulary, monkeypatch):
+    """Scores that do not add up exactly make many paths that are all but equal."""
+    odd = sentencepiece_nbest.Vocabulary(vocabulary.pieces, vocabulary.ids, [x * 0.1234567 for x in vocabulary.scores], vocabulary.byte_ids)
+    for words in (vocabulary, odd):
+        lattice, calls = sentencepiece_nbest.Lattice(words), []
+        edges = lattice.edges_to
+        monkeypatch.setattr(lattice, "edges_to", lambda *x, calls=calls, edges=edges: calls.append(1) or edges(*x))
+        price = dict(zip(words.ids, words.scores, strict=True))
+        for text in ("a" * 3000, "ab-" * 1000, "日本語" * 300 + "x" * 3000, "".join(random.Random(4).choices("etaoinshrdlu", k=3000))):
+            calls.clear()
+            raw = b" " + text.encode()
+            found = lattice.nbest(raw, 5)
+            assert len(found) == 5 and len(calls) <= 6 * len(raw)
+            assert len({tuple(ids) for _, ids in found}) == 5 and [x for x, _ in found] == sorted((x for x, _ in found), reverse=True)
+            for score, ids in found:
+                assert sentencepiece_nbest.decoded_bytes(lattice, ids) == raw
+                assert not set(ids) <= set(price) or np.isclose(score, sum(price[i] for i in ids))
+
+
 # Suffix arrays
 
 
