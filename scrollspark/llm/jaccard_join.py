@@ -71,6 +71,7 @@ HOT = 255  # rank of tokens that one sender found in more than hot_sets sets
 NO_SET = b""
 PIVOT_TURNS = 2
 MANY_PAIRS = 10_000  # candidates of a block that are verified together
+SHARE = 2048  # tokens: a larger set takes the place of several in a block
 
 
 def prefix_length(n: int | np.ndarray, percent: int):
@@ -414,7 +415,7 @@ def _in_blocks(entries: DataFrame, classes: DataFrame, percent: int, block: int)
     """Links (u, v) between components of large token groups.
 
     Sets that share such tokens form clusters; a cluster's sets, by size, are dealt
-    into blocks, and each two blocks of which some sets can be similar are one small group of rows.
+    into blocks of about so many sets, or SHARE times as many tokens, and each two blocks of which some sets can be similar are one small group of rows.
     """
     hubs = written(entries.groupBy("token").agg(F.min("key").alias("hub")), "jaccard-hubs")
     edges = entries.join(hubs, "token").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
@@ -423,9 +424,10 @@ def _in_blocks(entries: DataFrame, classes: DataFrame, percent: int, block: int)
     clusters = written(clusters, "jaccard-clusters")
     # Sizes of a cluster, in order, and how many sets precede each: small tables, from which every set gets its block.
     counts = clusters.groupBy("cluster", "n").agg(F.count(F.lit(1)).alias("k"))
-    before = F.sum("k").over(Window.partitionBy("cluster").orderBy("n")) - F.col("k")
+    weight = F.ceil(F.col("n") / SHARE)
+    before = F.sum(F.col("k") * weight).over(Window.partitionBy("cluster").orderBy("n")) - F.col("k") * weight
     counts = written(counts.select("cluster", "n", before.alias("before"), "k"), "jaccard-sizes")
-    place = F.col("before") + F.pmod(F.xxhash64("key"), F.col("k"))
+    place = F.col("before") + F.pmod(F.xxhash64("key"), F.col("k")) * weight
     dealt = written(clusters.join(counts, ["cluster", "n"]).select("cluster", "key", "component", "n", "reach", F.floor(place / block).alias("block")), "jaccard-dealt")
     blocks = written(dealt.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("reach").alias("most")), "jaccard-blocks")
     other = blocks.select("cluster", F.col("block").alias("j"), F.col("least").alias("least_j"), F.col("most").alias("most_j"))
