@@ -51,7 +51,7 @@ from pyspark.sql.types import IntegralType
 from scrollspark.llm.bytesops import mix, powers_of, shingle_hashes, slices, tidied, utf8, word_hashes, word_spans
 from scrollspark.llm.tables import arrow_rows, written
 
-CHUNK = 20_000  # suffixes that are compared at a time
+CHUNK = 20_000  # suffixes, or windows of one text, that are compared at a time
 STEP = 0xD1342543DE82EF95
 
 
@@ -60,7 +60,8 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     if len(grams) < window:
         return np.zeros(0, np.int64)
     views = np.lib.stride_tricks.sliding_window_view(grams, window)
-    return np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    # argmin copies the windows that it looks at, so a long text is done in pieces.
+    return np.unique(np.concatenate([views[a : a + CHUNK].argmin(axis=1) + np.arange(a, min(a + CHUNK, len(views))) for a in range(0, len(views), CHUNK)]))
 
 
 def _selected(gram: int, least: int):

@@ -392,6 +392,14 @@ def test_unbroken_texts_take_linear_steps(vocabulary, monkeypatch):
 # Suffix arrays
 
 
+def test_minimisers_of_long_texts(monkeypatch):
+    grams = np.random.default_rng(3).integers(0, 50, 5000).astype(np.uint64)
+    want = sorted({i + int(np.argmin(grams[i : i + 43])) for i in range(len(grams) - 42)})
+    for chunk in (7, 4958, 20_000):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        assert suffix_dedup.minimisers(grams, 43).tolist() == want
+
+
 def brute_spans(texts, ids, least=50):
     owner, repeated, windows = {}, set(), []
     for i, text in zip(ids, texts, strict=True):
@@ -549,8 +557,10 @@ def templates(n=400, seed=12):
     return [" ".join([*rng.sample(passages, 4), *(f"own{k}x{i}" for i in range(rng.randint(0, 9)))]) for k in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"few_sets": 4, "hot_sets": 8, "flush_tokens": 2000, "block": 16}])
-def test_texts_of_shared_passages_are_exact(spark, options):
+@pytest.mark.parametrize("options", [{}, {"few_sets": 4, "hot_sets": 8, "flush_tokens": 2000, "block": 16}, {"few_sets": 4, "hot_sets": 8, "block": 64, "share": 30}])
+def test_texts_of_shared_passages_are_exact(spark, monkeypatch, options):
+    options = dict(options)
+    monkeypatch.setattr(jaccard_join, "SHARE", options.pop("share", jaccard_join.SHARE))
     texts = templates()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.joined(docs_df(spark, texts), **options).collect()}
     want = brute_components(texts)
