@@ -51,7 +51,7 @@ from pyspark.sql.types import IntegralType
 from scrollspark.llm.bytesops import mix, powers_of, shingle_hashes, slices, tidied, utf8, word_hashes, word_spans
 from scrollspark.llm.tables import arrow_rows, written
 
-CHUNK = 20_000  # suffixes, or windows of one text, that are compared at a time
+CHUNK = 6_000  # suffixes, or windows of one text, that are compared at a time
 STEP = 0xD1342543DE82EF95
 
 
