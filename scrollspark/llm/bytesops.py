@@ -22,6 +22,11 @@ SLICE_BYTES = 2 << 20
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
+#: Bytes of terms: digits, A-Z, a-z and all of characters beyond ASCII.
+IS_TERM = np.zeros(256, dtype=bool)
+for _first, _end in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
+    IS_TERM[_first:_end] = True
+
 #: Lower-cases A-Z and leaves every other byte alone.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -69,12 +74,12 @@ def slices(offsets: np.ndarray, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[
         at = to
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and for each row the index of its first word (one more at the end)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words (runs of bytes of a kind), and for each row the index of its first word (one more at the end)."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = IS_WORD[data]
+    word = kind[data]
     start = word.copy()
     start[1:] &= ~word[:-1]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
@@ -87,6 +92,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after the other, and which range each is of."""
+    size = ends - starts
+    which = np.repeat(np.arange(len(starts)), size)
+    return np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + starts[which], which
+
+
+def groups(sorted_keys: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where runs of equal keys begin and end."""
+    edges = np.append(np.flatnonzero(np.diff(sorted_keys, prepend=-1)), len(sorted_keys)).tolist()
+    return edges[:-1], edges[1:]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser: spreads the entropy over all 64 bits."""
     h = h ^ (h >> np.uint64(31))

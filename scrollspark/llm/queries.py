@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.llm import chat_format, exact_dedup, jaccard_join, jpeg_media, mixing, sentencepiece_nbest, suffix_dedup, toxicity, url_rules, warc
+from scrollspark.llm import chat_format, decontamination, exact_dedup, fill_in_middle, jaccard_join, jpeg_media, mixing, ranked_search, sentencepiece_nbest, suffix_dedup, toxicity, url_rules, warc
 from scrollspark.llm.tables import table
 
 URL_RULES = (
@@ -88,6 +88,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), target_entropy=0.95, max_repeats=4.0)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    hit = decontamination.hit_words(F.col("spans"))
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated")
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transformed(table(spark, sf_dir, "documents"), seed="1", plain_from=90, spm_below=20)
+    digests = (F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_warc": op2_warc,
@@ -99,6 +118,9 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_decontamination": op12_decontamination,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _RULE_ROWS = ", ".join(f"('{r.action}', '{r.host}', '{r.path}', {i})" for i, r in enumerate(URL_RULES))
@@ -139,6 +161,43 @@ _JACCARD_SQL = f"""
     SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id
     FROM documents d JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) m USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+_RANKED_SQL = f"""
+    WITH tok AS (SELECT doc_id, unnest(regexp_extract_all({_FOLDED}, {_TERM})) AS t FROM documents),
+    item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_FOLDED}, {_TERM})) AS t FROM benchmark),
+    len AS (SELECT doc_id, count(*) AS n FROM tok GROUP BY doc_id),
+    al AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM len),
+    tf AS (SELECT doc_id, t, count(*) AS tf FROM tok WHERE t IN (SELECT t FROM item) GROUP BY doc_id, t),
+    w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, al GROUP BY t, n_docs),
+    imp AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS impact FROM tf JOIN len USING (doc_id) JOIN w USING (t), al),
+    s AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM item JOIN imp USING (t) GROUP BY item_id, doc_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+_LEAKS_SQL = f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, {_TERM}) AS ws FROM documents),
+    i AS (SELECT item_id, ws, least(len(ws), 10) AS m FROM (SELECT item_id, regexp_extract_all({_FOLDED}, {_TERM}) AS ws FROM benchmark) WHERE len(ws) > 0),
+    win AS (SELECT DISTINCT item_id, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda j: array_to_string(ws[j : j + m - 1], ' '))) AS k FROM i),
+    cand AS (SELECT doc_id, m, unnest(range(1, len(ws) - m + 2)) AS j, unnest(list_transform(range(1, len(ws) - m + 2), lambda j: array_to_string(ws[j : j + m - 1], ' '))) AS k
+             FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m),
+    hit AS (SELECT doc_id, item_id, cand.m, j FROM cand JOIN win ON win.k = cand.k AND win.m = cand.m),
+    word AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + m)) AS x FROM (SELECT DISTINCT doc_id, j, m FROM hit)) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+_MIDDLE_SQL = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS x, len(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+    g AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+    f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+    p AS (SELECT *, substr(x, 1, a) AS pre, substr(x, a + 1, b - a) AS mid, substr(x, b + 1) AS suf FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(x) AS restored_sha256 FROM p"""
+
 ORACLE_SQL = {
     "op1_chat_formatting": _CHAT_SQL,
     "op2_warc": """
@@ -163,4 +222,7 @@ ORACLE_SQL = {
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
         g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256 FROM t JOIN g USING (x)""",
+    "op11_ranked_search": _RANKED_SQL,
+    "op12_decontamination": _LEAKS_SQL,
+    "op13_fill_in_middle": _MIDDLE_SQL,
 }
