@@ -18,7 +18,7 @@ none and equal odds of the labels, that gives the best F1 at ``cut`` there is ad
 to the fit on all.  Held-out rows play no part in it.
 
 Edge cases: null and empty texts have no features, and score what the intercept
-says; rows without a label (null) do not train, an id labelled more than once
+says; labelled texts that do not fit into ``train_bytes`` are passed over, with a warning if none is left; rows without a label (null) do not train, an id labelled more than once
 counts with its largest label, an id with several texts with the smallest; without both
 labels in the sample, every score is the share of the label, smoothed; rows with equal
 ids are scored each; texts of any length are scored whole; extra columns, whatever their
@@ -27,6 +27,7 @@ names, are ignored by ``scored`` and pass through ``accepted``; an empty table g
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from scrollspark.llm.bytesops import IS_WORD, LOWER, HashTable, prefix_codes, slices, span_hashes, tidy, utf8
 from scrollspark.llm.tables import written
@@ -197,17 +197,28 @@ def held_out(ident: Column) -> Column:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, train_rows: int, train_bytes: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """_id, _text, _label of the training rows: one text an id, no more ids and bytes than given."""
+    """_id, _text, _label of the training rows: one text an id, no more ids and bytes than given.
+
+    In the order of a hash of the ids, a text that is longer than what is left of the bytes is passed over; those after it are not.
+    """
     ident = F.col(id_col)
     known = labels.where(F.col(label_col).isNotNull() & ident.isNotNull() & ~held_out(ident)).groupBy(ident.alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
     texts = docs.select(ident.alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     # The sample has at most train_rows rows of two numbers.
     found = written(texts.join(F.broadcast(sample), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")), "toxicity-sample")
-    # At most train_rows rows of one number are summed up in one place.
-    so_far = F.sum(F.octet_length("_text")).over(Window.orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, 0))
-    within = found.select("_id", so_far.alias("_bytes")).where(F.col("_bytes") <= train_bytes)
-    return found.join(F.broadcast(within.select("_id")), "_id")
+    sizes = found.select("_id", F.octet_length("_text").alias("_bytes")).orderBy(F.xxhash64("_id"), "_id").collect()  # at most train_rows rows of two numbers
+    chosen, left = [], train_bytes
+    for row in sizes:
+        if row["_bytes"] <= left:
+            chosen.append((row["_id"],))
+            left -= row["_bytes"]
+    if len(chosen) == len(sizes):
+        return found
+    if not chosen:
+        warnings.warn(f"none of {len(sizes)} labelled texts has {train_bytes} bytes or less: nothing is learnt", stacklevel=3)
+    within = docs.sparkSession.createDataFrame(chosen, found.select("_id").schema)
+    return found.join(F.broadcast(within), "_id")
 
 
 def trained(

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scrollspark.llm import decontamination, fill_in_middle, fm_index, item_blocks, ranked_search
+from scrollspark.llm import decontamination, fill_in_middle, fm_index, item_blocks, ranked_search, toxicity
 from tests.llm.test_operators import EDGES, FOLD, docs_df
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -242,3 +242,23 @@ def test_checkpoints_find_every_code_point():
     for i, text in enumerate(texts):
         for point in sorted({0, len(text), *(rng.randint(0, len(text)) for _ in range(200))}):
             assert found.byte_of(i, point) == len(text[:point].encode())
+
+
+# Training of the toxicity classifier on texts of any length
+
+
+def test_a_labelled_text_that_is_too_long_takes_no_other_out(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("good fine nice".split() if i % 2 else "vile bad foul".split(), k=30)) for i in range(120)]
+    known = [r["i"] for r in spark.range(120).withColumnRenamed("id", "i").where(~toxicity.held_out(F.col("i"))).orderBy(F.xxhash64("i")).collect()]
+    for place in (0, 10):  # of the ids in the order in which they are taken
+        long = list(texts)
+        long[known[place]] = "long " * 20_000
+        labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "doc_id bigint, toxic int")
+        docs = docs_df(spark, long)
+        got = {r["_id"] for r in toxicity.sampled(docs, labels, 10_000, 50_000, "doc_id", "text", "toxic").collect()}
+        assert got == set(known) - {known[place]}
+        scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, toxicity.trained(docs, labels, train_bytes=50_000)).collect()}
+        assert all((scores[i] > 0.5) == (i % 2 == 0) for i in range(120) if i != known[place])
+    with pytest.warns(UserWarning, match="nothing is learnt"):
+        assert toxicity.sampled(docs, labels, 10_000, 3, "doc_id", "text", "toxic").count() == 0
