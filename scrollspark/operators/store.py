@@ -1,18 +1,23 @@
 """Merges with per-column policies, link replacement, and snapshots published by one pointer.
 
 Parquet tables have no MERGE or UPDATE, so a change is a new table: one full
-outer join on the key, whose columns follow a policy.
+outer join on the key, whose columns follow a policy.  Tables of a store may be kept as
+files of key ranges (ranges.py); a change of these is the same join over the files that it touches.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrollspark.operators import ranges
+from scrollspark.operators.ranges import Ranged
+
 REPLACE, PRESERVE, NOW = "replace", "preserve", "now"
 
 
@@ -73,6 +78,7 @@ def rename_categories(links: DataFrame, categories: DataFrame, names: DataFrame)
     return fix(links).distinct(), fix(categories)
 
 
+RANGED = "ranged:"  # before the path of a list of files, where a plain table has its folder
 CONFLICT = "another writer has published since the tables were read"
 
 
@@ -122,22 +128,84 @@ class SnapshotStore:
         return sorted(self._seen())
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._seen()[table])
+        folder = self._seen()[table]
+        return self._listed(folder).read() if folder.startswith(RANGED) else self.spark.read.parquet(folder)
+
+    def _text(self, path: str) -> str:
+        return self.spark.read.text(path, wholetext=True).first()["value"]
+
+    def _listed(self, folder: str) -> Ranged:
+        return Ranged.from_json(self.spark, self._text(folder.removeprefix(RANGED)))
+
+    def folder(self, table: str) -> str:
+        """A new folder for a version of a table."""
+        return f"{self.root}/{table}/v-{uuid.uuid4().hex}"
+
+    def ranged(self, table: str, key: str, also: tuple[str, ...] = (), rows_per_file: int = ranges.ROWS_PER_FILE) -> Ranged:
+        """A table as files of key ranges; one that is a plain folder so far is written anew, once it is published."""
+        folder = self._seen()[table]
+        return self._listed(folder) if folder.startswith(RANGED) else ranges.ranged(self.read(table), self.folder(table), key, also, rows_per_file)
+
+    def changed(self, table: str, keys: DataFrame, change: Callable[[DataFrame], DataFrame], key: str, also: tuple[str, ...] = ()) -> Ranged:
+        """A table after a change of the rows of some keys, to be published; files without these keys stay."""
+        return self.ranged(table, key, also).changed(keys, change, self.folder(table))
 
-    def publish(self, **tables: DataFrame) -> None:
-        """Writes new versions of some tables and makes them visible together; Conflict if what was read is no longer the newest."""
+    def _create(self, path: str, text: str):
+        target = self._path(path)
+        stream = self._fs.create(target)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return target
+
+    def clean(self, keep: int = 3, older_than: float = 7 * 86_400) -> int:
+        """Deletes what none of the last pointers needs, and the pointers before; how many files and folders went.
+
+        older_than: seconds; younger files may be those of a version that is not published yet.
+        """
+        names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
+        plain, files = set(), set()
+        for name in names[-keep:]:
+            for folder in dict(line.split("\t") for line in self._text(f"{self.root}/{name}").splitlines() if line).values():
+                if folder.startswith(RANGED):
+                    files |= {folder.removeprefix(RANGED), *(p.path for p in self._listed(folder).parts)}
+                else:
+                    plain.add(folder)
+        place = lambda path: str(self._fs.makeQualified(self._path(path)).toUri().getPath())
+        plain, files, gone, limit = set(map(place, plain)), set(map(place, files)), 0, (time.time() - older_than) * 1000
+        for version in self._fs.globStatus(self._path(f"{self.root}/*/v-*")) or []:
+            path = version.getPath()
+            if place(str(path)) in plain | files or version.getModificationTime() > limit:
+                continue
+            used = version.isDirectory() and any(f.startswith(place(str(path)) + "/") for f in files)
+            if not used:
+                gone += bool(self._fs.delete(path, True))
+                continue
+            found = self._fs.listFiles(path, True)
+            while found.hasNext():
+                file = found.next().getPath()
+                if place(str(file)) not in files and str(file.getName()).endswith(".parquet"):
+                    gone += bool(self._fs.delete(file, False))
+        for name in names[:-keep]:
+            gone += bool(self._fs.delete(self._path(f"{self.root}/{name}"), False))
+        return gone
+
+    def publish(self, *gone: str, **tables: DataFrame | Ranged) -> None:
+        """Writes new versions of some tables, takes others out, and makes that visible at once; Conflict if what was read is no longer the newest."""
         number, now = self._pointer()
         base, self._base, mark = self._base, None, uuid.uuid4().hex
         if base is not None and base != number:
             raise Conflict(CONFLICT)
         for name, df in tables.items():
             folder = f"{self.root}/{name}/v-{mark}"
-            df.write.parquet(folder)
-            now[name] = folder
-        draft = self._path(f"{self.root}/draft-{mark}")
-        stream = self._fs.create(draft)
-        stream.write(bytearray("".join(f"{k}\t{v}\n" for k, v in sorted(now.items())).encode()))
-        stream.close()
+            if isinstance(df, Ranged):
+                self._create(f"{folder}.list", df.to_json())
+                now[name] = f"{RANGED}{folder}.list"
+            else:
+                df.write.parquet(folder)
+                now[name] = folder
+        for name in gone:
+            now.pop(name, None)
+        draft = self._create(f"{self.root}/draft-{mark}", "".join(f"{k}\t{v}\n" for k, v in sorted(now.items())))
         try:
             self._files.rename(draft, self._path(f"{self.root}/pointer-{number:012d}"), self._no_overwrite)
         except Py4JJavaError as problem:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrollspark.functions import ocr_document, parsing
-from scrollspark.operators import ingest, ocr_work, perplexity, schema, status
+from scrollspark.operators import ingest, ocr_work, perplexity, schema, status, store
 from scrollspark.operators.store import SnapshotStore
+from scrollspark.session import written
 from scrollspark.sources import fetch
 
 
@@ -29,9 +31,10 @@ def flagged(papers: DataFrame) -> DataFrame:
     return papers.withColumn("has_content", F.col("pdf_content").isNotNull()).withColumn("has_ocr", F.col("ocr_results").isNotNull())
 
 
-def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher: Callable[[], fetch.Fetcher] | None, *, limit: int | None = None, resume: bool = True, now: Column | None = None, workers: int = 4, delay: float = fetch.DELAY, tries: str | None = None, **options) -> dict[str, int]:
+def process(shop: SnapshotStore, lines: DataFrame | Iterable[DataFrame] | None, url_base: str, fetcher: Callable[[], fetch.Fetcher] | None, *, limit: int | None = None, resume: bool = True, now: Column | None = None, workers: int = 4, delay: float = fetch.DELAY, tries: str | None = None, **options) -> dict[str, int]:
     """Loads metadata (unless lines is None), downloads what is wanted (unless fetcher is None), and reconciles flags.
 
+    lines: (value, ordinal), or waves of them (ingest.waves), each published by itself; waves end with the limit.
     After loading, the papers of this run are downloaded; without loading, all that lack content.
     tries: folder of finished downloads; a run that is given an earlier one's folder goes on where that ended.
     """
@@ -40,10 +43,18 @@ def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher
     initialised(shop)
     counts = {"accepted": 0, "skipped": 0, "downloaded": 0, "failed": 0}
     if lines is not None:
-        batch = ingest.load(lines, shop.read("papers"), shop.read("categories"), shop.read("links"), limit=limit, resume=resume, now=now)
-        shop.publish(papers=batch.papers, categories=batch.categories, links=batch.links, accepted=batch.accepted.select("id"), skipped=batch.skipped.select("id"))
-        wanted = shop.read("accepted")
-        counts |= {"accepted": wanted.count(), "skipped": shop.read("skipped").count()}
+        parts, left = [], limit
+        for wave in [lines] if isinstance(lines, DataFrame) else lines:
+            batch = ingest.load_into(shop, wave, limit=left, resume=resume, now=now)
+            shop.publish(papers=batch.papers, categories=batch.categories, links=batch.links)
+            parts.append(batch.accepted.select("id"))
+            new = parts[-1].count()
+            counts["accepted"] += new
+            counts["skipped"] += batch.skipped.count()
+            left = None if left is None else left - new
+            if left == 0:
+                break
+        wanted = reduce(DataFrame.union, parts).distinct()
     else:
         wanted = status.needing_pdf(flagged(shop.read("papers")), limit)
     if fetcher is not None:
@@ -51,7 +62,7 @@ def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher
         tries = f"{shop.root}/tries/{uuid.uuid4().hex}" if tries is None else tries
         shop.publish(outcomes=fetch.downloaded_in_slices(urls, fetcher, tries, workers=workers, delay=delay, **options))
         outcomes = shop.read("outcomes")
-        shop.publish(papers=status.store_outcomes(shop.read("papers"), outcomes, now))
+        shop.publish(papers=shop.changed("papers", outcomes, lambda near: status.store_outcomes(near, outcomes, now), "id"))
         failed = outcomes.where("error IS NOT NULL").count()
         counts |= {"downloaded": outcomes.count() - failed, "failed": failed}
     reconcile(shop)
@@ -60,30 +71,31 @@ def process(shop: SnapshotStore, lines: DataFrame | None, url_base: str, fetcher
 
 def reconcile(shop: SnapshotStore) -> None:
     shop.begin()
-    papers = shop.read("papers")
-    shop.publish(papers=status.reconciled(flagged(papers)).select(*papers.columns))
+    papers = shop.ranged("papers", "id")
+    old, new = F.col("pdf_downloaded"), F.col("_new")
+    wrong = status.reconciled(flagged(papers.read()).withColumn("_old", old)).withColumnRenamed("pdf_downloaded", "_new").where(~new.eqNullSafe(F.col("_old"))).select("id")
+    shop.publish(papers=papers.changed(wrong, lambda near: status.reconciled(flagged(near)).select(*near.columns), shop.folder("papers")))
 
 
 def sync_folder(shop: SnapshotStore, files: DataFrame) -> int:
     """Sets the download flag to whether a file is there; returns how many flags changed."""
     shop.begin()
-    papers = shop.read("papers")
-    found = status.file_sync(papers, files)
-    changed = found.where("changed").count()
-    new = papers.drop("pdf_downloaded").join(found.select("id", "pdf_downloaded"), "id").select(*papers.columns)
-    shop.publish(papers=new)
-    return changed
+    papers = shop.ranged("papers", "id")
+    changed = written(status.file_sync(papers.read(), files).where("changed").select("id", "pdf_downloaded"), "file-sync")
+    new = lambda near: store.update_from(near, changed, "id", {"pdf_downloaded": F.col("s.pdf_downloaded")})
+    shop.publish(papers=papers.changed(changed, new, shop.folder("papers")))
+    return changed.count()
 
 
 def load_files(shop: SnapshotStore, files: DataFrame, skip_existing: bool = True) -> dict[str, int]:
     """files: id, content.  Stores contents of papers; counts of loaded, skipped and unknown files."""
     shop.begin()
-    papers = shop.read("papers")
-    have = papers.where("pdf_content IS NOT NULL").select("id")
+    papers = shop.ranged("papers", "id")
+    near = papers.near(files)
+    have = near.where("pdf_content IS NOT NULL").select("id")
     fresh = files.join(have, "id", "left_anti") if skip_existing else files
-    stored, unknown = status.store_files(papers, fresh.select("id", "content"))
-    total, new, strange = files.count(), fresh.count(), unknown.count()
-    shop.publish(papers=stored)
+    total, new, strange = files.count(), fresh.count(), fresh.join(near.select("id"), "id", "left_anti").count()
+    shop.publish(papers=papers.changed(fresh, lambda rows: status.store_files(rows, fresh.select("id", "content"))[0], shop.folder("papers")))
     return {"loaded": new - strange, "skipped": total - new, "unknown": strange}
 
 
@@ -134,7 +146,8 @@ def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], mod
     document = F.struct(F.transform("r", lambda x: x["p"]).alias("results"), F.col("total").alias("total_pages"), F.coalesce("n", F.lit(0)).cast("int").alias("processed_pages")).cast(ocr_document.DOCUMENT)
     rows = result.select("id", document.alias("results"), (finished == "complete").alias("completed"), F.nullif(ocr_work.error_text(F.coalesce("errors", F.array().cast("array<string>"))), F.lit("")).alias("error"))
     bad = work.where("error IS NOT NULL").select("id", F.lit(None).cast(ocr_document.DOCUMENT).alias("results"), F.lit(False).alias("completed"), "error")
-    shop.publish(papers=ocr_work.save_results(papers, rows.unionByName(bad), now))
+    saved = rows.unionByName(bad)
+    shop.publish(papers=shop.changed("papers", work, lambda near: ocr_work.save_results(near, saved, now), "id"))
     return work.count()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from scrollspark.functions.stemming import STEP_2, STEP_3, STEP_4, WHOLE_WORDS
 from scrollspark.operators.search import STOP_WORDS
 
 #: Flags of a paper from a document's id and its label (null without one); valid in Spark and DuckDB.
@@ -123,9 +124,61 @@ _TERMS = rf"""
     terms AS (SELECT doc_id, {_S_STEM} AS term FROM raw WHERE t <> '' AND t NOT IN ({_STOPS}))"""
 _CHUNKS = "c AS (SELECT o_custkey AS doc_id, o_orderkey AS chunk, 1.0 + o_totalprice / 100000.0 AS ppl, 1 + o_orderkey % 7 AS n FROM orders)"
 
+#: The English stemmer, step by step with regular expressions: an ending is the longest that fits, which is the leftmost match of one alternative.
+_SHORT = r"(regexp_matches({x}, '[^aeiouy][aeiouy][^aeiouywxY]$') OR regexp_matches({x}, '^[aeiouy][^aeiouy]$'))"
+_STEP_2 = "CASE e WHEN 'li' THEN '' " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in STEP_2.items() if a != "li") + " END"
+_STEP_3 = "CASE e " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in STEP_3.items()) + " END"
+_CUT = "substr(w, 1, length(w) - length(e))"
+_STEMS = rf"""
+    y0 AS (SELECT t, regexp_replace(regexp_replace(t, '^y', 'Y'), '([aeiouy])y', '\1Y', 'g') AS w FROM vocabulary),
+    y1 AS (SELECT t, w, CASE WHEN regexp_matches(w, '^(gener|commun|arsen)') THEN length(regexp_extract(w, '^(gener|commun|arsen)'))
+                             WHEN regexp_matches(w, '[aeiouy][^aeiouy]') THEN length(regexp_extract(w, '^.*?[aeiouy][^aeiouy]')) ELSE length(w) END AS r1 FROM y0),
+    y2 AS (SELECT t, w, r1, CASE WHEN regexp_matches(substr(w, r1 + 1), '[aeiouy][^aeiouy]') THEN r1 + length(regexp_extract(substr(w, r1 + 1), '^.*?[aeiouy][^aeiouy]')) ELSE length(w) END AS r2 FROM y1),
+    s1 AS (SELECT t, r1, r2, CASE WHEN w LIKE '%sses' THEN substr(w, 1, length(w) - 2)
+                                  WHEN regexp_matches(w, '(ied|ies)$') THEN substr(w, 1, length(w) - CASE WHEN length(w) > 4 THEN 2 ELSE 1 END)
+                                  WHEN regexp_matches(w, '(us|ss)$') THEN w WHEN regexp_matches(w, '[aeiouy].+s$') THEN substr(w, 1, length(w) - 1) ELSE w END AS w FROM y2),
+    s2 AS (SELECT *, regexp_extract(w, '(eedly|ingly|edly|eed|ing|ed)$') AS e, w IN ('inning', 'outing', 'canning', 'herring', 'earring', 'proceed', 'exceed', 'succeed') AS whole FROM s1),
+    s3 AS (SELECT *, {_CUT} AS x FROM s2),
+    s4 AS (SELECT t, r1, r2, whole, w AS a, CASE WHEN e IN ('eed', 'eedly') THEN CASE WHEN length(x) >= r1 THEN x || 'ee' ELSE w END
+                                         WHEN e = '' OR NOT regexp_matches(x, '[aeiouy]') THEN w
+                                         WHEN regexp_matches(x, '(at|bl|iz)$') THEN x || 'e'
+                                         WHEN regexp_matches(x, '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$') THEN substr(x, 1, length(x) - 1)
+                                         WHEN r1 >= length(x) AND {_SHORT.format(x="x")} THEN x || 'e' ELSE x END AS w FROM s3),
+    s5 AS (SELECT t, r1, r2, whole, a, regexp_replace(w, '^(.+[^aeiouy])[yY]$', '\1i') AS w FROM s4),
+    s6 AS (SELECT *, regexp_extract(w, '({"|".join(STEP_2)})$') AS e FROM s5),
+    s7 AS (SELECT t, r1, r2, whole, a, CASE WHEN e = '' OR length(w) - length(e) < r1 OR (e = 'ogi' AND w NOT LIKE '%logi') OR (e = 'li' AND NOT regexp_matches(w, '[cdeghkmnrt]li$')) THEN w
+                                     ELSE {_CUT} || {_STEP_2} END AS w FROM s6),
+    s8 AS (SELECT *, regexp_extract(w, '({"|".join(STEP_3)})$') AS e FROM s7),
+    s9 AS (SELECT t, r1, r2, whole, a, CASE WHEN e = '' OR length(w) - length(e) < CASE WHEN e = 'ative' THEN greatest(r1, r2) ELSE r1 END THEN w ELSE {_CUT} || {_STEP_3} END AS w FROM s8),
+    s10 AS (SELECT *, regexp_extract(w, '({"|".join(STEP_4)})$') AS e FROM s9),
+    s11 AS (SELECT t, r1, r2, whole, a, CASE WHEN e = '' OR length(w) - length(e) < r2 OR (e = 'ion' AND NOT regexp_matches(w, '[st]ion$')) THEN w ELSE {_CUT} END AS w FROM s10),
+    s12 AS (SELECT *, substr(w, 1, length(w) - 1) AS x FROM s11),
+    s13 AS (SELECT t, whole, a, CASE WHEN w LIKE '%e' AND (length(x) >= r2 OR (length(x) >= r1 AND NOT {_SHORT.format(x="x")})) THEN x WHEN w LIKE '%ll' AND length(x) >= r2 THEN x ELSE w END AS w FROM s12),
+    stems AS (SELECT t, CASE WHEN length(t) <= 2 THEN t {" ".join(f"WHEN t = '{a}' THEN '{b}'" for a, b in WHOLE_WORDS.items())} WHEN whole THEN a ELSE replace(w, 'Y', 'y') END AS stem FROM s13)"""
+_RAW = r"SELECT doc_id, unnest(regexp_split_to_array(lower(concat_ws(' ', source, text)), '[^\p{L}\p{N}]+')) AS t FROM"
+_REVISED = "SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN {new} ELSE text END AS text FROM documents"
+
 ORACLE_SQL |= {
     "fts_index": f"WITH {_TERMS} SELECT term, doc_id, count(*) AS tf FROM terms GROUP BY 1, 2",
     "fts_search": f"WITH {_TERMS} SELECT doc_id FROM terms WHERE term IN ('und', 'der') GROUP BY 1 HAVING count(DISTINCT term) = 2",
+    "fts_stems": rf"""
+        WITH vocabulary AS (SELECT DISTINCT t FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+')) AS t FROM documents) WHERE t <> ''), {_STEMS}
+        SELECT t AS term, stem FROM stems""",
+    "fts_kept_index": f"""
+        WITH docs AS ({_REVISED.format(new="'Revised editions: ' || lang")}), raw AS ({_RAW} docs), words AS (SELECT * FROM raw WHERE t <> '' AND t NOT IN ({_STOPS})),
+        vocabulary AS (SELECT DISTINCT t FROM words), {_STEMS}
+        SELECT stem AS term, doc_id, count(*) AS tf FROM words JOIN stems USING (t) GROUP BY 1, 2""",
+    "fts_kept_search": f"""
+        WITH docs AS ({_REVISED.format(new="'und der ' || lang")}), raw AS ({_RAW} docs)
+        SELECT doc_id FROM raw WHERE t IN ('und', 'der') GROUP BY 1 HAVING count(DISTINCT t) = 2""",
+    "ranged_merge": """
+        WITH l AS (SELECT l_orderkey, max(l_quantity) AS most, max(l_returnflag) AS flag FROM lineitem GROUP BY 1)
+        SELECT o_orderkey AS id, o_orderstatus AS status, CASE WHEN flag = 'R' THEN 'returned' END AS note FROM orders LEFT JOIN l ON o_orderkey = l_orderkey
+        UNION ALL SELECT -l_orderkey, 'N', 'large' FROM l WHERE most >= 50
+        UNION ALL SELECT l_orderkey, 'N', 'returned' FROM l WHERE flag = 'R' AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+    "ranged_lookup": "WITH a AS (SELECT o_custkey, min(o_orderkey) AS id FROM orders GROUP BY 1) SELECT a.id, a.o_custkey, o_totalprice FROM a JOIN orders ON o_orderkey = a.id",
+    "ranged_page": "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderkey > 500 AND o_orderstatus = 'O' ORDER BY 1 LIMIT 50",
+    "first_new_of_files": "SELECT CAST(doc_id AS VARCHAR) AS id, lang AS title FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 25",
     "ingest_load": f"""
         WITH {_FIRST} SELECT id, title, lang || '  ' || source || '  ' || lang AS categories, false AS pdf_downloaded, true AS created FROM one WHERE id NOT IN (SELECT id FROM old)
         UNION ALL SELECT id, 'old', NULL, true, false FROM old""",
@@ -143,12 +196,12 @@ ORACLE_SQL |= {
     "known_records": "SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "numbered_lines": "SELECT * FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, CAST(doc_id AS VARCHAR) AS id FROM documents) WHERE ordinal < 700",
     "ingest_stream": """
-        SELECT CAST(doc_id AS VARCHAR) AS id, lang || '-' || CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END AS title, source AS category FROM documents WHERE doc_id % 2 = 0 OR doc_id % 4 < 2""",
+        SELECT CAST(doc_id AS VARCHAR) AS id, lang || '-' || CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END AS title, source AS category FROM documents""",
     "record_fields": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '' END AS title, o_orderstatus AS journal_ref,
         CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS report_no, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n_authors, CAST(0 AS INTEGER) AS n_versions,
         CAST(o_orderdate AS DATE) AS update_date FROM orders""",
-    "snapshot_publish": "SELECT doc_id, lang, 'a' AS part FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT doc_id, lang, 'b' FROM documents WHERE doc_id % 3 = 0",
+    "snapshot_publish": "SELECT doc_id, upper(lang) AS lang, 'a' AS part FROM documents UNION ALL SELECT doc_id, lang, 'b' FROM documents",
     "migrated_papers": """
         SELECT CAST(doc_id AS VARCHAR) AS id, lang AS title, doc_id % 10 = 0 AS pdf_downloaded, true AS no_error, CAST(20 AS INTEGER) AS n_columns, CAST(25 AS INTEGER) AS n_head FROM documents""",
     "schema_violations": """

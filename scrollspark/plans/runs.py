@@ -6,13 +6,14 @@ What passes through files goes to a new folder of the shared one.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrollspark.functions import ocr_document, parsing, payload
-from scrollspark.operators import ingest, ocr_work, perplexity, profile, schema, status
+from scrollspark.functions import ocr_document, parsing, payload, stemming
+from scrollspark.operators import ingest, ocr_work, perplexity, profile, ranges, schema, search, status, text_index
 from scrollspark.operators import store as tables
 from scrollspark.operators.store import SnapshotStore
 from scrollspark.plans.catalog import _documents_of_turns, _order_chunks, _papers, query
@@ -107,7 +108,7 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = SnapshotStore(spark, f"{root}/store")
     schema.run_migrations(shop)
     docs = table(spark, sf_dir, "documents")
-    for turn, part in ((1, docs.where("doc_id % 2 = 0")), (2, docs.where("doc_id % 4 < 2"))):
+    for turn, part in ((1, docs.where("doc_id % 2 = 0")), (2, docs.where("doc_id % 4 <> 2"))):
         title = F.concat_ws("-", F.col("lang"), F.lit(turn))
         part.select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), title.alias("title"), F.col("source").alias("categories"))).alias("value")).write.mode("append").text(f"{root}/in")
         incremental.ingest_stream(spark, f"{root}/in", shop, f"{root}/checkpoint", now=_day())
@@ -135,11 +136,85 @@ def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two publications of a table of three; the newest counts, the other tables stay."""
     shop = SnapshotStore(spark, _folder(spark, "store"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    shop.publish(a=docs.where("doc_id % 2 = 0"), b=docs.where("doc_id % 3 = 0"), c=docs.limit(0))
-    shop.publish(a=shop.read("a").where("doc_id % 5 = 0"))
+    shop.publish(a=docs, b=docs, c=docs.limit(0))
+    shop.publish(a=shop.read("a").withColumn("lang", F.upper("lang")))
     return shop.read("a").withColumn("part", F.lit("a")).union(shop.read("b").withColumn("part", F.lit("b"))).union(shop.read("c").withColumn("part", F.lit("c")))
 
 
+#: Rows of a file of a table in key ranges; small, so that the tests' tables have several.
+RANGE_ROWS = 1_000
+
+
+@query
+def ranged_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in key ranges; the orders of returned lines are marked, and each of a large line gets a copy under a negative key; then small files are merged."""
+    root = _folder(spark, "ranged")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.lit(None).cast("string").alias("note"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("most"), F.max("l_returnflag").alias("flag"))
+    changes = lines.where("flag = 'R'").select(F.col("l_orderkey").alias("id"), F.lit("returned").alias("note"))
+    new = lines.where("most >= 50").select((-F.col("l_orderkey")).alias("id"), F.lit("large").alias("note"))
+    source = changes.union(new).withColumn("status", F.lit("X"))
+    kept = ranges.ranged(orders, f"{root}/v1", "id", rows_per_file=RANGE_ROWS)
+    kept = kept.changed(source, lambda near: tables.merge(near, source, "id", {"note": tables.REPLACE}, defaults={"status": "N"}), f"{root}/v2")
+    return kept.compacted(f"{root}/v3").read()
+
+
+@query
+def ranged_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batched lookups by key: orders of the customers' first orders, read from the files that have them."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice")
+    kept = ranges.ranged(orders, _folder(spark, "ranged"), "id", rows_per_file=RANGE_ROWS)
+    asked = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("id"))
+    return asked.join(kept.near(asked), "id")
+
+
+@query
+def ranged_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of 50 open orders behind a key."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    kept = ranges.ranged(orders, _folder(spark, "ranged"), "id", rows_per_file=RANGE_ROWS)
+    return kept.page(50, after=500, where="status = 'O'")
+
+
+@query
+def first_new_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 25 documents without a label, from a folder of JSON lines that is read file by file until they are found."""
+    folder = _folder(spark, "waves")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
+    docs.repartitionByRange(8, F.col("id").cast("bigint")).sortWithinPartitions(F.col("id").cast("bigint")).select(F.to_json(F.struct("id", F.col("lang").alias("title"))).alias("value")).write.text(folder)
+    known = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    return reduce(DataFrame.union, ingest.first_new_of_files(spark, folder, known, 25, first=1)).select("id", "title")
+
+
+@query
+def fts_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stem of every distinct word of the documents."""
+    words = F.split(F.lower("text"), search.SEPARATORS)
+    terms = table(spark, sf_dir, "documents").select(F.explode(words).alias("term")).where("term <> ''").distinct()
+    return terms.select("term", stemming.english_stem(F.col("term")).alias("stem"))
+
+
+@query
+def fts_kept_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A kept index: all documents, then new texts of the labelled ones in a second segment, then both merged; its terms."""
+    kept = text_index.TextIndex(SnapshotStore(spark, _folder(spark, "fts")), "fts", "doc_id", ["source", "text"], rows_per_file=RANGE_ROWS)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id").distinct()
+    kept.add(docs)
+    kept.add(docs.join(labels, "doc_id").withColumn("text", F.concat(F.lit("Revised editions: "), "lang")))
+    kept.merge()
+    return kept.postings()
+
+
+@query
+def fts_kept_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of a kept index of two segments that have all of some words."""
+    kept = text_index.TextIndex(SnapshotStore(spark, _folder(spark, "fts")), "fts", "doc_id", ["source", "text"], rows_per_file=RANGE_ROWS)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id").distinct()
+    kept.add(docs)
+    kept.add(docs.join(labels, "doc_id").withColumn("text", F.concat(F.lit("und der "), "lang")))
+    return kept.search(["the", "und", "Der"])
+
+
 @query
 def migrated_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level 1 to 4 and back to 2: the columns of level 2 have their defaults, later ones are gone."""

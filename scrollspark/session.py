@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zipfile
 from pathlib import Path
 from tempfile import mkdtemp
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -47,6 +48,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: cuts the lineage and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/scrollspark-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Sends this package to the executors once per application, so that their Python workers can import it."""
     context = spark.sparkContext

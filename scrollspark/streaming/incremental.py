@@ -22,7 +22,7 @@ def ingest_stream(spark: SparkSession, folder: str, store: SnapshotStore, checkp
     def apply(batch: DataFrame, _: int) -> None:
         store.begin()
         lines = ingest.with_ordinals(batch)
-        result = ingest.load(lines, store.read("papers"), store.read("categories"), store.read("links"), **options)
+        result = ingest.load_into(store, lines, **options)
         store.publish(papers=result.papers, categories=result.categories, links=result.links)
 
     ingest.placed(reader.load(folder)).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
