@@ -160,18 +160,20 @@ class SnapshotStore:
     def clean(self, keep: int = 3, older_than: float = 7 * 86_400) -> int:
         """Deletes what none of the last pointers needs, and the pointers before; how many files and folders went.
 
-        older_than: seconds; younger files may be those of a version that is not published yet.
+        older_than: seconds; younger pointers count among the last, and younger files may be those of a version that is not published yet.
         """
-        names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
+        limit = (time.time() - older_than) * 1000
+        pointers = sorted((str(x.getPath().getName()), x.getModificationTime()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
+        old = [name for name, at in pointers[:-keep] if at <= limit]
         plain, files = set(), set()
-        for name in names[-keep:]:
+        for name in (name for name, _ in pointers if name not in old):
             for folder in dict(line.split("\t") for line in self._text(f"{self.root}/{name}").splitlines() if line).values():
                 if folder.startswith(RANGED):
                     files |= {folder.removeprefix(RANGED), *(p.path for p in self._listed(folder).parts)}
                 else:
                     plain.add(folder)
         place = lambda path: str(self._fs.makeQualified(self._path(path)).toUri().getPath())
-        plain, files, gone, limit = set(map(place, plain)), set(map(place, files)), 0, (time.time() - older_than) * 1000
+        plain, files, gone = set(map(place, plain)), set(map(place, files)), 0
         for version in self._fs.globStatus(self._path(f"{self.root}/*/v-*")) or []:
             path = version.getPath()
             if place(str(path)) in plain | files or version.getModificationTime() > limit:
@@ -185,7 +187,7 @@ class SnapshotStore:
                 file = found.next().getPath()
                 if place(str(file)) not in files and str(file.getName()).endswith(".parquet"):
                     gone += bool(self._fs.delete(file, False))
-        for name in names[:-keep]:
+        for name in old:
             gone += bool(self._fs.delete(self._path(f"{self.root}/{name}"), False))
         return gone
 
