@@ -19,7 +19,7 @@ the square root of twice the tokens, 1.4 million numbers for 10**12, however man
 Edge cases: null sources are one source, kept as null; sources without any token get one
 pass; texts that are null or empty have 0 tokens and ride along in their block;
 documents whose tokens no longer fit in the last pass end it; rows with equal ids are documents
-of their own, in one block; an empty table gives no rows; extra columns are ignored, and pass
+of their own, in one block; rows without id are dealt one by one, by their place in the table, so they are spread over all blocks; an empty table gives no rows; extra columns are ignored, and pass
 through ``mixed``.
 """
 
@@ -114,7 +114,8 @@ def mixture(
     whole: instead of a budget, the largest source gets exactly one pass, so that every document is in the mixture.
     """
     key = F.when(F.col(source_col).isNull(), "").otherwise(F.concat(F.lit("="), F.col(source_col).cast("string")))
-    base = written(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), key.alias("_key"), words(F.col(text_col)).alias("n_tokens")), "mixing-tokens")
+    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()).alias("_own")  # hashes pass over nulls: it counts for rows without id only
+    base = written(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), key.alias("_key"), words(F.col(text_col)).alias("n_tokens"), own), "mixing-tokens")
     totals = written(base.groupBy("_key").agg(F.sum("n_tokens").alias("total"), F.count(F.lit(1)).alias("docs")), "mixing-sources")
     sizes = _sizes(totals)
     every = sum(s * k for s, k in sizes)
@@ -134,7 +135,7 @@ def mixture(
     plan = plan.withColumn("blocks", F.ceil(F.col("docs") / block_docs)).withColumn("last", F.when(F.col("rest") > 0, F.col("full")).otherwise(F.col("full") - 1))
     plan = written(plan.where("last >= 0").select("_key", "full", "rest", "blocks", "last"), "mixing-plan")
 
-    dealt = base.join(plan.select("_key", "blocks"), "_key").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "_id"), F.col("blocks")).cast("int")).drop("blocks")
+    dealt = base.join(plan.select("_key", "blocks"), "_key").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "_id", "_own"), F.col("blocks")).cast("int")).drop("blocks")
     sums = dealt.groupBy("_key", "block").agg(F.sum("n_tokens").alias("in_block"))
     turns = sums.join(plan, "_key").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("last"))))
     turns = turns.withColumn("drawn", F.xxhash64(F.lit(seed + 1), "pass", "block")).withColumn("shelf", F.shiftright("drawn", 64 - SHELF_BITS))
@@ -146,7 +147,7 @@ def mixture(
     turns = written(turns.select("_key", "block", "pass", "block_at", F.when(F.col("pass") < F.col("full"), F.lit(None)).otherwise(F.col("rest")).cast("bigint").alias("rest")), "mixing-blocks")
 
     placed = dealt.join(turns, ["_key", "block"])
-    inside = Window.partitionBy("_key", "block", "pass").orderBy(F.xxhash64(F.lit(seed + 2), "pass", "_id"), "_id", "n_tokens")
+    inside = Window.partitionBy("_key", "block", "pass").orderBy(F.xxhash64(F.lit(seed + 2), "pass", "_id", "_own"), "_id", "n_tokens")
     placed = placed.withColumn("in_pass", F.col("block_at") + _before("n_tokens", inside)).where(F.col("rest").isNull() | (F.col("in_pass") + F.col("n_tokens") <= F.col("rest")))
     lengths = totals.select("_key", "total")
     out = placed.join(lengths, "_key")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scrollspark.llm import decontamination, fill_in_middle, fm_index, item_blocks, ranked_search, toxicity
+from scrollspark.llm import decontamination, fill_in_middle, fm_index, item_blocks, mixing, ranked_search, toxicity
 from tests.llm.test_operators import EDGES, FOLD, docs_df
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -262,3 +262,10 @@ def test_a_labelled_text_that_is_too_long_takes_no_other_out(spark):
         assert all((scores[i] > 0.5) == (i % 2 == 0) for i in range(120) if i != known[place])
     with pytest.warns(UserWarning, match="nothing is learnt"):
         assert toxicity.sampled(docs, labels, 10_000, 3, "doc_id", "text", "toxic").count() == 0
+
+
+def test_rows_without_id_are_spread_over_blocks(spark):
+    docs = docs_df(spark, [f"text number {i}" for i in range(400)], [None] * 300 + list(range(100)))
+    got = mixing.mixture(docs.withColumn("source", F.lit("one")), block_docs=20).where("pass = 0")
+    rows = got.groupBy("block", F.col("doc_id").isNull().alias("none")).count().where("none").collect()
+    assert got.count() == 400 and len(rows) == 20 and max(r["count"] for r in rows) < 60
