@@ -6,8 +6,8 @@ list, so a term of all texts is many rows.  Postings are files of term ranges (r
 so that a search opens the files of its terms; their offsets are stored with Parquet's delta encoding.
 
 A text that comes again replaces the earlier one: of a key, only the newest segment counts; a null text takes it out.
-Every change is one publication of the store.  Edge cases: null columns count as empty; rows that share a key in one batch are one text;
-rows without key are left out.
+Every change is one publication of the store.  Edge cases: null columns count as empty; rows that share a key in one batch are
+texts of their own, and a key is found once; rows without key are left out.
 """
 
 from __future__ import annotations
@@ -15,10 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrollspark.functions.stemming import english_stem
+from scrollspark.functions.stemming import stem_of
 from scrollspark.operators import ranges, search
 from scrollspark.operators.store import SnapshotStore
 
@@ -27,7 +30,7 @@ SEGMENTS = 8  # so many are searched one by one; one more, and they are merged
 
 
 class TextIndex:
-    def __init__(self, shop: SnapshotStore, name: str, key: str, columns: Sequence[str], stem: Callable[[Column], Column] = english_stem, stops: Sequence[str] = search.STOP_WORDS, rows_per_file: int = ranges.ROWS_PER_FILE):
+    def __init__(self, shop: SnapshotStore, name: str, key: str, columns: Sequence[str], stem: Callable[[str], str] = stem_of, stops: Sequence[str] = search.STOP_WORDS, rows_per_file: int = ranges.ROWS_PER_FILE):
         self.shop, self.name, self.key, self.columns = shop, name, key, list(columns)
         self.stem, self.stops, self.rows_per_file = stem, list(stops), rows_per_file
 
@@ -59,11 +62,12 @@ class TextIndex:
         return self.shop.spark.read.schema(rows.schema).parquet(path)
 
     def _segment(self, keys: DataFrame, postings: DataFrame, *drop: str) -> None:
-        """keys: number, key.  postings: term, number, tf, repeats allowed."""
-        block, offset = F.shiftright("number", BLOCK_BITS).alias("block"), F.col("number").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("offset")
-        counted = postings.groupBy("term", block, offset).agg(F.sum("tf").cast("int").alias("tf"))
-        pairs = F.sort_array(F.collect_list(F.struct("offset", "tf")))  # 2**16 at most
-        blocks = counted.groupBy("term", "block").agg(pairs.alias("p")).select("term", "block", F.col("p.offset").alias("offsets"), F.col("p.tf").alias("tfs"))
+        """keys: number, key.  postings: term, number, tf, once each."""
+        offset = F.col("number").bitwiseAND((1 << BLOCK_BITS) - 1)
+        packed = F.shiftleft(offset, 32).bitwiseOR(F.col("tf").cast("bigint"))  # one number for a text, so that lists are short; 2**16 of them at most
+        lists = postings.groupBy("term", F.shiftright("number", BLOCK_BITS).alias("block")).agg(F.sort_array(F.collect_list(packed)).alias("p"))
+        part = lambda f: F.transform("p", lambda x: f(x).cast("int"))
+        blocks = lists.select("term", "block", part(lambda x: F.shiftright(x, 32)).alias("offsets"), part(lambda x: x.bitwiseAND((1 << 32) - 1)).alias("tfs"))
         name, number = self.name, self._next()
         written = ranges.ranged(blocks, self.shop.folder(f"{name}_postings_{number}"), "term", ("block",), self.rows_per_file, parquet__writer__version="PARQUET_2_0")
         self.shop.publish(*drop, **{f"{name}_keys_{number}": keys.select("number", "key"), f"{name}_postings_{number}": written})
@@ -71,14 +75,9 @@ class TextIndex:
     def add(self, texts: DataFrame) -> None:
         """A new segment of these texts; segments are merged where they have become many."""
         text = F.concat_ws(" ", *(F.col(c).cast("string") for c in self.columns))
-        rows = texts.where(F.col(self.key).isNotNull()).select(F.monotonically_increasing_id().alias("number"), F.col(self.key).alias("key"), self.terms(text).alias("words"))
-        rows = self._staged(rows)
-        # Rows that share a key count as the first of their numbers.
-        first = rows.groupBy("key").agg(F.min("number").alias("number"), F.count(F.lit(1)).alias("n"))
-        again = rows.join(first.where("n > 1").withColumnRenamed("number", "_first"), "key").select(F.col("number").alias("_number"), "_first")
-        each = rows.select("number", F.explode("words").alias("word")).groupBy("number", "word").agg(F.count(F.lit(1)).alias("tf"))
-        each = each.join(again, F.col("number") == F.col("_number"), "left").withColumn("number", F.coalesce("_first", "number"))
-        self._segment(first, each.select(self.stem(F.col("word")).alias("term"), "number", "tf"))
+        counts = counted_stems(self.terms(text), self.stem).alias("terms")
+        rows = self._staged(texts.where(F.col(self.key).isNotNull()).select(F.monotonically_increasing_id().alias("number"), F.col(self.key).alias("key"), counts))
+        self._segment(rows, rows.select("number", F.explode("terms").alias("t")).select("t.term", "number", "t.tf"))
         if len(self.segments()) > SEGMENTS:
             self.merge()
 
@@ -109,12 +108,8 @@ class TextIndex:
         return reduce(DataFrame.union, parts).select("term", F.col("key").alias(self.key), "tf")
 
     def wanted(self, terms: Sequence[str]) -> list[str]:
-        """Stems of what is asked for, without stop words; a constant's, so nothing is read."""
-        asked = sorted({t.lower() for t in terms} - set(self.stops))
-        if not asked:
-            return []
-        rows = self.shop.spark.createDataFrame([(t,) for t in asked], "t string")
-        return sorted({r["t"] for r in rows.select(self.stem(F.col("t")).alias("t")).collect()})
+        """Stems of what is asked for, without stop words."""
+        return sorted({self.stem(t) for t in {t.lower() for t in terms} - set(self.stops)})
 
     def files_of(self, terms: Sequence[str]) -> list[str]:
         """The posting files that a search for these terms opens."""
@@ -130,7 +125,24 @@ class TextIndex:
             whole = found.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(wanted)).select("block")
             hits = _exploded(found.join(whole, "block", "left_semi")).groupBy("number").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(wanted))
             parts.append(hits.join(self._live(segment), "number").select(F.col("key").alias(self.key)))
-        return reduce(DataFrame.union, parts)
+        return reduce(DataFrame.union, parts).distinct()
+
+
+def counted_stems(words: Column, stem: Callable[[str], str]) -> Column:
+    """Of each list of words its distinct stems (term) and how often each is there (tf)."""
+
+    @F.arrow_udf("array<struct<term: string, tf: int>>")
+    def counts(lists: pa.Array) -> pa.Array:
+        coded = pc.fill_null(pc.list_flatten(lists), "").dictionary_encode()
+        stems = pa.array([stem(t) for t in coded.dictionary.to_pylist()], pa.string()).dictionary_encode()
+        owner = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+        term = stems.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64) if len(owner) else owner
+        pairs, tf = np.unique(owner * max(1, len(stems.dictionary)) + term, return_counts=True)
+        owner, term = pairs // max(1, len(stems.dictionary)), pairs % max(1, len(stems.dictionary))
+        cut = np.searchsorted(owner, np.arange(len(lists) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([stems.dictionary.take(pa.array(term)), pa.array(tf.astype(np.int32))], ["term", "tf"]))
+
+    return counts(words)
 
 
 def _exploded(blocks: DataFrame) -> DataFrame:
