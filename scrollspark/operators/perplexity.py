@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from scrollspark.session import written
+
 CONTEXT, STRIDE, POWER, WORST = 1024, 512, 2.0, 5
 # Upper bounds of the quality bands.
 BANDS = ((10, "Very low"), (50, "Low"), (100, "Moderate"), (500, "High"))
@@ -108,6 +110,41 @@ def statistics(chunks: DataFrame, key: str, ppl: str = "ppl", scored: str = "sco
     return full.select(key, *(F.coalesce(c, F.lit(0)) .alias(c) if c in ("num_chunks", "total_tokens") else F.coalesce(F.col(c), F.lit(float("inf"))).alias(c) for c in out.columns if c != key))
 
 
+PERCENTILES = {"median_ppl": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+
+
+def exact_percentiles(chunks: DataFrame, key: str, value: str = "ppl", wanted: Mapping[str, float] | None = None) -> DataFrame:
+    """key and percentiles with linear interpolation, exact for keys of any number of rows.
+
+    Equal values are counted before they move.  The counts are dealt by ranges of (key, value), so that a large key is shared by
+    many tasks, and written; a value's ranks follow from the counts of its key in the parts before, and those inside its part.  Null values do
+    not count; a key with null values only has no row.
+    """
+    wanted = PERCENTILES if wanted is None else wanted
+    counted = chunks.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(value).alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = written(counted.repartitionByRange("_key", "_x").withColumn("_part", F.spark_partition_id()), "percentiles")
+    sizes = parts.groupBy("_key", "_part").agg(F.sum("_n").alias("_here"))  # of a key one row a part, at most
+    by_key = Window.partitionBy("_key")
+    before = F.sum("_here").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_here")
+    sizes = sizes.select("_key", "_part", before.alias("_before"), F.sum("_here").over(by_key).alias("_all"))
+    inside = F.sum("_n").over(Window.partitionBy("_key", "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # A null key is a key of its own.
+    left, right = parts.withColumn("_end", inside).alias("l"), sizes.alias("r")
+    ranked = left.join(right, F.col("l._key").eqNullSafe(F.col("r._key")) & (F.col("l._part") == F.col("r._part"))).select(
+        F.col("l._key").alias("_key"), "_x", "_all", (F.col("_before") + F.col("_end") - F.col("_n")).alias("_from"), (F.col("_before") + F.col("_end")).alias("_to")
+    )
+    place = {name: F.lit(q) * (F.col("_all") - 1) for name, q in wanted.items()}
+    at = lambda rank: F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_x")))
+    ends = [c for name, p in place.items() for c in (at(F.floor(p)).alias(f"_low_{name}"), at(F.ceil(p)).alias(f"_high_{name}"))]
+    found = ranked.groupBy("_key").agg(F.first("_all").alias("_all"), *ends)
+
+    def between(name: str) -> Column:
+        low, high, p = F.col(f"_low_{name}"), F.col(f"_high_{name}"), place[name]
+        return F.when(F.floor(p) == F.ceil(p), low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high).alias(name)
+
+    return found.select(F.col("_key").alias(key), *map(between, wanted))
+
+
 def chunk_lists(chunks: DataFrame, key: str, chunk: str = "chunk", ppl: str = "ppl") -> DataFrame:
     """key, chunks: a sequence's perplexities in window order.  As long as the sequence has windows."""
     pairs = F.sort_array(F.collect_list(F.struct(F.col(chunk).alias("chunk"), F.col(ppl).alias("ppl"))))

@@ -283,6 +283,13 @@ def ppl_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.round(c, 4).alias(c) for c in ("mean_ppl", "median_ppl", "p90", "p95", "p99", "max_ppl", "min_ppl", "penalized_ppl")), "num_chunks", "total_tokens")
 
 
+@query
+def ppl_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of keys that hold large shares of all rows: the prices of lines by their flag."""
+    found = perplexity.exact_percentiles(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice")
+    return found.select("l_returnflag", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in perplexity.PERCENTILES))
+
+
 @query
 def ppl_worst_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.worst_chunks(_order_chunks(spark, sf_dir), "doc_id", "chunk", "o_totalprice", 5)

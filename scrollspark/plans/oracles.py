@@ -161,6 +161,9 @@ _REVISED = "SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM label
 ORACLE_SQL |= {
     "fts_index": f"WITH {_TERMS} SELECT term, doc_id, count(*) AS tf FROM terms GROUP BY 1, 2",
     "fts_search": f"WITH {_TERMS} SELECT doc_id FROM terms WHERE term IN ('und', 'der') GROUP BY 1 HAVING count(DISTINCT term) = 2",
+    "ppl_percentiles": "SELECT l_returnflag, "
+    + ", ".join(f"round(CAST(quantile_cont(l_extendedprice, {q}) AS DOUBLE), 4) AS {name}" for name, q in (("median_ppl", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)))
+    + " FROM lineitem GROUP BY 1",
     "fts_stems": rf"""
         WITH vocabulary AS (SELECT DISTINCT t FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+')) AS t FROM documents) WHERE t <> ''), {_STEMS}
         SELECT t AS term, stem FROM stems""",

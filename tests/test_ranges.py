@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scrollspark.functions.stemming import english_stem, stem_of
-from scrollspark.operators import ingest, search, store, text_index, workflow
+from scrollspark.operators import ingest, perplexity, search, store, text_index, workflow
 from scrollspark.operators.ranges import ranged
 from scrollspark.operators.store import SnapshotStore
 
@@ -156,3 +156,15 @@ def test_an_index_in_segments_is_the_index_of_all(spark, tmp_path):
     assert len(kept.segments()) == 1 and sorted(map(tuple, kept.postings().collect())) == plain()
     kept.add(spark.createDataFrame([(3, "a", "b zebra"), (3, "a", "zebra"), (None, "zebra", "zebra")], schema))
     assert [r["id"] for r in kept.search(["zebras"]).collect()] == [3]
+
+
+def test_percentiles_of_large_keys_are_exact(spark):
+    rng = random.Random(2)
+    rows = [("hot", rng.choice([1.5, float(rng.randint(0, 300)) / 7, None])) for _ in range(900)] + [(None, 2.0), (None, 4.0), ("one", 3.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, ppl double").repartition(5)
+    want = {r["k"]: r for r in df.where("ppl IS NOT NULL").groupBy("k").agg(*(F.percentile("ppl", F.lit(q)).alias(name) for name, q in perplexity.PERCENTILES.items())).collect()}
+    got = {r["k"]: r for r in perplexity.exact_percentiles(df, "k").collect()}
+    assert set(got) == set(want) == {"hot", "one", None}
+    for k, row in want.items():
+        assert all(abs(got[k][name] - row[name]) < 1e-9 for name in perplexity.PERCENTILES)
+    assert perplexity.exact_percentiles(df.limit(0), "k").count() == 0
