@@ -85,6 +85,16 @@ class Ranged:
         found = keys.select(F.col(self.key).cast(self.schema[self.key].dataType)).where(F.col(self.key).isNotNull())
         return sorted(r["part"] for r in found.mapInArrow(run, "part int").distinct().collect())
 
+    def number_of(self, key: Column) -> Column:
+        """Number of the part that holds a key, or would have to; of several, the first."""
+        lows, highs = self._fences()
+
+        @F.arrow_udf("int")
+        def number(keys: pa.Array) -> pa.Array:
+            return pa.array(_covering(lows, highs, _array(keys.to_pylist()))[0], pa.int32())
+
+        return number(key)
+
     def near(self, keys: DataFrame) -> DataFrame:
         """The rows of all files that hold one of the keys."""
         return self.of(self.touched(keys))

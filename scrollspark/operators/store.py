@@ -3,17 +3,21 @@
 Parquet tables have no MERGE or UPDATE, so a change is a new table: one full
 outer join on the key, whose columns follow a policy.  Tables of a store may be kept as
 files of key ranges (ranges.py); a change of these is the same join over the files that it touches.
+Others only grow: an append writes its own rows as one more folder.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrollspark.operators import ranges
 from scrollspark.operators.ranges import Ranged
@@ -79,6 +83,7 @@ def rename_categories(links: DataFrame, categories: DataFrame, names: DataFrame)
 
 
 RANGED = "ranged:"  # before the path of a list of files, where a plain table has its folder
+APPENDED = "appended:"  # the same for a list of folders
 CONFLICT = "another writer has published since the tables were read"
 
 
@@ -86,6 +91,31 @@ class Conflict(RuntimeError):
     """Another writer has published since the tables were read."""
 
 
+@dataclass(frozen=True)
+class Appended:
+    """A table as a list of folders, in the order of their appends."""
+
+    spark: SparkSession
+    schema: T.StructType
+    folders: tuple[str, ...] = ()
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.folders) if self.folders else self.spark.createDataFrame([], self.schema)
+
+    def with_rows(self, rows: DataFrame, folder: str) -> Appended:
+        """The table with these rows, written to a new folder."""
+        rows.select(*(F.col(f.name).cast(f.dataType) for f in self.schema)).write.parquet(folder)
+        return replace(self, folders=(*self.folders, folder))
+
+    def to_json(self) -> str:
+        return "\n".join([self.schema.json(), *self.folders])
+
+    @classmethod
+    def from_json(cls, spark: SparkSession, text: str) -> Appended:
+        head, *folders = text.split("\n")
+        return cls(spark, T.StructType.fromJson(json.loads(head)), tuple(folders))
+
+
 class SnapshotStore:
     """Tables in one folder; a snapshot of all of them becomes visible by one rename of a pointer file.
 
@@ -129,13 +159,14 @@ class SnapshotStore:
 
     def read(self, table: str) -> DataFrame:
         folder = self._seen()[table]
-        return self._listed(folder).read() if folder.startswith(RANGED) else self.spark.read.parquet(folder)
+        return self._listed(folder).read() if folder.startswith((RANGED, APPENDED)) else self.spark.read.parquet(folder)
 
     def _text(self, path: str) -> str:
         return self.spark.read.text(path, wholetext=True).first()["value"]
 
-    def _listed(self, folder: str) -> Ranged:
-        return Ranged.from_json(self.spark, self._text(folder.removeprefix(RANGED)))
+    def _listed(self, folder: str) -> Ranged | Appended:
+        kind = Ranged if folder.startswith(RANGED) else Appended
+        return kind.from_json(self.spark, self._text(folder.split(":", 1)[1]))
 
     def folder(self, table: str) -> str:
         """A new folder for a version of a table."""
@@ -146,6 +177,13 @@ class SnapshotStore:
         folder = self._seen()[table]
         return self._listed(folder) if folder.startswith(RANGED) else ranges.ranged(self.read(table), self.folder(table), key, also, rows_per_file)
 
+    def appended(self, table: str, schema: str | T.StructType) -> Appended:
+        """A table that only grows, empty if there is none; a plain one counts as its first folder."""
+        folder = self._seen().get(table)
+        if folder is None:
+            return Appended(self.spark, self.spark.createDataFrame([], schema).schema)
+        return self._listed(folder) if folder.startswith(APPENDED) else Appended(self.spark, self.spark.createDataFrame([], schema).schema, (folder,))
+
     def changed(self, table: str, keys: DataFrame, change: Callable[[DataFrame], DataFrame], key: str, also: tuple[str, ...] = ()) -> Ranged:
         """A table after a change of the rows of some keys, to be published; files without these keys stay."""
         return self.ranged(table, key, also).changed(keys, change, self.folder(table))
@@ -170,6 +208,9 @@ class SnapshotStore:
             for folder in dict(line.split("\t") for line in self._text(f"{self.root}/{name}").splitlines() if line).values():
                 if folder.startswith(RANGED):
                     files |= {folder.removeprefix(RANGED), *(p.path for p in self._listed(folder).parts)}
+                elif folder.startswith(APPENDED):
+                    files.add(folder.removeprefix(APPENDED))
+                    plain |= set(self._listed(folder).folders)
                 else:
                     plain.add(folder)
         place = lambda path: str(self._fs.makeQualified(self._path(path)).toUri().getPath())
@@ -191,7 +232,7 @@ class SnapshotStore:
             gone += bool(self._fs.delete(self._path(f"{self.root}/{name}"), False))
         return gone
 
-    def publish(self, *gone: str, **tables: DataFrame | Ranged) -> None:
+    def publish(self, *gone: str, **tables: DataFrame | Ranged | Appended) -> None:
         """Writes new versions of some tables, takes others out, and makes that visible at once; Conflict if what was read is no longer the newest."""
         number, now = self._pointer()
         base, self._base, mark = self._base, None, uuid.uuid4().hex
@@ -199,9 +240,9 @@ class SnapshotStore:
             raise Conflict(CONFLICT)
         for name, df in tables.items():
             folder = f"{self.root}/{name}/v-{mark}"
-            if isinstance(df, Ranged):
+            if isinstance(df, Ranged | Appended):
                 self._create(f"{folder}.list", df.to_json())
-                now[name] = f"{RANGED}{folder}.list"
+                now[name] = f"{RANGED if isinstance(df, Ranged) else APPENDED}{folder}.list"
             else:
                 df.write.parquet(folder)
                 now[name] = folder

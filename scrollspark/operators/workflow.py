@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrollspark.functions import ocr_document, parsing
-from scrollspark.operators import ingest, ocr_work, perplexity, schema, status, store
+from scrollspark.operators import ingest, ocr_work, page_log, perplexity, schema, status, store
 from scrollspark.operators.store import SnapshotStore
 from scrollspark.session import written
 from scrollspark.sources import fetch
@@ -99,17 +99,18 @@ def load_files(shop: SnapshotStore, files: DataFrame, skip_existing: bool = True
     return {"loaded": new - strange, "skipped": total - new, "unknown": strange}
 
 
-def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], model: Callable[[], ocr_work.OcrModel] = lambda: ocr_work.mock_model, *, limit: int | None = 10, offset: int = 0, pages: int | None = None, per_run: int | None = 100, dpi: int = 200, retry_errors: bool = False, now: Column | None = None, **limits) -> int:
+def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], model: Callable[[], ocr_work.OcrModel] = lambda: ocr_work.mock_model, *, limit: int | None = 10, offset: int = 0, pages: int | None = None, per_run: int | None = 100, per_batch: int = 8, wave_pages: int = page_log.WAVE_PAGES, dpi: int = 200, retry_errors: bool = False, now: Column | None = None, **limits) -> int:
     """Recognises pages of candidate papers; returns how many papers were worked on.
 
-    Page results are kept in the table ocr_pages, so that a paper's pages can be spread over several runs.
+    Pages come in waves, whose results are published one by one (page_log.py), so that a paper's pages can be spread
+    over several runs, and a run that is broken off is gone on with by the next one, from its last wave on.
     limits: seconds, recycle_after and devices of ocr_work.recognised().
     """
     now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
     shop.begin()
-    spark, papers = shop.spark, shop.read("papers")
-    chosen = status.ocr_candidates(flagged(papers), limit, offset, retry_errors)
-    source = papers.select("id", "pdf_content").join(chosen, "id", "left_semi")
+    papers, log, run = shop.ranged("papers", "id"), page_log.PageLog(shop), uuid.uuid4().hex
+    chosen = status.ocr_candidates(flagged(papers.read()), limit, offset, retry_errors)
+    source = papers.read().select("id", "pdf_content").join(chosen, "id", "left_semi")
 
     def count(batches):
         reader = renderer()
@@ -129,25 +130,24 @@ def run_ocr(shop: SnapshotStore, renderer: Callable[[], fetch.PageRenderer], mod
     work = shop.read("ocr_work")
     if work.isEmpty():
         return 0
-    done = shop.read("ocr_pages") if "ocr_pages" in shop.tables() else spark.createDataFrame([], "id string, page int, content string, error string")
-    good = done.where("error IS NULL")
-    processed = good.groupBy("id").agg(F.collect_set("page").alias("processed"))
-    targets = work.where("error IS NULL").withColumn("target", ocr_work.target_pages(F.lit(pages).cast("int"), F.col("total"))).join(processed, "id", "left")
-    plan = ocr_work.page_plan(targets, "id", per_run).select("id", F.col("page").cast("int").alias("page"), "is_partial")
-    images = fetch.rendered(plan.join(source.withColumnRenamed("pdf_content", "content"), "id"), renderer, dpi)
-    shop.publish(ocr_pages=good.unionByName(ocr_work.recognised(images, "id", model, **limits)))
-    every = shop.read("ocr_pages").join(work.select("id"), "id", "left_semi")
-    state = every.groupBy("id").agg(F.count_if(F.col("error").isNull()).alias("n"), F.array_compact(F.collect_list("error")).alias("errors"))
+    targets = work.where("error IS NULL").withColumn("target", ocr_work.target_pages(F.lit(pages).cast("int"), F.col("total")))
+    plan = ocr_work.page_plan(targets.join(log.processed(work), "id", "left"), "id", per_run, per_batch).drop("is_partial")
+    for wave in page_log.waves(plan, papers, shop.folder("ocr_plan"), wave_pages):
+        contents = papers.near(wave).select("id", F.col("pdf_content").alias("content"))
+        log.append(ocr_work.recognised(fetch.rendered(wave.join(contents, "id"), renderer, dpi), "id", model, **limits), run)
+
+    errors = log.errors(run).groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("page", "error"))), lambda x: x["error"]).alias("errors"))
     box = F.struct(F.lit("text").alias("label"), F.col("content"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("score"), F.lit(None).cast("array<double>").alias("coordinate"))
-    page = F.struct("page", F.struct(F.col("page").alias("page_index"), F.lit(dpi).alias("dpi"), F.struct(F.array(box).alias("boxes")).alias("layout_det_res")).alias("p"))
-    folded = every.where("error IS NULL").groupBy("id").agg(F.sort_array(F.collect_list(page)).alias("r"))
-    result = targets.join(folded, "id", "left").join(state, "id", "left")
-    finished = ocr_work.final_status(F.coalesce("n", F.lit(0)), F.size(F.coalesce("errors", F.array().cast("array<string>"))), F.col("target"), F.lit(False))
-    document = F.struct(F.transform("r", lambda x: x["p"]).alias("results"), F.col("total").alias("total_pages"), F.coalesce("n", F.lit(0)).cast("int").alias("processed_pages")).cast(ocr_document.DOCUMENT)
-    rows = result.select("id", document.alias("results"), (finished == "complete").alias("completed"), F.nullif(ocr_work.error_text(F.coalesce("errors", F.array().cast("array<string>"))), F.lit("")).alias("error"))
+    page = F.struct(F.col("page").alias("page_index"), F.lit(dpi).alias("dpi"), F.struct(F.array(box).alias("boxes")).alias("layout_det_res")).alias("result")
+    folded = ocr_work.build_results(log.good(work).select("id", "page", page), "id", "page")
+    none = F.array().cast("array<string>")
+    result = targets.join(folded, "id", "left").join(errors, "id", "left").withColumn("errors", F.coalesce("errors", none)).withColumn("n", F.coalesce("processed_pages", F.lit(0)))
+    finished = ocr_work.final_status(F.col("n"), F.size("errors"), F.col("target"), F.lit(False))
+    document = F.struct("results", F.col("total").alias("total_pages"), F.col("n").cast("int").alias("processed_pages")).cast(ocr_document.DOCUMENT)
+    rows = result.select("id", document.alias("results"), (finished == "complete").alias("completed"), F.nullif(ocr_work.error_text(F.col("errors")), F.lit("")).alias("error"))
     bad = work.where("error IS NOT NULL").select("id", F.lit(None).cast(ocr_document.DOCUMENT).alias("results"), F.lit(False).alias("completed"), "error")
     saved = rows.unionByName(bad)
-    shop.publish(papers=shop.changed("papers", work, lambda near: ocr_work.save_results(near, saved, now), "id"))
+    shop.publish(papers=papers.changed(work, lambda near: ocr_work.save_results(near, saved, now), shop.folder("papers")), **log.folded())
     return work.count()
 
 

@@ -252,6 +252,9 @@ ORACLE_SQL |= {
         SELECT id, CASE WHEN has AND quality = 1 THEN 'new' WHEN doc_id % 2 = 0 THEN 'old' END AS ocr_results, done OR doc_id % 5 = 0 AS ocr_processed, done AS timed,
         CASE WHEN done THEN NULL WHEN toxic = 1 THEN 'bad page' WHEN doc_id % 3 = 0 THEN 'old error' END AS ocr_error FROM q""",
     "ocr_last_results": "SELECT conv_id, turn % 3 AS page_index, max(turn) AS position, arg_max(role, turn) AS role FROM conversations GROUP BY 1, 2",
+    "ocr_page_log": """
+        SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS page, 'Mock Content ' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS content
+        FROM conversations WHERE conv_id IS NOT NULL""",
     "ocr_errors": """
         SELECT conv_id, string_agg(role || ' ' || turn, '; ' ORDER BY turn) AS error FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) WHERE k <= 3 GROUP BY 1""",
     "ocr_dpi": "SELECT DISTINCT conv_id, CAST(200 AS INTEGER) AS dpi, CAST(72 AS INTEGER) AS wanted FROM conversations",

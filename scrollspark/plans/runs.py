@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrollspark.functions import ocr_document, parsing, payload, stemming
-from scrollspark.operators import ingest, ocr_work, perplexity, profile, ranges, schema, search, status, text_index
+from scrollspark.operators import ingest, ocr_work, page_log, perplexity, profile, ranges, schema, search, status, text_index
 from scrollspark.operators import store as tables
 from scrollspark.operators.store import SnapshotStore
 from scrollspark.plans.catalog import _documents_of_turns, _order_chunks, _papers, query
@@ -376,6 +377,20 @@ def ocr_last_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ocr_work.last_results(turns, "conv_id", "position")
 
 
+@query
+def ocr_page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as pages, recognised in mock mode: a run that is broken off after its first wave, and one that goes on; what the log has of each page."""
+    shop = SnapshotStore(spark, _folder(spark, "pages"))
+    totals = table(spark, sf_dir, "conversations").where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.count(F.lit(1)).cast("int").alias("target"))
+    papers, log = ranges.ranged(totals, shop.folder("papers"), "conv_id", rows_per_file=RANGE_ROWS), page_log.PageLog(shop, "pages", "conv_id", "bigint", RANGE_ROWS)
+    for run, stop in (("broken off", 1), ("goes on", None)):
+        plan = ocr_work.page_plan(papers.read().join(log.processed(papers.read()), "conv_id", "left"), "conv_id", None, 2)
+        for wave in islice(page_log.waves(plan, papers, shop.folder("plan"), papers.count()), stop):
+            log.append(ocr_work.recognised(wave.withColumn("image", F.lit(None).cast("binary")), "conv_id"), run)
+    shop.publish(**log.folded())
+    return log.good()
+
+
 @query
 def ocr_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three errors of a paper are its error."""
