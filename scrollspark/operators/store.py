@@ -146,8 +146,8 @@ class SnapshotStore:
         names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
         if not names:
             return 0, {}
-        rows = self.spark.read.text(f"{self.root}/{names[-1]}").collect()  # a line per table
-        return int(names[-1].removeprefix("pointer-")) + 1, dict(r["value"].split("\t") for r in rows if r["value"])
+        lines = self._text(f"{self.root}/{names[-1]}").splitlines()  # a line per table
+        return int(names[-1].removeprefix("pointer-")) + 1, dict(line.split("\t") for line in lines if line)
 
     def _seen(self) -> dict[str, str]:
         number, tables = self._pointer()
@@ -162,7 +162,12 @@ class SnapshotStore:
         return self._listed(folder).read() if folder.startswith((RANGED, APPENDED)) else self.spark.read.parquet(folder)
 
     def _text(self, path: str) -> str:
-        return self.spark.read.text(path, wholetext=True).first()["value"]
+        """A pointer or a list; read by the driver without a job."""
+        stream = self._fs.open(self._path(path))
+        try:
+            return str(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _listed(self, folder: str) -> Ranged | Appended:
         kind = Ranged if folder.startswith(RANGED) else Appended
