@@ -173,3 +173,14 @@ def test_errors_of_pages_make_a_paper_fail_and_are_tried_again(spark, tmp_path):
     assert workflow.run_ocr(shop, Pages, retry_errors=True) == 1
     row = shop.read("papers").where("id = 'a'").first()
     assert row["ocr_processed"] and row["ocr_error"] is None and [p["page_index"] for p in row["ocr_results"]["results"]] == [0, 1, 2]
+
+
+def test_a_plain_table_of_pages_becomes_ranges_at_its_first_fold(spark, tmp_path):
+    shop = SnapshotStore(spark, str(tmp_path / "store"))
+    shop.publish(ocr_pages=spark.createDataFrame([("a", 0, "x", None), ("a", 1, None, "bad"), ("b", 0, "z", None)], RESULT))
+    log = page_log.PageLog(shop)
+    assert sorted(map(tuple, log.good().collect())) == [("a", 0, "x"), ("b", 0, "z")]
+    log.append(spark.createDataFrame([("a", 1, "y", None)], RESULT), "r")
+    shop.publish(**log.folded())
+    assert sorted(map(tuple, log.good().collect())) == [("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z")]
+    assert shop.read("ocr_pages").columns == ["id", "page", "content", "error"] and len(log._base().parts) >= 1
