@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrollspark.operators.blocks import PER_BLOCK, list_blocks
+
 
 def target_pages(requested: Column, total: Column) -> Column:
     """Pages to process: as many as asked for (0 or null: all), never more than there are."""
@@ -44,6 +46,12 @@ def build_results(pages: DataFrame, key: str, page: str = "page_index", result:
     return folded.select(key, F.transform("_all", lambda x: x["r"]).alias("results"), F.size("_all").cast("bigint").alias("processed_pages"))
 
 
+def result_blocks(pages: DataFrame, key: str, page: str = "page_index", result: str = "result", per_block: int = PER_BLOCK) -> DataFrame:
+    """key, block, blocks, processed_pages, results: build_results() for papers of any number of pages, whose results go over several rows."""
+    blocks = list_blocks(pages, key, [page], result, per_block)
+    return blocks.select(key, "block", "blocks", F.col("total").alias("processed_pages"), F.col("items").alias("results"))
+
+
 def final_status(processed: Column, errors: Column, target: Column, is_partial: Column) -> Column:
     return F.when(errors > 0, "failed").when((processed >= target) & ~is_partial, "complete").otherwise("partial")
 

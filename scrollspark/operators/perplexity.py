@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from scrollspark.operators.blocks import PER_BLOCK, list_blocks
 from scrollspark.session import written
 
 CONTEXT, STRIDE, POWER, WORST = 1024, 512, 2.0, 5
@@ -151,6 +152,12 @@ def chunk_lists(chunks: DataFrame, key: str, chunk: str = "chunk", ppl: str = "p
     return chunks.groupBy(key).agg(pairs.alias("chunks"))
 
 
+def chunk_list_blocks(chunks: DataFrame, key: str, chunk: str = "chunk", ppl: str = "ppl", per_block: int = PER_BLOCK) -> DataFrame:
+    """key, block, blocks, total, items: chunk_lists() for sequences of any number of windows, whose lists go over several rows; equal windows by perplexity."""
+    pair = F.struct(F.col(chunk).alias("chunk"), F.col(ppl).alias("ppl")).alias("pair")
+    return list_blocks(chunks.select(F.col(key).alias("key"), pair), "key", ["pair"], "pair", per_block).withColumnRenamed("key", key)
+
+
 def worst_chunks(chunks: DataFrame, key: str, chunk: str, ppl: str, k: int = WORST) -> DataFrame:
     """key, chunk, rk of the k highest; equal ones in chunk order."""
     w = Window.partitionBy(key).orderBy(F.desc(ppl), chunk)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from scrollspark.functions import ocr_document, parsing, payload
 from scrollspark.operators import ingest, ocr_work, perplexity, profile, search, status, store
-from scrollspark.plans.oracles import ORACLE_SQL, PAPER_FLAGS
+from scrollspark.plans.oracles import LIST_BLOCK, ORACLE_SQL, PAPER_FLAGS
 from scrollspark.session import shared_folder
 from scrollspark.sources.files import table
 from scrollspark.streaming import incremental
@@ -224,6 +224,14 @@ def ocr_build_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ocr_work.build_results(pages, "conv_id").select("conv_id", F.array_join("results", "|").alias("results"), "processed_pages")
 
 
+@query
+def ocr_result_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of few papers with very many pages, in blocks: a role's turns, in the order of conversations."""
+    pages = table(spark, sf_dir, "conversations").select("role", F.struct("conv_id", "turn").alias("page"), "text")
+    found = ocr_work.result_blocks(pages, "role", "page", "text", LIST_BLOCK)
+    return found.select("role", "block", "blocks", "processed_pages", F.md5(F.array_join("results", "|", "-").cast("binary")).alias("digest"))
+
+
 @query
 def ocr_finalize_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("processed"), F.count_if(F.col("role") == "system").alias("errors"))
@@ -290,6 +298,15 @@ def ppl_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_returnflag", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in perplexity.PERCENTILES))
 
 
+@query
+def ppl_chunk_list_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of keys that hold large shares of all rows: the prices of lines by their flag, in blocks."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "l_extendedprice")
+    found = perplexity.chunk_list_blocks(lines, "l_returnflag", "line", "l_extendedprice", LIST_BLOCK)
+    shown = F.transform("items", lambda x: F.concat_ws(":", x["chunk"], F.round(x["ppl"] * 100, 0).cast("bigint")))
+    return found.select("l_returnflag", "block", "blocks", "total", F.md5(F.array_join(shown, " ").cast("binary")).alias("digest"))
+
+
 @query
 def ppl_worst_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.worst_chunks(_order_chunks(spark, sf_dir), "doc_id", "chunk", "o_totalprice", 5)

@@ -22,6 +22,9 @@ _P = (
 _WORDS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
 _ARTICLES = "a AS (SELECT o_custkey, CAST(year(min(o_orderdate)) AS INTEGER) AS y, count(*) AS n FROM orders GROUP BY 1)"
 
+#: Items of a block of a list; small, so that the tests' tables have several.
+LIST_BLOCK = 256
+
 ORACLE_SQL = {
     "profile_year_histogram": f"WITH {_ARTICLES} SELECT y AS year, count(*) AS articles FROM a GROUP BY 1",
     "profile_last_years": f"WITH {_ARTICLES} SELECT y AS year, count(*) AS articles FROM a GROUP BY 1 ORDER BY 1 DESC LIMIT 3",
@@ -164,6 +167,15 @@ ORACLE_SQL |= {
     "ppl_percentiles": "SELECT l_returnflag, "
     + ", ".join(f"round(CAST(quantile_cont(l_extendedprice, {q}) AS DOUBLE), 4) AS {name}" for name, q in (("median_ppl", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)))
     + " FROM lineitem GROUP BY 1",
+    "ppl_chunk_list_blocks": f"""
+        WITH r AS (SELECT l_returnflag, l_orderkey * 10 + l_linenumber AS line, l_extendedprice AS x, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey * 10 + l_linenumber, l_extendedprice) - 1 AS k,
+            count(*) OVER (PARTITION BY l_returnflag) AS total FROM lineitem)
+        SELECT l_returnflag, k // {LIST_BLOCK} AS block, CAST(ceil(total / {LIST_BLOCK}) AS BIGINT) AS blocks, total, md5(string_agg(line || ':' || CAST(round(x * 100) AS BIGINT), ' ' ORDER BY k)) AS digest
+        FROM r GROUP BY 1, 2, 3, 4""",
+    "ocr_result_blocks": f"""
+        WITH r AS (SELECT role, text, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS k, count(*) OVER (PARTITION BY role) AS total FROM conversations)
+        SELECT role, k // {LIST_BLOCK} AS block, CAST(ceil(total / {LIST_BLOCK}) AS BIGINT) AS blocks, total AS processed_pages, md5(string_agg(coalesce(text, '-'), '|' ORDER BY k)) AS digest
+        FROM r GROUP BY 1, 2, 3, 4""",
     "fts_stems": rf"""
         WITH vocabulary AS (SELECT DISTINCT t FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+')) AS t FROM documents) WHERE t <> ''), {_STEMS}
         SELECT t AS term, stem FROM stems""",
