@@ -116,25 +116,89 @@ class Appended:
         return cls(spark, T.StructType.fromJson(json.loads(head)), tuple(folders))
 
 
+class ByRename:
+    """A pointer is written aside and renamed; the file system must refuse a rename onto a file that is there (HDFS does)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self._path, self._root = jvm.org.apache.hadoop.fs.Path, root
+        self._fs = self._path(root).getFileSystem(conf)
+        self._files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.makeQualified(self._path(root)).toUri(), conf)
+        self._no_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        self._no_overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+
+    def put(self, name: str, text: str) -> bool:
+        """Whether the file is there now with this text; False if another one was there before."""
+        draft = self._path(f"{self._root}/draft-{uuid.uuid4().hex}")
+        stream = self._fs.create(draft)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        try:
+            self._files.rename(draft, self._path(f"{self._root}/{name}"), self._no_overwrite)
+        except Py4JJavaError as problem:
+            self._fs.delete(draft, False)
+            if "FileAlreadyExists" in str(problem.java_exception):
+                return False
+            raise
+        return True
+
+
+class IfAbsent:
+    """A pointer is put under its name if there is none: for object stores, which show an object when it is whole, and have no rename.
+
+    The store decides when the object is closed, so a refusal can come from any of the three calls.  A request that the client
+    sends again after a lost answer is refused because of itself: then the text that is there is the writer's own.
+    """
+
+    #: S3 asks for the condition by name; others have it whenever a file is not to be overwritten.
+    CONDITION = "fs.option.create.conditional.overwrite"
+
+    def __init__(self, spark: SparkSession, root: str):
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self._path, self._root, self._text_of = jvm.org.apache.hadoop.fs.Path, root, jvm.org.apache.commons.io.IOUtils.toString
+        self._fs = self._path(root).getFileSystem(conf)
+
+    def put(self, name: str, text: str) -> bool:
+        """Whether the file is there now with this text; False if another one was there before."""
+        target, mark = self._path(f"{self._root}/{name}"), f"#{uuid.uuid4().hex}\n"
+        try:
+            stream = self._fs.createFile(target).overwrite(False).recursive().opt(self.CONDITION, "true").build()
+            stream.write(bytearray((text + mark).encode()))
+            stream.close()
+        except Py4JJavaError:
+            if not self._fs.exists(target):
+                raise  # not a refusal
+            found = self._fs.open(target)
+            try:
+                return str(self._text_of(found, "UTF-8")).endswith(mark)
+            finally:
+                found.close()
+        return True
+
+
+#: File systems whose pointers are put if absent; the others rename.
+OBJECT_STORES = ("s3a", "s3", "gs", "abfs", "abfss", "wasb", "wasbs")
+
+
 class SnapshotStore:
-    """Tables in one folder; a snapshot of all of them becomes visible by one rename of a pointer file.
+    """Tables in one folder; a snapshot of all of them becomes visible by one pointer file.
 
     Writers put every version in a folder of its own and never touch one that is read;
     a batch of several tables is published at once or not at all.  Pointers are
     numbered.  In a unit of work, from begin() on, every publication takes the number after the
     oldest pointer read, or after the unit's own last one: if another writer has that
-    number, Conflict is raised and nothing changes.  The file system must refuse a rename onto a file that is there.
+    number, Conflict is raised and nothing changes.
+
+    commits: how a pointer becomes visible, ByRename or IfAbsent; by the scheme of root, if not given.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, commits: type[ByRename] | type[IfAbsent] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._path(self.root).getFileSystem(conf)
-        self._files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.makeQualified(self._path(self.root)).toUri(), conf)
-        self._no_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
-        self._no_overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if commits is None:
+            commits = IfAbsent if str(self._fs.getUri().getScheme()) in OBJECT_STORES else ByRename
+        self._commits = commits(spark, self.root)
         self._base: int | None = None
 
     def begin(self) -> None:
@@ -146,8 +210,11 @@ class SnapshotStore:
         names = sorted(str(x.getPath().getName()) for x in (self._fs.globStatus(self._path(f"{self.root}/pointer-*")) or []))
         if not names:
             return 0, {}
-        lines = self._text(f"{self.root}/{names[-1]}").splitlines()  # a line per table
-        return int(names[-1].removeprefix("pointer-")) + 1, dict(line.split("\t") for line in lines if line)
+        return int(names[-1].removeprefix("pointer-")) + 1, self._tables(names[-1])
+
+    def _tables(self, pointer: str) -> dict[str, str]:
+        """Table name to folder, from a pointer of one line a table; a line without a tab is a writer's mark."""
+        return dict(line.split("\t") for line in self._text(f"{self.root}/{pointer}").splitlines() if "\t" in line)
 
     def _seen(self) -> dict[str, str]:
         number, tables = self._pointer()
@@ -193,12 +260,10 @@ class SnapshotStore:
         """A table after a change of the rows of some keys, to be published; files without these keys stay."""
         return self.ranged(table, key, also).changed(keys, change, self.folder(table))
 
-    def _create(self, path: str, text: str):
-        target = self._path(path)
-        stream = self._fs.create(target)
+    def _create(self, path: str, text: str) -> None:
+        stream = self._fs.create(self._path(path))
         stream.write(bytearray(text.encode()))
         stream.close()
-        return target
 
     def clean(self, keep: int = 3, older_than: float = 7 * 86_400) -> int:
         """Deletes what none of the last pointers needs, and the pointers before; how many files and folders went.
@@ -210,7 +275,7 @@ class SnapshotStore:
         old = [name for name, at in pointers[:-keep] if at <= limit]
         plain, files = set(), set()
         for name in (name for name, _ in pointers if name not in old):
-            for folder in dict(line.split("\t") for line in self._text(f"{self.root}/{name}").splitlines() if line).values():
+            for folder in self._tables(name).values():
                 if folder.startswith(RANGED):
                     files |= {folder.removeprefix(RANGED), *(p.path for p in self._listed(folder).parts)}
                 elif folder.startswith(APPENDED):
@@ -253,12 +318,6 @@ class SnapshotStore:
                 now[name] = folder
         for name in gone:
             now.pop(name, None)
-        draft = self._create(f"{self.root}/draft-{mark}", "".join(f"{k}\t{v}\n" for k, v in sorted(now.items())))
-        try:
-            self._files.rename(draft, self._path(f"{self.root}/pointer-{number:012d}"), self._no_overwrite)
-        except Py4JJavaError as problem:
-            self._fs.delete(draft, False)
-            if "FileAlreadyExists" in str(problem.java_exception):
-                raise Conflict(CONFLICT) from None
-            raise
+        if not self._commits.put(f"pointer-{number:012d}", "".join(f"{k}\t{v}\n" for k, v in sorted(now.items()))):
+            raise Conflict(CONFLICT)
         self._base = number + 1
