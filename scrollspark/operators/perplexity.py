@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +23,13 @@ def window_count(n: Column, context: int, stride: int) -> Column:
     return F.when(n <= 1, 0).when(n <= context, 1).otherwise(more).cast("int")
 
 
+def scored_tokens(n: Column, chunk: Column, size: Column, context: int, stride: int) -> Column:
+    """Of a window of some size, in a sequence of n tokens."""
+    overlap = context - stride
+    later = F.when((size > overlap) & F.lit(overlap > 0), size - overlap).otherwise(size)
+    return F.when(n <= context, n).when(chunk == 0, size - 1).otherwise(later)
+
+
 def windows(sequences: DataFrame, key: str, length: str, context: int = CONTEXT, stride: int = STRIDE) -> DataFrame:
     """key, chunk, begin_loc, end_loc, scored of each window; windows without a scored token are left out.
 
@@ -33,9 +40,7 @@ def windows(sequences: DataFrame, key: str, length: str, context: int = CONTEXT,
     chunks = sequences.where(n > 1).select(key, n.alias("_n"), F.explode(F.sequence(F.lit(0), window_count(n, context, stride) - 1)).alias("chunk"))
     begin = F.col("chunk") * stride
     out = chunks.withColumn("begin_loc", begin.cast("bigint")).withColumn("end_loc", F.least(begin + context, F.col("_n")).cast("bigint"))
-    size, overlap = F.col("end_loc") - F.col("begin_loc"), context - stride
-    later = F.when((size > overlap) & F.lit(overlap > 0), size - overlap).otherwise(size)
-    scored = F.when(F.col("_n") <= context, F.col("_n")).when(F.col("chunk") == 0, size - 1).otherwise(later)
+    scored = scored_tokens(F.col("_n"), F.col("chunk"), F.col("end_loc") - F.col("begin_loc"), context, stride)
     return out.select(key, F.col("chunk").cast("bigint").alias("chunk"), "begin_loc", "end_loc", scored.cast("bigint").alias("scored")).where("scored > 0")
 
 
@@ -60,21 +65,42 @@ Scorer = Callable[[list[str], int, int], float]
 """Mean negative log-likelihood of tokens[from:to] given those before in the window."""
 
 
+BatchScorer = Callable[[list[tuple[list[str], int, int]]], Sequence[float]]
+"""The same for many windows (tokens, from, to) at once, as models are run."""
+
+
+def batch_scores(sequences: DataFrame, key: str, words: str, load: Callable[[], BatchScorer], context: int = CONTEXT, stride: int = STRIDE, batch: int = 64) -> DataFrame:
+    """key, chunk, nll, scored, by a model that each Python worker loads once and that gets up to batch windows at a time, of whatever sequences.
+
+    Windows are cut by Spark, so that a long sequence is many rows when it comes to Python.  Null and empty sequences, and those of one token, have none.
+    """
+    n, size = F.size(words), F.size("_tokens")
+    cut = F.transform(F.sequence(F.lit(0), window_count(F.col("_n"), context, stride) - 1), lambda c: F.slice(words, c * stride + 1, context))
+    rows = sequences.select(F.col(key).alias("_key"), F.col(words), n.alias("_n")).where("_n > 1").select("_key", "_n", F.posexplode(cut).alias("_chunk", "_tokens"))
+    chunk = F.col("_chunk").cast("bigint").alias("chunk")
+    rows = rows.select("_key", chunk, scored_tokens(F.col("_n"), F.col("_chunk"), size, context, stride).cast("bigint").alias("scored"), "_tokens").where("scored > 0")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = load()
+        for found in batches:
+            for at in range(0, found.num_rows, batch):
+                part = found.slice(at, batch)
+                chunks, counts, tokens = (part.column(i).to_pylist() for i in (1, 2, 3))
+                nll = score([(t, len(t) - k if c else 1, len(t)) for c, k, t in zip(chunks, counts, tokens, strict=True)])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(nll, pa.float64()), part.column(2)], ["_key", "chunk", "nll", "scored"])
+
+    kind = rows.schema["_key"].dataType.simpleString()
+    return rows.mapInArrow(run, f"_key {kind}, chunk bigint, nll double, scored bigint").withColumnRenamed("_key", key)
+
+
 def model_scores(sequences: DataFrame, key: str, words: str, load: Callable[[], Scorer], context: int = CONTEXT, stride: int = STRIDE) -> DataFrame:
-    """key, chunk, nll, scored by a model that each Python worker loads once."""
-    kind = sequences.schema[key].dataType.simpleString()
+    """batch_scores() by a model that takes one window at a time."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def one_by_one() -> BatchScorer:
         score = load()
-        for batch in batches:
-            rows = [
-                (k, chunk, score(list(tokens[begin:end]), end - begin - scored if chunk else 1, end - begin), scored)
-                for k, tokens in zip(batch[key], batch[words], strict=True)
-                for chunk, begin, end, scored in plan(len(tokens), context, stride)
-            ]
-            yield pd.DataFrame(rows, columns=[key, "chunk", "nll", "scored"])
-
-    return sequences.select(key, words).mapInPandas(run, f"`{key}` {kind}, chunk bigint, nll double, scored bigint")
+        return lambda some: [score(*window) for window in some]
+
+    return batch_scores(sequences, key, words, one_by_one, context, stride)
 
 
 def plan(n: int, context: int, stride: int) -> Iterator[tuple[int, int, int, int]]:

@@ -158,10 +158,13 @@ class Report:
     bands: DataFrame
 
 
-def perplexity_report(papers: DataFrame, *, context: int = perplexity.CONTEXT, stride: int = perplexity.STRIDE, power: float = perplexity.POWER, worst: int = perplexity.WORST, scorer: Callable[[], perplexity.Scorer] | None = None) -> Report:
+def perplexity_report(papers: DataFrame, *, context: int = perplexity.CONTEXT, stride: int = perplexity.STRIDE, power: float = perplexity.POWER, worst: int = perplexity.WORST, scorer: Callable[[], perplexity.Scorer] | None = None, batch_scorer: Callable[[], perplexity.BatchScorer] | None = None) -> Report:
     """Scores of papers with OCR results: statistics, worst windows and bands of each.  Without a scorer: unigram frequencies."""
     text = papers.where("ocr_results IS NOT NULL").select("id", parsing.words(ocr_document.document_text(F.col("ocr_results"))).alias("words"))
-    scores = perplexity.unigram_scores(text, "id", "words", context, stride) if scorer is None else perplexity.model_scores(text, "id", "words", scorer, context, stride)
+    if batch_scorer is not None:
+        scores = perplexity.batch_scores(text, "id", "words", batch_scorer, context, stride)
+    else:
+        scores = perplexity.unigram_scores(text, "id", "words", context, stride) if scorer is None else perplexity.model_scores(text, "id", "words", scorer, context, stride)
     chunks = scores.withColumn("ppl", F.exp("nll"))
     stats = perplexity.statistics(chunks, "id", power=power, keys=text)
     return Report(stats, perplexity.worst_chunks(chunks, "id", "chunk", "ppl", worst), stats.select("id", perplexity.band(F.col("penalized_ppl")).alias("band")))

@@ -50,3 +50,23 @@ def test_blocks_joined_are_the_lists(spark):
     pages = chunks.select("doc", F.col("chunk").alias("page_index"), F.col("ppl").alias("result"))
     one = {r["doc"]: (r["results"], r["processed_pages"]) for r in ocr_work.build_results(pages, "doc").collect()}
     assert {r["doc"]: (r["results"], r["processed_pages"]) for r in ocr_work.result_blocks(pages, "doc").collect()} == one
+
+
+@pytest.mark.parametrize(("context", "stride"), [(4, 2), (4, 4), (8, 3)])
+def test_windows_reach_a_batch_scorer_whole_and_few_at_a_time(spark, context, stride):
+    rows = [(k, [f"{k}{i}" for i in range(n)]) for k, n in (("a", 1), ("b", 2), ("c", 4), ("d", 9), ("e", 61))] + [("f", []), ("g", None)]
+
+    def load():
+        def score(some):
+            assert len(some) <= 5
+            return [sum(int(t[1:]) for t in tokens[start:end]) / (end - start) for tokens, start, end in some]
+
+        return score
+
+    found = perplexity.batch_scores(spark.createDataFrame(rows, "k string, words array<string>"), "k", "words", load, context, stride, 5).collect()
+    want = []
+    for k, words in rows:
+        for chunk, begin, end, scored in perplexity.plan(len(words or []), context, stride):
+            first = end - scored if chunk else begin + 1
+            want.append((k, chunk, sum(range(first, end)) / (end - first), scored))
+    assert sorted((r["k"], r["chunk"], r["nll"], r["scored"]) for r in found) == want
