@@ -18,9 +18,10 @@ Suffixes are kept at content-selected positions only: the minimisers of runs of
     document with a longer match on one side cannot hide a repeat.
 5.  Runs at more than ``hot_rows`` positions are sorted in several places, dealt by document and place,
     so that no task grows with a run.  What neighbours leave open there is settled by the same
-    splits across places: the suffixes leave the hashes of all their windows, which
-    partial aggregation combines before the shuffle, and of the windows that no match so
-    far covers the repeated ones are joined back.
+    splits across places: the texts leave the hashes of the windows whose minimiser is such a run,
+    those that matches cover already once for many documents, and of the windows that no
+    match so far covers the repeated ones are joined back.  Equal windows have equal
+    minimisers, so all others are settled where theirs is sorted.
 
 A document's spans are the union of its matches, so they cover exactly the words of all
 its windows of ``least`` words that another document has too.  Words are compared with
@@ -52,16 +53,23 @@ from scrollspark.llm.bytesops import mix, powers_of, shingle_hashes, slices, tid
 from scrollspark.llm.tables import arrow_rows, written
 
 CHUNK = 6_000  # suffixes, or windows of one text, that are compared at a time
+HELD = 65_536  # different windows that a task combines
 STEP = 0xD1342543DE82EF95
 
 
+def _lowest(grams: np.ndarray, window: int, starts: np.ndarray) -> np.ndarray:
+    """Positions of the first smallest hash of the windows at starts."""
+    views = np.lib.stride_tricks.sliding_window_view(grams, window)
+    # argmin copies the windows that it looks at, so a long text is done in pieces.
+    pieces = (starts[a : a + CHUNK] for a in range(0, len(starts), CHUNK))
+    return np.concatenate([np.zeros(0, np.int64), *(views[x].argmin(axis=1) + x for x in pieces)])
+
+
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     """Positions of the first smallest hash of every window."""
     if len(grams) < window:
         return np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(grams, window)
-    # argmin copies the windows that it looks at, so a long text is done in pieces.
-    return np.unique(np.concatenate([views[a : a + CHUNK].argmin(axis=1) + np.arange(a, min(a + CHUNK, len(views))) for a in range(0, len(views), CHUNK)]))
+    return np.unique(_lowest(grams, window, np.arange(len(grams) - window + 1)))
 
 
 def _selected(gram: int, least: int):
@@ -115,22 +123,28 @@ def _sides(words: np.ndarray, at: int, gram: int, width: int) -> tuple[np.ndarra
     return words[max(0, at - width) : at][::-1], words[at + gram : at + gram + width]
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Of (doc, text, ..) batches, slice by slice, each document's id, word hashes, and other columns."""
+    for batch in batches:
+        ids, others = batch.column(0).to_numpy(), batch.columns[2:]
+        data, offsets = utf8(batch.column(1))
+        for a, b in slices(offsets, 1 << 20):
+            part = offsets[a : b + 1]
+            body = data[part[0] : part[-1]]
+            starts, ends, first = word_spans(body, part - part[0])
+            words = word_hashes(body, starts, ends)
+            yield [(int(ids[a + i]), words[first[i] : first[i + 1]], *(x[a + i].as_py() for x in others)) for i in range(b - a)]
+
+
 def _of_texts(make):
-    """A function of (doc, text, places, ..) batches: make gets each document's id, word hashes, places and so on, and gives columns."""
+    """A function of (doc, text, places, ..) batches: make gets what _texts() has of a document, and gives columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, others = batch.column(0).to_numpy(), batch.columns[2:]
-            data, offsets = utf8(batch.column(1))
-            for a, b in slices(offsets, 1 << 20):
-                part = offsets[a : b + 1]
-                body = data[part[0] : part[-1]]
-                starts, ends, first = word_spans(body, part - part[0])
-                words = word_hashes(body, starts, ends)
-                rows = [r for i in range(b - a) for r in make(int(ids[a + i]), words[first[i] : first[i + 1]], *(x[a + i].as_py() for x in others))]
-                if rows:
-                    columns = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, make.types, strict=True)], list(make.names))
+        for docs in _texts(batches):
+            rows = [r for doc in docs for r in make(*doc)]
+            if rows:
+                columns = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, make.types, strict=True)], list(make.names))
 
     return run
 
@@ -155,26 +169,58 @@ class Suffixes:
             yield int(h[at].view(np.int64)), spread % parts, parts, doc, at, left.tobytes(), right.tobytes()
 
 
-class Windows:
-    """Rows of all windows around runs, each once; covered: by the matches found so far."""
+def _hot_windows(words: np.ndarray, places: list[dict], found: list[dict] | None, gram: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows whose minimiser is at one of the places, and whether matches found so far cover them."""
+    if len(words) < least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    at, width = np.array([p["at"] for p in places], np.int64), least - gram
+    near = np.zeros(len(words) - least + 2, np.int64)
+    np.add.at(near, np.minimum(np.maximum(at - width, 0), len(near) - 1), 1)
+    np.add.at(near, np.minimum(at + 1, len(near) - 1), -1)
+    starts = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+    starts = starts[np.isin(_lowest(shingle_hashes(words, gram), width + 1, starts), at)]
+    covered = np.zeros(len(starts), bool)
+    if found:
+        begin, end = _merged(np.array([x["start"] for x in found], np.int64), np.array([x["end"] for x in found], np.int64))
+        i = np.searchsorted(begin, starts, "right") - 1
+        covered = (i >= 0) & (starts + least <= end[i])
+    return starts, shingle_hashes(words, least).view(np.int64)[starts], covered
+
+
+def _combined(window: np.ndarray, doc: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each window once, with its smallest and largest document."""
+    if not len(window):
+        return window, doc, last
+    order = np.argsort(window, kind="stable")
+    window, doc, last = window[order], doc[order], last[order]
+    edge = np.flatnonzero(np.append(True, window[1:] != window[:-1]))
+    return window[edge], np.minimum.reduceat(doc, edge), np.maximum.reduceat(last, edge)
+
+
+def _windows(gram: int, least: int):
+    """Rows of windows (window, doc, last, start): one for each place that no match covers, and for the covered ones, without a start,
+    their smallest and largest document, of many documents at once."""
+
+    def rows(window: np.ndarray, doc: np.ndarray, last: np.ndarray, start: np.ndarray | None = None) -> pa.RecordBatch:
+        place = pa.nulls(len(window), pa.int32()) if start is None else pa.array(start.astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(window), pa.array(doc), pa.array(last), place], ["window", "doc", "last", "start"])
 
-    names = ("doc", "start", "window", "covered")
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.bool_())
-
-    def __init__(self, gram: int, least: int):
-        self.width, self.least = least - gram, least
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        held = none, none, none
+        for docs in _texts(batches):
+            parts = [(doc, *_hot_windows(words, places, found, gram, least)) for doc, words, places, found in docs]
+            owner = np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts])
+            start, window = (np.concatenate([none, *(p[i] for p in parts)]) for i in (1, 2))
+            covered = np.concatenate([np.zeros(0, bool), *(p[3] for p in parts)])
+            yield rows(window[~covered], owner[~covered], owner[~covered], start[~covered])
+            held = _combined(*(np.concatenate([x, y[covered]]) for x, y in zip(held, (window, owner, owner), strict=True)))
+            if len(held[0]) > HELD:
+                yield rows(*held)
+                held = none, none, none
+        yield rows(*held)
 
-    def __call__(self, doc: int, words: np.ndarray, places: list[dict], found: list[dict] | None) -> Iterator[tuple]:
-        h = shingle_hashes(words, self.least).view(np.int64) if len(words) >= self.least else words[:0]
-        starts = np.unique(np.concatenate([np.arange(max(0, p["at"] - self.width), min(p["at"] + 1, len(h)), dtype=np.int64) for p in places]))
-        if not len(starts):
-            return
-        covered = np.zeros(len(starts), bool)
-        if found:
-            begin, end = _merged(np.array([x["start"] for x in found], np.int64), np.array([x["end"] for x in found], np.int64))
-            at = np.searchsorted(begin, starts, "right") - 1
-            covered = (at >= 0) & (starts + self.least <= end[at])
-        yield from zip([doc] * len(starts), starts.tolist(), h[starts].tolist(), covered.tolist(), strict=True)
+    return run
 
 
 def _matrix(cells: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -329,10 +375,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         if not hot.isEmpty():
             so_far = found.union(whole).groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("found"))
             asked = source.join(of_docs(hot).join(so_far, "doc", "left"), "doc").select("doc", "text", "places", "found")
-            windows = written(asked.mapInArrow(tidied(_of_texts(Windows(gram, least))), "doc bigint, start int, window bigint, covered boolean"), "suffix-windows")
-            again = windows.groupBy("window").agg((F.min("doc") != F.max("doc")).alias("again"), F.bool_and("covered").alias("done")).where("again AND NOT done")
+            windows = written(asked.mapInArrow(tidied(_windows(gram, least)), "window bigint, doc bigint, last bigint, start int"), "suffix-windows")
+            again = windows.groupBy("window").agg((F.min("doc") != F.max("last")).alias("again"), F.count("start").alias("open")).where("again AND open > 0")
             again = written(again.select("window"), "suffix-again")
-            found = found.union(windows.where("NOT covered").join(again, "window").select("doc", "start", (F.col("start") + least).alias("end")))
+            found = found.union(windows.where("start IS NOT NULL").join(again, "window").select("doc", "start", (F.col("start") + least).alias("end")))
     found = found.union(whole)
     spans = found.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("found")).mapInArrow(_spans, "doc bigint, spans array<struct<start: int, end: int>>")
     rows = docs.select(F.col(id_col).alias("_id"))

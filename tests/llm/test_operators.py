@@ -456,6 +456,23 @@ def test_runs_over_many_batches_are_compared_as_one():
         suffix_dedup.CHUNK = before
 
 
+def test_windows_that_matches_cover_leave_a_task_once(spark, monkeypatch):
+    rng = random.Random(11)
+    fresh = lambda n: [f"{rng.getrandbits(40):x}" for _ in range(n)]
+    line, passage = fresh(7), fresh(120)
+    made, plain = {}, suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, name: made.setdefault(name, plain(df, name)))
+    rows = []
+    for copies in (40, 80):
+        made.clear()
+        texts = [" ".join(fresh(5) + passage + line * 20 + fresh(60)) for _ in range(copies)]
+        got = {r["doc_id"]: [[s["start"], s["end"]] for s in r["spans"]] for r in suffix_dedup.repeats(docs_df(spark, texts), hot_rows=3).collect()}
+        assert [got[i] for i in range(copies)] == brute_spans(texts, range(copies))
+        rows.append(made["suffix-windows"].count())
+    # Of the about 300 windows of a text, those at the edge of what it shares are its own.
+    assert rows[0] < 40 * 50 + 4 * 300 and rows[1] < 80 * 50 + 4 * 300
+
+
 def test_repeats_within_one_id_do_not_count(spark):
     df = docs_df(spark, [LONG, LONG, None], [1, 1, 2])
     assert all(not r["spans"] for r in suffix_dedup.repeats(df).collect())
