@@ -16,6 +16,7 @@ CONTEXT, STRIDE, POWER, WORST = 1024, 512, 2.0, 5
 # Upper bounds of the quality bands.
 BANDS = ((10, "Very low"), (50, "Low"), (100, "Moderate"), (500, "High"))
 LAST_BAND = "Very high"
+FREQUENT = 10_000  # a word is frequent from this part of all tokens on
 
 
 def window_count(n: Column, context: int, stride: int) -> Column:
@@ -49,15 +50,21 @@ def unigram_scores(tokens: DataFrame, key: str, words: str, context: int = CONTE
 
     A stand-in for a language model.  With stride < context every token but the
     first is scored in exactly one window, so tokens are aggregated, not joined to windows.
+    Frequent words, of which there are never more than FREQUENT, are priced where they stand, so that no task
+    gets all tokens of one; the others meet their prices in hashed tables of the prices, and no tokens are sorted.
     """
     if stride >= context:
         raise ValueError("windows must overlap")
     spread = tokens.select(key, F.posexplode(words).alias("_i", "_w"))
-    counts = spread.groupBy("_w").agg(F.count(F.lit(1)).alias("_c"))
+    counts = written(spread.groupBy("_w").agg(F.count(F.lit(1)).alias("_c")), "word-counts")
     total = counts.agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_v"))
-    priced = counts.join(F.broadcast(total)).select("_w", (-F.log((F.col("_c") + 1.0) / (F.col("_n") + F.col("_v")))).alias("_nll"))  # the total is one row
+    often = (F.col("_c") * FREQUENT >= F.col("_n")).alias("_often")
+    priced = counts.join(F.broadcast(total)).select("_w", (-F.log((F.col("_c") + 1.0) / (F.col("_n") + F.col("_v")))).alias("_nll"), often)  # the total is one row
     chunk = F.when(F.col("_i") < context, 0).otherwise(F.floor((F.col("_i") - context) / stride) + 1)
-    scored = spread.where("_i > 0").withColumn("chunk", chunk.cast("bigint")).join(priced, "_w")
+    frequent = F.broadcast(priced.where("_often").select("_w", F.col("_nll").alias("_known")))
+    looked_up = spread.where("_i > 0").select(key, chunk.cast("bigint").alias("chunk"), "_w").join(frequent, "_w", "left")
+    rare = looked_up.where("_known IS NULL").drop("_known").join(priced.where("NOT _often").select("_w", "_nll").hint("shuffle_hash"), "_w")
+    scored = looked_up.where("_known IS NOT NULL").select(key, "chunk", F.col("_known").alias("_nll")).union(rare.select(key, "chunk", "_nll"))
     return scored.groupBy(key, "chunk").agg(F.avg("_nll").alias("nll"), F.count(F.lit(1)).alias("scored"))
 
 

@@ -1,5 +1,8 @@
 """Lists in blocks against plain Python."""
 
+import math
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +73,28 @@ def test_windows_reach_a_batch_scorer_whole_and_few_at_a_time(spark, context, st
             first = end - scored if chunk else begin + 1
             want.append((k, chunk, sum(range(first, end)) / (end - first), scored))
     assert sorted((r["k"], r["chunk"], r["nll"], r["scored"]) for r in found) == want
+
+
+@pytest.mark.parametrize("frequent", [2, 10_000])
+def test_unigram_scores_sort_no_tokens(spark, monkeypatch, capsys, frequent):
+    monkeypatch.setattr(perplexity, "FREQUENT", frequent, raising=False)
+    texts = {i: ["the"] * (40 + i) + [f"w{i}", f"w{i % 3}"] * 5 + ["the"] for i in range(8)} | {8: ["alone"], 9: [], 10: None}
+    counts = Counter(w for ws in texts.values() for w in ws or ())
+    whole = sum(counts.values()) + len(counts)
+    want = {}
+    for i, ws in texts.items():
+        for at, w in list(enumerate(ws or ()))[1:]:
+            want.setdefault((i, 0 if at < 16 else (at - 16) // 8 + 1), []).append(-math.log((counts[w] + 1) / whole))
+    out = perplexity.unigram_scores(spark.createDataFrame(list(texts.items()), "id int, words array<string>"), "id", "words", 16, 8)
+    found = {(r["id"], r["chunk"]): r for r in out.collect()}
+    assert {k: r["scored"] for k, r in found.items()} == {k: len(v) for k, v in want.items()}
+    assert all(math.isclose(found[k]["nll"], sum(v) / len(v), rel_tol=1e-12) for k, v in want.items())
+    # A task that gets all tokens of a word would sort them.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        perplexity.unigram_scores(spark.createDataFrame(list(texts.items()), "id int, words array<string>"), "id", "words", 16, 8).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
