@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from scrollspark.functions.stemming import stem_of
 from scrollspark.operators import ranges, search
 from scrollspark.operators.store import SnapshotStore
+from scrollspark.session import arrow_rows
 
 BLOCK_BITS = 16
+TEXTS, WORDS = 500, 250_000  # of a batch, and of what is counted at a time: a Python worker holds no more, however many texts its task has
 SEGMENTS = 8  # so many are searched one by one; one more, and they are merged
 
 
@@ -58,7 +60,8 @@ class TextIndex:
 
     def _staged(self, rows: DataFrame) -> DataFrame:
         path = self.shop.folder(f"{self.name}_staged")
-        rows.write.parquet(path)
+        with arrow_rows(self.shop.spark, TEXTS):
+            rows.write.parquet(path)
         return self.shop.spark.read.schema(rows.schema).parquet(path)
 
     def _segment(self, keys: DataFrame, postings: DataFrame, *drop: str) -> None:
@@ -131,16 +134,24 @@ class TextIndex:
 def counted_stems(words: Column, stem: Callable[[str], str]) -> Column:
     """Of each list of words its distinct stems (term) and how often each is there (tf)."""
 
-    @F.arrow_udf("array<struct<term: string, tf: int>>")
-    def counts(lists: pa.Array) -> pa.Array:
+    def counted(lists: pa.Array, sizes: np.ndarray) -> pa.Array:
         coded = pc.fill_null(pc.list_flatten(lists), "").dictionary_encode()
         stems = pa.array([stem(t) for t in coded.dictionary.to_pylist()], pa.string()).dictionary_encode()
-        owner = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
-        term = stems.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64) if len(owner) else owner
-        pairs, tf = np.unique(owner * max(1, len(stems.dictionary)) + term, return_counts=True)
-        owner, term = pairs // max(1, len(stems.dictionary)), pairs % max(1, len(stems.dictionary))
-        cut = np.searchsorted(owner, np.arange(len(lists) + 1)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([stems.dictionary.take(pa.array(term)), pa.array(tf.astype(np.int32))], ["term", "tf"]))
+        n = max(1, len(stems.dictionary))
+        term = stems.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64)
+        pairs, tf = np.unique(np.repeat(np.arange(len(lists)), sizes) * n + term, return_counts=True)
+        cut = np.searchsorted(pairs // n, np.arange(len(lists) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([stems.dictionary.take(pa.array(pairs % n)), pa.array(tf.astype(np.int32))], ["term", "tf"]))
+
+    @F.arrow_udf("array<struct<term: string, tf: int>>")
+    def counts(lists: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        # Rows whose words begin in the same stretch of WORDS are counted together.
+        begin = (np.cumsum(sizes, dtype=np.int64) - sizes) // WORDS
+        edges = [0, *(np.flatnonzero(np.diff(begin)) + 1).tolist(), len(lists)]
+        out = pa.concat_arrays([counted(lists.slice(a, b - a), sizes[a:b]) for a, b in zip(edges, edges[1:], strict=False)])
+        pa.default_memory_pool().release_unused()
+        return out
 
     return counts(words)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 from tempfile import mkdtemp
 
@@ -55,6 +57,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Bounds the rows of an Arrow batch for the actions inside, where rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Sends this package to the executors once per application, so that their Python workers can import it."""
     context = spark.sparkContext

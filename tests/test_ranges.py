@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +169,22 @@ def test_percentiles_of_large_keys_are_exact(spark):
     for k, row in want.items():
         assert all(abs(got[k][name] - row[name]) < 1e-9 for name in perplexity.PERCENTILES)
     assert perplexity.exact_percentiles(df.limit(0), "k").count() == 0
+
+
+@pytest.mark.parametrize("texts, calls", [(["apples and pears"] * 1200 + [None, ""], 3), (["apples " * 100_000, "x", "apples " * 200_000, "apples"], 2)])
+def test_words_are_counted_in_bounded_batches(spark, tmp_path, texts, calls):
+    seen = tmp_path / "seen"
+
+    def stem(term: str) -> str:
+        if term == "apples":
+            with open(seen, "a") as log:
+                log.write("1")
+        return term.removesuffix("s")
+
+    kept = text_index.TextIndex(SnapshotStore(spark, str(tmp_path / "shop")), "fts", "id", ["text"], stem=stem)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    kept.add(rows)
+    # The stem is asked for once in each batch that has the word.
+    assert len(seen.read_text()) == calls
+    found = {(r["term"], r["id"]): r["tf"] for r in kept.postings().collect()}
+    assert found == {(w.removesuffix("s"), i): n for i, text in enumerate(texts) for w, n in Counter((text or "").split()).items() if w != "and"}
